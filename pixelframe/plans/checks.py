@@ -1,0 +1,1082 @@
+"""Driver queries: every operator on the driver's tables, with its SQL twin.
+
+The tables stand in for imagery. ``embeddings`` are patches: 63 of the 64 values
+are seven bands of nine pixels. ``lineitem`` rows are files of a patch or band
+values, ``orders`` is the catalogue, ``nation`` the label dictionary and
+``pages.url`` supplies paths. Every query reads whole tables.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from pixelframe.functions import indices, paths
+from pixelframe.operators import (
+    audit,
+    catalog,
+    features,
+    labels,
+    models,
+    pixels,
+    profile,
+    sampling,
+)
+from pixelframe.operators.stages import (
+    FeatureAssembler,
+    IndexBuilder,
+    LabelRecoder,
+    PixelExploder,
+)
+from pixelframe.plans.jobs import regression_job
+from pixelframe.schemas import (
+    FEATURE_COLUMNS,
+
+    LABEL,
+    OPTICAL_BANDS,
+    PIXEL_BANDS,
+    RADAR_BANDS,
+)
+from pixelframe.sources import files, rasters, sinks, tables
+from pixelframe.storage import materialize, scratch_path
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def register(run: Query) -> Query:
+        QUERIES[name] = run
+        if sql is not None:
+            ORACLE[name] = sql
+        return run
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType | None = None):
+    return tables.read_table(spark, f"{sf_dir}/{name}.parquet", schema)
+
+
+# Stand-in patches ---------------------------------------------------------
+
+PATCH_PIXELS = 9
+SPLIT_SQL = "CASE WHEN label < 5 THEN 'train' WHEN label < 8 THEN 'validation' ELSE 'test' END"
+
+
+def band_slices(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """One row per patch with seven arrays of nine doubles."""
+    vectors = table(spark, sf_dir, "embeddings")
+    values = F.col("embedding").cast("array<double>")
+    return vectors.select(
+        *keep,
+        F.expr(SPLIT_SQL).alias("split"),
+        *[
+            F.slice(values, 1 + i * PATCH_PIXELS, PATCH_PIXELS).alias(b)
+            for i, b in enumerate(PIXEL_BANDS)
+        ],
+    )
+
+
+def as_counts(df: DataFrame) -> DataFrame:
+    """Optical bands and label as the integers that rasters hold."""
+    scale = dict.fromkeys(OPTICAL_BANDS, 10000) | {LABEL: 100}
+    return df.withColumns(
+        {b: F.floor(F.abs(b) * F.lit(float(s))).cast("bigint") for b, s in scale.items()}
+    )
+
+
+def pixel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrays = band_slices(spark, sf_dir, "vec_id")
+    return as_counts(pixels.explode_pixels(arrays, keep=["vec_id", "split"], position="pos"))
+
+
+PIXELS_SQL = f"""
+px AS (
+  SELECT vec_id, {SPLIT_SQL} AS split, pos,
+    embedding[1 + pos]::DOUBLE AS VH, embedding[10 + pos]::DOUBLE AS VV,
+    floor(abs(embedding[19 + pos]::DOUBLE) * 10000)::BIGINT AS B,
+    floor(abs(embedding[28 + pos]::DOUBLE) * 10000)::BIGINT AS G,
+    floor(abs(embedding[37 + pos]::DOUBLE) * 10000)::BIGINT AS R,
+    floor(abs(embedding[46 + pos]::DOUBLE) * 10000)::BIGINT AS NIR,
+    floor(abs(embedding[55 + pos]::DOUBLE) * 100)::BIGINT AS label
+  FROM embeddings, (SELECT unnest(range(9))::INTEGER AS pos)
+)"""
+
+INDEX_SQL = {
+    "NDVI": "(NIR - R) / nullif(NIR + R, 0)::DOUBLE",
+    "EVI": "2.5::DOUBLE * (NIR - R) / nullif(NIR + 6 * R - 7.5::DOUBLE * B + 1, 0)",
+    "NDWI": "(G - NIR) / nullif(G, 0)::DOUBLE + NIR",
+    "BVI": "G / nullif(NIR, 0)::DOUBLE",
+    "RRadio": "VV / nullif(VH, 0)",
+    "RDiff": "VV - VH",
+    "RSum": "VV + VH",
+    "RVI": "4 * VH / nullif(VH + VV, 0)",
+}
+NDWI_STANDARD_SQL = "(G - NIR) / nullif(G + NIR, 0)::DOUBLE"
+
+
+def nation_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label dictionary of 25 codes; label codes above 24 stay unknown."""
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("string").alias("ID"),
+        (F.col("n_regionkey") + 1).cast("string").alias("ID_NEW"),
+        F.col("n_name").alias("DESC"),
+    )
+
+
+# Scans, sources and sinks -------------------------------------------------
+
+
+@query("scan_pruned", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def scan_pruned(spark, sf_dir):
+    schema = T.StructType(
+        [
+            T.StructField("o_orderkey", T.LongType()),
+            T.StructField("o_orderstatus", T.StringType()),
+            T.StructField("o_totalprice", T.DoubleType()),
+        ]
+    )
+    return table(spark, sf_dir, "orders", schema)
+
+
+@query("scan_footer_schema", "SELECT * FROM customer")
+def scan_footer_schema(spark, sf_dir):
+    return table(spark, sf_dir, "customer")
+
+
+@query(
+    "metadata_ingest",
+    "SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, o_custkey::DOUBLE AS o_custkey FROM orders",
+)
+def metadata_ingest(spark, sf_dir):
+    declared = T.StructType(
+        [
+            T.StructField("o_orderkey", T.StringType()),
+            T.StructField("o_orderstatus", T.StringType()),
+            T.StructField("o_custkey", T.DoubleType()),
+        ]
+    )
+    return tables.read_metadata(spark, f"{sf_dir}/orders.parquet", declared)
+
+
+@query(
+    "drop_metadata_columns",
+    "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem",
+)
+def drop_metadata_columns(spark, sf_dir):
+    dropped = [
+        "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_linestatus",
+        "l_shipdate",
+    ]
+    return catalog.drop_columns(table(spark, sf_dir, "lineitem"), dropped)
+
+
+@query(
+    "csv_dictionary",
+    """SELECT c_custkey::VARCHAR AS "ID", c_nationkey::VARCHAR AS "ID_NEW", c_name AS "DESC"
+       FROM customer""",
+)
+def csv_dictionary(spark, sf_dir):
+    path = scratch_path(spark, "dictionary")
+    table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("ID"),
+        F.col("c_nationkey").alias("ID_NEW"),
+        F.col("c_name").alias("DESC"),
+    ).write.csv(path, header=True)
+    return tables.read_label_dictionary(spark, path)
+
+
+@query(
+    "csv_inferred",
+    """SELECT p_partkey::INTEGER AS p_partkey, p_name, p_brand, p_size, p_retailprice FROM part""",
+)
+def csv_inferred(spark, sf_dir):
+    path = scratch_path(spark, "inferred")
+    part = table(spark, sf_dir, "part")
+    part.select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice").write.csv(
+        path, sep=";", header=True
+    )
+    return tables.read_csv_inferred(spark, path, sep=";")
+
+
+@query("sink_roundtrip", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+def sink_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "orders")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    sinks.write_table(orders, path, ["o_orderstatus"])
+    stored = tables.read_table(spark, path)
+    return sampling.split_rows(stored, "F", "o_orderstatus").select("o_orderkey", "o_totalprice")
+
+
+@query(
+    "pixel_sink",
+    f"""WITH {PIXELS_SQL}
+    SELECT vec_id, VV, VH, B, G, R, NIR, label FROM px WHERE split = 'train'""",
+)
+def pixel_sink(spark, sf_dir):
+    path = scratch_path(spark, "pixels")
+    rows = pixel_rows(spark, sf_dir).drop("pos").withColumn(rasters.ERROR, F.lit(None).cast("string"))
+    sinks.write_pixels(rows, path)
+    return sampling.split_rows(sinks.read_pixels(spark, path), "train").drop("split")
+
+
+@query(
+    "file_inventory",
+    """SELECT o_orderstatus AS status, o_orderpriority AS priority
+       FROM orders GROUP BY ALL""",
+)
+def file_inventory(spark, sf_dir):
+    path = scratch_path(spark, "inventory")
+    sinks.write_table(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"),
+        path,
+        ["o_orderstatus", "o_orderpriority"],
+    )
+    found = files.scan_files(spark, path, "*.parquet").where(F.col("length") > 0)
+    part = r"o_orderstatus=([^/]*)/o_orderpriority=([^/]*)/"
+    return found.select(
+        F.regexp_extract("path", part, 1).alias("status"),
+        F.url_decode(F.regexp_extract("path", part, 2)).alias("priority"),
+    ).distinct()
+
+
+@query(
+    "load_files",
+    "SELECT o_orderstatus AS status, count(*) AS rows FROM orders GROUP BY o_orderstatus",
+)
+def load_files(spark, sf_dir):
+    path = scratch_path(spark, "loaded")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    sinks.write_table(orders.withColumn("part", F.col("o_orderstatus")), path, ["part"])
+    loaded = files.load_files(spark, path, format="parquet", suffix=".parquet")
+    return loaded.groupBy(F.col("o_orderstatus").alias("status")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
+# Paths and catalogue ------------------------------------------------------
+
+# Half of the ids end in a letter and belong to no scene.
+PATCH_ID_SQL = """concat('S2A_', l_returnflag, '_', l_orderkey, '_', l_partkey, '_',
+  CASE WHEN l_linestatus = 'F' THEN l_linenumber::VARCHAR ELSE l_linestatus END)"""
+S1_NAME_SQL = """concat('S1B_', l_suppkey, '_', l_returnflag, l_linenumber, '_', l_orderkey, '_',
+  l_partkey)"""
+IDS_SQL = f"ids AS (SELECT {PATCH_ID_SQL} AS patch_id, {S1_NAME_SQL} AS s1_name FROM lineitem)"
+
+
+def patch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = F.when(F.col("l_linestatus") == "F", F.col("l_linenumber").cast("string")).otherwise(
+        F.col("l_linestatus")
+    )
+    tail = F.concat_ws("_", "l_orderkey", "l_partkey")
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("S2A_"), "l_returnflag", F.lit("_"), tail, F.lit("_"), last).alias(
+            "patch_id"
+        ),
+        F.concat(
+            F.lit("S1B_"), "l_suppkey", F.lit("_"), "l_returnflag", "l_linenumber", F.lit("_"), tail
+        ).alias("s1_name"),
+    )
+
+
+SCENES_SQL = r"""scenes AS (
+  SELECT patch_id, s1_name,
+    nullif(regexp_extract(patch_id, '^(.*)_[0-9]+_[0-9]+$', 1), '') AS patch_id_path,
+    nullif(regexp_extract(s1_name, '^(.*)_[A-Z0-9]+_[0-9]+_[0-9]+$', 1), '') AS patch_id_path_s1
+  FROM ids)"""
+
+
+@query("parent_ids", f"WITH {IDS_SQL}, {SCENES_SQL} SELECT * FROM scenes")
+def parent_ids(spark, sf_dir):
+    return catalog.add_scenes(patch_ids(spark, sf_dir))
+
+
+CATALOG_SQL = """paths AS (
+  SELECT *, 's3://store/S1/' || patch_id_path_s1 || '/' || s1_name || '/' AS s1_path,
+    's3://store/S2/' || patch_id_path || '/' || patch_id || '/' AS s2_path,
+    's3://store/Reference_Maps/' || patch_id_path || '/' || patch_id || '/' AS label_path
+  FROM scenes)"""
+
+
+@query("path_columns", f"WITH {IDS_SQL}, {SCENES_SQL}, {CATALOG_SQL} SELECT * FROM paths")
+def path_columns(spark, sf_dir):
+    return catalog.build_catalog(patch_ids(spark, sf_dir), "s3://store")
+
+
+@query(
+    "malformed_ids",
+    f"WITH {IDS_SQL}, {SCENES_SQL} SELECT patch_id FROM scenes "
+    "WHERE patch_id_path IS NULL OR patch_id_path_s1 IS NULL",
+)
+def malformed_ids(spark, sf_dir):
+    built = catalog.add_scenes(patch_ids(spark, sf_dir))
+    return catalog.malformed_ids(built).select("patch_id")
+
+
+SLIM_SQL = """SELECT patch_id, substr(s1_path, 6) AS s1, substr(s2_path, 6) AS s2,
+  substr(label_path, 6) AS label, patch_id AS bundled_id FROM paths"""
+
+
+@query("slim_catalog", f"WITH {IDS_SQL}, {SCENES_SQL}, {CATALOG_SQL} {SLIM_SQL}")
+def slim_catalog(spark, sf_dir):
+    """Scheme strip, bundle, slim sink, and the bundle taken apart after reading it back."""
+    built = catalog.build_catalog(patch_ids(spark, sf_dir), "s3://store")
+    path = scratch_path(spark, "slim")
+    with_split = built.withColumn("split", F.lit("train"))
+    sinks.write_slim_catalog(catalog.slim_catalog(with_split), path)
+    names = ["s1", "s2", "label", "bundled_id"]
+    unpacked = catalog.unpack_paths(tables.read_table(spark, path), names, "patch_path_array")
+    return unpacked.select("patch_id", *names)
+
+
+@query(
+    "catalog_sink",
+    f"""WITH {IDS_SQL}, {SCENES_SQL}, {CATALOG_SQL}
+    SELECT patch_id, s1_path, label_path FROM paths WHERE substr(patch_id, 5, 1) = 'A'""",
+)
+def catalog_sink(spark, sf_dir):
+    built = catalog.build_catalog(patch_ids(spark, sf_dir), "s3://store")
+    path = scratch_path(spark, "catalog")
+    sinks.write_catalog(built.withColumn("split", F.substring("patch_id", 5, 1)), path)
+    stored = sampling.split_rows(tables.read_table(spark, path), "A")
+    return stored.select("patch_id", "s1_path", "label_path")
+
+
+@query(
+    "scheme_strip",
+    "SELECT page_id, string_split(url, 'https://')[2] AS rest FROM pages",
+)
+def scheme_strip(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select(
+        "page_id", paths.strip_scheme("url", "https://").alias("rest")
+    )
+
+
+@query(
+    "path_bundle",
+    """SELECT page_id, url AS s1_path, split_part(url, '/', 3) AS s2_path,
+         split_part(url, '?', 1) AS label_path FROM pages""",
+)
+def path_bundle(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id",
+        F.col("url").alias("a"),
+        F.split_part("url", F.lit("/"), F.lit(3)).alias("b"),
+        F.split_part("url", F.lit("?"), F.lit(1)).alias("c"),
+    )
+    bundled = catalog.bundle_paths(pages, ["a", "b", "c"])
+    return catalog.unpack_paths(bundled).select("page_id", *catalog.PATH_COLUMNS)
+
+
+@query(
+    "path_explode",
+    """SELECT page_id, unnest([url, split_part(url, '/', 3), split_part(url, '?', 1)]) AS path
+       FROM pages""",
+)
+def path_explode(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id",
+        F.col("url").alias("a"),
+        F.split_part("url", F.lit("/"), F.lit(3)).alias("b"),
+        F.split_part("url", F.lit("?"), F.lit(1)).alias("c"),
+    )
+    return pixels.explode_paths(catalog.bundle_paths(pages, ["a", "b", "c"]), keep=["page_id"])
+
+
+@query(
+    "file_stems",
+    """SELECT page_id, split_part(split_part(url, '/', -1), '.', 1) AS stem,
+         split_part(url, '/', -2) AS directory FROM pages""",
+)
+def file_stems(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select(
+        "page_id",
+        paths.file_stem("url").alias("stem"),
+        paths.parent_directory("url").alias("directory"),
+    )
+
+
+FILES_SQL = """files AS (
+  SELECT concat('s3://store/S2/scene/', l_orderkey, '/', l_orderkey, '_B0', l_linenumber,
+    CASE WHEN l_returnflag = 'A' THEN '.tif' ELSE '.tif.aux' END) AS path, l_orderkey, l_linenumber
+  FROM lineitem)"""
+
+
+def band_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    suffix = F.when(F.col("l_returnflag") == "A", F.lit(".tif")).otherwise(F.lit(".tif.aux"))
+    root, key = F.lit("s3://store/S2/scene/"), F.col("l_orderkey").cast("string")
+    number = F.col("l_linenumber").cast("string")
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(root, key, F.lit("/"), key, F.lit("_B0"), number, suffix).alias("path")
+    )
+
+
+@query(
+    "optical_files",
+    rf"WITH {FILES_SQL} SELECT path FROM files WHERE regexp_matches(path, '_B(0[2348])\.tif$')",
+)
+def optical_files(spark, sf_dir):
+    return band_file_rows(spark, sf_dir).where(paths.is_optical_pixel_file("path"))
+
+
+@query(
+    "band_files",
+    rf"""WITH {FILES_SQL}
+    SELECT path, l_orderkey::VARCHAR AS patch,
+      CASE l_linenumber WHEN 2 THEN 'B' WHEN 3 THEN 'G' WHEN 4 THEN 'R' END AS band
+    FROM files WHERE regexp_matches(path, '_B0[234]\.tif$')""",
+)
+def band_files(spark, sf_dir):
+    return files.band_files(band_file_rows(spark, sf_dir))
+
+
+# Pixels -------------------------------------------------------------------
+
+
+@query(
+    "pixels_zip",
+    f"WITH {PIXELS_SQL} SELECT vec_id, split, pos, VH, VV, B, G, R, NIR, label FROM px",
+)
+def pixels_zip(spark, sf_dir):
+    return pixel_rows(spark, sf_dir)
+
+
+@query(
+    "pixels_posexplode",
+    """SELECT vec_id, pos, embedding[1 + pos]::DOUBLE AS value
+       FROM embeddings, (SELECT unnest(range(9))::INTEGER AS pos)""",
+)
+def pixels_posexplode(spark, sf_dir):
+    arrays = band_slices(spark, sf_dir, "vec_id")
+    return pixels.explode_positions(arrays, "VH", keep=["vec_id"], value="value")
+
+
+@query(
+    "struct_projection",
+    f"WITH {PIXELS_SQL} SELECT vec_id, pos, VV, NIR FROM px",
+)
+def struct_projection(spark, sf_dir):
+    arrays = band_slices(spark, sf_dir, "vec_id")
+    nested = arrays.select("vec_id", F.struct(*PIXEL_BANDS).alias("pixel_arrays"))
+    flat = pixels.flatten_struct(nested, "pixel_arrays", ["VV", "NIR"], keep=["vec_id"])
+    rows = pixels.explode_pixels(flat, ["VV", "NIR"], keep=["vec_id"], position="pos")
+    return rows.withColumn("NIR", F.floor(F.abs("NIR") * F.lit(10000.0)).cast("bigint"))
+
+
+def uneven_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = F.col("embedding").cast("array<double>")
+    longer = F.when(F.col("label") % 3 == 0, F.lit(10)).otherwise(F.lit(9))
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        F.slice(values, 1, 9).alias("VH"),
+        F.slice(values, F.lit(10), longer).alias("VV"),
+    )
+
+
+@query("uneven_patches", "SELECT vec_id FROM embeddings WHERE label % 3 = 0")
+def uneven_patches(spark, sf_dir):
+    arrays = uneven_arrays(spark, sf_dir)
+    return pixels.uneven_patches(arrays, ["VH", "VV"]).select("vec_id")
+
+
+@query(
+    "even_patches",
+    """SELECT vec_id, embedding[1 + pos]::DOUBLE AS VH, embedding[10 + pos]::DOUBLE AS VV
+       FROM embeddings, (SELECT unnest(range(9)) AS pos) WHERE label % 3 <> 0""",
+)
+def even_patches(spark, sf_dir):
+    return pixels.explode_pixels(uneven_arrays(spark, sf_dir), ["VH", "VV"], keep=["vec_id"])
+
+
+# Band maths ---------------------------------------------------------------
+
+# lineitem columns as bands: small discounts and taxes give natural zero denominators.
+LINEITEM_BANDS = {
+    "VV": "l_extendedprice",
+    "VH": "l_tax",
+    "B": "l_tax",
+    "G": "l_discount",
+    "R": "l_discount",
+    "NIR": "l_tax",
+}
+BANDS_SQL = "bands AS (SELECT l_orderkey, l_linenumber, {} FROM lineitem)".format(
+    ", ".join(f"{source} AS {band}" for band, source in LINEITEM_BANDS.items())
+)
+
+
+def _register_index(name: str, output: str, sql: str, standard: bool = False) -> None:
+    @query(name, f"WITH {BANDS_SQL} SELECT l_orderkey, l_linenumber, {sql} AS value FROM bands")
+    def run(spark, sf_dir):
+        value = indices.index_columns(LINEITEM_BANDS, standard)[output]
+        rows = table(spark, sf_dir, "lineitem")
+        return rows.select("l_orderkey", "l_linenumber", value.alias("value"))
+
+
+for _name, _sql in INDEX_SQL.items():
+    _register_index(f"band_index_{_name.lower()}", _name, _sql)
+_register_index("band_index_ndwi_standard", "NDWI", NDWI_STANDARD_SQL, standard=True)
+
+FEATURES_SQL = "features AS (SELECT *, {} FROM px)".format(
+    ", ".join(f"{sql} AS {name}" for name, sql in INDEX_SQL.items())
+)
+
+
+@query(
+    "pixel_features",
+    f"""WITH {PIXELS_SQL}, {FEATURES_SQL}
+    SELECT vec_id, pos, {", ".join(FEATURE_COLUMNS)}, label FROM features""",
+)
+def pixel_features(spark, sf_dir):
+    rows = indices.add_indices(pixel_rows(spark, sf_dir))
+    return rows.select("vec_id", "pos", *FEATURE_COLUMNS, "label")
+
+
+# Labels -------------------------------------------------------------------
+
+RECODED_SQL = """recoded AS (
+  SELECT features.* EXCLUDE (label), n_regionkey::BIGINT + 1 AS label
+  FROM features JOIN nation ON features.label = n_nationkey)"""
+
+
+@query(
+    "label_recode",
+    f"WITH {PIXELS_SQL}, {FEATURES_SQL}, {RECODED_SQL} SELECT vec_id, pos, NIR, label FROM recoded",
+)
+def label_recode(spark, sf_dir):
+    rows = pixel_rows(spark, sf_dir).select("vec_id", "pos", "NIR", "label")
+    return labels.recode_labels(rows, nation_dictionary(spark, sf_dir))
+
+
+@query(
+    "land_cover_summary",
+    f"""WITH {PIXELS_SQL}, {FEATURES_SQL}, {RECODED_SQL}
+    SELECT label, count(*) AS pixels, round(avg(NDVI), 6) AS mean_ndvi,
+      round(avg(RDiff), 6) AS mean_rdiff, count(*) - count(BVI) AS undefined_bvi
+    FROM recoded GROUP BY label""",
+)
+def land_cover_summary(spark, sf_dir):
+    rows = indices.add_indices(pixel_rows(spark, sf_dir))
+    recoded = labels.recode_labels(rows, nation_dictionary(spark, sf_dir))
+    return recoded.groupBy("label").agg(
+        F.count(F.lit(1)).alias("pixels"),
+        F.round(F.avg("NDVI"), 6).alias("mean_ndvi"),
+        F.round(F.avg("RDiff"), 6).alias("mean_rdiff"),
+        (F.count(F.lit(1)) - F.count("BVI")).alias("undefined_bvi"),
+    )
+
+
+# Samples, splits, partitions ----------------------------------------------
+
+FLAG_SPLIT_SQL = (
+    "CASE l_returnflag WHEN 'A' THEN 'train' WHEN 'N' THEN 'validation' ELSE 'test' END"
+)
+
+
+@query(
+    "split_filter",
+    "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'N'",
+)
+def split_filter(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").withColumn("split", F.expr(FLAG_SPLIT_SQL))
+    return sampling.split_rows(rows, "validation").select("l_orderkey", "l_linenumber")
+
+
+HASH_SQL = "(('0x' || substr(md5({}::VARCHAR), 1, 8))::UBIGINT / 4294967296.0::DOUBLE)"
+ORDER_HASH_SQL = HASH_SQL.format("o_orderkey")
+
+
+@query(
+    "hash_split",
+    f"""SELECT o_orderkey, CASE WHEN {ORDER_HASH_SQL} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part
+    FROM orders""",
+)
+def hash_split(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    return sampling.hash_split(orders, "o_orderkey", {"train": 0.8, "test": 0.2})
+
+
+STATUS_FRACTIONS = {"F": 0.5, "O": 0.25, "P": 0.1}
+
+
+@query(
+    "hash_stratified_sample",
+    f"""SELECT o_orderkey, o_orderstatus FROM orders WHERE {ORDER_HASH_SQL} <
+      CASE o_orderstatus WHEN 'F' THEN 0.5 WHEN 'O' THEN 0.25 WHEN 'P' THEN 0.1 ELSE 0 END::DOUBLE""",
+)
+def hash_stratified_sample(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return sampling.hash_sample_by_split(orders, STATUS_FRACTIONS, "o_orderkey", "o_orderstatus")
+
+
+@query("stratified_sample")
+def stratified_sample(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return sampling.sample_by_split(orders, STATUS_FRACTIONS, "o_orderstatus")
+
+
+@query("random_split")
+def random_split(spark, sf_dir):
+    train, test = sampling.random_split(table(spark, sf_dir, "orders").select("o_orderkey"))
+    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+
+
+@query(
+    "first_n",
+    "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10000",
+)
+def first_n(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return sampling.first_rows(orders, 10000, ["o_orderkey"])
+
+
+@query("partition_report", "SELECT 16::BIGINT AS partitions, count(*) AS rows FROM orders")
+def partition_report(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    spread = sampling.hash_partition(orders, 16, "o_orderkey")
+    return sampling.partition_report(spread).select("partitions", "rows")
+
+
+# Audit --------------------------------------------------------------------
+
+SENSOR_SQL = "CASE l_returnflag WHEN 'R' THEN 's2' WHEN 'A' THEN 's1' ELSE 'label' END"
+EXPECTED = {"s2": 2, "s1": 1, "label": 1}
+
+
+@query(
+    "incomplete_patches",
+    """WITH n AS (
+      SELECT l_orderkey, count(*) FILTER (l_returnflag = 'R') AS s2,
+        count(*) FILTER (l_returnflag = 'A') AS s1, count(*) FILTER (l_returnflag = 'N') AS label
+      FROM lineitem GROUP BY l_orderkey)
+    SELECT o_orderkey AS patch_id, coalesce(s2, 0)::INTEGER AS ns2bands,
+      coalesce(s1, 0)::INTEGER AS ns1bands, coalesce(label, 0)::INTEGER AS nlabelbands
+    FROM orders LEFT JOIN n ON o_orderkey = l_orderkey
+    WHERE coalesce(s2, 0) <> 2 OR coalesce(s1, 0) <> 1 OR coalesce(label, 0) <> 1""",
+)
+def incomplete_patches(spark, sf_dir):
+    found = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("patch_id"), F.expr(SENSOR_SQL).alias("sensor")
+    )
+    patches = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("patch_id"))
+    counts = materialize(audit.count_files(found), "file-counts")
+    return audit.incomplete_patches(patches, counts, expected=EXPECTED)
+
+
+@query(
+    "directory_audit",
+    """WITH n AS (
+      SELECT l_orderkey, count(*) FILTER (l_returnflag = 'R') AS s2,
+        count(*) FILTER (l_returnflag = 'A') AS s1, count(*) FILTER (l_returnflag = 'N') AS label
+      FROM lineitem GROUP BY l_orderkey)
+    SELECT concat('s3://store/s2/', o_orderkey, '/') AS s2_path,
+      coalesce(s2, 0)::INTEGER AS ns2bands, coalesce(s1, 0)::INTEGER AS ns1bands,
+      coalesce(label, 0)::INTEGER AS nlabelbands
+    FROM orders LEFT JOIN n ON o_orderkey = l_orderkey
+    WHERE coalesce(s2, 0) <> 2 OR coalesce(s1, 0) <> 1 OR coalesce(label, 0) <> 1""",
+)
+def directory_audit(spark, sf_dir):
+    def directory(sensor, key):
+        return F.concat(F.lit("s3://store/"), sensor, F.lit("/"), F.col(key), F.lit("/"))
+
+    name = F.concat(F.lit("f"), "l_linenumber", F.lit(".tif"))
+    inventory = table(spark, sf_dir, "lineitem").select(
+        F.concat(directory(F.expr(SENSOR_SQL), "l_orderkey"), name).alias("path")
+    )
+    patches = table(spark, sf_dir, "orders").select(
+        *[directory(F.lit(s), "o_orderkey").alias(p) for s, p in files.SENSOR_PATHS.items()]
+    )
+    counts = materialize(audit.count_by_directory(inventory), "directory-counts")
+    counted = audit.with_directory_counts(patches, counts)
+    return counted.where(audit.is_incomplete(EXPECTED)).select(
+        "s2_path", *audit.COUNT_COLUMNS.values()
+    )
+
+
+# Profiles -----------------------------------------------------------------
+
+
+@query("row_count", "SELECT count(*) AS rows FROM lineitem")
+def row_count(spark, sf_dir):
+    return profile.row_count(table(spark, sf_dir, "lineitem"))
+
+
+SHAPES = {"orders": 6, "lineitem": 11, "events": 6, "embeddings": 3, "pages": 3, "documents": 5}
+
+
+@query(
+    "dataset_shapes",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, count(*) AS rows, {n} AS columns FROM {t}"
+        for t, n in SHAPES.items()
+    ),
+)
+def dataset_shapes(spark, sf_dir):
+    return profile.dataset_shapes({t: table(spark, sf_dir, t) for t in SHAPES})
+
+
+@query(
+    "split_share",
+    """SELECT o_orderstatus, round(count(*) / (SELECT count(*) FROM orders), 2) AS share
+    FROM orders GROUP BY o_orderstatus""",
+)
+def split_share(spark, sf_dir):
+    return profile.split_share(table(spark, sf_dir, "orders"), "o_orderstatus")
+
+
+@query(
+    "label_count",
+    """SELECT lang, count(quality) AS n FROM documents LEFT JOIN labels USING (doc_id)
+    GROUP BY lang""",
+)
+def label_count(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    labelled = documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return profile.label_count(labelled, "quality", "lang")
+
+
+EVENT_TYPES = {
+    "event_id": "bigint",
+    "ts": "timestamp_ntz",
+    "user_id": "bigint",
+    "event_type": "string",
+    "value": "double",
+    "props": "string",
+}
+
+
+@query(
+    "column_summary",
+    " UNION ALL ".join(
+        f"""SELECT {i} AS position, '{c}' AS "column", '{t}' AS type, count({c}) AS non_null
+        FROM events"""
+        for i, (c, t) in enumerate(EVENT_TYPES.items())
+    ),
+)
+def column_summary(spark, sf_dir):
+    return profile.column_summary(table(spark, sf_dir, "events"))
+
+
+# Features -----------------------------------------------------------------
+
+LINEITEM_FEATURES_SQL = f"""WITH {BANDS_SQL},
+f AS (SELECT l_orderkey, l_linenumber, {INDEX_SQL["NDVI"]} AS NDVI, {INDEX_SQL["BVI"]} AS BVI,
+  {INDEX_SQL["RRadio"]} AS RRadio FROM bands)
+SELECT l_orderkey, l_linenumber, NDVI, BVI, RRadio FROM f
+WHERE NDVI IS NOT NULL AND BVI IS NOT NULL AND RRadio IS NOT NULL"""
+RATIOS = ["NDVI", "BVI", "RRadio"]
+
+
+def lineitem_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = indices.index_columns(LINEITEM_BANDS)
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", *[values[r].alias(r) for r in RATIOS]
+    )
+
+
+@query("skip_nulls", LINEITEM_FEATURES_SQL)
+def skip_nulls(spark, sf_dir):
+    return features.drop_incomplete(lineitem_ratios(spark, sf_dir), RATIOS)
+
+
+@query("vector_assembly", LINEITEM_FEATURES_SQL)
+def vector_assembly(spark, sf_dir):
+    ids = ["l_orderkey", "l_linenumber"]
+    assembled = features.assemble(
+        lineitem_ratios(spark, sf_dir), "l_orderkey", keep=["l_linenumber"]
+    )
+    return features.vector_elements(assembled, "features", RATIOS, ids)
+
+
+@query(
+    "typed_columns",
+    """SELECT 'c_name' AS "column", 'categorical' AS kind, count(c_name) AS non_null FROM customer
+    UNION ALL SELECT 'c_mktsegment', 'categorical', count(c_mktsegment) FROM customer
+    UNION ALL SELECT 'c_custkey', 'numerical', count(c_custkey) FROM customer
+    UNION ALL SELECT 'c_nationkey', 'numerical', count(c_nationkey) FROM customer""",
+)
+def typed_columns(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer")
+    categorical, numerical = features.columns_by_type(customer, "c_acctbal")
+    chosen = customer.select(*categorical, *numerical)
+    kind = F.when(F.col("column").isin(categorical), "categorical").otherwise("numerical")
+    return profile.column_summary(chosen).select("column", kind.alias("kind"), "non_null")
+
+
+PRIORITY_INDEX_SQL = """codes AS (
+  SELECT o_orderpriority, (row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1)::DOUBLE
+    AS idx FROM orders GROUP BY o_orderpriority)"""
+
+
+@query(
+    "string_index",
+    f"""WITH {PRIORITY_INDEX_SQL}
+    SELECT o_orderkey, o_orderpriority, idx FROM orders JOIN codes USING (o_orderpriority)""",
+)
+def string_index(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    features.check_categories(orders, ["o_orderpriority"], 100_000)
+    indexed = features.category_indexer(["o_orderpriority"]).fit(orders).transform(orders)
+    return indexed.select("o_orderkey", "o_orderpriority", F.col("o_orderpriority_index").alias("idx"))
+
+
+@query(
+    "category_codes",
+    """SELECT c_custkey, o_totalprice, idx FROM (
+      SELECT o_custkey AS c_custkey, (row_number() OVER (ORDER BY count(*) DESC, o_custkey) - 1)::DOUBLE
+        AS idx FROM orders GROUP BY o_custkey) JOIN orders ON c_custkey = o_custkey""",
+)
+def category_codes(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), "o_totalprice"
+    )
+    return features.index_categories(orders, ["c_custkey"]).select(
+        "c_custkey", "o_totalprice", F.col("c_custkey_index").alias("idx")
+    )
+
+
+@query(
+    "one_hot",
+    f"""WITH {PRIORITY_INDEX_SQL}
+    SELECT o_orderkey, {", ".join(f"(idx = {i})::INTEGER::DOUBLE AS c{i}" for i in range(5))}
+    FROM orders JOIN codes USING (o_orderpriority)""",
+)
+def one_hot(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    columns = ["o_orderpriority"]
+    features.check_categories(orders, columns, 100_000)
+    stages = [features.category_indexer(columns), features.one_hot_encoder(columns)]
+    encoded = models.fit(stages, orders).transform(orders)
+    return features.vector_elements(
+        encoded, "o_orderpriority_ohe", [f"c{i}" for i in range(5)], ["o_orderkey"]
+    )
+
+
+@query(
+    "standard_scale",
+    """SELECT o_orderkey, round(o_totalprice / (SELECT stddev_samp(o_totalprice) FROM orders), 6)
+      AS scaled FROM orders""",
+)
+def standard_scale(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    stages = [
+        features.assembler(["o_totalprice"], "raw", "error"),
+        features.scaler("raw", "scaled_vector"),
+    ]
+    scaled = models.fit(stages, orders).transform(orders)
+    rows = features.vector_elements(scaled, "scaled_vector", ["scaled"], ["o_orderkey"])
+    return rows.withColumn("scaled", F.round("scaled", 6))
+
+
+# Models -------------------------------------------------------------------
+
+LINEAR_SQL = """line AS (
+  SELECT regr_slope(l_extendedprice, l_quantity) AS slope,
+    regr_intercept(l_extendedprice, l_quantity) AS intercept FROM lineitem)"""
+
+
+def price_model(spark: SparkSession, sf_dir: str):
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    )
+    stages = [
+        features.assembler(["l_quantity"], handle_invalid="error"),
+        models.linear_regression("l_extendedprice"),
+    ]
+    return models.fit(stages, rows), rows
+
+
+@query(
+    "linear_fit",
+    f"""WITH {LINEAR_SQL}
+    SELECT round(any_value(slope), 4) AS slope, round(any_value(intercept), 3) AS intercept,
+      round(sqrt(avg(power(slope * l_quantity + intercept - l_extendedprice, 2))), 4) AS rmse
+    FROM lineitem, line""",
+)
+def linear_fit(spark, sf_dir):
+    model, rows = price_model(spark, sf_dir)
+    line = model.stages[-1]
+    predicted = models.predict(model, rows, ["l_extendedprice", "prediction"])
+    return predicted.agg(
+        F.round(F.lit(float(line.coefficients[0])), 4).alias("slope"),
+        F.round(F.lit(float(line.intercept)), 3).alias("intercept"),
+        F.round(models.rmse_of("l_extendedprice"), 4).alias("rmse"),
+    )
+
+
+@query(
+    "batch_prediction",
+    f"""WITH {LINEAR_SQL}
+    SELECT l_orderkey, l_linenumber, round(slope * l_quantity + intercept, 2) AS prediction
+    FROM lineitem, line""",
+)
+def batch_prediction(spark, sf_dir):
+    model, rows = price_model(spark, sf_dir)
+    predicted = models.predict(model, rows, ["l_orderkey", "l_linenumber", "prediction"])
+    return predicted.withColumn("prediction", F.round("prediction", 2))
+
+
+@query(
+    "accuracy",
+    f"""SELECT {SPLIT_SQL} AS split,
+      round(avg((label = floor(abs(embedding[1]::DOUBLE) * 20))::INTEGER), 6) AS accuracy,
+      count(*) AS rows FROM embeddings GROUP BY split""",
+)
+def accuracy(spark, sf_dir):
+    rule = F.floor(F.abs(F.get("embedding", F.lit(0)).cast("double")) * F.lit(20.0))
+    predicted = table(spark, sf_dir, "embeddings").select(
+        F.expr(SPLIT_SQL).alias("split"), "label", rule.cast("double").alias("prediction")
+    )
+    return models.accuracy_by(predicted, ["split"]).withColumn("accuracy", F.round("accuracy", 6))
+
+
+@query("mixed_regression")
+def mixed_regression(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderstatus", "o_orderpriority", "o_custkey", "o_totalprice"
+    )
+    result = regression_job(orders, "o_totalprice")
+    return result.predictions.select("o_totalprice", "prediction")
+
+
+def stored_dictionary(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "dictionary")
+    nation_dictionary(spark, sf_dir).write.csv(path, header=True)
+    return path
+
+
+@query(
+    "feature_stages",
+    f"""WITH {PIXELS_SQL}, {FEATURES_SQL}, {RECODED_SQL}
+    SELECT label, {", ".join(FEATURE_COLUMNS)} FROM recoded
+    WHERE {" AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLUMNS)}""",
+)
+def feature_stages(spark, sf_dir):
+    """Explode, indices, labels and vectors as one saved-form pipeline."""
+    arrays = pixel_rows(spark, sf_dir).groupBy("vec_id").agg(
+        F.array_sort(F.collect_list(F.struct("pos", *PIXEL_BANDS))).alias("pixels")
+    )
+    patches = arrays.select(
+        F.struct(*[F.col(f"pixels.{b}").alias(b) for b in PIXEL_BANDS]).alias("pixel_arrays")
+    )
+    stages = [
+        PixelExploder(),
+        IndexBuilder(),
+        LabelRecoder(path=stored_dictionary(spark, sf_dir)),
+        FeatureAssembler(),
+    ]
+    vectors = models.fit(stages, patches).transform(patches)
+    return features.vector_elements(vectors, "features", FEATURE_COLUMNS, ["label"])
+
+
+def training_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature vectors of all pixels, written once so that training does not redo them."""
+    rows = indices.add_indices(pixel_rows(spark, sf_dir).drop("pos", "vec_id"))
+    recoded = labels.recode_labels(rows, nation_dictionary(spark, sf_dir))
+    ordered = recoded.select("split", *FEATURE_COLUMNS, "label")
+    return features.assemble(materialize(ordered, "training"), keep=["split"])
+
+
+@query("forest")
+def forest(spark, sf_dir):
+    vectors = training_vectors(spark, sf_dir)
+    model = models.fit([models.forest()], sampling.split_rows(vectors, "train"))
+    return models.accuracy_by(
+        models.predict(model, vectors, ["split", "label", "prediction"]), ["split"]
+    )
+
+
+@query("tuning")
+def tuning(spark, sf_dir):
+    vectors = training_vectors(spark, sf_dir)
+    classifier = models.forest()
+    search = models.tune_forest(
+        sampling.split_rows(vectors, "train"),
+        [],
+        classifier,
+        models.accuracy_evaluator(),
+        {"numTrees": [3, 6], "maxDepth": [4]},
+        folds=2,
+        parallelism=2,
+    )
+    return models.accuracy_by(
+        models.predict(search.bestModel, vectors, ["split", "label", "prediction"]), ["split"]
+    )
+
+
+# Rasters ------------------------------------------------------------------
+
+
+def _raster_of(band: str, values: np.ndarray) -> bytes:
+    if band in RADAR_BANDS:
+        data = values.astype(np.float32)
+    else:
+        data = np.floor(np.abs(values) * (100.0 if band == LABEL else 10000.0)).astype(np.uint16)
+    return rasters.write_tiff(data.reshape(3, 3), deflate=band in OPTICAL_BANDS)
+
+
+def band_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patches with each band as the bytes of a 3 x 3 single-band TIFF."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column("vec_id")]
+            for b in PIXEL_BANDS:
+                values = batch.column(b).flatten().to_numpy().reshape(-1, PATCH_PIXELS)
+                columns.append(pa.array([_raster_of(b, v) for v in values], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", *PIXEL_BANDS])
+
+    schema = "vec_id bigint, " + ", ".join(f"{b} binary" for b in PIXEL_BANDS)
+    return band_slices(spark, sf_dir, "vec_id").drop("split").mapInArrow(encode, schema)
+
+
+@query(
+    "raster_decode",
+    f"WITH {PIXELS_SQL} SELECT vec_id, pos, VH, VV, B, G, R, NIR, label FROM px",
+)
+def raster_decode(spark, sf_dir):
+    decoded = rasters.decode_patches(band_contents(spark, sf_dir), ["vec_id"], decoder=rasters.read_tiff)
+    return pixels.explode_pixels(decoded, keep=["vec_id"], position="pos")
+
+
+def write_band_files(contents: DataFrame, root: str) -> DataFrame:
+    """Write each band to ``<root>/<sensor>/<patch>/<patch>_<band>.tif`` in the tasks."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs as pafs
+
+        client, inner = pafs.FileSystem.from_uri(root)
+        for batch in batches:
+            for row in batch.to_pylist():
+                for b in PIXEL_BANDS:
+                    directory = f"{inner}/{files.sensor_of(b)}/{row['vec_id']}"
+                    client.create_dir(directory, recursive=True)
+                    name = f"{row['vec_id']}_{files.BAND_SUFFIX[b]}.tif"
+                    with client.open_output_stream(f"{directory}/{name}") as out:
+                        out.write(row[b])
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id")], names=["vec_id"])
+
+    return contents.mapInArrow(write, "vec_id bigint")
+
+
+@query(
+    "raster_files",
+    f"WITH {PIXELS_SQL} SELECT vec_id, VH, VV, B, G, R, NIR, label FROM px",
+)
+def raster_files(spark, sf_dir):
+    """Band files on storage, found by a recursive scan, gathered per patch and decoded."""
+    root = scratch_path(spark, "rasters")
+    write_band_files(band_contents(spark, sf_dir), root).agg(F.count("vec_id")).first()
+    stored = files.load_files(spark, root).select("path", "content")
+    gathered = rasters.gather_bands(files.band_files(stored), ["patch"], value="content")
+    decoded = rasters.decode_patches(gathered, ["patch"], decoder=rasters.read_tiff)
+    rows = pixels.explode_pixels(decoded, keep=["patch"])
+    return rows.select(F.col("patch").cast("bigint").alias("vec_id"), *PIXEL_BANDS)
+
+
