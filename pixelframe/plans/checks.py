@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,12 +84,16 @@ def band_slices(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     )
 
 
+COUNT_SCALE = dict.fromkeys(OPTICAL_BANDS, 10000.0) | {LABEL: 100.0}
+
+
+def as_count(value: Column, scale: float) -> Column:
+    """The integer that an optical or label raster would hold."""
+    return F.floor(F.abs(value) * F.lit(scale)).cast("bigint")
+
+
 def as_counts(df: DataFrame) -> DataFrame:
-    """Optical bands and label as the integers that rasters hold."""
-    scale = dict.fromkeys(OPTICAL_BANDS, 10000) | {LABEL: 100}
-    return df.withColumns(
-        {b: F.floor(F.abs(b) * F.lit(float(s))).cast("bigint") for b, s in scale.items()}
-    )
+    return df.withColumns({b: as_count(F.col(b), s) for b, s in COUNT_SCALE.items()})
 
 
 def pixel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -467,7 +471,7 @@ def struct_projection(spark, sf_dir):
     nested = arrays.select("vec_id", F.struct(*PIXEL_BANDS).alias("pixel_arrays"))
     flat = pixels.flatten_struct(nested, "pixel_arrays", ["VV", "NIR"], keep=["vec_id"])
     rows = pixels.explode_pixels(flat, ["VV", "NIR"], keep=["vec_id"], position="pos")
-    return rows.withColumn("NIR", F.floor(F.abs("NIR") * F.lit(10000.0)).cast("bigint"))
+    return rows.withColumn("NIR", as_count(F.col("NIR"), COUNT_SCALE["NIR"]))
 
 
 def uneven_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -954,16 +958,17 @@ def stored_dictionary(spark: SparkSession, sf_dir: str) -> str:
 @query(
     "feature_stages",
     f"""WITH {PIXELS_SQL}, {FEATURES_SQL}, {RECODED_SQL}
-    SELECT label, {", ".join(FEATURE_COLUMNS)} FROM recoded
+    SELECT label, {", ".join(f"{c}::DOUBLE AS {c}" for c in FEATURE_COLUMNS)} FROM recoded
     WHERE {" AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLUMNS)}""",
 )
 def feature_stages(spark, sf_dir):
     """Explode, indices, labels and vectors as one saved-form pipeline."""
-    arrays = pixel_rows(spark, sf_dir).groupBy("vec_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", *PIXEL_BANDS))).alias("pixels")
-    )
-    patches = arrays.select(
-        F.struct(*[F.col(f"pixels.{b}").alias(b) for b in PIXEL_BANDS]).alias("pixel_arrays")
+    bands = [
+        F.transform(b, lambda v: as_count(v, COUNT_SCALE[b])) if b in COUNT_SCALE else F.col(b)
+        for b in PIXEL_BANDS
+    ]
+    patches = band_slices(spark, sf_dir).select(
+        F.struct(*[c.alias(b) for b, c in zip(PIXEL_BANDS, bands)]).alias("pixel_arrays")
     )
     stages = [
         PixelExploder(),
@@ -1017,7 +1022,7 @@ def _raster_of(band: str, values: np.ndarray) -> bytes:
     if band in RADAR_BANDS:
         data = values.astype(np.float32)
     else:
-        data = np.floor(np.abs(values) * (100.0 if band == LABEL else 10000.0)).astype(np.uint16)
+        data = np.floor(np.abs(values) * COUNT_SCALE[band]).astype(np.uint16)
     return rasters.write_tiff(data.reshape(3, 3), deflate=band in OPTICAL_BANDS)
 
 

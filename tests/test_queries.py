@@ -11,6 +11,8 @@ from __spark_entry__ import entry, oracle_sql, queries
 SF_DIR = "/root/testdata/sf0.01"
 TABLES = [p.stem for p in Path(SF_DIR).glob("*.parquet")]
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -41,7 +43,10 @@ def test_query(name, spark, duck):
         return
     result = duck.sql(f'SELECT {", ".join(chr(34) + c + chr(34) for c in columns)} FROM ({sql})')
     expected = sorted(result.fetchall(), key=_key)
-    assert sorted(duck.sql(sql).columns) == columns
+    relation = duck.sql(sql)
+    assert sorted(relation.columns) == columns
+    types = {c: str(t) for c, t in zip(relation.columns, relation.types)}
+    assert {c: SQL_TYPES[t] for c, t in df.dtypes} == types
     assert len(rows) == len(expected)
     for got, want in zip(rows, expected):
         assert all(_same(g, w) for g, w in zip(got, want)), (got, want)
