@@ -22,7 +22,7 @@ def _c(x: ColumnOrName) -> Column:
 
 def _extract_or_null(c: Column, pattern: str, group: int = 1) -> Column:
     # regexp_extract gives '' without a match, which would read as a real id.
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
+    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
 
 
 def optical_scene(patch_id: ColumnOrName) -> Column:
@@ -52,6 +52,12 @@ def file_stem(path: ColumnOrName) -> Column:
     return F.substring_index(name, ".", 1)
 
 
+def directory_of(path: ColumnOrName) -> Column:
+    """Path up to and with its last slash."""
+    c = _c(path)
+    return F.left(c, F.length(c) - F.length(F.substring_index(c, "/", -1)))
+
+
 def parent_directory(path: ColumnOrName) -> Column:
     """Name of the directory that holds the file."""
     return F.substring_index(F.substring_index(_c(path), "/", -2), "/", 1)
@@ -62,6 +68,11 @@ def is_optical_pixel_file(path: ColumnOrName) -> Column:
     return _c(path).rlike(OPTICAL_FILE_PATTERN)
 
 
+def is_pixel_file(path: ColumnOrName) -> Column:
+    """True for the file of any band that pixels are made of."""
+    return _c(path).rlike(rf"_({'|'.join(BAND_SUFFIX.values())})\.tif$")
+
+
 def band_of_file(path: ColumnOrName) -> Column:
     """Band name by the file's suffix; NULL for files that hold no pixel band."""
     c = _c(path)

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pixelframe.functions.paths import directory_of
 from pixelframe.schemas import COMPLETE_FILES
 from pixelframe.sources.files import SENSOR_PATHS
 
@@ -68,8 +69,7 @@ def incomplete_patches(
 
 def count_by_directory(files: DataFrame, path: str = "path") -> DataFrame:
     """Files per directory of an inventory."""
-    directory = F.regexp_replace(path, "[^/]*$", "")
-    return files.groupBy(directory.alias("directory")).agg(
+    return files.groupBy(directory_of(path).alias("directory")).agg(
         F.count(F.lit(1)).cast("int").alias("files")
     )
 

@@ -16,10 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pixelframe.functions.paths import band_of_file, file_stem, parent_directory
+from pixelframe.functions.paths import (
+    band_of_file,
+    file_stem,
+    is_pixel_file,
+    parent_directory,
+)
 from pixelframe.schemas import (
     BAND_SUFFIX,
     LABEL,
+    OPTICAL_FILE_GLOB,
     PIXEL_BANDS,
     RADAR_BANDS,
     RASTER_SUFFIX,
@@ -62,6 +68,11 @@ def scan_files(
     )
 
 
+def scan_optical_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Files of the four optical bands; the glob drops the others while listing."""
+    return scan_files(spark, path, OPTICAL_FILE_GLOB)
+
+
 def list_stems(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """File names below ``path``, cut at their first dot."""
     return scan_files(spark, path, glob).select(file_stem("path").alias("stem"))
@@ -74,7 +85,7 @@ def with_file_keys(files: DataFrame, path: str = "path") -> DataFrame:
 
 def band_files(files: DataFrame, path: str = "path") -> DataFrame:
     """The files that pixels are made of, with their patch and band."""
-    return with_file_keys(files, path).where(F.col("band").isNotNull())
+    return with_file_keys(files.where(is_pixel_file(path)), path)
 
 
 def sensor_of(band: str) -> str:

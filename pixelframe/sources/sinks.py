@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from pixelframe.sources.rasters import ERROR
 
-REJECTED = "rejected"
+# Partition column of the pixel table, and its two values.
+STATE = "state"
+DECODED, REJECTED = "decoded", "rejected"
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -47,15 +49,17 @@ def write_pixels(pixels: DataFrame, path: str) -> None:
     Rows are not shuffled: the pixel job orders the far smaller patch table by
     split before it decodes, so each task meets one or two splits.
     """
-    rejected = pixels.withColumn(REJECTED, F.col(ERROR).isNotNull())
-    rejected.write.mode("overwrite").partitionBy(REJECTED, "split").parquet(path)
+    state = F.when(F.col(ERROR).isNull(), DECODED).otherwise(REJECTED)
+    pixels.withColumn(STATE, state).write.mode("overwrite").partitionBy(STATE, "split").parquet(path)
 
 
 def read_pixels(spark: SparkSession, path: str) -> DataFrame:
     """Pixel rows; the directory of rejects is pruned."""
-    return spark.read.parquet(path).where(~F.col(REJECTED)).drop(REJECTED, ERROR)
+    return spark.read.parquet(path).where(F.col(STATE) == DECODED).drop(STATE, ERROR)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """Patches that gave no pixels, with the reason."""
-    return spark.read.parquet(path).where(F.col(REJECTED)).select("patch_id", "split", ERROR)
+    return spark.read.parquet(path).where(F.col(STATE) == REJECTED).select(
+        "patch_id", "split", ERROR
+    )
