@@ -11,17 +11,22 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-NUMERIC_TYPES = ("int", "bigint", "double")
+from pixelframe.storage import materialize
+
+# The column types that count as numbers.
+NUMERIC_TYPES = ("int", "double")
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str] = ("label",)) -> list[str]:
     return [c for c in df.columns if c not in exclude]
 
 
-def columns_by_type(df: DataFrame, label: str) -> tuple[list[str], list[str]]:
+def columns_by_type(
+    df: DataFrame, label: str, numeric: Sequence[str] = NUMERIC_TYPES
+) -> tuple[list[str], list[str]]:
     """(categorical, numerical) columns by type; the label is in neither."""
     categorical = [c for c, t in df.dtypes if t == "string" and c != label]
-    numerical = [c for c, t in df.dtypes if t in NUMERIC_TYPES and c != label]
+    numerical = [c for c, t in df.dtypes if t in numeric and c != label]
     return categorical, numerical
 
 
@@ -96,16 +101,16 @@ def category_codes(df: DataFrame, column: str, output: str) -> DataFrame:
     values in earlier partitions plus the place within the own one.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
-    place = F.monotonically_increasing_id()
-    ordered = (
-        counts.orderBy(F.desc("__n"), column)
-        .select(column, place.alias("__id"))
-        .withColumns(
-            {
-                "__part": F.shiftright("__id", 33),
-                "__row": F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)),
-            }
-        )
+    ordered = counts.orderBy(F.desc("__n"), column)
+    # Stored, because sizes and places must come from one and the same sort: the
+    # bounds of its ranges are sampled and could differ if it ran twice.
+    stored = materialize(
+        ordered.select(column, F.monotonically_increasing_id().alias("__id")), "category-codes"
+    )
+    ordered = stored.select(
+        column,
+        F.shiftright("__id", 33).alias("__part"),
+        F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)).alias("__row"),
     )
     # One row per partition of the sort: bounded by the number of partitions.
     sizes = ordered.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
@@ -113,7 +118,7 @@ def category_codes(df: DataFrame, column: str, output: str) -> DataFrame:
     offsets = sizes.select(
         "__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before")
     )
-    return ordered.join(offsets, "__part").select(
+    return ordered.join(F.broadcast(offsets), "__part").select(
         column, (F.col("__before") + F.col("__row")).cast("double").alias(output)
     )
 

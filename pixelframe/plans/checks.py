@@ -32,6 +32,7 @@ from pixelframe.operators.stages import (
     IndexBuilder,
     LabelRecoder,
     PixelExploder,
+    PixelExtractor,
 )
 from pixelframe.plans.jobs import regression_job
 from pixelframe.schemas import (
@@ -802,7 +803,6 @@ def vector_assembly(spark, sf_dir):
     "typed_columns",
     """SELECT 'c_name' AS "column", 'categorical' AS kind, count(c_name) AS non_null FROM customer
     UNION ALL SELECT 'c_mktsegment', 'categorical', count(c_mktsegment) FROM customer
-    UNION ALL SELECT 'c_custkey', 'numerical', count(c_custkey) FROM customer
     UNION ALL SELECT 'c_nationkey', 'numerical', count(c_nationkey) FROM customer""",
 )
 def typed_columns(spark, sf_dir):
@@ -940,13 +940,25 @@ def accuracy(spark, sf_dir):
     return models.accuracy_by(predicted, ["split"]).withColumn("accuracy", F.round("accuracy", 6))
 
 
-@query("mixed_regression")
+@query(
+    "mixed_regression",
+    f"""WITH rows AS (
+      SELECT l_orderkey, l_linenumber, l_returnflag AS flag, l_quantity AS x, l_extendedprice AS y,
+        {HASH_SQL.format("l_orderkey")} < 0.8::DOUBLE AS train FROM lineitem),
+    means AS (SELECT flag, avg(x) AS mx, avg(y) AS my FROM rows WHERE train GROUP BY flag),
+    line AS (SELECT sum((x - mx) * (y - my)) / sum((x - mx) * (x - mx)) AS slope
+      FROM rows JOIN means USING (flag) WHERE train)
+    SELECT l_orderkey, l_linenumber, round(my + slope * (x - mx), 3) AS prediction
+    FROM rows JOIN means USING (flag), line WHERE NOT train""",
+)
 def mixed_regression(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderstatus", "o_orderpriority", "o_custkey", "o_totalprice"
+    """One category and one number: least squares has a closed form to compare with."""
+    keys = ["l_orderkey", "l_linenumber"]
+    rows = table(spark, sf_dir, "lineitem").select(
+        *keys, "l_returnflag", "l_quantity", "l_extendedprice"
     )
-    result = regression_job(orders, "o_totalprice")
-    return result.predictions.select("o_totalprice", "prediction")
+    result = regression_job(rows, "l_extendedprice", keys=keys, tol=1e-12, maxIter=1000)
+    return result.predictions.select(*keys, F.round("prediction", 3).alias("prediction"))
 
 
 def stored_dictionary(spark: SparkSession, sf_dir: str) -> str:
@@ -1085,3 +1097,54 @@ def raster_files(spark, sf_dir):
     return rows.select(F.col("patch").cast("bigint").alias("vec_id"), *PIXEL_BANDS)
 
 
+def stored_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Band files of every patch on storage, and the catalogue that points to them."""
+    root = scratch_path(spark, "rasters")
+    write_band_files(band_contents(spark, sf_dir), root).agg(F.count("vec_id")).first()
+    name = F.col("vec_id").cast("string")
+    return table(spark, sf_dir, "embeddings").select(
+        name.alias("patch_id"),
+        name.alias("s1_name"),
+        F.expr(SPLIT_SQL).alias("split"),
+        *[
+            F.concat(F.lit(f"{root}/{sensor}/"), name, F.lit("/")).alias(path)
+            for sensor, path in files.SENSOR_PATHS.items()
+        ],
+    )
+
+
+@query(
+    "raster_stages",
+    f"""WITH {PIXELS_SQL}
+    SELECT vec_id::VARCHAR AS patch_id, split, VV, VH, B, G, R, NIR, label FROM px""",
+)
+def raster_stages(spark, sf_dir):
+    """Catalogue rows to pixel rows: directories listed and rasters read in the tasks."""
+    rows = stored_catalog(spark, sf_dir)
+    tasks = spark.sparkContext.defaultParallelism
+    stages = [PixelExtractor(find="list", tasks=tasks), PixelExploder(keep=["patch_id", "split"])]
+    return models.fit(stages, rows).transform(rows)
+
+
+@query(
+    "raster_names",
+    f"""WITH {PIXELS_SQL}
+    SELECT vec_id::VARCHAR AS patch_id, VH, VV, B, G, R, NIR, label FROM px""",
+)
+def raster_names(spark, sf_dir):
+    """Catalogue rows to pixel rows, with paths built from the naming rule."""
+    rows = stored_catalog(spark, sf_dir)
+    paths_by_band = files.band_paths_by_name(rows, ["patch_id"])
+    spread = paths_by_band.repartition(spark.sparkContext.defaultParallelism)
+    return pixels.explode_pixels(rasters.decode_patches(spread, ["patch_id"]), keep=["patch_id"])
+
+
+@query(
+    "listed_audit",
+    """SELECT vec_id::VARCHAR AS patch_id, 4::INTEGER AS ns2bands, 2::INTEGER AS ns1bands,
+      1::INTEGER AS nlabelbands FROM embeddings""",
+)
+def listed_audit(spark, sf_dir):
+    """Every stored patch lacks the eight optical bands that pixels do not need."""
+    counted = files.count_listed_files(stored_catalog(spark, sf_dir), audit.COUNT_COLUMNS)
+    return counted.where(audit.is_incomplete()).select("patch_id", *audit.COUNT_COLUMNS.values())

@@ -34,6 +34,7 @@ from pixelframe.operators.pixels import explode_pixels
 from pixelframe.operators.sampling import (
     SEED,
     first_rows,
+    hash_split,
     random_split,
     sample_by_split,
     split_fractions,
@@ -183,17 +184,24 @@ def regression_job(
     label: str,
     weights: Sequence[float] = (0.8, 0.2),
     seed: int = SEED,
+    keys: Sequence[str] = (),
     max_categories: int = 100_000,
+    **regression_params,
 ) -> RegressionResult:
     """Linear regression on a table of strings and numbers, scored on held-out rows.
 
-    Text columns become one-hot categories and numbers are scaled; the label is
-    never a feature.
+    Text columns become one-hot categories and numbers are scaled; the label and
+    ``keys`` are never features. With ``keys`` the rows are held out by a hash of
+    the first one, which no partitioning changes; else at random by ``seed``.
     """
-    categorical, numerical = columns_by_type(df, label)
+    categorical, numerical = columns_by_type(df.drop(*keys), label)
     check_categories(df, categorical, max_categories)
-    train, test = random_split(df, weights, seed)
+    if keys:
+        parts = hash_split(df, keys[0], dict(zip(("train", "test"), weights)), "__part")
+        train, test = (split_rows(parts, p, "__part").drop("__part") for p in ("train", "test"))
+    else:
+        train, test = random_split(df, weights, seed)
     stages = mixed_feature_stages(categorical, numerical)
-    model = fit([*stages, linear_regression(label)], train)
+    model = fit([*stages, linear_regression(label, **regression_params)], train)
     predictions = model.transform(test)
     return RegressionResult(model, predictions, predictions.agg(rmse_of(label)).first()[0])

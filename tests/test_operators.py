@@ -189,7 +189,9 @@ def test_column_summary_counts_nulls_and_odd_names(spark):
 
 def test_columns_by_type_leaves_the_label_out(spark):
     df = spark.createDataFrame([("x", 1, 2, 3.0, 4.0)], "s string, i int, l bigint, d double, CO2 double")
-    assert features.columns_by_type(df, "CO2") == (["s"], ["i", "l", "d"])
+    assert features.columns_by_type(df, "CO2") == (["s"], ["i", "d"])
+    wider = features.columns_by_type(df, "CO2", ("int", "bigint", "double"))
+    assert wider == (["s"], ["i", "l", "d"])
 
 
 def test_incomplete_rows_are_dropped_alike(spark):
