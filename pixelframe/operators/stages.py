@@ -13,7 +13,7 @@ from pixelframe.functions.indices import add_indices
 from pixelframe.operators.features import assemble
 from pixelframe.operators.labels import recode_labels
 from pixelframe.operators.pixels import explode_pixels, flatten_struct
-from pixelframe.schemas import LABEL, OPTICAL_BANDS, PIXEL_BANDS
+from pixelframe.schemas import LABEL, PIXEL_BANDS, PIXEL_ORDER
 from pixelframe.sources.files import band_paths_by_listing, band_paths_by_name
 from pixelframe.sources.rasters import ERROR, decode_patches
 from pixelframe.sources.tables import read_label_dictionary
@@ -74,9 +74,8 @@ class PixelExploder(_Stage):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         keep = self.getOrDefault("keep")
-        order = ["VV", "VH", *OPTICAL_BANDS, LABEL]
         arrays = flatten_struct(df, "pixel_arrays", PIXEL_BANDS, keep)
-        return explode_pixels(arrays, keep=keep).select(*keep, *order)
+        return explode_pixels(arrays, keep=keep).select(*keep, *PIXEL_ORDER)
 
 
 class IndexBuilder(_Stage):

@@ -44,6 +44,7 @@ from pixelframe.schemas import (
     RADAR_BANDS,
 )
 from pixelframe.sources import files, rasters, sinks, tables
+from pixelframe.sources.remote import TaskStorage
 from pixelframe.storage import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1066,17 +1067,12 @@ def write_band_files(contents: DataFrame, root: str) -> DataFrame:
     """Write each band to ``<root>/<sensor>/<patch>/<patch>_<band>.tif`` in the tasks."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.fs as pafs
-
-        client, inner = pafs.FileSystem.from_uri(root)
+        storage = TaskStorage()
         for batch in batches:
             for row in batch.to_pylist():
                 for b in PIXEL_BANDS:
-                    directory = f"{inner}/{files.sensor_of(b)}/{row['vec_id']}"
-                    client.create_dir(directory, recursive=True)
                     name = f"{row['vec_id']}_{files.BAND_SUFFIX[b]}.tif"
-                    with client.open_output_stream(f"{directory}/{name}") as out:
-                        out.write(row[b])
+                    storage.write(f"{root}/{files.sensor_of(b)}/{row['vec_id']}/{name}", row[b])
             yield pa.RecordBatch.from_arrays([batch.column("vec_id")], names=["vec_id"])
 
     return contents.mapInArrow(write, "vec_id bigint")

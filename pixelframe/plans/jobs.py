@@ -16,7 +16,7 @@ from pixelframe.operators.audit import (
     is_incomplete,
     with_directory_counts,
 )
-from pixelframe.operators.catalog import build_catalog
+from pixelframe.operators.catalog import build_catalog, slim_catalog
 from pixelframe.operators.features import (
     check_categories,
     columns_by_type,
@@ -49,18 +49,23 @@ from pixelframe.operators.stages import (
 from pixelframe.schemas import (
     AUDIT_COLUMNS,
     COMPLETE_FILES,
-    LABEL,
-    OPTICAL_BANDS,
     PIXEL_JOB_COLUMNS,
+    PIXEL_ORDER,
 )
 from pixelframe.sources.files import count_listed_files
 from pixelframe.sources.rasters import ERROR, Decoder, decode_patches
-from pixelframe.sources.sinks import read_pixels, write_audit, write_catalog, write_pixels
-from pixelframe.sources.tables import read_table
+from pixelframe.sources.sinks import (
+    read_pixels,
+    write_audit,
+    write_catalog,
+    write_pixels,
+    write_slim_catalog,
+)
+from pixelframe.sources.tables import read_metadata, read_table
 from pixelframe.storage import materialize
 
 KEYS = ["patch_id", "split"]
-PIXEL_ORDER = ["VV", "VH", *OPTICAL_BANDS, LABEL]
+ROW = "__row"
 MAX_TASKS = 100_000
 
 
@@ -75,10 +80,27 @@ def catalog_job(
     write_catalog(build_catalog(read_table(spark, metadata), root, folders), output)
 
 
+def slim_catalog_job(spark: SparkSession, catalog: str, output: str, scheme: str = "s3://") -> None:
+    """Catalogue to patch id, split and path bundle, as preprocessing reads them."""
+    write_slim_catalog(slim_catalog(read_metadata(spark, catalog), scheme), output)
+
+
 def task_count(rows: int, rows_per_task: int) -> int:
     return max(1, min(MAX_TASKS, ceil(rows / rows_per_task)))
 
 
+def in_even_ranges(catalog: DataFrame, patches_per_task: int) -> DataFrame:
+    """Catalogue in even ranges of split and patch, one per decode task.
+
+    A row number spreads copies of one patch over several ranges. It is stored,
+    so that a recomputed task sees the same numbers.
+    """
+    numbered = catalog.withColumn(ROW, F.monotonically_increasing_id())
+    stored = materialize(numbered, "sampled-catalog")
+    tasks = task_count(stored.count(), patches_per_task)
+    return stored.repartitionByRange(tasks, "split", "patch_id", ROW)
+
+
 def audit_job(
     spark: SparkSession,
     catalog: str,
@@ -128,13 +150,7 @@ def pixel_job(
     sampled = read_table(spark, catalog, PIXEL_JOB_COLUMNS)
     if fraction < 1.0:
         sampled = sample_by_split(sampled, split_fractions(fraction), seed=seed)
-    # The row number spreads copies of one patch over several ranges. It is
-    # stored, so that a recomputed task sees the same numbers.
-    sampled = materialize(
-        sampled.withColumn("__row", F.monotonically_increasing_id()), "sampled-catalog"
-    )
-    tasks = task_count(sampled.count(), patches_per_task)
-    ordered = sampled.repartitionByRange(tasks, "split", "patch_id", "__row")
+    ordered = in_even_ranges(sampled, patches_per_task)
     arrays = decode_patches(BAND_PATHS[find](ordered, KEYS), KEYS, decoder=decoder)
     pixels = explode_pixels(arrays, keep=[*KEYS, ERROR], outer=True)
     write_pixels(pixels.select(*PIXEL_ORDER, *KEYS, ERROR), output)

@@ -49,7 +49,6 @@ CATALOG = T.StructType(
 )
 
 # Narrow reads of the catalogue.
-TRAINING_COLUMNS = T.StructType(_strings("split", "s1_path", "s2_path", "label_path"))
 AUDIT_COLUMNS = T.StructType(_strings("patch_id", "s1_path", "s2_path", "label_path"))
 PIXEL_JOB_COLUMNS = T.StructType(
     _strings("patch_id", "s1_name", "split", "s1_path", "s2_path", "label_path")
@@ -57,24 +56,16 @@ PIXEL_JOB_COLUMNS = T.StructType(
 
 LABEL_DICTIONARY_CSV = T.StructType(_strings("ID", "ID_NEW", "DESC"))
 
-RASTER_FILE = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
-
-
 def band_type(band: str) -> T.DataType:
     return T.DoubleType() if band in RADAR_BANDS else T.LongType()
 
 
 PATCH_ARRAYS = T.StructType([T.StructField(b, T.ArrayType(band_type(b))) for b in PIXEL_BANDS])
 
+# Radar, optical and label columns of a pixel, in the order that models see them.
+PIXEL_ORDER = ("VV", "VH") + OPTICAL_BANDS + (LABEL,)
 PIXEL = T.StructType(
-    [T.StructField(b, band_type(b)) for b in PIXEL_BANDS] + _strings("patch_id", "split")
+    [T.StructField(b, band_type(b)) for b in PIXEL_ORDER] + _strings("patch_id", "split")
 )
 
 INDEX_COLUMNS = ("NDVI", "EVI", "NDWI", "BVI", "RRadio", "RDiff", "RSum", "RVI")

@@ -1,4 +1,4 @@
-"""Listing and reading files from inside a task."""
+"""Listing, reading and writing files from inside a task."""
 
 from __future__ import annotations
 
@@ -41,3 +41,10 @@ class TaskStorage:
                 return stream.read()
         except FileNotFoundError:
             return None
+
+    def write(self, path: str, content: bytes) -> None:
+        """Write a file, replacing what an earlier attempt of the task left."""
+        client, _, inner = self._resolve(path)
+        client.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+        with client.open_output_stream(inner) as stream:
+            stream.write(content)

@@ -19,7 +19,7 @@ from pixelframe.operators.stages import (
     PixelExtractor,
 )
 from pixelframe.plans import jobs
-from pixelframe.schemas import CATALOG, FEATURE_COLUMNS, PIXEL_BANDS
+from pixelframe.schemas import CATALOG, FEATURE_COLUMNS, PIXEL, PIXEL_BANDS
 from pixelframe.sources import files, rasters, sinks, tables
 
 N = 8
@@ -142,6 +142,18 @@ def test_catalog(spark, catalog_path, store):
     assert first.s1_path == f"file://{store}/S1/S1B_IW_GRDH_0/{ids(0)[1]}/"
 
 
+def test_slim_catalog(spark, tmp_path):
+    paths = [f"s3://store/{sensor}/p/" for sensor in ("s1", "s2", "label")]
+    row = ("p", None, "train", None, "r", None, None, None, "p", "r", *paths)
+    spark.createDataFrame([row], CATALOG).write.parquet(str(tmp_path / "catalog"))
+    jobs.slim_catalog_job(spark, str(tmp_path / "catalog"), str(tmp_path / "slim"))
+    assert spark.read.parquet(str(tmp_path / "slim")).first().asDict() == {
+        "patch_id": "p",
+        "split": "train",
+        "patch_path_array": ["store/s1/p/", "store/s2/p/", "store/label/p/", "p"],
+    }
+
+
 @pytest.fixture(scope="module")
 def damaged(spark, tmp_path_factory):
     """A store where patch 1 lacks a band, patch 2 its radar folder, patch 3 is catalogued twice."""
@@ -180,6 +192,7 @@ def test_audit_of_first_patches(spark, damaged, tmp_path):
 def test_pixel_job(spark, catalog_path, tmp_path, find):
     jobs.pixel_job(spark, catalog_path, str(tmp_path / "pixels"), find=find, patches_per_task=3)
     pixels = sinks.read_pixels(spark, str(tmp_path / "pixels"))
+    assert [(f.name, f.dataType) for f in pixels.schema] == [(f.name, f.dataType) for f in PIXEL]
     assert stored_pixels(pixels) == expected_pixels()
     assert sinks.read_rejects(spark, str(tmp_path / "pixels")).count() == 0
     assert pixels.where("split = 'train'").count() == N // 2 * SIDE * SIDE

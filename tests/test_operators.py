@@ -187,6 +187,18 @@ def test_column_summary_counts_nulls_and_odd_names(spark):
 # Features and models
 
 
+def test_assembled_vectors_equal_the_assembler(spark):
+    df = spark.createDataFrame(
+        [(1, 0.0, 3), (2, 2.5, None), (3, math.inf, 0), (4, 0.0, 0)], "label bigint, x double, y bigint"
+    )
+    ours = features.assemble(df)
+    theirs = features.assembler(["x", "y"]).transform(df).select("features", "label")
+    assert ours.schema["features"].metadata == theirs.schema["features"].metadata
+    assert [(r.label, r.features.toArray().tolist()) for r in ours.collect()] == [
+        (r.label, r.features.toArray().tolist()) for r in theirs.collect()
+    ]
+
+
 def test_columns_by_type_leaves_the_label_out(spark):
     df = spark.createDataFrame([("x", 1, 2, 3.0, 4.0)], "s string, i int, l bigint, d double, CO2 double")
     assert features.columns_by_type(df, "CO2") == (["s"], ["i", "d"])

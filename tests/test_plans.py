@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from pixelframe.operators import audit, labels, pixels, profile, sampling
 from pixelframe.plans import checks
-from pixelframe.sources import files, sinks, tables
+from pixelframe.plans.jobs import in_even_ranges
+from pixelframe.sources import files, rasters, sinks, tables
 from pixelframe.storage import CHECKPOINT_DIR, materialize, shared_dir
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -142,3 +143,36 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     df = materialize(spark.range(3).toDF("x"), "probe")
     assert df.inputFiles()[0].removeprefix("file://").startswith(shared_dir(spark))
     assert sorted(r.x for r in df.collect()) == [0, 1, 2]
+
+
+def test_copies_of_one_patch_are_spread_over_decode_tasks(spark):
+    copies = F.when(F.col("id") % 2 == 0, "p").otherwise(F.col("id").cast("string"))
+    catalog = spark.range(4000).select(copies.alias("patch_id"), F.lit("train").alias("split"))
+    ranges = in_even_ranges(catalog, 250)
+    assert "REPARTITION_BY_NUM" in plan(ranges)
+    report = sampling.partition_report(ranges).first()
+    assert report.rows == 4000 and report.partitions > 12 and report.max_rows < 2 * 250
+
+
+def test_a_dominant_value_is_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(300_000).select(
+        F.hex(F.xxhash64("id")).alias("payload"),
+        F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("split"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500KB")
+    try:
+        sinks.write_table(rows, str(tmp_path / "t"), ["split"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "t" / "split=a").glob("*.parquet"))) > 4
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 300_000
+
+
+def test_decoding_and_exploding_share_a_stage(spark):
+    """From the catalogue's shuffle on, nothing is exchanged again."""
+    contents = checks.band_contents(spark, SF_DIR)
+    decoded = rasters.decode_patches(contents, ["vec_id"])
+    text = plan(pixels.explode_pixels(decoded, keep=["vec_id", "error"], outer=True))
+    assert "Exchange" not in text
+    generate = next(line for line in text.splitlines() if "Generate posexplode" in line)
+    assert "*(" in generate.split("Generate")[0]
