@@ -58,6 +58,11 @@ def directory_of(path: ColumnOrName) -> Column:
     return F.left(c, F.length(c) - F.length(F.substring_index(c, "/", -1)))
 
 
+def location(path: ColumnOrName) -> Column:
+    """Path without scheme and outer slashes, so that file:/x/ and file:///x agree."""
+    return F.rtrim(F.regexp_replace(_c(path), "^([A-Za-z][A-Za-z0-9+.-]*:)?/*", ""), F.lit("/"))
+
+
 def parent_directory(path: ColumnOrName) -> Column:
     """Name of the directory that holds the file."""
     return F.substring_index(F.substring_index(_c(path), "/", -2), "/", 1)

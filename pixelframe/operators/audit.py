@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pixelframe.functions.paths import directory_of
+from pixelframe.functions.paths import directory_of, location
 from pixelframe.schemas import COMPLETE_FILES
 from pixelframe.sources.files import SENSOR_PATHS
 
@@ -68,10 +68,11 @@ def incomplete_patches(
 
 
 def count_by_directory(files: DataFrame, path: str = "path") -> DataFrame:
-    """Files per directory of an inventory."""
-    return files.groupBy(directory_of(path).alias("directory")).agg(
+    """Files per directory of an inventory; a location as ``with_directory_counts`` expects."""
+    counts = files.groupBy(directory_of(path).alias("directory")).agg(
         F.count(F.lit(1)).cast("int").alias("files")
     )
+    return counts.withColumn("directory", location("directory"))
 
 
 def with_directory_counts(
@@ -82,6 +83,9 @@ def with_directory_counts(
 ) -> DataFrame:
     """Catalogue rows with the number of files in each of their directories."""
     for sensor, path in paths.items():
-        found = counts.select(F.col("directory").alias(path), F.col("files").alias(columns[sensor]))
-        catalog = catalog.join(found, path, "left")
+        found = counts.select(
+            F.col("directory").alias("__directory"), F.col("files").alias(columns[sensor])
+        )
+        at = location(path) == F.col("__directory")
+        catalog = catalog.join(found, at, "left").drop("__directory")
     return catalog.withColumns({c: F.coalesce(c, F.lit(0)) for c in columns.values()})

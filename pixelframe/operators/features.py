@@ -160,7 +160,9 @@ def mixed_feature_stages(
     return stages
 
 
-def vector_elements(df: DataFrame, vector: str, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def vector_elements(
+    df: DataFrame, vector: str, names: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
     """Vector elements as scalar columns."""
     elements = df.select(*keep, vector_to_array(vector).alias("__v"))
     return elements.select(*keep, *[F.get("__v", F.lit(i)).alias(n) for i, n in enumerate(names)])

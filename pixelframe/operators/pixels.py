@@ -17,7 +17,9 @@ def explode_paths(
     return df.select(*keep, F.explode(bundle).alias(output))
 
 
-def flatten_struct(df: DataFrame, struct: str, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def flatten_struct(
+    df: DataFrame, struct: str, fields: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
     """Struct fields as top-level columns; only the named fields are read."""
     return df.select(*keep, *[F.col(f"{struct}.{f}").alias(f) for f in fields])
 
@@ -65,7 +67,11 @@ def explode_pixels(
 
 
 def explode_positions(
-    df: DataFrame, array: str, keep: Sequence[str] = (), position: str = "pos", value: str | None = None
+    df: DataFrame,
+    array: str,
+    keep: Sequence[str] = (),
+    position: str = "pos",
+    value: str | None = None,
 ) -> DataFrame:
     """One row per array element with its position."""
     return df.select(*keep, F.posexplode(array).alias(position, value or array))

@@ -159,7 +159,8 @@ def scan_footer_schema(spark, sf_dir):
 
 @query(
     "metadata_ingest",
-    "SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, o_custkey::DOUBLE AS o_custkey FROM orders",
+    """SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, o_custkey::DOUBLE AS o_custkey
+    FROM orders""",
 )
 def metadata_ingest(spark, sf_dir):
     declared = T.StructType(
@@ -228,8 +229,8 @@ def sink_roundtrip(spark, sf_dir):
 )
 def pixel_sink(spark, sf_dir):
     path = scratch_path(spark, "pixels")
-    rows = pixel_rows(spark, sf_dir).drop("pos").withColumn(rasters.ERROR, F.lit(None).cast("string"))
-    sinks.write_pixels(rows, path)
+    rows = pixel_rows(spark, sf_dir).drop("pos")
+    sinks.write_pixels(rows.withColumn(rasters.ERROR, F.lit(None).cast("string")), path)
     return sampling.split_rows(sinks.read_pixels(spark, path), "train").drop("split")
 
 
@@ -600,8 +601,8 @@ ORDER_HASH_SQL = HASH_SQL.format("o_orderkey")
 
 @query(
     "hash_split",
-    f"""SELECT o_orderkey, CASE WHEN {ORDER_HASH_SQL} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part
-    FROM orders""",
+    f"""SELECT o_orderkey,
+      CASE WHEN {ORDER_HASH_SQL} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part FROM orders""",
 )
 def hash_split(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
@@ -614,7 +615,8 @@ STATUS_FRACTIONS = {"F": 0.5, "O": 0.25, "P": 0.1}
 @query(
     "hash_stratified_sample",
     f"""SELECT o_orderkey, o_orderstatus FROM orders WHERE {ORDER_HASH_SQL} <
-      CASE o_orderstatus WHEN 'F' THEN 0.5 WHEN 'O' THEN 0.25 WHEN 'P' THEN 0.1 ELSE 0 END::DOUBLE""",
+      CASE o_orderstatus WHEN 'F' THEN 0.5 WHEN 'O' THEN 0.25 WHEN 'P' THEN 0.1 ELSE 0
+      END::DOUBLE""",
 )
 def hash_stratified_sample(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
@@ -828,14 +830,17 @@ def string_index(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     features.check_categories(orders, ["o_orderpriority"], 100_000)
     indexed = features.category_indexer(["o_orderpriority"]).fit(orders).transform(orders)
-    return indexed.select("o_orderkey", "o_orderpriority", F.col("o_orderpriority_index").alias("idx"))
+    return indexed.select(
+        "o_orderkey", "o_orderpriority", F.col("o_orderpriority_index").alias("idx")
+    )
 
 
 @query(
     "category_codes",
     """SELECT c_custkey, o_totalprice, idx FROM (
-      SELECT o_custkey AS c_custkey, (row_number() OVER (ORDER BY count(*) DESC, o_custkey) - 1)::DOUBLE
-        AS idx FROM orders GROUP BY o_custkey) JOIN orders ON c_custkey = o_custkey""",
+      SELECT o_custkey AS c_custkey,
+        (row_number() OVER (ORDER BY count(*) DESC, o_custkey) - 1)::DOUBLE AS idx
+      FROM orders GROUP BY o_custkey) JOIN orders ON c_custkey = o_custkey""",
 )
 def category_codes(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
@@ -1059,7 +1064,8 @@ def band_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {PIXELS_SQL} SELECT vec_id, pos, VH, VV, B, G, R, NIR, label FROM px",
 )
 def raster_decode(spark, sf_dir):
-    decoded = rasters.decode_patches(band_contents(spark, sf_dir), ["vec_id"], decoder=rasters.read_tiff)
+    contents = band_contents(spark, sf_dir)
+    decoded = rasters.decode_patches(contents, ["vec_id"], decoder=rasters.read_tiff)
     return pixels.explode_pixels(decoded, keep=["vec_id"], position="pos")
 
 

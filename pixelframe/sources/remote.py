@@ -14,8 +14,8 @@ class TaskStorage:
         self._clients: dict[str, tuple[pafs.FileSystem, str]] = {}
 
     def _resolve(self, uri: str) -> tuple[pafs.FileSystem, str, str]:
-        # Spark prints local files as file:/x, the client expects file:///x.
-        uri = re.sub(r"^file:/+", "file:///", uri).rstrip("/")
+        # Spark says file:/x and s3a://, the client file:///x and s3://.
+        uri = re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:/+", "file:///", uri)).rstrip("/")
         host = re.match(r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/]*)?", uri).group(0)
         if host not in self._clients:
             client, inner = pafs.FileSystem.from_uri(uri)

@@ -50,7 +50,8 @@ def write_pixels(pixels: DataFrame, path: str) -> None:
     split before it decodes, so each task meets one or two splits.
     """
     state = F.when(F.col(ERROR).isNull(), DECODED).otherwise(REJECTED)
-    pixels.withColumn(STATE, state).write.mode("overwrite").partitionBy(STATE, "split").parquet(path)
+    stated = pixels.withColumn(STATE, state)
+    stated.write.mode("overwrite").partitionBy(STATE, "split").parquet(path)
 
 
 def read_pixels(spark: SparkSession, path: str) -> DataFrame:

@@ -97,3 +97,9 @@ def test_key_fraction_is_uniform_and_salted(spark):
         F.min("a").alias("lo"), F.max("a").alias("hi"), F.avg("a").alias("m"), F.corr("a", "b").alias("c")
     ).first()
     assert 0 <= low.lo and low.hi < 1 and abs(low.m - 0.5) < 0.01 and abs(low.c) < 0.05
+
+
+@pytest.mark.parametrize("path", ["file:/a/b/", "file:///a/b", "/a/b/", "s3a://a/b/", "a/b", "HDFS://a/b/"])
+def test_location_ignores_how_a_path_is_written(spark, path):
+    df = spark.createDataFrame([(path,)], "path string")
+    assert df.select(paths.location("path").alias("x")).first().x == "a/b"

@@ -172,10 +172,7 @@ def damaged(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("source", ["list", "inventory"])
 def test_audit(spark, damaged, tmp_path, source):
-    inventory = None
-    if source == "inventory":
-        scanned = files.scan_files(spark, str(damaged / "store"))
-        inventory = scanned.withColumn("path", F.regexp_replace("path", "^file:/+", "file:///"))
+    inventory = files.scan_files(spark, str(damaged / "store")) if source == "inventory" else None
     jobs.audit_job(spark, str(damaged / "catalog"), str(tmp_path / "audit"), inventory=inventory)
     rows = spark.read.parquet(str(tmp_path / "audit")).collect()
     counts = {r.patch_id: (r.ns2bands, r.ns1bands, r.nlabelbands) for r in rows}

@@ -1,6 +1,7 @@
 """Every registered query against its SQL twin in DuckDB."""
 
 import math
+import os
 from pathlib import Path
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = [p.stem for p in Path(SF_DIR).glob("*.parquet")]
 
 SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
