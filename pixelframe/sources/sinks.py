@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,25 @@ STATE = "state"
 DECODED, REJECTED = "decoded", "rejected"
 
 
+# Files a task may hold open at once before it sorts its rows by partition value.
+OPEN_WRITERS = 8
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession, writers: int = OPEN_WRITERS) -> Iterator[None]:
+    """Let partitioned writes keep several files open instead of sorting each task's rows.
+
+    A task that meets more partition values than that falls back to sorting.
+    """
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, max(writers, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite ``path`` with ``df``.
 
@@ -22,8 +42,9 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     """
     if partition_by:
         columns = [F.col(c) for c in partition_by]
-        df = df.hint("rebalance", *columns)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        writer = df.hint("rebalance", *columns).write.mode("overwrite")
+        with unsorted_writes(df.sparkSession):
+            writer.partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
 
@@ -51,7 +72,8 @@ def write_pixels(pixels: DataFrame, path: str) -> None:
     """
     state = F.when(F.col(ERROR).isNull(), DECODED).otherwise(REJECTED)
     stated = pixels.withColumn(STATE, state)
-    stated.write.mode("overwrite").partitionBy(STATE, "split").parquet(path)
+    with unsorted_writes(pixels.sparkSession):
+        stated.write.mode("overwrite").partitionBy(STATE, "split").parquet(path)
 
 
 def read_pixels(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pixelframe.operators import audit, labels, pixels, profile, sampling
 from pixelframe.plans import checks
+from pixelframe.plans.checks import raster_checks, standins
 from pixelframe.plans.jobs import in_even_ranges
 from pixelframe.sources import files, rasters, sinks, tables
 from pixelframe.storage import CHECKPOINT_DIR, materialize, shared_dir
@@ -22,12 +23,12 @@ def final_plan(df) -> str:
 
 
 def test_narrow_schema_prunes_the_scan(spark):
-    text = plan(checks.scan_pruned(spark, SF_DIR))
+    text = plan(checks.QUERIES["scan_pruned"](spark, SF_DIR))
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_totalprice:double>" in text
 
 
 def test_split_filter_prunes_directories(spark, tmp_path):
-    orders = checks.table(spark, SF_DIR, "orders")
+    orders = standins.table(spark, SF_DIR, "orders")
     sinks.write_table(orders, str(tmp_path / "o"), ["o_orderstatus"])
     stored = tables.read_table(spark, str(tmp_path / "o"))
     text = plan(sampling.split_rows(stored, "F", "o_orderstatus"))
@@ -35,7 +36,7 @@ def test_split_filter_prunes_directories(spark, tmp_path):
 
 
 def test_rejects_are_pruned(spark, tmp_path):
-    rows = checks.pixel_rows(spark, SF_DIR).withColumn("error", F.lit(None).cast("string"))
+    rows = standins.pixel_rows(spark, SF_DIR).withColumn("error", F.lit(None).cast("string"))
     sinks.write_pixels(rows, str(tmp_path / "p"))
     text = plan(sinks.read_pixels(spark, str(tmp_path / "p")).where("split = 'test'").select("NIR"))
     assert "isnotnull(state" in text and "ReadSchema: struct<NIR:bigint>" in text
@@ -48,14 +49,14 @@ def test_row_operators_are_narrow_and_stay_in_the_jvm(spark, name):
 
 
 def test_explode_reads_only_the_bands_it_needs(spark, tmp_path):
-    checks.band_slices(spark, SF_DIR, "vec_id").write.parquet(str(tmp_path / "a"))
+    standins.band_slices(spark, SF_DIR, "vec_id").write.parquet(str(tmp_path / "a"))
     arrays = spark.read.parquet(str(tmp_path / "a"))
     text = plan(pixels.explode_pixels(arrays, ["VV", "NIR"]))
     assert "ReadSchema: struct<VV:array<double>,NIR:array<double>>" in text
 
 
 def test_small_dictionary_is_broadcast(spark):
-    text = final_plan(checks.label_recode(spark, SF_DIR))
+    text = final_plan(checks.QUERIES["label_recode"](spark, SF_DIR))
     assert "BroadcastHashJoin" in text
 
 
@@ -64,7 +65,7 @@ def test_large_dictionary_is_not_broadcast(spark, tmp_path):
         F.col("id").cast("string").alias("ID"), F.col("id").cast("string").alias("ID_NEW")
     )
     dictionary.write.parquet(str(tmp_path / "d"))
-    rows = checks.table(spark, SF_DIR, "lineitem").withColumnRenamed("l_partkey", "label")
+    rows = standins.table(spark, SF_DIR, "lineitem").withColumnRenamed("l_partkey", "label")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100KB")
     try:
         text = plan(labels.recode_labels(rows, spark.read.parquet(str(tmp_path / "d"))))
@@ -74,7 +75,7 @@ def test_large_dictionary_is_not_broadcast(spark, tmp_path):
 
 
 def test_counts_are_aggregated_before_the_shuffle(spark):
-    found = checks.table(spark, SF_DIR, "lineitem").select(
+    found = standins.table(spark, SF_DIR, "lineitem").select(
         F.col("l_orderkey").alias("patch_id"), F.col("l_returnflag").alias("sensor")
     )
     text = plan(audit.count_files(found))
@@ -83,8 +84,8 @@ def test_counts_are_aggregated_before_the_shuffle(spark):
 
 def test_audit_join_starts_from_plain_shuffles(spark):
     """Both sides of the join are shuffles of scans, which adaptive execution can split."""
-    patches = checks.table(spark, SF_DIR, "orders").select(F.col("o_orderkey").alias("patch_id"))
-    found = checks.table(spark, SF_DIR, "lineitem").select(
+    patches = standins.table(spark, SF_DIR, "orders").select(F.col("o_orderkey").alias("patch_id"))
+    found = standins.table(spark, SF_DIR, "lineitem").select(
         F.col("l_orderkey").alias("patch_id"), F.lit("s2").alias("sensor")
     )
     counts = materialize(audit.count_files(found), "test-counts")
@@ -125,11 +126,11 @@ def test_skewed_catalogue_key_is_split(spark):
 
 
 def test_first_rows_keep_only_the_top_in_each_task(spark):
-    assert "TakeOrderedAndProject" in plan(checks.first_n(spark, SF_DIR))
+    assert "TakeOrderedAndProject" in plan(checks.QUERIES["first_n"](spark, SF_DIR))
 
 
 def test_share_counts_the_table_once(spark):
-    text = final_plan(profile.split_share(checks.table(spark, SF_DIR, "orders"), "o_orderstatus"))
+    text = final_plan(profile.split_share(standins.table(spark, SF_DIR, "orders"), "o_orderstatus"))
     assert "Window" not in text and "CartesianProduct" not in text
 
 
@@ -168,9 +169,20 @@ def test_a_dominant_value_is_written_by_many_tasks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 300_000
 
 
+def test_open_writers_are_set_for_the_write_only(spark, tmp_path):
+    rows = spark.range(100).select("id", (F.col("id") % 3).alias("split"))
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    with sinks.unsorted_writes(spark):
+        assert int(spark.conf.get(setting)) == sinks.OPEN_WRITERS
+        rows.write.partitionBy("split").parquet(str(tmp_path / "t"))
+    assert spark.conf.get(setting) == before
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 100
+
+
 def test_decoding_and_exploding_share_a_stage(spark):
     """From the catalogue's shuffle on, nothing is exchanged again."""
-    contents = checks.band_contents(spark, SF_DIR)
+    contents = raster_checks.band_contents(spark, SF_DIR)
     decoded = rasters.decode_patches(contents, ["vec_id"])
     text = plan(pixels.explode_pixels(decoded, keep=["vec_id", "error"], outer=True))
     assert "Exchange" not in text
