@@ -155,6 +155,26 @@ def forest(spark, sf_dir):
     )
 
 
+@query(
+    "forest_stump",
+    f"""WITH {PIXELS_SQL}, {FEATURES_SQL}, {RECODED_SQL},
+    complete AS (SELECT split, label FROM recoded
+      WHERE {" AND ".join(f"{c} IS NOT NULL" for c in FEATURE_COLUMNS)}),
+    majority AS (SELECT label AS guess FROM complete WHERE split = 'train'
+      GROUP BY label ORDER BY count(*) DESC, label LIMIT 1)
+    SELECT split, avg((label = guess)::INTEGER) AS accuracy, count(*) AS rows
+    FROM complete, majority GROUP BY split""",
+)
+def forest_stump(spark, sf_dir):
+    """One tree without splits guesses the most frequent class of the training pixels."""
+    vectors = training_vectors(spark, sf_dir)
+    classifier = models.forest(numTrees=1, maxDepth=0)
+    model = models.fit([classifier], sampling.split_rows(vectors, "train"))
+    return models.accuracy_by(
+        models.predict(model, vectors, ["split", "label", "prediction"]), ["split"]
+    )
+
+
 @query("tuning")
 def tuning(spark, sf_dir):
     vectors = training_vectors(spark, sf_dir)

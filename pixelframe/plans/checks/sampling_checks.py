@@ -61,6 +61,24 @@ def random_split(spark, sf_dir):
     return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
 
 
+@query(
+    "stratified_sample_ends",
+    "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'P')",
+)
+def stratified_sample_ends(spark, sf_dir):
+    """Fractions of one and zero: whole strata are kept and left out."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    fractions = {"F": 1.0, "O": 0.0, "P": 1.0}
+    return sampling.sample_by_split(orders, fractions, "o_orderstatus")
+
+
+@query("random_split_union", "SELECT o_orderkey FROM orders")
+def random_split_union(spark, sf_dir):
+    """Both parts together are the table: no row is lost or doubled."""
+    train, test = sampling.random_split(table(spark, sf_dir, "orders").select("o_orderkey"))
+    return train.union(test)
+
+
 @query(
     "first_n",
     "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10000",

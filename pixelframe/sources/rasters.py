@@ -32,6 +32,7 @@ _WIDTH, _HEIGHT, _BITS, _COMPRESSION = 256, 257, 258, 259
 _OFFSETS, _SAMPLES, _COUNTS, _PREDICTOR, _FORMAT = 273, 277, 279, 317, 339
 _TAG_TYPES = {1: "B", 3: "H", 4: "I"}
 _PIXEL_KINDS = {1: "u", 2: "i", 3: "f"}
+_PIXEL_TYPES = {(k, b) for k in "ui" for b in (8, 16, 32, 64)} | {("f", 32), ("f", 64)}
 
 
 def read_tiff(content: bytes) -> np.ndarray:
@@ -64,8 +65,13 @@ def read_tiff(content: bytes) -> np.ndarray:
         raise ValueError("unsupported TIFF layout: no strips")
     strips = [content[o : o + n] for o, n in zip(tags[_OFFSETS], tags[_COUNTS])]
     data = b"".join(s if compression == 1 else zlib.decompress(s) for s in strips)
-    dtype = np.dtype(f"{order}{_PIXEL_KINDS[one(_FORMAT, 1)]}{one(_BITS, 1) // 8}")
+    kind, bits = _PIXEL_KINDS.get(one(_FORMAT, 1)), one(_BITS, 1)
+    if (kind, bits) not in _PIXEL_TYPES:
+        raise ValueError(f"unsupported TIFF pixels: {kind}, {bits} bits")
+    dtype = np.dtype(f"{order}{kind}{bits // 8}")
     width, height = one(_WIDTH), one(_HEIGHT)
+    if width * height * dtype.itemsize > len(data):
+        raise ValueError("TIFF strips hold too few pixels")
     pixels = np.frombuffer(data, dtype, count=width * height).reshape(height, width)
     if predictor == 2:
         pixels = np.cumsum(pixels, axis=1, dtype=pixels.dtype)
@@ -99,13 +105,17 @@ def write_tiff(pixels: np.ndarray, deflate: bool = False) -> bytes:
 def default_decoder() -> Decoder:
     """rasterio where it is installed, else the plain TIFF reader."""
     try:
+        from rasterio.errors import RasterioError
         from rasterio.io import MemoryFile
     except ImportError:
         return read_tiff
 
     def read(content: bytes) -> np.ndarray:
-        with MemoryFile(content) as file, file.open() as source:
-            return source.read()
+        try:
+            with MemoryFile(content) as file, file.open() as source:
+                return source.read()
+        except RasterioError as problem:
+            raise ValueError(str(problem)) from problem
 
     return read
 

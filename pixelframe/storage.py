@@ -16,7 +16,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may go without the setting; it then gets a folder of
     its own. On a cluster a machine-local folder would lose data, so that raises.
     """
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

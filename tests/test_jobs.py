@@ -1,5 +1,8 @@
 """Jobs and stages on real raster files."""
 
+import struct
+import zlib
+
 import numpy as np
 import pytest
 from fixtures import SIDE, band_pixels, ids, metadata, write_store
@@ -77,6 +80,18 @@ def test_tiff_roundtrip(pixels, deflate):
     assert read.dtype == pixels.dtype and np.array_equal(read, pixels)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.data(), st.booleans())
+def test_damaged_tiff_raises_only_data_errors(data, deflate):
+    content = bytearray(rasters.write_tiff(np.arange(12, dtype=np.uint16).reshape(3, 4), deflate))
+    for _ in range(data.draw(st.integers(1, 4))):
+        content[data.draw(st.integers(0, len(content) - 1))] = data.draw(st.integers(0, 255))
+    try:
+        rasters.read_tiff(bytes(content[: data.draw(st.integers(0, len(content)))]))
+    except (ValueError, struct.error, zlib.error):
+        pass
+
+
 @pytest.mark.parametrize("content", [b"", b"unused", b"II*\0" + bytes(4), b"MM\0*" + bytes(8)])
 def test_bad_tiff_is_a_reject(spark, content):
     good = rasters.write_tiff(np.ones((2, 2), np.uint16))
