@@ -60,6 +60,16 @@ def random_split(
     return df.randomSplit(list(weights), seed)
 
 
+def _part_of(fraction: Column, weights: Mapping[str, float]) -> Column:
+    """Name of the part that a number in [0, 1) falls into."""
+    names, total = list(weights), float(sum(weights.values()))
+    bounds = list(accumulate(weights.values()))
+    part = F.lit(names[-1])
+    for name, bound in reversed(list(zip(names, bounds))[:-1]):
+        part = F.when(fraction < bound / total, F.lit(name)).otherwise(part)
+    return part
+
+
 def hash_split(
     df: DataFrame,
     key: str,
@@ -68,13 +78,14 @@ def hash_split(
     salt: str = "",
 ) -> DataFrame:
     """Name a part for each row by a hash of ``key``, in proportion to ``weights``."""
-    fraction = key_fraction(key, salt)
-    names, total = list(weights), float(sum(weights.values()))
-    bounds = list(accumulate(weights.values()))
-    part = F.lit(names[-1])
-    for name, bound in reversed(list(zip(names, bounds))[:-1]):
-        part = F.when(fraction < bound / total, F.lit(name)).otherwise(part)
-    return df.withColumn(output, part)
+    return df.withColumn(output, _part_of(key_fraction(key, salt), weights))
+
+
+def random_parts(
+    df: DataFrame, weights: Mapping[str, float], output: str = "part", seed: int = SEED
+) -> DataFrame:
+    """Name a random part for each row. Store the result: a changed row order changes it."""
+    return df.withColumn(output, _part_of(F.rand(seed), weights))
 
 
 def split_rows(df: DataFrame, value: str, split: str = "split") -> DataFrame:

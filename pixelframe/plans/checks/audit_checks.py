@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pixelframe.operators import audit, profile
 from pixelframe.plans.checks.registry import query
 from pixelframe.plans.checks.standins import table
-from pixelframe.sources import files
-from pixelframe.storage import materialize
+from pixelframe.sources import files, sinks, tables
+from pixelframe.storage import materialize, scratch_path
 
 SENSOR_SQL = "CASE l_returnflag WHEN 'R' THEN 's2' WHEN 'A' THEN 's1' ELSE 'label' END"
 EXPECTED = {"s2": 2, "s1": 1, "label": 1}
@@ -59,9 +59,9 @@ def directory_audit(spark, sf_dir):
     )
     counts = materialize(audit.count_by_directory(inventory), "directory-counts")
     counted = audit.with_directory_counts(patches, counts)
-    return counted.where(audit.is_incomplete(EXPECTED)).select(
-        "s2_path", *audit.COUNT_COLUMNS.values()
-    )
+    path = scratch_path(spark, "audit")
+    sinks.write_audit(counted.where(audit.is_incomplete(EXPECTED)), path)
+    return tables.read_table(spark, path).select("s2_path", *audit.COUNT_COLUMNS.values())
 
 
 @query("row_count", "SELECT count(*) AS rows FROM lineitem")

@@ -71,7 +71,9 @@ def write_band_files(contents: DataFrame, root: str) -> DataFrame:
                     storage.write(f"{root}/{files.sensor_of(b)}/{row['vec_id']}/{name}", row[b])
             yield pa.RecordBatch.from_arrays([batch.column("vec_id")], names=["vec_id"])
 
-    return contents.mapInArrow(write, "vec_id bigint")
+    # Writing waits on storage: spread it, however few partitions the table has.
+    spread = contents.repartition(contents.sparkSession.sparkContext.defaultParallelism)
+    return spread.mapInArrow(write, "vec_id bigint")
 
 
 @query(

@@ -35,7 +35,7 @@ from pixelframe.operators.sampling import (
     SEED,
     first_rows,
     hash_split,
-    random_split,
+    random_parts,
     sample_by_split,
     split_fractions,
     split_rows,
@@ -66,6 +66,7 @@ from pixelframe.storage import materialize
 
 KEYS = ["patch_id", "split"]
 ROW = "__row"
+PART = "__part"
 MAX_TASKS = 100_000
 
 
@@ -209,14 +210,19 @@ def regression_job(
     Text columns become one-hot categories and numbers are scaled; the label and
     ``keys`` are never features. With ``keys`` the rows are held out by a hash of
     the first one, which no partitioning changes; else at random by ``seed``.
+
+    Every estimator passes over the training rows, so they are stored once, by
+    part, with the columns in use.
     """
+    shares = dict(zip(("train", "test"), weights))
     categorical, numerical = columns_by_type(df.drop(*keys), label)
-    check_categories(df, categorical, max_categories)
-    if keys:
-        parts = hash_split(df, keys[0], dict(zip(("train", "test"), weights)), "__part")
-        train, test = (split_rows(parts, p, "__part").drop("__part") for p in ("train", "test"))
-    else:
-        train, test = random_split(df, weights, seed)
+    used = df.select(*dict.fromkeys([*keys, *categorical, *numerical, label]))
+    split = (
+        hash_split(used, keys[0], shares, PART) if keys else random_parts(used, shares, PART, seed)
+    )
+    parts = materialize(split, "regression-parts", [PART])
+    train, test = (split_rows(parts, p, PART).drop(PART) for p in shares)
+    check_categories(train, categorical, max_categories)
     stages = mixed_feature_stages(categorical, numerical)
     model = fit([*stages, linear_regression(label, **regression_params)], train)
     predictions = model.transform(test)

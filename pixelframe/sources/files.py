@@ -31,8 +31,10 @@ from pixelframe.schemas import (
     RASTER_SUFFIX,
 )
 from pixelframe.sources.remote import TaskStorage
+from pixelframe.storage import temporary_setting
 
 SENSOR_PATHS = {"s2": "s2_path", "s1": "s1_path", "label": "label_path"}
+LISTING_TASKS_PER_CORE = 8
 _LIST_THREADS = 8
 _LIST_CHUNK = 256
 
@@ -47,25 +49,29 @@ def load_files(
     recursive: bool = True,
 ) -> DataFrame:
     """Files below ``path`` whose name ends in ``suffix``, through any Spark file source."""
-    return (
-        spark.read.format(format)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(path)
-    )
+    return _load(spark, path, format, f"*{suffix}", recursive)
+
+
+def _load(
+    spark: SparkSession, path: str | list[str], format: str, glob: str, recursive: bool
+) -> DataFrame:
+    # Left alone, Spark starts a listing task for every single directory.
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    tasks = LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    with temporary_setting(spark, name, min(tasks, int(spark.conf.get(name)))):
+        return (
+            spark.read.format(format)
+            .option("recursiveFileLookup", str(recursive).lower())
+            .option("pathGlobFilter", glob)
+            .load(path)
+        )
 
 
 def scan_files(
     spark: SparkSession, path: str | list[str], glob: str = f"*{RASTER_SUFFIX}"
 ) -> DataFrame:
     """Path and length of every file that matches ``glob``; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(path)
-        .select("path", "length")
-    )
+    return _load(spark, path, "binaryFile", glob, True).select("path", "length")
 
 
 def scan_optical_files(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -2,38 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelframe.sources.rasters import ERROR
+from pixelframe.storage import unsorted_writes
 
 # Partition column of the pixel table, and its two values.
 STATE = "state"
 DECODED, REJECTED = "decoded", "rejected"
 
 
-# Files a task may hold open at once before it sorts its rows by partition value.
-OPEN_WRITERS = 8
-
-
-@contextmanager
-def unsorted_writes(spark: SparkSession, writers: int = OPEN_WRITERS) -> Iterator[None]:
-    """Let partitioned writes keep several files open instead of sorting each task's rows.
-
-    A task that meets more partition values than that falls back to sorting.
-    """
-    setting = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, max(writers, int(before)))
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite ``path`` with ``df``.
 
@@ -60,8 +41,12 @@ def write_slim_catalog(catalog: DataFrame, path: str) -> None:
 
 
 def write_audit(audit: DataFrame, path: str) -> None:
-    """Audit rows with their file counts per sensor."""
-    write_table(audit, path)
+    """Audit rows with their file counts per sensor.
+
+    Most audited patches are complete, so the few rows left over from many
+    tasks are merged into whole files.
+    """
+    write_table(audit.hint("rebalance"), path)
 
 
 def write_pixels(pixels: DataFrame, path: str) -> None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,13 +33,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/pixelframe/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+# Files a task may hold open at once before it sorts its rows by partition value.
+OPEN_WRITERS = 8
+
+
+@contextmanager
+def temporary_setting(spark: SparkSession, name: str, value: int) -> Iterator[None]:
+    """A session setting for the length of a block."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def unsorted_writes(spark: SparkSession) -> AbstractContextManager[None]:
+    """Let partitioned writes keep several files open instead of sorting each task's rows.
+
+    A task that meets more partition values than that falls back to sorting.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    return temporary_setting(spark, name, max(OPEN_WRITERS, int(spark.conf.get(name))))
+
+
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The result has no lineage above the files: a lost executor re-reads them.
     Joins on it start from plain shuffles, which is what adaptive execution
     needs to split a hot key.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with unsorted_writes(spark):
+        df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

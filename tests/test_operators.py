@@ -148,6 +148,15 @@ def test_random_split_is_whole(spark):
     assert train.intersect(test).count() == 0
 
 
+def test_random_parts(spark):
+    df = spark.range(20000)
+    parts = sampling.random_parts(df, {"train": 0.8, "test": 0.2})
+    counts = {r.part: r["count"] / 20000 for r in parts.groupBy("part").count().collect()}
+    assert abs(counts["train"] - 0.8) < 0.02 and abs(sum(counts.values()) - 1) < 1e-9
+    again = sampling.random_parts(df, {"train": 0.8, "test": 0.2})
+    assert parts.exceptAll(again).count() == 0
+
+
 def test_partitions(spark):
     df = spark.range(300).select("id", (F.col("id") % 3).alias("split"))
     by_split = sampling.partition_report(sampling.hash_partition(df, 100, "split")).first()

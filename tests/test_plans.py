@@ -1,8 +1,11 @@
 """What the physical plans must and must not hold."""
 
+from contextlib import contextmanager
+
 import pytest
 from pyspark.sql import functions as F
 
+from pixelframe import storage
 from pixelframe.operators import audit, labels, pixels, profile, sampling
 from pixelframe.plans import checks
 from pixelframe.plans.checks import raster_checks, standins
@@ -97,34 +100,58 @@ def test_audit_join_starts_from_plain_shuffles(spark):
     assert "SortMergeJoin" in text and "HashAggregate" not in text
 
 
-def test_skewed_catalogue_key_is_split(spark):
-    """A patch that holds most catalogue rows does not end in one task."""
+@contextmanager
+def small_skew_limits(spark):
+    """No broadcast, and partitions of a few kilobytes count as large."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
     }
-    patches = spark.range(400_000).select(
-        F.when(F.col("id") < 200_000, 0).otherwise(F.col("id")).alias("patch_id"),
-        F.hex("id").alias("payload"),
-    )
-    counts = materialize(
-        spark.range(400_000).select(F.col("id").alias("patch_id"), *[F.lit(1).alias(c) for c in audit.COUNT_COLUMNS.values()]),
-        "skew-counts",
-    )
-    stored = materialize(patches, "skew-catalog")
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
-        result = audit.incomplete_patches(stored, counts).agg(F.count("*"), F.max("payload"))
-        assert result.collect()[0][0] == 400_000
-        assert "skew=true" in plan(result)
+        yield
     finally:
         for k in settings:
             spark.conf.unset(k)
 
 
+def half_in_one(key: str, n: int):
+    """A key that holds half of the rows, and a payload."""
+    value = F.when(F.col("id") < n // 2, 0).otherwise(F.col("id"))
+    return value.alias(key), F.hex(F.xxhash64("id")).alias("payload")
+
+
+def test_skewed_catalogue_key_is_split(spark):
+    """A patch that holds most catalogue rows does not end in one task."""
+    n = 400_000
+    files_per_sensor = [F.lit(1).alias(c) for c in audit.COUNT_COLUMNS.values()]
+    counts = materialize(
+        spark.range(n).select(F.col("id").alias("patch_id"), *files_per_sensor), "skew-counts"
+    )
+    stored = materialize(spark.range(n).select(*half_in_one("patch_id", n)), "skew-catalog")
+    with small_skew_limits(spark):
+        result = audit.incomplete_patches(stored, counts).agg(F.count("*"), F.max("payload"))
+        assert result.collect()[0][0] == n
+        assert "skew=true" in plan(result)
+
+
+def test_skewed_label_is_split(spark):
+    """A class that holds most pixels is no hot task when the dictionary is not broadcast."""
+    n = 400_000
+    codes = spark.range(n).select(
+        F.col("id").cast("string").alias("ID"), (F.col("id") + 1).cast("string").alias("ID_NEW")
+    )
+    dictionary = materialize(codes, "skew-dictionary")
+    stored = materialize(spark.range(n).select(*half_in_one("label", n)), "skew-pixels")
+    with small_skew_limits(spark):
+        result = labels.recode_labels(stored, dictionary).agg(F.count("*"), F.max("payload"))
+        assert result.collect()[0][0] == n
+        assert "skew=true" in plan(result)
+
+
 def test_first_rows_keep_only_the_top_in_each_task(spark):
     assert "TakeOrderedAndProject" in plan(checks.QUERIES["first_n"](spark, SF_DIR))
 
@@ -139,6 +166,25 @@ def test_inventory_does_not_read_contents(spark, tmp_path):
     assert "ReadSchema: struct<path:string,length:bigint>" in plan(files.scan_files(spark, str(tmp_path)))
 
 
+def test_listing_groups_directories(spark, tmp_path):
+    for i in range(100):
+        (tmp_path / str(i)).mkdir()
+        (tmp_path / str(i) / "a.tif").write_bytes(b"x")
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    assert files.scan_files(spark, str(tmp_path)).count() == 100
+    assert spark.conf.get(setting) == before
+    tracker = spark.sparkContext.statusTracker()
+    stages = [
+        tracker.getStageInfo(stage)
+        for job in tracker.getJobIdsForGroup("listing")
+        for stage in tracker.getJobInfo(job).stageIds
+    ]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < max(s.numTasks for s in stages if s) <= 64
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == spark.conf.get(CHECKPOINT_DIR)
     df = materialize(spark.range(3).toDF("x"), "probe")
@@ -173,8 +219,8 @@ def test_open_writers_are_set_for_the_write_only(spark, tmp_path):
     rows = spark.range(100).select("id", (F.col("id") % 3).alias("split"))
     setting = "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(setting)
-    with sinks.unsorted_writes(spark):
-        assert int(spark.conf.get(setting)) == sinks.OPEN_WRITERS
+    with storage.unsorted_writes(spark):
+        assert int(spark.conf.get(setting)) == storage.OPEN_WRITERS
         rows.write.partitionBy("split").parquet(str(tmp_path / "t"))
     assert spark.conf.get(setting) == before
     assert spark.read.parquet(str(tmp_path / "t")).count() == 100
