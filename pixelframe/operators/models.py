@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from itertools import takewhile
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import (
     Evaluator,
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixelframe.operators.sampling import SEED
+from pixelframe.storage import materialize
 
 MAX_TREE_DEPTH = 30
 
@@ -81,6 +84,14 @@ def check_grid(grid: Mapping[str, Sequence]) -> None:
         raise ValueError(f"maxDepth {too_deep} is above {MAX_TREE_DEPTH}")
 
 
+@dataclass
+class TunedForest:
+    """The best model with all its stages, and the search that found it."""
+
+    model: PipelineModel
+    search: CrossValidatorModel
+
+
 def tune_forest(
     train: DataFrame,
     stages: Sequence,
@@ -90,22 +101,24 @@ def tune_forest(
     folds: int = 3,
     parallelism: int = 1,
     seed: int = SEED,
-) -> CrossValidatorModel:
-    """Grid search by k-fold cross-validation.
+) -> TunedForest:
+    """Grid search by k-fold cross-validation over ``stages`` and the classifier.
 
-    ``stages`` go before the classifier. They run once, ahead of the folds, when
-    they are plain transformers and the caller passes their output as ``train``.
+    The stages that learn nothing from the data run once and their output is
+    stored, so that no fold or grid point decodes or computes features again.
     """
     check_grid(grid)
+    fixed = list(takewhile(lambda stage: isinstance(stage, Transformer), stages))
+    prepared = materialize(PipelineModel(fixed).transform(train), "tuning")
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(classifier.getParam(name), list(values))
     search = CrossValidator(
-        estimator=Pipeline(stages=[*stages, classifier]),
+        estimator=Pipeline(stages=[*stages[len(fixed) :], classifier]),
         estimatorParamMaps=builder.build(),
         evaluator=evaluator,
         numFolds=folds,
         parallelism=parallelism,
         seed=seed,
-    )
-    return search.fit(train)
+    ).fit(prepared)
+    return TunedForest(PipelineModel([*fixed, *search.bestModel.stages]), search)

@@ -138,12 +138,16 @@ def feature_stages(spark, sf_dir):
     return features.vector_elements(vectors, "features", FEATURE_COLUMNS, ["label"])
 
 
-def training_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature vectors of all pixels, written once so that training does not redo them."""
+def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split, features and label of all pixels."""
     rows = indices.add_indices(pixel_rows(spark, sf_dir).drop("pos", "vec_id"))
     recoded = labels.recode_labels(rows, nation_dictionary(spark, sf_dir))
-    ordered = recoded.select("split", *FEATURE_COLUMNS, "label")
-    return features.assemble(materialize(ordered, "training"), keep=["split"])
+    return recoded.select("split", *FEATURE_COLUMNS, "label")
+
+
+def training_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature vectors, from rows written once so that training does not redo them."""
+    return features.assemble(materialize(training_rows(spark, sf_dir), "training"), keep=["split"])
 
 
 @query("forest")
@@ -177,17 +181,16 @@ def forest_stump(spark, sf_dir):
 
 @query("tuning")
 def tuning(spark, sf_dir):
-    vectors = training_vectors(spark, sf_dir)
-    classifier = models.forest()
-    search = models.tune_forest(
-        sampling.split_rows(vectors, "train"),
-        [],
-        classifier,
+    rows = training_rows(spark, sf_dir)
+    tuned = models.tune_forest(
+        sampling.split_rows(rows, "train"),
+        [FeatureAssembler(keep=["split"])],
+        models.forest(),
         models.accuracy_evaluator(),
         {"numTrees": [3, 6], "maxDepth": [4]},
         folds=2,
         parallelism=2,
     )
     return models.accuracy_by(
-        models.predict(search.bestModel, vectors, ["split", "label", "prediction"]), ["split"]
+        models.predict(tuned.model, rows, ["split", "label", "prediction"]), ["split"]
     )

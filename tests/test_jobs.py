@@ -286,12 +286,22 @@ def test_extractor_gives_one_row_per_catalogue_row(spark, catalog_path):
     assert stored_pixels(pixels) == expected_pixels()
 
 
-def test_tuning(spark):
+def test_tuning_prepares_the_data_once(spark):
     df = spark.range(120).select(
-        (F.col("id") % 2).cast("bigint").alias("label"), (F.col("id") % 2 * 1.0 + F.rand(1)).alias("x")
+        (F.col("id") % 2).cast("bigint").alias("label"),
+        (F.col("id") % 2 * 1.0 + F.rand(1)).alias("x"),
     )
-    search = models.tune_forest(
-        df, [FeatureAssembler()], models.forest(), models.accuracy_evaluator(),
-        {"numTrees": [2, 4], "maxDepth": [2]}, folds=2,
-    )
-    assert len(search.avgMetrics) == 2 and max(search.avgMetrics) > 0.8
+    runs = spark.sparkContext.accumulator(0)
+
+    class Counted(FeatureAssembler):
+        def _transform(self, df):
+            runs.add(1)
+            return super()._transform(df)
+
+    grid = {"numTrees": [2, 4], "maxDepth": [2]}
+    tuned = models.tune_forest(
+        df, [Counted()], models.forest(), models.accuracy_evaluator(), grid, folds=2
+    )
+    assert runs.value == 1
+    assert len(tuned.search.avgMetrics) == 2 and max(tuned.search.avgMetrics) > 0.8
+    assert models.predict(tuned.model, df).count() == 120
