@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixelframe.functions.indices import add_indices
+from pixelframe.operators.catalog import PATH_COLUMNS, unpack_paths
 from pixelframe.operators.features import assemble
 from pixelframe.operators.labels import recode_labels
 from pixelframe.operators.pixels import explode_pixels, flatten_struct
@@ -41,21 +42,32 @@ class PixelExtractor(_Stage):
     spreads the patches over that many decode tasks first; 0 leaves them as
     they are. Patches that cannot be decoded are left out; ``decode_patches``
     reports them.
+
+    With ``bundle`` the three directories come from that array of paths, and
+    ``scheme`` is put back in front of them; such paths can only be listed.
     """
 
     keys = _strings("keys", "catalogue columns carried along")
     find = Param(Params._dummy(), "find", "list or name", TypeConverters.toString)
     tasks = Param(Params._dummy(), "tasks", "decode tasks", TypeConverters.toInt)
+    bundle = Param(Params._dummy(), "bundle", "path bundle column", TypeConverters.toString)
+    scheme = Param(Params._dummy(), "scheme", "scheme of bundled paths", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, keys=None, find=None, tasks=None):
+    def __init__(self, *, keys=None, find=None, tasks=None, bundle=None, scheme=None):
         super().__init__()
-        self._setDefault(keys=["patch_id", "split"], find="list", tasks=0)
+        self._setDefault(
+            keys=["patch_id", "split"], find="list", tasks=0, bundle="", scheme="s3://"
+        )
         self._set_given(self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         keys, tasks = self.getOrDefault("keys"), self.getOrDefault("tasks")
-        find = BAND_PATHS[self.getOrDefault("find")]
+        find, bundle = BAND_PATHS[self.getOrDefault("find")], self.getOrDefault("bundle")
+        if bundle:
+            scheme = F.lit(self.getOrDefault("scheme"))
+            df = unpack_paths(df, PATH_COLUMNS, bundle)
+            df = df.withColumns({c: F.concat(scheme, c) for c in PATH_COLUMNS})
         paths = find(df.repartition(tasks) if tasks else df, keys)
         decoded = decode_patches(paths, keys).where(F.col(ERROR).isNull())
         return decoded.select(*keys, F.struct(*PIXEL_BANDS).alias("pixel_arrays"))

@@ -12,7 +12,7 @@ from hypothesis.extra import numpy as npst
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from pixelframe.operators import models
+from pixelframe.operators import catalog, models
 from pixelframe.operators.labels import land_cover_dictionary
 from pixelframe.operators.stages import (
     FeatureAssembler,
@@ -22,7 +22,7 @@ from pixelframe.operators.stages import (
     PixelExtractor,
 )
 from pixelframe.plans import jobs
-from pixelframe.schemas import CATALOG, FEATURE_COLUMNS, PIXEL, PIXEL_BANDS
+from pixelframe.schemas import CATALOG, FEATURE_COLUMNS, PIXEL, PIXEL_BANDS, PIXEL_ORDER
 from pixelframe.sources import files, rasters, sinks, tables
 
 N = 8
@@ -286,6 +286,17 @@ def test_extractor_gives_one_row_per_catalogue_row(spark, catalog_path):
     assert stored_pixels(pixels) == expected_pixels()
 
 
+def test_extractor_takes_bundled_paths(spark, catalog_path):
+    columns = ["split", "s1_path", "s2_path", "label_path"]
+    rows = tables.read_table(spark, catalog_path).select(*columns)
+    prepared = catalog.bundle_paths(catalog.strip_path_schemes(rows, scheme="file://"))
+    extractor = PixelExtractor(keys=["split"], bundle="paths_array", scheme="file://")
+    pixels = PixelExploder().transform(extractor.transform(prepared.select("split", "paths_array")))
+    assert pixels.columns == list(PIXEL_ORDER)
+    stored = sorted(tuple(r) for r in pixels.select(*PIXEL_BANDS).collect())
+    assert stored == sorted(r[1:] for r in expected_pixels())
+
+
 def test_tuning_prepares_the_data_once(spark):
     df = spark.range(120).select(
         (F.col("id") % 2).cast("bigint").alias("label"),
