@@ -172,7 +172,7 @@ def forest(spark, sf_dir):
 def forest_stump(spark, sf_dir):
     """One tree without splits guesses the most frequent class of the training pixels."""
     vectors = training_vectors(spark, sf_dir)
-    classifier = models.forest(numTrees=1, maxDepth=0)
+    classifier = models.forest(numTrees=1, maxDepth=0, bootstrap=False)
     model = models.fit([classifier], sampling.split_rows(vectors, "train"))
     return models.accuracy_by(
         models.predict(model, vectors, ["split", "label", "prediction"]), ["split"]
