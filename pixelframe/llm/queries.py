@@ -1,6 +1,6 @@
 """All queries of the subpackage; importing the operators registers theirs."""
 
-from pixelframe.llm import decontamination, jaccard, mixing, secrets, substrings  # noqa: F401
+from pixelframe.llm import decontamination, html_text, jaccard, language, mixing, secrets, substrings, warc  # noqa: F401
 from pixelframe.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
