@@ -46,6 +46,17 @@ def fingerprint(text: str | Column) -> Column:
     return F.xxhash64(text)
 
 
+def same_row(docs: DataFrame) -> Column:
+    """Joins ``docs`` to keys (_id, _print) of its rows; a null id equals a null id."""
+    return docs["doc_id"].eqNullSafe(F.col("_id")) & (fingerprint(docs["text"]) == F.col("_print"))
+
+
+def without_repeats(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``docs`` with one row for each key in ``repeated`` (_id, _print); only those rows move."""
+    once = docs.join(repeated, same_row(docs), "left_anti")
+    return once.unionByName(docs.join(repeated, same_row(docs), "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 def root_of(n: int) -> int:
     """Bucket count that keeps both the buckets and the rows per bucket near the square root."""
     return max(1, math.isqrt(max(0, n - 1)) + 1)

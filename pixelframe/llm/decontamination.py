@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pixelframe.llm.common import fingerprint, load, store
+from pixelframe.llm.common import fingerprint, load, same_row, store
 from pixelframe.llm.registry import query
 
 WINDOW = 10
@@ -178,8 +178,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without those that hold a benchmark window."""
     marked = contamination(docs, benchmark).where("contaminated").select("doc_id", "print").distinct()
     bad = store(marked, "contaminated").withColumnsRenamed({"doc_id": "_id", "print": "_print"})
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (fingerprint(docs["text"]) == F.col("_print"))
-    return docs.join(bad, same, "left_anti")
+    return docs.join(bad, same_row(docs), "left_anti")
 
 
 OP2_SQL = rf"""

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelframe.llm.common import components, discard, fingerprint, load, store
+from pixelframe.llm.common import components, fingerprint, load, same_row, store, without_repeats
 from pixelframe.llm.registry import query
 from pixelframe.llm.tokens import Powers, Words, list_column, signed, word_chunks
 
@@ -358,12 +358,10 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     found = store(near_duplicates(docs, width, percent), "near-duplicates")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("print").alias("_print")).distinct()
     gone = store(gone, "near-gone")
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (fingerprint(docs["text"]) == F.col("_print"))
-    kept = docs.join(gone, same, "left_anti")
+    kept = docs.join(gone, same_row(docs), "left_anti")
     repeated = found.where("n_shingles > 0").groupBy("doc_id", "print").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     repeated = store(repeated.select(F.col("doc_id").alias("_id"), F.col("print").alias("_print")), "near-repeated")
-    once = kept.join(repeated, same, "left_anti")
-    return once.unionByName(kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return without_repeats(kept, repeated)
 
 
 OP10_SQL = r"""

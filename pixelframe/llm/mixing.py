@@ -19,7 +19,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pixelframe.llm.common import load, root_of, running_total, store
+from pixelframe.llm.common import (
+    fingerprint,
+    load,
+    root_of,
+    running_total,
+    same_row,
+    store,
+    without_repeats,
+)
 from pixelframe.llm.registry import query
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -139,14 +147,15 @@ def slot_schedule(spark: SparkSession, sources: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> Mix:
     """The mix of (doc_id, source, text): who is taken, how much, and when."""
     spark = docs.sparkSession
-    sizes = store(docs.select("doc_id", "source", word_count("text").alias("size")), "mix-sizes")
+    facts = docs.select("doc_id", fingerprint("text").alias("print"), "source", word_count("text").alias("size"))
+    sizes = store(facts, "mix-sizes")
     sources = store(with_slots(source_targets(sizes), block_words), "mix-sources")
     buckets = root_of(sizes.count())
     shuffled = F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit(""))
     head = F.coalesce(F.conv(F.substring("shuffled", 1, 8), 16, 10).cast("long"), F.lit(0))
     placed = (
         sizes.join(sources, sizes["source"].eqNullSafe(sources["source"]))
-        .select("doc_id", sizes["source"], "size", "sid", "source_size", "target", "goal")
+        .select("doc_id", "print", sizes["source"], "size", "sid", "source_size", "target", "goal")
         .withColumn("shuffled", shuffled)
         .withColumn("bucket", F.floor(head * buckets / 2**32))
     )
@@ -179,11 +188,26 @@ def taken_words(mixed: Mix) -> DataFrame:
         .agg(F.sum(F.col("to") - F.col("from")).alias("taken"), F.min("slot").alias("first_slot"))
     )
     return mixed.documents.join(taken, place, "left").select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", "print", "source", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot",
     )
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The documents of the mix: ``docs`` that are taken, with how much, and at which slot first.
+
+    Rows that repeat an id and a text become one, taken as often as they were together.
+    """
+    place = taken_words(mix(docs)).withColumnsRenamed({"doc_id": "_id", "print": "_print"})
+    per = place.groupBy("_id", "_print").agg(
+        F.sum("size").alias("size"), F.max("source_size").alias("source_size"), F.max("target").alias("target"),
+        F.sum("taken").alias("taken"), F.min("first_slot").alias("first_slot"), F.count(F.lit(1)).alias("c"),
+    )
+    per = store(per.where("taken > 0"), "mix-taken")
+    single = without_repeats(docs, store(per.where("c > 1").select("_id", "_print"), "mix-repeated"))
+    return single.join(per.drop("c"), same_row(single)).drop("_id", "_print")
+
+
 OP3_SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size

@@ -1,5 +1,6 @@
 """All queries of the subpackage; importing the operators registers theirs."""
 
+import corpus_pipeline  # noqa: F401
 from pixelframe.llm import decontamination, html_text, jaccard, language, mixing, secrets, substrings, urls, vectors, warc  # noqa: F401
 from pixelframe.llm.registry import ORACLE, QUERIES
 
