@@ -64,12 +64,17 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
 
 
 def window_rows(docs: DataFrame) -> DataFrame:
-    """(a, b, doc_id, print, start): windows around the anchors listed in ``shared``."""
+    """(a, b, doc_id, place): windows around the anchors listed in ``shared``.
+
+    Hashes have 96 bits together; ``place`` holds 32 bits of the text's
+    fingerprint above the start, which tells texts with one id apart.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
             ids, prints = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "print"))
+            prints = prints << 32
             shared = batch.column("shared")
             for row, to, words in word_chunks(batch, "text", False, powers):
                 at, document, h = cover_anchors(words)
@@ -88,19 +93,18 @@ def window_rows(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(signed(words.windows(WINDOW)[places])),
-                        pa.array(signed(words.windows(WINDOW, 1)[places])),
+                        pa.array((words.windows(WINDOW, 1)[places] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                         pa.array(ids[row + document]),
-                        pa.array(prints[row + document]),
-                        pa.array((places - words.first[document]).astype(np.int32)),
+                        pa.array(prints[row + document] | (places - words.first[document])),
                     ],
-                    ["a", "b", "doc_id", "print", "start"],
+                    ["a", "b", "doc_id", "place"],
                 )
 
-    return docs.mapInArrow(rows, "a long, b long, doc_id long, print long, start int")
+    return docs.mapInArrow(rows, "a long, b int, doc_id long, place long")
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, print, starts): windows whose word sequence a smaller id holds as well."""
+    """(doc_id, print, starts), 32 bits of the print: windows whose word sequence a smaller id holds as well."""
     first = (
         anchor_rows(docs).groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     )
@@ -120,6 +124,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     least = store(least, "windows-least")
     starts = (
         windows.join(least, ["a", "b"]).where("doc_id > low")
+        .select("doc_id", F.shiftright("place", 32).alias("print"), F.expr("int(place & 2147483647)").alias("start"))
         .groupBy("doc_id", "print").agg(F.collect_set("start").alias("starts"))
     )
     starts = store(starts, "windows-starts")
@@ -171,7 +176,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """A row per document: word counts, the digest of the kept words and, if asked for, the words."""
     starts = repeated_windows(docs).withColumnsRenamed({"doc_id": "_id", "print": "_print"})
     texts = docs.select("doc_id", fingerprint("text").alias("print"), "text")
-    same = (F.col("doc_id") == F.col("_id")) & (F.col("print") == F.col("_print"))
+    half = F.shiftright(F.shiftleft("print", 32), 32)
+    same = (F.col("doc_id") == F.col("_id")) & (half == F.col("_print"))
     return kept_text(texts.join(starts, same, "left").select("doc_id", "text", "starts"), with_text)
 
 
