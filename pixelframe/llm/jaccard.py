@@ -3,7 +3,7 @@
 Texts with one shingle set are one node. A global order of shingles puts rare
 ones first; documents that are similar enough share two shingles within their
 extended prefixes. A rare shingle is an index entry by itself; of frequent ones
-only pairs are. Within an index entry, lengths and 64-bin histograms bound the
+only pairs are. Within an index entry, lengths and histograms of the sets bound the
 overlap from above, and what passes is kept as a spanning forest, not as pairs.
 Its components hold all links; each is then verified with the whole sets.
 
@@ -26,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelframe.llm.common import components, fingerprint, load, same_row, store, without_repeats
+from pixelframe.llm.common import components, fingerprint, hinted, load, same_row, store, without_repeats
 from pixelframe.llm.registry import query
 from pixelframe.llm.tokens import Powers, Words, list_column, signed, word_chunks
 
 CLASS_BITS = 18
-BINS = 64
+#: Bins of the histogram of a set, doubled while a set holds more than so many shingles a bin.
+BINS, PER_BIN = 64, 12
 #: Shingles in the prefixes of more documents are indexed in pairs.
 FREQUENT = 1000
 #: Rows of an index entry that are compared at once; larger ones go by pairs of blocks.
@@ -88,6 +89,14 @@ def document_sets(words: Words, width: int, ranks: np.ndarray, n: int) -> Iterat
         yield np.unique(keys[ends[i] : ends[i + 1]])
 
 
+def bin_count(n: int) -> int:
+    """A power of two; sizes that may link differ by one doubling at most."""
+    bins = BINS
+    while bins * PER_BIN < n:
+        bins *= 2
+    return bins
+
+
 def set_facts(docs: DataFrame, width: int, percent: int, ranks: np.ndarray) -> DataFrame:
     """(doc_id, print, n, digest, prefix, bins) of every document."""
 
@@ -102,7 +111,7 @@ def set_facts(docs: DataFrame, width: int, percent: int, ranks: np.ndarray) -> D
                     digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     prefix.append(s[: len(s) - least + 2])
                     cut.append(len(prefix[-1]))
-                    count = np.bincount((s % np.uint64(BINS)).astype(np.int64), minlength=BINS)
+                    count = np.bincount((s % np.uint64(bin_count(len(s)))).astype(np.int64), minlength=bin_count(len(s)))
                     bins.append(np.minimum(count, 255).astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -190,14 +199,32 @@ def forest(size: np.ndarray, near: Callable[[int, np.ndarray], np.ndarray]) -> l
     return edges
 
 
-def may_link(size: np.ndarray, bins: np.ndarray, percent: int) -> Callable[[int, np.ndarray], np.ndarray]:
+def may_link(size: np.ndarray, raw: list[bytes], percent: int) -> Callable[[int, np.ndarray], np.ndarray]:
     """Whether sizes and histograms leave room for the overlap that a link takes."""
+    width = np.array([len(r) for r in raw])
+    place = np.zeros(len(raw), np.int64)
+    tables = {}
+    for w in np.unique(width):
+        rows = np.flatnonzero(width == w)
+        place[rows] = np.arange(len(rows))
+        tables[w] = np.frombuffer(b"".join(raw[r] for r in rows), np.uint8).reshape(-1, w).astype(np.int16)
+
+    def folded(bins: np.ndarray, w: int) -> np.ndarray:
+        """Halved where it is wider than ``w``: bins are low bits, so halves add up."""
+        return bins if bins.shape[1] == w else bins[:, :w] + bins[:, w:]
 
     def near(x: int, rest: np.ndarray) -> np.ndarray:
-        total = size[rest] + size[x]
-        apart = np.abs(bins[rest] - bins[x]).sum(axis=1)
-        overlap = np.minimum(np.minimum(size[rest], size[x]), (total - apart) // 2)
-        return 100 * overlap >= percent * (total - overlap)
+        out = np.zeros(len(rest), bool)
+        mine = tables[width[x]][place[x]][None]
+        for w in (width[x] // 2, width[x], width[x] * 2):
+            there = np.flatnonzero(width[rest] == w)
+            if len(there):
+                other, least = rest[there], min(w, width[x])
+                apart = np.abs(folded(tables[w][place[other]], least) - folded(mine, least)).sum(axis=1)
+                total = size[other] + size[x]
+                overlap = np.minimum(np.minimum(size[other], size[x]), (total - apart) // 2)
+                out[there] = 100 * overlap >= percent * (total - overlap)
+        return out
 
     return near
 
@@ -238,9 +265,7 @@ def candidate_edges(entries: DataFrame, nodes: DataFrame, percent: int) -> DataF
         for group in grouped(batches, ["entry", "i", "j"]):
             ids = group["doc_id"].to_numpy()
             size = group["n"].to_numpy().astype(np.int64)
-            raw = b"".join(group["bins"].to_pylist())
-            bins = np.frombuffer(raw, np.uint8).reshape(len(ids), BINS).astype(np.int16)
-            if edges := forest(size, may_link(size, bins, percent)):
+            if edges := forest(size, may_link(size, group["bins"].to_pylist(), percent)):
                 yield _edge_batch(ids, edges)
 
     full = entries.join(nodes.select("doc_id", "n", "bins"), "doc_id")
@@ -282,7 +307,7 @@ def set_rows(docs: DataFrame, chosen: DataFrame, width: int, ranks: np.ndarray)
 
     texts = docs.select("doc_id", fingerprint("text").alias("print"), "text")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in chosen.schema.fields)
-    joined = texts.join(chosen, ["doc_id", "print"]).dropDuplicates(["doc_id", "print"])
+    joined = texts.join(hinted(chosen, 48), ["doc_id", "print"])
     return joined.select(*carried, "text").mapInArrow(rows, f"{schema}, keys binary")
 
 
@@ -296,7 +321,7 @@ def verified_edges(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width:
     members = nodes.join(groups, nodes["doc_id"] == groups["node"]).select("doc_id", "print", "n", "component")
     weight = members.groupBy("component").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("count"))
     weight = store(weight, "component-weights")
-    chosen = members.join(weight, "component")
+    chosen = store(members.join(weight, "component"), "component-members")
     sets = store(set_rows(docs, chosen, width, ranks), "component-sets")
     small = sets.where(F.col("weight") <= BLOCK_SHINGLES)
     edges = store(exact_edges(small.select("component", "doc_id", "keys"), ["component"], percent), "component-links")
@@ -305,12 +330,13 @@ def verified_edges(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width:
         return edges
     blocks = F.ceil(F.col("weight") * 2 / BLOCK_SHINGLES)
     spread = F.xxhash64("doc_id")
-    in_block = large.withColumn("block", F.pmod(spread, blocks)).select("component", "block", "doc_id", "keys")
+    own = F.pmod(spread, blocks)
+    in_block = large.select("component", own.alias("block"), "doc_id", "keys")
     is_pivot = F.pmod(F.shiftright(spread, 20), F.greatest(F.lit(1), F.expr(f"count div {PIVOTS}"))) == 0
     every = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block")
-    pivots = large.where(is_pivot).select("component", every, "doc_id", "keys")
-    with_pivots = in_block.unionByName(pivots).dropDuplicates(["component", "block", "doc_id"])
-    first = store(exact_edges(with_pivots, ["component", "block"], percent), "large-links")
+    pivots = large.where(is_pivot).select("component", own.alias("own"), every, "doc_id", "keys")
+    pivots = pivots.where("block <> own").drop("own")
+    first = store(exact_edges(in_block.unionByName(pivots), ["component", "block"], percent), "large-links")
     parts = components(first, "large-parts")
     labelled = large.join(parts, large["doc_id"] == parts["node"], "left").select(
         large["component"], "weight", "doc_id", "keys", F.coalesce(parts["component"], "doc_id").alias("part")
@@ -320,13 +346,11 @@ def verified_edges(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width:
     outside = labelled.where("part <> main")
     if outside.isEmpty():
         return edges.unionByName(first)
-    cut = F.ceil(F.col("weight") * 2 / BLOCK_SHINGLES)
-    own = F.pmod(spread, cut)
-    each = F.explode(F.sequence(F.lit(0).cast("long"), cut - 1))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
     left = outside.select("component", own.alias("i"), each.alias("j"), "doc_id", "keys")
-    out_blocks = outside.select("component", own.alias("i")).distinct()
-    right = labelled.select("component", own.alias("j"), "doc_id", "keys").join(out_blocks, "component")
-    dealt = left.unionByName(right).dropDuplicates(["component", "i", "j", "doc_id"])
+    out_blocks = store(outside.select("component", own.alias("i")).distinct(), "outside-blocks")
+    right = labelled.withColumn("j", own).join(out_blocks, "component").where("part = main or i <> j")
+    dealt = left.unionByName(right.select("component", "i", "j", "doc_id", "keys"))
     second = store(exact_edges(dealt, ["component", "i", "j"], percent), "outside-links")
     return edges.unionByName(first).unionByName(second)
 
@@ -358,10 +382,10 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     found = store(near_duplicates(docs, width, percent), "near-duplicates")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("print").alias("_print")).distinct()
     gone = store(gone, "near-gone")
-    kept = docs.join(gone, same_row(docs), "left_anti")
+    kept = docs.join(hinted(gone, 16), same_row(docs), "left_anti")
     repeated = found.where("n_shingles > 0").groupBy("doc_id", "print").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     repeated = store(repeated.select(F.col("doc_id").alias("_id"), F.col("print").alias("_print")), "near-repeated")
-    return without_repeats(kept, repeated)
+    return without_repeats(kept, hinted(repeated, 16))
 
 
 OP10_SQL = r"""
