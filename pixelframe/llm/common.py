@@ -13,6 +13,9 @@ from pixelframe.storage import scratch_path, temporary_setting
 #: Drops the shuffle files of a query when it ends; set only while a stage is written.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Keys of documents are sent to all executors up to this size, so that texts need not move.
+BROADCAST_BYTES = 32 << 20
+
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -41,6 +44,16 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def hinted(stored: DataFrame, bytes_each: int, weight: Column | None = None) -> DataFrame:
+    """A stored table, marked for broadcast where its counted size is below ``BROADCAST_BYTES``.
+
+    ``weight`` counts for a row what ``bytes_each`` is the size of; one by default.
+    Larger tables are joined by a shuffle.
+    """
+    size = stored.agg(F.sum(F.lit(1) if weight is None else weight)).first()[0] or 0
+    return F.broadcast(stored) if size * bytes_each <= BROADCAST_BYTES else stored
+
+
 def fingerprint(text: str | Column) -> Column:
     """Tells rows with one id and different texts apart; the id stays part of every key."""
     return F.xxhash64(text)

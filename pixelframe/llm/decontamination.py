@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pixelframe.llm.common import fingerprint, load, same_row, store
+from pixelframe.llm.common import fingerprint, hinted, load, same_row, store
 from pixelframe.llm.registry import query
 
 WINDOW = 10
@@ -108,7 +108,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     index = store(postings(docs, rare.select("term").distinct()), "phrase-postings")
     found = store(diagonals(index, rare), "phrase-diagonals")
     texts = docs.select(F.col("doc_id").alias("id"), fingerprint("text").alias("fp"), "text")
-    spread = texts.join(found, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("fp") == F.col("print")))
+    spread = texts.join(hinted(found, 32), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("fp") == F.col("print")))
     words = spread.join(items, "item").select(
         "doc_id", "print", "item", "item_id", "shift", "terms", "length", words_of("text").alias("words")
     )
@@ -178,7 +178,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without those that hold a benchmark window."""
     marked = contamination(docs, benchmark).where("contaminated").select("doc_id", "print").distinct()
     bad = store(marked, "contaminated").withColumnsRenamed({"doc_id": "_id", "print": "_print"})
-    return docs.join(bad, same_row(docs), "left_anti")
+    return docs.join(hinted(bad, 16), same_row(docs), "left_anti")
 
 
 OP2_SQL = rf"""

@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 
 from pixelframe.llm.common import (
     fingerprint,
+    hinted,
     load,
     root_of,
     running_total,
@@ -204,8 +205,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         F.sum("taken").alias("taken"), F.min("first_slot").alias("first_slot"), F.count(F.lit(1)).alias("c"),
     )
     per = store(per.where("taken > 0"), "mix-taken")
-    single = without_repeats(docs, store(per.where("c > 1").select("_id", "_print"), "mix-repeated"))
-    return single.join(per.drop("c"), same_row(single)).drop("_id", "_print")
+    single = without_repeats(docs, hinted(store(per.where("c > 1").select("_id", "_print"), "mix-repeated"), 16))
+    return single.join(hinted(per, 64).drop("c"), same_row(single)).drop("_id", "_print")
 
 
 OP3_SQL = rf"""

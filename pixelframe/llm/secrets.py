@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pixelframe.llm.common import fingerprint, load, same_row, store
+from pixelframe.llm.common import fingerprint, hinted, load, same_row, store
 from pixelframe.llm.registry import query
 
 
@@ -188,7 +188,7 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
         )
 
     tail = F.col("text").substr(F.col("_cut.at").cast("int") + 1, F.length("text"))
-    cleaned = docs.join(hit, same_row(docs), "left").withColumn("_cut", F.aggregate("_places", start, cut))
+    cleaned = docs.join(hinted(hit, 24, F.size("_places")), same_row(docs), "left").withColumn("_cut", F.aggregate("_places", start, cut))
     text = F.when(F.col("_places").isNotNull(), F.concat("_cut.text", tail)).otherwise(F.col("text"))
     length = F.when(F.col("_places").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("text", text).withColumn("n_chars", length).select(*docs.columns)
