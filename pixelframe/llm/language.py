@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelframe.llm.common import load
+from pixelframe.llm.common import hinted, load, store
 from pixelframe.llm.registry import query
 from pixelframe.llm.tokens import list_column, text_chunks
 
@@ -112,9 +112,9 @@ def text_bags(docs: DataFrame, *carried: str) -> DataFrame:
 def labelled_sample(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> DataFrame:
     """About ``rows`` rows of each language, chosen by a hash of the text; the bound of the fit."""
     labelled = docs.where("lang is not null and text is not null")
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("count"))
+    counts = store(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("count")), "language-counts")
     drawn = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.join(counts, "lang").where(drawn < F.lit(float(rows)) / F.col("count"))
+    return labelled.join(hinted(counts, 64), "lang").where(drawn < F.lit(float(rows)) / F.col("count"))
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
