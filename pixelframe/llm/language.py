@@ -182,7 +182,11 @@ def fit(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE, seed: int = 0) -> Model
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, from whole texts alone."""
+    """``docs`` with ``lang_pred`` and ``score``, from whole texts alone.
+
+    Columns that already have these names are replaced.
+    """
+    docs = docs.drop("lang_pred", "score")
     names = model.languages if model else []
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
