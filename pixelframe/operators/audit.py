@@ -68,11 +68,13 @@ def incomplete_patches(
 
 
 def count_by_directory(files: DataFrame, path: str = "path") -> DataFrame:
-    """Files per directory of an inventory; a location as ``with_directory_counts`` expects."""
-    counts = files.groupBy(directory_of(path).alias("directory")).agg(
+    """Files per directory of an inventory; a location as ``with_directory_counts`` expects.
+
+    One location is one row, whatever scheme its paths are written with.
+    """
+    return files.groupBy(location(directory_of(path)).alias("directory")).agg(
         F.count(F.lit(1)).cast("int").alias("files")
     )
-    return counts.withColumn("directory", location("directory"))
 
 
 def with_directory_counts(
@@ -81,11 +83,27 @@ def with_directory_counts(
     columns: Mapping[str, str] = COUNT_COLUMNS,
     paths: Mapping[str, str] = SENSOR_PATHS,
 ) -> DataFrame:
-    """Catalogue rows with the number of files in each of their directories."""
-    for sensor, path in paths.items():
-        found = counts.select(
-            F.col("directory").alias("__directory"), F.col("files").alias(columns[sensor])
+    """Catalogue rows with the number of files in each of their directories.
+
+    The directories of a row become rows of their own, meet the counts in one
+    join and are summed back, so the catalogue is joined once and not per sensor.
+    Equal catalogue rows have equal counts: they are one group, told apart again at the end.
+    """
+    row = catalog.select(F.struct(*catalog.columns).alias("__row"))
+    sides = F.array(
+        *(
+            F.struct(F.lit(s).alias("sensor"), location(F.col(f"__row.{p}")).alias("directory"))
+            for s, p in paths.items()
         )
-        at = location(path) == F.col("__directory")
-        catalog = catalog.join(found, at, "left").drop("__directory")
-    return catalog.withColumns({c: F.coalesce(c, F.lit(0)) for c in columns.values()})
+    )
+    spread = row.select("*", F.explode(sides).alias("__side"))
+    joined = spread.join(counts, spread["__side.directory"] == counts["directory"], "left")
+    per_row = joined.groupBy("__row").agg(
+        F.expr(f"count(1) div {len(paths)}").alias("__copies"),
+        *(
+            F.coalesce(F.max(F.when(F.col("__side.sensor") == s, F.col("files"))), F.lit(0)).alias(columns[s])
+            for s in paths
+        ),
+    )
+    copies = per_row.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
+    return copies.select("__row.*", *(columns[s] for s in paths))

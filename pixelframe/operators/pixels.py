@@ -43,9 +43,13 @@ def explode_pixels(
     keep: Sequence[str] = (),
     position: str | None = None,
     outer: bool = False,
+    offset: str | None = None,
 ) -> DataFrame:
     """One row per pixel, each exactly once, aligned by position within the patch.
 
+    A row that holds a block of a patch names the position of its first pixel in
+    the column ``offset``; ``position`` then counts on from there.
+
     One array is exploded with its position and the others are indexed by it.
     No zipped array of structs is built and nothing is joined; columns in
     ``keep`` are repeated as scalars. Patches with uneven bands give no rows;
@@ -55,12 +59,14 @@ def explode_pixels(
     lead, *others = bands
     at, value = "__pos", "__lead"
     generate = F.posexplode_outer if outer else F.posexplode
+    first = [F.col(offset).alias("__first")] if offset else []
     exploded = df.where(_equal_lengths(bands)).select(
-        *keep, *others, generate(lead).alias(at, value)
+        *keep, *first, *others, generate(lead).alias(at, value)
     )
+    place = F.col(at) + F.col("__first") if offset else F.col(at)
     return exploded.select(
         *keep,
-        *([F.col(at).alias(position)] if position else []),
+        *([place.cast("int" if not offset else "long").alias(position)] if position else []),
         F.col(value).alias(lead),
         *[F.get(b, F.col(at)).alias(b) for b in others],
     )

@@ -15,10 +15,10 @@ SEED = 42
 
 
 def _known_stratum(stratum: str, fractions: Mapping[str, float]) -> Column:
-    """The stratum column, failing on a value that ``fractions`` does not name."""
+    """The stratum column, failing on a value that ``fractions`` does not name, NULL included."""
     c = F.col(stratum)
-    unknown = F.concat(F.lit("no sampling fraction for "), c.cast("string"))
-    return F.when(c.isNull() | c.isin(list(fractions)), c).otherwise(F.raise_error(unknown))
+    unknown = F.concat(F.lit("no sampling fraction for "), F.coalesce(c.cast("string"), F.lit("NULL")))
+    return F.when(c.isin(list(fractions)), c).otherwise(F.raise_error(unknown))
 
 
 def split_fractions(fraction: float, splits: Sequence[str] = SPLITS) -> dict[str, float]:
@@ -33,7 +33,7 @@ def sample_by_split(
 ) -> DataFrame:
     """Stratified sample without a shuffle.
 
-    A split missing from ``fractions`` raises instead of losing its rows.
+    A split missing from ``fractions``, also NULL, raises instead of losing its rows.
     """
     checked = df.withColumn(split, _known_stratum(split, fractions))
     return checked.sampleBy(split, dict(fractions), seed)

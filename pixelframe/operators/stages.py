@@ -16,7 +16,7 @@ from pixelframe.operators.labels import recode_labels
 from pixelframe.operators.pixels import explode_pixels, flatten_struct
 from pixelframe.schemas import LABEL, PIXEL_BANDS, PIXEL_ORDER
 from pixelframe.sources.files import band_paths_by_listing, band_paths_by_name
-from pixelframe.sources.rasters import ERROR, decode_patches
+from pixelframe.sources.rasters import ERROR, FIRST_PIXEL, decode_patches
 from pixelframe.sources.tables import read_label_dictionary
 
 
@@ -37,6 +37,9 @@ def _strings(name: str, doc: str) -> Param:
 class PixelExtractor(_Stage):
     """Catalogue rows to one row per patch with a ``pixel_arrays`` struct.
 
+    A raster above the decoder's block size comes in several rows; the
+    struct's ``first_pixel`` says where in the patch the arrays of a row begin.
+
     ``find`` says how band files are found: ``list`` lists each patch's
     directories, ``name`` builds the paths from the naming rule. ``tasks``
     spreads the patches over that many decode tasks first; 0 leaves them as
@@ -70,7 +73,7 @@ class PixelExtractor(_Stage):
             df = df.withColumns({c: F.concat(scheme, c) for c in PATH_COLUMNS})
         paths = find(df.repartition(tasks) if tasks else df, keys)
         decoded = decode_patches(paths, keys).where(F.col(ERROR).isNull())
-        return decoded.select(*keys, F.struct(*PIXEL_BANDS).alias("pixel_arrays"))
+        return decoded.select(*keys, F.struct(*PIXEL_BANDS, FIRST_PIXEL).alias("pixel_arrays"))
 
 
 class PixelExploder(_Stage):

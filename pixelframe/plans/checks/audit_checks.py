@@ -47,12 +47,15 @@ def incomplete_patches(spark, sf_dir):
     WHERE coalesce(s2, 0) <> 2 OR coalesce(s1, 0) <> 1 OR coalesce(label, 0) <> 1""",
 )
 def directory_audit(spark, sf_dir):
-    def directory(sensor, key):
-        return F.concat(F.lit("s3://store/"), sensor, F.lit("/"), F.col(key), F.lit("/"))
+    def directory(sensor, key, scheme="s3"):
+        return F.concat(F.lit(f"{scheme}://store/"), sensor, F.lit("/"), F.col(key), F.lit("/"))
 
+    # The inventory names half of the files by another scheme than the catalogue.
+    sensor = F.expr(SENSOR_SQL)
+    place = F.when(F.col("l_linenumber") % 2 == 0, directory(sensor, "l_orderkey", "s3a"))
     name = F.concat(F.lit("f"), "l_linenumber", F.lit(".tif"))
     inventory = table(spark, sf_dir, "lineitem").select(
-        F.concat(directory(F.expr(SENSOR_SQL), "l_orderkey"), name).alias("path")
+        F.concat(place.otherwise(directory(sensor, "l_orderkey")), name).alias("path")
     )
     patches = table(spark, sf_dir, "orders").select(
         *[directory(F.lit(s), "o_orderkey").alias(p) for s, p in files.SENSOR_PATHS.items()]

@@ -54,9 +54,29 @@ def band_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {PIXELS_SQL} SELECT vec_id, pos, VH, VV, B, G, R, NIR, label FROM px",
 )
 def raster_decode(spark, sf_dir):
+    return _decoded_pixels(spark, sf_dir, block_pixels=1 << 20)
+
+
+@query(
+    "raster_blocks",
+    f"WITH {PIXELS_SQL} SELECT vec_id, pos, VH, VV, B, G, R, NIR, label FROM px",
+)
+def raster_blocks(spark, sf_dir):
+    """The same pixels and positions where every raster comes in several blocks."""
+    return _decoded_pixels(spark, sf_dir, block_pixels=4)
+
+
+def _decoded_pixels(spark, sf_dir, block_pixels):
     contents = band_contents(spark, sf_dir)
-    decoded = rasters.decode_patches(contents, ["vec_id"], decoder=rasters.read_tiff)
-    return pixels.explode_pixels(decoded, keep=["vec_id"], position="pos")
+    # Decoding takes longer than its small input suggests: spread the patches first.
+    spread = contents.repartition(spark.sparkContext.defaultParallelism)
+    decoded = rasters.decode_patches(
+        spread, ["vec_id"], decoder=rasters.read_tiff, block_pixels=block_pixels
+    )
+    placed = pixels.explode_pixels(
+        decoded, keep=["vec_id"], position="pos", offset=rasters.FIRST_PIXEL
+    )
+    return placed.withColumn("pos", F.col("pos").cast("int"))
 
 
 def write_band_files(contents: DataFrame, root: str) -> DataFrame:

@@ -67,7 +67,6 @@ from pixelframe.storage import materialize
 KEYS = ["patch_id", "split"]
 ROW = "__row"
 PART = "__part"
-MAX_TASKS = 100_000
 
 
 def catalog_job(
@@ -87,7 +86,7 @@ def slim_catalog_job(spark: SparkSession, catalog: str, output: str, scheme: str
 
 
 def task_count(rows: int, rows_per_task: int) -> int:
-    return max(1, min(MAX_TASKS, ceil(rows / rows_per_task)))
+    return max(1, ceil(rows / rows_per_task))
 
 
 def in_even_ranges(catalog: DataFrame, patches_per_task: int) -> DataFrame:
@@ -146,11 +145,11 @@ def pixel_job(
     Only catalogue rows are shuffled: into even ranges of split and patch, so
     that a decode task reads whole patches and writes one or two splits. From
     there on listing, decoding, exploding and writing are one stage. Patches
-    that could not be decoded are stored beside the pixels with the reason.
+    that could not be decoded are stored beside the pixels with the reason. A
+    split that is unknown or NULL raises, whatever the fraction.
     """
-    sampled = read_table(spark, catalog, PIXEL_JOB_COLUMNS)
-    if fraction < 1.0:
-        sampled = sample_by_split(sampled, split_fractions(fraction), seed=seed)
+    rows = read_table(spark, catalog, PIXEL_JOB_COLUMNS)
+    sampled = sample_by_split(rows, split_fractions(fraction), seed=seed)
     ordered = in_even_ranges(sampled, patches_per_task)
     arrays = decode_patches(BAND_PATHS[find](ordered, KEYS), KEYS, decoder=decoder)
     pixels = explode_pixels(arrays, keep=[*KEYS, ERROR], outer=True)

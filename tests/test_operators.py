@@ -113,6 +113,41 @@ def test_sample_is_seeded_and_stratified(spark):
     assert counts["train"] == 2000 and 120 < counts["test"] < 280
 
 
+@pytest.mark.parametrize("form", ["random", "hash"])
+@pytest.mark.parametrize("fraction", [0.5, 1.0])
+def test_sample_refuses_a_missing_split(spark, form, fraction):
+    df = spark.createDataFrame([(1, "train"), (2, None)], "id int, split string")
+    fractions = sampling.split_fractions(fraction)
+    sample = (
+        sampling.sample_by_split(df, fractions)
+        if form == "random"
+        else sampling.hash_sample_by_split(df, fractions, "id")
+    )
+    with pytest.raises(Exception, match="no sampling fraction for NULL"):
+        sample.collect()
+
+
+def test_directory_counts_join_once(spark):
+    files = spark.createDataFrame(
+        [("s3://b/x/1.tif",), ("s3a://b/x/2.tif",), ("s3://b/y/1.tif",)], "path string"
+    )
+    paths = {"s2": "a", "s1": "b", "label": "c"}
+    row = ("p", "s3://b/x/", "s3a://b/y", None)
+    catalog = spark.createDataFrame([row, row], "patch_id string, a string, b string, c string")
+    counts = audit.count_by_directory(files)
+    counted = audit.with_directory_counts(catalog, counts, paths=paths)
+    assert [tuple(r) for r in counted.collect()] == [(*row, 2, 1, 0)] * 2
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_positions_go_on_from_block_to_block(spark):
+    blocks = spark.createDataFrame(
+        [(0, [1, 2, 3], [4, 5, 6]), (3, [7], [8])], "first long, a array<int>, b array<int>"
+    )
+    rows = pixels.explode_pixels(blocks, ["a", "b"], position="pos", offset="first").collect()
+    assert sorted(tuple(r) for r in rows) == [(0, 1, 4), (1, 2, 5), (2, 3, 6), (3, 7, 8)]
+
+
 @pytest.mark.parametrize("form", ["random", "hash"])
 def test_sample_refuses_an_unknown_split(spark, form):
     df = spark.createDataFrame([(1, "val")], "id int, split string")

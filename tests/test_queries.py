@@ -12,7 +12,13 @@ from __spark_entry__ import entry, oracle_sql, queries
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = [p.stem for p in Path(SF_DIR).glob("*.parquet")]
 
-SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+    "double": "DOUBLE",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+}
 
 
 @pytest.fixture(scope="module")
