@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import accumulate
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,16 +106,22 @@ def hash_partition(df: DataFrame, n: int, *keys: str) -> DataFrame:
 
 
 def partition_counts(df: DataFrame) -> DataFrame:
-    """Rows in each partition that holds any."""
-    return df.groupBy(F.spark_partition_id().alias("partition")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    """Rows in each partition, also in those that hold none."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sum(batch.num_rows for batch in batches)
+        here = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_pydict({"partition": [here], "rows": [rows]})
+
+    # A task without rows still counts them, which an aggregate by partition would not.
+    return df.select(F.lit(1).alias("one")).mapInArrow(count, "partition long, rows long")
 
 
 def partition_report(df: DataFrame) -> DataFrame:
-    """Partitions in use, rows in all, and rows of the fullest and emptiest one."""
+    """Partitions, those in use, rows in all, and rows of the fullest and emptiest one."""
     return partition_counts(df).agg(
         F.count(F.lit(1)).alias("partitions"),
+        F.count(F.when(F.col("rows") > 0, 1)).alias("filled"),
         F.sum("rows").alias("rows"),
         F.max("rows").alias("max_rows"),
         F.min("rows").alias("min_rows"),

@@ -194,3 +194,49 @@ def tuning(spark, sf_dir):
     return models.accuracy_by(
         models.predict(tuned.model, rows, ["split", "label", "prediction"]), ["split"]
     )
+
+
+RULE_SQL = """CASE WHEN l_linenumber <= 3 AND l_returnflag = 'R' THEN 1
+    WHEN l_linenumber <= 3 THEN 0 WHEN l_quantity <= 25 THEN 2 ELSE 3 END::DOUBLE"""
+#: Trees that see all rows and columns: a rule over few values is then learned exactly.
+WHOLE = {"numTrees": 3, "bootstrap": False, "featureSubsetStrategy": "all"}
+
+
+def rule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with three features of few values and a label that is a rule over them."""
+    line, returned = F.col("l_linenumber"), F.col("l_returnflag") == "R"
+    few = F.col("l_quantity") <= 25
+    label = F.when((line <= 3) & returned, 1).when(line <= 3, 0).when(few, 2).otherwise(3)
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order"),
+        line.cast("double").alias("line"),
+        returned.cast("double").alias("returned"),
+        few.cast("double").alias("few"),
+        label.cast("double").alias("label"),
+    )
+
+
+@query("forest_exact", f"SELECT l_orderkey AS \"order\", {RULE_SQL} AS prediction FROM lineitem")
+def forest_exact(spark, sf_dir):
+    """A forest of whole trees predicts a rule over its features for every row."""
+    rows = materialize(rule_rows(spark, sf_dir), "rule-rows")
+    vectors = features.assemble(rows, exclude=["order"], keep=["order"])
+    model = models.fit([models.forest(maxDepth=5, **WHOLE)], vectors)
+    return models.predict(model, vectors, ["order", "prediction"])
+
+
+@query(
+    "tuning_exact",
+    "SELECT 5 AS depth, 1.0::DOUBLE AS accuracy, count(*) AS rows FROM lineitem",
+)
+def tuning_exact(spark, sf_dir):
+    """Three folds choose the only depth that can hold the rule."""
+    vectors = features.assemble(rule_rows(spark, sf_dir), exclude=["order"], keep=["order"])
+    tuned = models.tune_forest(
+        vectors, [], models.forest(**WHOLE), models.accuracy_evaluator(), {"maxDepth": [0, 5]}
+    )
+    depth = F.lit(tuned.model.stages[-1].getOrDefault("maxDepth")).alias("depth")
+    scored = models.predict(tuned.model, vectors)
+    return scored.agg(models.accuracy_of().alias("accuracy"), F.count(F.lit(1)).alias("rows")).select(
+        depth, "accuracy", "rows"
+    )

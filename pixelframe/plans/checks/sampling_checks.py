@@ -93,3 +93,14 @@ def partition_report(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
     spread = sampling.hash_partition(orders, 16, "o_orderkey")
     return sampling.partition_report(spread).select("partitions", "rows")
+
+
+@query(
+    "partition_report_few_keys",
+    "SELECT 100::BIGINT AS partitions, count(*) AS rows, 0::BIGINT AS min_rows FROM orders",
+)
+def partition_report_few_keys(spark, sf_dir):
+    """Three keys leave most of 100 partitions empty; they are counted all the same."""
+    orders = table(spark, sf_dir, "orders").select("o_orderstatus")
+    spread = sampling.hash_partition(orders, 100, "o_orderstatus")
+    return sampling.partition_report(spread).select("partitions", "rows", "min_rows")

@@ -195,7 +195,7 @@ def test_random_parts(spark):
 def test_partitions(spark):
     df = spark.range(300).select("id", (F.col("id") % 3).alias("split"))
     by_split = sampling.partition_report(sampling.hash_partition(df, 100, "split")).first()
-    assert by_split.partitions <= 3 and by_split.rows == 300
+    assert by_split.partitions == 100 and by_split.filled <= 3 and by_split.rows == 300
     by_key = sampling.partition_report(sampling.hash_partition(df, 10, "id")).first()
     assert by_key.partitions == 10
 
