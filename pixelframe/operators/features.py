@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.ml import Transformer
 from pyspark.ml.base import Estimator
@@ -132,11 +133,36 @@ def category_codes(df: DataFrame, column: str, output: str) -> DataFrame:
     )
 
 
+class CategoryIndex(NamedTuple):
+    """A fitted index without a limit on values: a stored code table per column.
+
+    As in the indexer with ``keep``, NULL and values that the fit has not seen
+    get one extra index, the number of known values.
+    """
+
+    codes: Mapping[str, DataFrame]
+    known: Mapping[str, int]
+    suffix: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        for c, codes in self.codes.items():
+            output = c + self.suffix
+            extra = F.lit(float(self.known[c]))
+            df = df.join(codes, c, "left").withColumn(output, F.coalesce(output, extra))
+        return df
+
+
+def fit_categories(
+    df: DataFrame, columns: Sequence[str], suffix: str = "_index"
+) -> CategoryIndex:
+    """Codes of each column's values; neither values nor codes come to the driver."""
+    codes = {c: category_codes(df, c, c + suffix) for c in columns}
+    return CategoryIndex(codes, {c: t.count() for c, t in codes.items()}, suffix)
+
+
 def index_categories(df: DataFrame, columns: Sequence[str], suffix: str = "_index") -> DataFrame:
     """Add a category index per column without bringing the values to the driver."""
-    for c in columns:
-        df = df.join(category_codes(df, c, c + suffix), c, "left")
-    return df
+    return fit_categories(df, columns, suffix).transform(df)
 
 
 def scaler(input: str, output: str) -> StandardScaler:

@@ -88,6 +88,24 @@ def category_codes(spark, sf_dir):
     )
 
 
+@query(
+    "category_keep",
+    """WITH priced AS (SELECT o_orderkey,
+        CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS customer, o_orderstatus FROM orders),
+    codes AS (SELECT customer,
+        (row_number() OVER (ORDER BY count(*) DESC, customer) - 1)::DOUBLE AS idx
+      FROM priced WHERE o_orderstatus = 'F' AND customer IS NOT NULL GROUP BY customer)
+    SELECT o_orderkey, coalesce(idx, (SELECT count(*) FROM codes)::DOUBLE) AS idx
+    FROM priced LEFT JOIN codes USING (customer)""",
+)
+def category_keep(spark, sf_dir):
+    """NULL and values unseen at the fit share one extra index."""
+    customer = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey")).alias("customer")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", customer, "o_orderstatus")
+    index = features.fit_categories(rows.where("o_orderstatus = 'F'"), ["customer"])
+    return index.transform(rows).select("o_orderkey", F.col("customer_index").alias("idx"))
+
+
 @query(
     "one_hot",
     f"""WITH {PRIORITY_INDEX_SQL}
