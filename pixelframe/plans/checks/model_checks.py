@@ -17,7 +17,7 @@ from pixelframe.plans.checks.standins import (
     RECODED_SQL,
     SPLIT_SQL,
     as_count,
-    band_slices,
+    band_arrays,
     nation_dictionary,
     pixel_rows,
     table,
@@ -75,13 +75,14 @@ def batch_prediction(spark, sf_dir):
 @query(
     "accuracy",
     f"""SELECT {SPLIT_SQL} AS split,
-      round(avg((label = floor(abs(embedding[1]::DOUBLE) * 20))::INTEGER), 6) AS accuracy,
+      round(avg((label = floor(list_max([abs(v::DOUBLE) for v in embedding]) * 20))::INTEGER), 6) AS accuracy,
       count(*) AS rows FROM embeddings GROUP BY split""",
 )
 def accuracy(spark, sf_dir):
-    rule = F.floor(F.abs(F.get("embedding", F.lit(0)).cast("double")) * F.lit(20.0))
+    """The largest value of the whole vector guesses the label."""
+    largest = F.array_max(F.transform("embedding", lambda v: F.abs(v.cast("double"))))
     predicted = table(spark, sf_dir, "embeddings").select(
-        F.expr(SPLIT_SQL).alias("split"), "label", rule.cast("double").alias("prediction")
+        F.expr(SPLIT_SQL).alias("split"), "label", F.floor(largest * F.lit(20.0)).cast("double").alias("prediction")
     )
     return models.accuracy_by(predicted, ["split"]).withColumn("accuracy", F.round("accuracy", 6))
 
@@ -125,7 +126,7 @@ def feature_stages(spark, sf_dir):
         F.transform(b, lambda v: as_count(v, COUNT_SCALE[b])) if b in COUNT_SCALE else F.col(b)
         for b in PIXEL_BANDS
     ]
-    patches = band_slices(spark, sf_dir).select(
+    patches = band_arrays(spark, sf_dir).select(
         F.struct(*[c.alias(b) for b, c in zip(PIXEL_BANDS, bands)]).alias("pixel_arrays")
     )
     stages = [

@@ -16,12 +16,16 @@ from pixelframe.plans.checks.standins import (
     LINEITEM_BANDS,
     NDWI_STANDARD_SQL,
     PIXELS_SQL,
+    POSITIONS_SQL,
     RECODED_SQL,
+    TURN,
     as_count,
-    band_slices,
+    band_arrays,
     nation_dictionary,
     pixel_rows,
     table,
+    turned,
+    turned_sql,
 )
 from pixelframe.schemas import FEATURE_COLUMNS, PIXEL_BANDS
 
@@ -36,11 +40,10 @@ def pixels_zip(spark, sf_dir):
 
 @query(
     "pixels_posexplode",
-    """SELECT vec_id, pos, embedding[1 + pos]::DOUBLE AS value
-       FROM embeddings, (SELECT unnest(range(9))::INTEGER AS pos)""",
+    f"SELECT vec_id, pos, {turned_sql(0)} AS value FROM embeddings, {POSITIONS_SQL}",
 )
 def pixels_posexplode(spark, sf_dir):
-    arrays = band_slices(spark, sf_dir, "vec_id")
+    arrays = band_arrays(spark, sf_dir, "vec_id")
     return pixels.explode_positions(arrays, "VH", keep=["vec_id"], value="value")
 
 
@@ -49,7 +52,7 @@ def pixels_posexplode(spark, sf_dir):
     f"WITH {PIXELS_SQL} SELECT vec_id, pos, VV, NIR FROM px",
 )
 def struct_projection(spark, sf_dir):
-    arrays = band_slices(spark, sf_dir, "vec_id")
+    arrays = band_arrays(spark, sf_dir, "vec_id")
     nested = arrays.select("vec_id", F.struct(*PIXEL_BANDS).alias("pixel_arrays"))
     flat = pixels.flatten_struct(nested, "pixel_arrays", ["VV", "NIR"], keep=["vec_id"])
     rows = pixels.explode_pixels(flat, ["VV", "NIR"], keep=["vec_id"], position="pos")
@@ -57,13 +60,11 @@ def struct_projection(spark, sf_dir):
 
 
 def uneven_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two bands; every third label has one value more in the second."""
     values = F.col("embedding").cast("array<double>")
-    longer = F.when(F.col("label") % 3 == 0, F.lit(10)).otherwise(F.lit(9))
-    return table(spark, sf_dir, "embeddings").select(
-        "vec_id",
-        F.slice(values, 1, 9).alias("VH"),
-        F.slice(values, F.lit(10), longer).alias("VV"),
-    )
+    second = turned(values, TURN)
+    longer = F.when(F.col("label") % 3 == 0, F.concat(second, F.array(F.lit(0.0)))).otherwise(second)
+    return table(spark, sf_dir, "embeddings").select("vec_id", values.alias("VH"), longer.alias("VV"))
 
 
 @query("uneven_patches", "SELECT vec_id FROM embeddings WHERE label % 3 = 0")
@@ -74,8 +75,8 @@ def uneven_patches(spark, sf_dir):
 
 @query(
     "even_patches",
-    """SELECT vec_id, embedding[1 + pos]::DOUBLE AS VH, embedding[10 + pos]::DOUBLE AS VV
-       FROM embeddings, (SELECT unnest(range(9)) AS pos) WHERE label % 3 <> 0""",
+    f"""SELECT vec_id, {turned_sql(0)} AS VH, {turned_sql(TURN)} AS VV
+       FROM embeddings, {POSITIONS_SQL} WHERE label % 3 <> 0""",
 )
 def even_patches(spark, sf_dir):
     return pixels.explode_pixels(uneven_arrays(spark, sf_dir), ["VH", "VV"], keep=["vec_id"])

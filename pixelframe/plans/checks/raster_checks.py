@@ -15,9 +15,10 @@ from pixelframe.plans.checks.registry import query
 from pixelframe.plans.checks.standins import (
     COUNT_SCALE,
     PATCH_PIXELS,
+    PATCH_SIDE,
     PIXELS_SQL,
     SPLIT_SQL,
-    band_slices,
+    band_arrays,
     table,
 )
 from pixelframe.schemas import OPTICAL_BANDS, PIXEL_BANDS, RADAR_BANDS
@@ -31,11 +32,11 @@ def _raster_of(band: str, values: np.ndarray) -> bytes:
         data = values.astype(np.float32)
     else:
         data = np.floor(np.abs(values) * COUNT_SCALE[band]).astype(np.uint16)
-    return rasters.write_tiff(data.reshape(3, 3), deflate=band in OPTICAL_BANDS)
+    return rasters.write_tiff(data.reshape(PATCH_SIDE, PATCH_SIDE), deflate=band in OPTICAL_BANDS)
 
 
 def band_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Patches with each band as the bytes of a 3 x 3 single-band TIFF."""
+    """Patches with each band as the bytes of an 8 x 8 single-band TIFF."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -46,7 +47,7 @@ def band_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["vec_id", *PIXEL_BANDS])
 
     schema = "vec_id bigint, " + ", ".join(f"{b} binary" for b in PIXEL_BANDS)
-    return band_slices(spark, sf_dir, "vec_id").drop("split").mapInArrow(encode, schema)
+    return band_arrays(spark, sf_dir, "vec_id").drop("split").mapInArrow(encode, schema)
 
 
 @query(
@@ -63,7 +64,7 @@ def raster_decode(spark, sf_dir):
 )
 def raster_blocks(spark, sf_dir):
     """The same pixels and positions where every raster comes in several blocks."""
-    return _decoded_pixels(spark, sf_dir, block_pixels=4)
+    return _decoded_pixels(spark, sf_dir, block_pixels=10)
 
 
 def _decoded_pixels(spark, sf_dir, block_pixels):

@@ -1,6 +1,6 @@
 """Driver tables as stand-ins for imagery.
 
-``embeddings`` are patches: 63 of the 64 values are seven bands of nine pixels.
+``embeddings`` are patches of 8 x 8 pixels: a band is the whole vector, turned by an offset of its own.
 ``lineitem`` rows are files of a patch or band values, ``orders`` is the catalogue,
 ``nation`` the label dictionary and ``pages.url`` supplies paths.
 """
@@ -20,21 +20,32 @@ def table(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType | No
     return tables.read_table(spark, f"{sf_dir}/{name}.parquet", schema)
 
 
-PATCH_PIXELS = 9
+PATCH_SIDE = 8
+PATCH_PIXELS = PATCH_SIDE**2
+#: How far the vector of a band is turned, for each place of the band.
+TURN = 9
 SPLIT_SQL = "CASE WHEN label < 5 THEN 'train' WHEN label < 8 THEN 'validation' ELSE 'test' END"
 
 
-def band_slices(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
-    """One row per patch with seven arrays of nine doubles."""
+def turned(values: Column, by: int) -> Column:
+    """All values, from place ``by`` on, then those before it."""
+    rest = F.slice(values, by + 1, F.greatest(F.size(values) - by, F.lit(0)))
+    return F.concat(rest, F.slice(values, 1, by)) if by else values
+
+
+def turned_sql(by: int) -> str:
+    """The same at position ``pos``."""
+    return f"embedding[1 + (pos + {by}) % {PATCH_PIXELS}]::DOUBLE"
+
+
+def band_arrays(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """One row per patch with seven arrays of 64 doubles."""
     vectors = table(spark, sf_dir, "embeddings")
     values = F.col("embedding").cast("array<double>")
     return vectors.select(
         *keep,
         F.expr(SPLIT_SQL).alias("split"),
-        *[
-            F.slice(values, 1 + i * PATCH_PIXELS, PATCH_PIXELS).alias(b)
-            for i, b in enumerate(PIXEL_BANDS)
-        ],
+        *[turned(values, i * TURN).alias(b) for i, b in enumerate(PIXEL_BANDS)],
     )
 
 
@@ -51,20 +62,22 @@ def as_counts(df: DataFrame) -> DataFrame:
 
 
 def pixel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrays = band_slices(spark, sf_dir, "vec_id")
+    arrays = band_arrays(spark, sf_dir, "vec_id")
     return as_counts(pixels.explode_pixels(arrays, keep=["vec_id", "split"], position="pos"))
 
 
+def _band_sql(band: str) -> str:
+    value = turned_sql(PIXEL_BANDS.index(band) * TURN)
+    scale = COUNT_SCALE.get(band)
+    return f"floor(abs({value}) * {scale:.0f})::BIGINT AS {band}" if scale else f"{value} AS {band}"
+
+
+POSITIONS_SQL = f"(SELECT unnest(range({PATCH_PIXELS}))::INTEGER AS pos)"
 PIXELS_SQL = f"""
 px AS (
   SELECT vec_id, {SPLIT_SQL} AS split, pos,
-    embedding[1 + pos]::DOUBLE AS VH, embedding[10 + pos]::DOUBLE AS VV,
-    floor(abs(embedding[19 + pos]::DOUBLE) * 10000)::BIGINT AS B,
-    floor(abs(embedding[28 + pos]::DOUBLE) * 10000)::BIGINT AS G,
-    floor(abs(embedding[37 + pos]::DOUBLE) * 10000)::BIGINT AS R,
-    floor(abs(embedding[46 + pos]::DOUBLE) * 10000)::BIGINT AS NIR,
-    floor(abs(embedding[55 + pos]::DOUBLE) * 100)::BIGINT AS label
-  FROM embeddings, (SELECT unnest(range(9))::INTEGER AS pos)
+    {", ".join(map(_band_sql, PIXEL_BANDS))}
+  FROM embeddings, {POSITIONS_SQL}
 )"""
 
 INDEX_SQL = {

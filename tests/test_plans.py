@@ -52,7 +52,7 @@ def test_row_operators_are_narrow_and_stay_in_the_jvm(spark, name):
 
 
 def test_explode_reads_only_the_bands_it_needs(spark, tmp_path):
-    standins.band_slices(spark, SF_DIR, "vec_id").write.parquet(str(tmp_path / "a"))
+    standins.band_arrays(spark, SF_DIR, "vec_id").write.parquet(str(tmp_path / "a"))
     arrays = spark.read.parquet(str(tmp_path / "a"))
     text = plan(pixels.explode_pixels(arrays, ["VV", "NIR"]))
     assert "ReadSchema: struct<VV:array<double>,NIR:array<double>>" in text
