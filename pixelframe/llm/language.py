@@ -3,7 +3,7 @@
 A text is the average of the embeddings of its character n-grams, which stay
 within words and their edges and are hashed into a fixed table. Embeddings and
 softmax are trained by stochastic gradient descent in numpy on a bounded sample
-of labelled rows; part of the sample is held back to set the temperature of the
+of labelled texts; part of the sample is held back to set the temperature of the
 scores and the score below which a document is rejected. As all is linear,
 tasks carry one table of n-gram logits.
 
@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelframe.llm.common import hinted, load, store
+from pixelframe.llm.common import fingerprint, hinted, load, store
 from pixelframe.llm.registry import query
 from pixelframe.llm.tokens import list_column, text_chunks
 
 UNKNOWN = "und"
 SIZES = (2, 3, 4)
 BUCKETS, DIMENSIONS = 1 << 15, 16
-#: About so many labelled rows of each language are sampled for the fit.
+#: About so many distinct labelled texts of each language are sampled for the fit.
 ROWS_PER_LANGUAGE = 500
 EPOCHS, RATE = 12, 0.5
 #: Share of the sample that sets temperature and rejection, and of it that may be rejected.
@@ -110,11 +110,18 @@ def text_bags(docs: DataFrame, *carried: str) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> DataFrame:
-    """About ``rows`` rows of each language, chosen by a hash of the text; the bound of the fit."""
-    labelled = docs.where("lang is not null and text is not null")
-    counts = store(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("count")), "language-counts")
+    """About ``rows`` distinct texts of each language, chosen by a hash of the text; the bound of the fit.
+
+    Copies of a text are chosen together and then become one, so a text that
+    makes up much of the corpus does not fill the sample.
+    """
+    labelled = docs.where("lang is not null and text is not null").select("lang", "text")
+    counts = labelled.groupBy("lang").agg(F.approx_count_distinct(fingerprint("text"), 0.02).alias("count"))
+    counts = store(counts, "language-counts")
     drawn = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.join(hinted(counts, 64), "lang").where(drawn < F.lit(float(rows)) / F.col("count"))
+    chosen = labelled.join(hinted(counts, 64), "lang").where(drawn < F.lit(float(rows)) / F.col("count"))
+    first = chosen.groupBy("lang", fingerprint("text").alias("print")).agg(F.min("text").alias("text"))
+    return first.select("lang", "text")
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
