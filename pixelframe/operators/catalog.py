@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixelframe.functions.paths import (
@@ -49,6 +49,31 @@ def malformed_ids(catalog: DataFrame) -> DataFrame:
     return catalog.where(F.col("patch_id_path").isNull() | F.col("patch_id_path_s1").isNull())
 
 
+def _scheme_faults(columns: Sequence[str], scheme: str) -> Column:
+    """What is wrong with the paths of a row; empty where nothing is."""
+    faults = (
+        F.when(F.col(c).isNull(), F.lit(f"{c} is missing")).when(
+            strip_scheme(c, scheme).isNull(), F.lit(f"{c} lacks {scheme}")
+        )
+        for c in columns
+    )
+    return F.concat_ws("; ", *faults)
+
+
+def scheme_rejects(
+    catalog: DataFrame, columns: Sequence[str] = PATH_COLUMNS, scheme: str = "s3://"
+) -> DataFrame:
+    """Catalogue rows with a path that is NULL or lacks ``scheme``, with the ``reason``."""
+    return catalog.withColumn("reason", _scheme_faults(columns, scheme)).where("reason <> ''")
+
+
+def with_scheme(
+    catalog: DataFrame, columns: Sequence[str] = PATH_COLUMNS, scheme: str = "s3://"
+) -> DataFrame:
+    """The rows that ``scheme_rejects`` leaves."""
+    return catalog.where(_scheme_faults(columns, scheme) == "")
+
+
 def strip_path_schemes(
     df: DataFrame, columns: Sequence[str] = PATH_COLUMNS, scheme: str = "s3://"
 ) -> DataFrame:
@@ -80,7 +105,10 @@ def slim(
 
 
 def slim_catalog(catalog: DataFrame, scheme: str = "s3://") -> DataFrame:
-    """Catalogue as the pixel job reads it: id, split and the path bundle."""
+    """Catalogue as the pixel job reads it: id, split and the path bundle.
+
+    A path without ``scheme`` becomes NULL; ``scheme_rejects`` reports such rows.
+    """
     stripped = strip_path_schemes(catalog, scheme=scheme)
     bundled = bundle_paths(stripped, [*PATH_COLUMNS, "patch_id"], "patch_path_array")
     return slim(bundled)

@@ -43,8 +43,8 @@ class PixelExtractor(_Stage):
     ``find`` says how band files are found: ``list`` lists each patch's
     directories, ``name`` builds the paths from the naming rule. ``tasks``
     spreads the patches over that many decode tasks first; 0 leaves them as
-    they are. Patches that cannot be decoded are left out; ``decode_patches``
-    reports them.
+    they are. A patch that cannot be decoded is one row without pixels, with the
+    reason in the struct's ``error``; ``stage_rejects`` selects these.
 
     With ``bundle`` the three directories come from that array of paths, and
     ``scheme`` is put back in front of them; such paths can only be listed.
@@ -72,8 +72,14 @@ class PixelExtractor(_Stage):
             df = unpack_paths(df, PATH_COLUMNS, bundle)
             df = df.withColumns({c: F.concat(scheme, c) for c in PATH_COLUMNS})
         paths = find(df.repartition(tasks) if tasks else df, keys)
-        decoded = decode_patches(paths, keys).where(F.col(ERROR).isNull())
-        return decoded.select(*keys, F.struct(*PIXEL_BANDS, FIRST_PIXEL).alias("pixel_arrays"))
+        arrays = F.struct(*PIXEL_BANDS, FIRST_PIXEL, ERROR).alias("pixel_arrays")
+        return decode_patches(paths, keys).select(*keys, arrays)
+
+
+def stage_rejects(extracted: DataFrame) -> DataFrame:
+    """Patches that ``PixelExtractor`` could not decode, with the reason in ``error``."""
+    error = F.col(f"pixel_arrays.{ERROR}")
+    return extracted.where(error.isNotNull()).withColumn(ERROR, error).drop("pixel_arrays")
 
 
 class PixelExploder(_Stage):

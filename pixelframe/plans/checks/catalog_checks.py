@@ -85,6 +85,25 @@ def slim_catalog(spark, sf_dir):
     return unpacked.select("patch_id", *names)
 
 
+@query(
+    "scheme_rejects",
+    f"""WITH {IDS_SQL}, {SCENES_SQL}, {CATALOG_SQL}
+    SELECT patch_id, concat_ws('; ', CASE WHEN s1_path IS NULL THEN 's1_path is missing' END,
+      CASE WHEN s2_path IS NULL THEN 's2_path is missing'
+        WHEN patch_id LIKE 'S2A_A%' THEN 's2_path lacks s3://' END,
+      CASE WHEN label_path IS NULL THEN 'label_path is missing' END) AS reason
+    FROM paths WHERE s1_path IS NULL OR s2_path IS NULL OR patch_id LIKE 'S2A_A%'""",
+)
+def scheme_rejects(spark, sf_dir):
+    """Malformed ids have no paths; some optical paths come with another scheme."""
+    built = catalog.build_catalog(patch_ids(spark, sf_dir), "s3://store")
+    other = F.regexp_replace("s2_path", "^s3://", "gs://")
+    mixed = built.withColumn(
+        "s2_path", F.when(F.col("patch_id").startswith("S2A_A"), other).otherwise(F.col("s2_path"))
+    )
+    return catalog.scheme_rejects(mixed).select("patch_id", "reason")
+
+
 @query(
     "catalog_sink",
     f"""WITH {IDS_SQL}, {SCENES_SQL}, {CATALOG_SQL}

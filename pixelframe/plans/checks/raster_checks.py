@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelframe.operators import audit, models, pixels
-from pixelframe.operators.stages import PixelExploder, PixelExtractor
+from pixelframe.operators.stages import PixelExploder, PixelExtractor, stage_rejects
 from pixelframe.plans.checks.registry import query
 from pixelframe.plans.checks.standins import (
     COUNT_SCALE,
@@ -80,16 +80,37 @@ def _decoded_pixels(spark, sf_dir, block_pixels):
     return placed.withColumn("pos", F.col("pos").cast("int"))
 
 
+#: Radar files and directories have names of their own.
+RADAR_NAME = "r"
+
+
+def _band_path(root: str, patch: int, band: str) -> str:
+    """Two roots hold directories of the same names: those of patches 2n and 2n + 1."""
+    sensor = files.sensor_of(band)
+    mark = RADAR_NAME if sensor == "s1" else ""
+    stem = f"{mark}{patch}_{files.BAND_SUFFIX[band]}"
+    return f"{root}/{patch % 2}/{sensor}/{mark}{patch // 2}/{stem}.tif"
+
+
+BAND_PATH_SQL = """(vec_id % 2) || '/' || sensor || '/' || mark || (vec_id // 2) || '/'
+  || mark || vec_id || '_' || suffix || '.tif'"""
+BAND_VALUES_SQL = ", ".join(
+    f"('{b}', '{files.BAND_SUFFIX[b]}', '{files.sensor_of(b)}', "
+    f"'{RADAR_NAME if files.sensor_of(b) == 's1' else ''}')"
+    for b in PIXEL_BANDS
+)
+BAND_NAMES_SQL = f"(VALUES {BAND_VALUES_SQL}) AS names(band, suffix, sensor, mark)"
+
+
 def write_band_files(contents: DataFrame, root: str) -> DataFrame:
-    """Write each band to ``<root>/<sensor>/<patch>/<patch>_<band>.tif`` in the tasks."""
+    """Write each band to a file of its own in the tasks."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         storage = TaskStorage()
         for batch in batches:
             for row in batch.to_pylist():
                 for b in PIXEL_BANDS:
-                    name = f"{row['vec_id']}_{files.BAND_SUFFIX[b]}.tif"
-                    storage.write(f"{root}/{files.sensor_of(b)}/{row['vec_id']}/{name}", row[b])
+                    storage.write(_band_path(root, row["vec_id"], b), row[b])
             yield pa.RecordBatch.from_arrays([batch.column("vec_id")], names=["vec_id"])
 
     # Writing waits on storage: spread it, however few partitions the table has.
@@ -97,37 +118,71 @@ def write_band_files(contents: DataFrame, root: str) -> DataFrame:
     return spread.mapInArrow(write, "vec_id bigint")
 
 
-@query(
-    "raster_files",
-    f"WITH {PIXELS_SQL} SELECT vec_id, VH, VV, B, G, R, NIR, label FROM px",
-)
-def raster_files(spark, sf_dir):
-    """Band files on storage, found by a recursive scan, gathered per patch and decoded."""
+def stored_root(spark: SparkSession, sf_dir: str) -> str:
+    """A root with the band files of every patch."""
     root = scratch_path(spark, "rasters")
     write_band_files(band_contents(spark, sf_dir), root).agg(F.count("vec_id")).first()
-    stored = files.load_files(spark, root).select("path", "content")
-    gathered = rasters.gather_bands(files.band_files(stored), ["patch"], value="content")
-    decoded = rasters.decode_patches(gathered, ["patch"], decoder=rasters.read_tiff)
-    rows = pixels.explode_pixels(decoded, keep=["patch"])
-    return rows.select(F.col("patch").cast("bigint").alias("vec_id"), *PIXEL_BANDS)
+    return root
 
 
-def stored_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Band files of every patch on storage, and the catalogue that points to them."""
-    root = scratch_path(spark, "rasters")
-    write_band_files(band_contents(spark, sf_dir), root).agg(F.count("vec_id")).first()
+def stored_catalog(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
+    """The catalogue of the patches stored below ``root``, which is written where none is given."""
+    root = root or stored_root(spark, sf_dir)
     name = F.col("vec_id").cast("string")
+
+    def directory(sensor: str):
+        mark = RADAR_NAME if sensor == "s1" else ""
+        half = F.expr("vec_id div 2").cast("string")
+        return F.concat(
+            F.lit(f"{root}/"), (F.col("vec_id") % 2).cast("string"), F.lit(f"/{sensor}/{mark}"), half, F.lit("/")
+        )
+
     return table(spark, sf_dir, "embeddings").select(
         name.alias("patch_id"),
-        name.alias("s1_name"),
+        F.concat(F.lit(RADAR_NAME), name).alias("s1_name"),
         F.expr(SPLIT_SQL).alias("split"),
-        *[
-            F.concat(F.lit(f"{root}/{sensor}/"), name, F.lit("/")).alias(path)
-            for sensor, path in files.SENSOR_PATHS.items()
-        ],
+        *[directory(sensor).alias(path) for sensor, path in files.SENSOR_PATHS.items()],
     )
 
 
+def bound_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Band files of a listed root, bound to the patches of its catalogue."""
+    root = stored_root(spark, sf_dir)
+    listed = files.list_root(spark, root)
+    return files.bind_to_catalog(stored_catalog(spark, sf_dir, root), listed, ["patch_id"])
+
+
+@query(
+    "inventory_gather",
+    f"SELECT vec_id::VARCHAR AS patch_id, band, {BAND_PATH_SQL} AS file FROM embeddings, {BAND_NAMES_SQL}",
+)
+def inventory_gather(spark, sf_dir):
+    """Radar directories under other names and equal names below two roots find their patches."""
+    inner = F.regexp_extract("path", r"/rasters-[0-9a-f]+/(.*)$", 1)
+    return bound_files(spark, sf_dir).select("patch_id", "band", inner.alias("file"))
+
+
+@query(
+    "raster_files",
+    f"WITH {PIXELS_SQL} SELECT vec_id, VH, VV, B, G, R, NIR, label FROM px",
+)
+def raster_files(spark, sf_dir):
+    """Band files of a listed root, gathered by path per patch and read where they are decoded."""
+    gathered = rasters.gather_bands(bound_files(spark, sf_dir), ["patch_id"])
+    decoded = rasters.decode_patches(gathered, ["patch_id"], decoder=rasters.read_tiff)
+    rows = pixels.explode_pixels(decoded, keep=["patch_id"])
+    return rows.select(F.col("patch_id").cast("bigint").alias("vec_id"), *PIXEL_BANDS)
+
+
+@query(
+    "listed_stems",
+    f"SELECT mark || vec_id || '_' || suffix AS stem FROM embeddings, {BAND_NAMES_SQL}",
+)
+def listed_stems(spark, sf_dir):
+    """File names below a root, listed in tasks."""
+    return files.list_stems(spark, stored_root(spark, sf_dir))
+
+
 @query(
     "raster_stages",
     f"""WITH {PIXELS_SQL}
@@ -141,6 +196,19 @@ def raster_stages(spark, sf_dir):
     return models.fit(stages, rows).transform(rows)
 
 
+@query(
+    "stage_rejects",
+    "SELECT vec_id::VARCHAR AS patch_id, 'missing bands: VH, VV' AS error FROM embeddings WHERE label < 5",
+)
+def rejected_patches(spark, sf_dir):
+    """Training patches that point to a radar directory that does not exist come out with a reason."""
+    rows = stored_catalog(spark, sf_dir)
+    lost = F.when(F.col("split") == "train", F.concat("s1_path", F.lit("gone/"))).otherwise(F.col("s1_path"))
+    tasks = spark.sparkContext.defaultParallelism
+    extracted = PixelExtractor(find="list", tasks=tasks).transform(rows.withColumn("s1_path", lost))
+    return stage_rejects(extracted).select("patch_id", "error")
+
+
 @query(
     "raster_names",
     f"""WITH {PIXELS_SQL}

@@ -118,7 +118,7 @@ def file_inventory(spark, sf_dir):
         path,
         ["o_orderstatus", "o_orderpriority"],
     )
-    found = files.scan_files(spark, path, "*.parquet").where(F.col("length") > 0)
+    found = files.list_root(spark, path, ".parquet", levels=1).where(F.col("length") > 0)
     part = r"o_orderstatus=([^/]*)/o_orderpriority=([^/]*)/"
     return found.select(
         F.regexp_extract("path", part, 1).alias("status"),

@@ -16,7 +16,13 @@ from pixelframe.operators.audit import (
     is_incomplete,
     with_directory_counts,
 )
-from pixelframe.operators.catalog import build_catalog, slim_catalog
+from pixelframe.operators.catalog import (
+    build_catalog,
+    malformed_ids,
+    scheme_rejects,
+    slim_catalog,
+    with_scheme,
+)
 from pixelframe.operators.features import (
     check_categories,
     columns_by_type,
@@ -60,6 +66,7 @@ from pixelframe.sources.sinks import (
     write_catalog,
     write_pixels,
     write_slim_catalog,
+    write_table,
 )
 from pixelframe.sources.tables import read_metadata, read_table
 from pixelframe.storage import materialize
@@ -76,13 +83,29 @@ def catalog_job(
     root: str,
     folders: Mapping[str, str] | None = None,
 ) -> None:
-    """Metadata table to catalogue with image directories."""
-    write_catalog(build_catalog(read_table(spark, metadata), root, folders), output)
+    """Metadata table to catalogue with image directories.
+
+    Rows whose ids name no scene stay, without directories, and are also
+    written to ``rejects_path(output)``.
+    """
+    built = build_catalog(read_table(spark, metadata), root, folders)
+    write_catalog(built, output)
+    write_table(malformed_ids(built), rejects_path(output))
 
 
 def slim_catalog_job(spark: SparkSession, catalog: str, output: str, scheme: str = "s3://") -> None:
-    """Catalogue to patch id, split and path bundle, as preprocessing reads them."""
-    write_slim_catalog(slim_catalog(read_metadata(spark, catalog), scheme), output)
+    """Catalogue to patch id, split and path bundle, as preprocessing reads them.
+
+    Rows without a path of that scheme go to ``rejects_path(output)`` with the reason.
+    """
+    rows = read_metadata(spark, catalog)
+    write_slim_catalog(slim_catalog(with_scheme(rows, scheme=scheme), scheme), output)
+    write_table(scheme_rejects(rows, scheme=scheme), rejects_path(output))
+
+
+def rejects_path(output: str) -> str:
+    """The table beside ``output`` that holds what a job could not use."""
+    return f"{output.rstrip('/')}-rejects"
 
 
 def task_count(rows: int, rows_per_task: int) -> int:

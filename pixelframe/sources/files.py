@@ -1,9 +1,10 @@
 """Raster file inventory.
 
-Two ways to find files. ``scan_files`` uses Spark's own file listing; the driver
-then holds one entry per file, which suits up to some ten million of them. The
-functions that take a catalogue list directories inside the tasks: they have no
-such limit, visit only the patches they are given and need no shuffle.
+``list_root`` lists a root of any size in tasks, level by level. The functions that
+take a catalogue list the directories of its patches inside the tasks and need no
+shuffle; ``bind_to_catalog`` joins an inventory to a catalogue instead. ``scan_files``
+and ``load_files`` use Spark's own file listing, for its file sources; the driver
+then holds one entry per file, which suits up to some ten million of them.
 """
 
 from __future__ import annotations
@@ -12,14 +13,17 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pixelframe.functions.paths import (
     band_of_file,
+    directory_of,
     file_stem,
     is_pixel_file,
+    location,
     parent_directory,
 )
 from pixelframe.schemas import (
@@ -79,13 +83,67 @@ def scan_optical_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return scan_files(spark, path, OPTICAL_FILE_GLOB)
 
 
-def list_stems(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+FOUND = "path string, length long, open boolean"
+
+
+def _hidden(path: str, below: str) -> bool:
+    """True for what Spark's listing skips: a name that starts with _ or a dot."""
+    return any(part[:1] in ("_", ".") for part in path[len(below) :].split("/"))
+
+
+def list_root(
+    spark: SparkSession,
+    root: str,
+    suffix: str = RASTER_SUFFIX,
+    levels: int = 2,
+    tasks: int | None = None,
+) -> DataFrame:
+    """Path and length of every file below ``root``, listed in tasks.
+
+    The directories of the first ``levels`` levels are rows that are spread over
+    ``tasks`` before each next step; the last step lists what lies below them.
+    The driver sees the root alone.
+    """
+    tasks = tasks or LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+    def step(whole: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            storage = TaskStorage()
+            for batch in batches:
+                still_open = batch.column("open")
+                yield batch.filter(pc.invert(still_open))
+                for directory in batch.filter(still_open).column("path").to_pylist():
+                    if whole:
+                        found = [(p, n, False) for p, n in storage.list_files(directory)]
+                    else:
+                        found = storage.children(directory)
+                    kept = [
+                        f for f in found if (f[2] or f[0].endswith(suffix)) and not _hidden(f[0], directory)
+                    ]
+                    columns = zip(*kept) if kept else ([], [], [])
+                    types = [pa.string(), pa.int64(), pa.bool_()]
+                    arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+                    yield pa.RecordBatch.from_arrays(arrays, ["path", "length", "open"])
+
+        return run
+
+    rows = spark.createDataFrame([(root.rstrip("/"), 0, True)], FOUND)
+    for _ in range(levels):
+        rows = rows.mapInArrow(step(whole=False), FOUND).repartition(tasks)
+    return rows.mapInArrow(step(whole=True), FOUND).select("path", "length")
+
+
+def list_stems(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     """File names below ``path``, cut at their first dot."""
-    return scan_files(spark, path, glob).select(file_stem("path").alias("stem"))
+    return list_root(spark, path, suffix).select(file_stem("path").alias("stem"))
 
 
 def with_file_keys(files: DataFrame, path: str = "path") -> DataFrame:
-    """Add the patch (parent directory) and the band that each path belongs to."""
+    """Add the patch (parent directory) and the band that each path belongs to.
+
+    Radar directories have names of their own, and names may repeat below several
+    roots: ``bind_to_catalog`` is what brings the sensors of a patch together.
+    """
     return files.withColumns({"patch": parent_directory(path), "band": band_of_file(path)})
 
 
@@ -100,6 +158,42 @@ def sensor_of(band: str) -> str:
     return "label" if band == LABEL else "s2"
 
 
+def bind_to_catalog(
+    catalog: DataFrame,
+    files: DataFrame,
+    keys: Sequence[str],
+    path: str = "path",
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``keys``, band and path of the files in the catalogue's directories.
+
+    The three directories of a patch become rows and meet the files by location,
+    whatever schemes the two sides are written with. A directory without a band file
+    keeps one row without a band, so ``gather_bands`` reports the patch. ``keep``
+    names columns of ``files`` to carry along.
+    """
+    band = band_of_file(path)
+    sensor = F.when(band.isin(*RADAR_BANDS), "s1").when(band == LABEL, "label").otherwise("s2")
+    located = files.where(is_pixel_file(path)).select(
+        location(directory_of(path)).alias("__directory"),
+        sensor.alias("__sensor"),
+        band.alias("band"),
+        F.col(path).alias("path"),
+        *keep,
+    )
+    sides = F.array(
+        *(
+            F.struct(F.lit(s).alias("sensor"), location(c).alias("directory"))
+            for s, c in SENSOR_PATHS.items()
+        )
+    )
+    patches = catalog.select(*keys, F.explode(sides).alias("__side"))
+    same = (patches["__side.directory"] == located["__directory"]) & (
+        patches["__side.sensor"] == located["__sensor"]
+    )
+    return patches.join(located, same, "left").select(*keys, "band", "path", *keep)
+
+
 def band_paths_by_name(catalog: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One path per patch and band, built from the naming rule; nothing is listed."""
     stem = {"s1": "s1_name", "s2": "patch_id", "label": "patch_id"}

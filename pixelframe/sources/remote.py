@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import quote
 
 import pyarrow.fs as pafs
 
@@ -18,7 +19,9 @@ class TaskStorage:
         uri = re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:/+", "file:///", uri)).rstrip("/")
         host = re.match(r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/]*)?", uri).group(0)
         if host not in self._clients:
-            client, inner = pafs.FileSystem.from_uri(uri)
+            # Names are taken as they stand; the client wants a URI, where a space is %20.
+            asked = quote(uri, safe=":/?=&@,+~") if "://" in uri else uri
+            client, inner = pafs.FileSystem.from_uri(asked)
             self._clients[host] = (client, uri.removesuffix(inner))
         client, prefix = self._clients[host]
         return client, prefix, uri.removeprefix(prefix)
@@ -33,6 +36,15 @@ class TaskStorage:
             if info.type == pafs.FileType.File
         ]
 
+    def children(self, directory: str) -> list[tuple[str, int, bool]]:
+        """(path, length, is a directory) of what lies right in ``directory``."""
+        client, prefix, inner = self._resolve(directory)
+        selector = pafs.FileSelector(inner, allow_not_found=True)
+        return [
+            (prefix + info.path, info.size or 0, info.type == pafs.FileType.Directory)
+            for info in client.get_file_info(selector)
+        ]
+
     def read(self, path: str) -> bytes | None:
         """Content of a file, None if there is no such file."""
         client, _, inner = self._resolve(path)
