@@ -169,6 +169,46 @@ def test_slim_catalog(spark, tmp_path):
     }
 
 
+def test_slim_catalog_rejects_other_schemes(spark, tmp_path):
+    def row(name, radar):
+        return (name, None, "train", None, "r", None, None, None, name, "r", radar, "s3://b/2/", "s3://b/l/")
+
+    rows = [row("good", "s3://b/1/"), row("other", "gs://b/1/"), row("none", None)]
+    spark.createDataFrame(rows, CATALOG).write.parquet(str(tmp_path / "catalog"))
+    jobs.slim_catalog_job(spark, str(tmp_path / "catalog"), str(tmp_path / "slim"))
+    assert [r.patch_id for r in spark.read.parquet(str(tmp_path / "slim")).collect()] == ["good"]
+    rejects = spark.read.parquet(jobs.rejects_path(str(tmp_path / "slim"))).collect()
+    assert {r.patch_id: r.reason for r in rejects} == {
+        "other": "s1_path lacks s3://",
+        "none": "s1_path is missing",
+    }
+
+
+def test_listed_inventory_binds_radar_directories(spark, store, catalog_path):
+    rows = tables.read_table(spark, catalog_path)
+    listed = files.list_root(spark, f"file://{store}")
+    assert listed.count() == 15 * N
+    assert files.list_root(spark, str(store), levels=0).count() == 15 * N
+    gathered = rasters.gather_bands(files.bind_to_catalog(rows, listed, ["patch_id"]), ["patch_id"])
+    decoded = rasters.decode_patches(gathered, ["patch_id"])
+    assert decoded.where("error IS NOT NULL").count() == 0 and decoded.count() == N
+    nothing = files.bind_to_catalog(rows, listed.where("false"), ["patch_id"])
+    rejected = rasters.decode_patches(rasters.gather_bands(nothing, ["patch_id"]), ["patch_id"])
+    assert rejected.where("error IS NOT NULL").count() == N
+
+
+def test_list_root_with_spaces_hidden_files_and_no_root(spark, tmp_path):
+    for name in ("a b/c%20d/e.tif", "a b/_temporary/f.tif", "a b/g.txt", ".h/i.tif", "j.tif"):
+        path = tmp_path / "root" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"xy")
+    for levels in (0, 1, 3):
+        found = files.list_root(spark, f"file://{tmp_path}/root", levels=levels, tasks=2).collect()
+        kept = {(r.path.split("/root/")[1], r.length) for r in found}
+        assert kept == {("a b/c%20d/e.tif", 2), ("j.tif", 2)}
+    assert files.list_root(spark, f"file://{tmp_path}/missing", tasks=2).count() == 0
+
+
 @pytest.fixture(scope="module")
 def damaged(spark, tmp_path_factory):
     """A store where patch 1 lacks a band, patch 2 its radar folder, patch 3 is catalogued twice."""
