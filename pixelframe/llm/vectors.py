@@ -9,8 +9,9 @@ many queries of a list likewise, so a task holds one block of each.
 
 Edge cases: null and zero vectors, those with null or non-finite components and
 those not of the table's most frequent length take no part; rows with the
-query's own id are not its candidates; equal scores go to the smaller id; where
-there are fewer candidates than asked for, all are returned.
+query's own id are not its candidates; a repeated row counts once, of rows with
+one id the best counts; equal scores go to the smaller id; where there are fewer
+candidates than asked for, all are returned.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ NEIGHBOURS, BEAM = 16, 24
 BOUNDARY, REPLICAS = 1.08, 4
 #: Share of the sample's true neighbours that the ratio must reach.
 REACH, TRIALS = 0.98, 400
-#: Rows that the lists of one query hold at least.
+#: Ids that the lists of one query hold at least.
 LEAST_ROWS = 400
 BLOCK_VECTORS, BLOCK_QUERIES = 4096, 1024
 FOUND = "query_id long, vec_id long, score double"
@@ -59,7 +60,7 @@ def vector_matrix(column: pa.Array) -> np.ndarray:
 
 
 def usable(table: DataFrame) -> DataFrame:
-    """(vec_id, vector) of the rows that take part, in double precision."""
+    """(vec_id, vector) of the distinct rows that take part, in double precision."""
     sizes = table.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).where("d > 0")
     most = sizes.orderBy(F.desc("n"), "d").first()
     if most is None:
@@ -67,7 +68,7 @@ def usable(table: DataFrame) -> DataFrame:
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
     fits = table.where((F.size("embedding") == most["d"]) & ~bad & some & F.col("vec_id").isNotNull())
-    return fits.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    return fits.select("vec_id", F.col("embedding").cast("array<double>").alias("vector")).dropDuplicates()
 
 
 def cluster(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
@@ -142,23 +143,24 @@ def lists_of(index: Index, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def fit(vectors: DataFrame, k: int, rows: int = SAMPLE, seed: int = 0) -> Index:
     """Centroids, their graph and the ratio, from a bounded sample."""
     total = vectors.count()
-    drawn = F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    drawn = F.pmod(F.xxhash64("vec_id", "vector", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     sample = vectors.where(drawn < min(1.0, rows / max(1, total))) if total > rows else vectors
-    table = sample.orderBy("vec_id").toArrow().combine_chunks()
+    table = sample.orderBy("vec_id", "vector").toArrow().combine_chunks()
+    v_ids = table["vec_id"].to_numpy()
     x = unit(vector_matrix(table["vector"].combine_chunks()))
     rng = np.random.default_rng(seed)
     centroids = cluster(x, max(1, min(MAX_CENTROIDS, int(np.ceil(np.sqrt(total))), len(x))), rng)
     index = Index(centroids, neighbour_graph(centroids, rng), 1.0, len(centroids))
     asked = rng.choice(len(x), min(TRIALS, len(x)), replace=False)
     similar = x[asked] @ x.T
-    similar[np.arange(len(asked)), asked] = -np.inf
+    similar[v_ids[asked][:, None] == v_ids[None, :]] = -np.inf
     wanted = np.argsort(-similar, axis=1, kind="stable")[:, : min(k, len(x) - 1)]
     ids, joined = lists_of(index, x)
     seen = np.maximum(0, 2 - 2 * (x[asked] @ centroids.T)) ** 0.5
     place = np.argsort(np.argsort(seen, axis=1, kind="stable"), axis=1, kind="stable")
     ratios, places = [1.0], [0]
     for q in range(len(asked)):
-        for v in wanted[q]:
+        for v in wanted[q][np.isfinite(similar[q, wanted[q]])]:
             reached = ids[v][joined[v]]
             ratios.append(float((seen[q, reached] / max(seen[q].min(), 1e-9)).min()))
             places.append(int(place[q, reached].min()))
@@ -191,7 +193,7 @@ def posting_rows(vectors: DataFrame, index: Index) -> DataFrame:
 def query_rows(queries: DataFrame, index: Index, sizes: np.ndarray) -> DataFrame:
     """(list, query_id, vector): every query in each list it reads.
 
-    Those within the ratio, and nearer ones until they hold ``LEAST_ROWS`` rows.
+    Those within the ratio, and nearer ones until they hold ``LEAST_ROWS`` ids.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,15 +217,20 @@ def query_rows(queries: DataFrame, index: Index, sizes: np.ndarray) -> DataFrame
 
 
 def best_of_block(q_ids: np.ndarray, q: np.ndarray, v_ids: np.ndarray, v: np.ndarray, k: int) -> list[np.ndarray]:
-    """(query, vector, score) of the k best of each query, scored one pair at a time.
+    """(query, vector, score) of the k best ids of each query, scored one pair at a time.
 
     The matrix product only preselects, with room for its rounding: equal vectors
-    must get equal scores wherever they stand.
+    must get equal scores wherever they stand. Of rows with one id the best counts.
     """
+    order = np.argsort(v_ids, kind="stable")
+    v_ids, v = v_ids[order], v[order]
+    starts = np.flatnonzero(np.r_[True, v_ids[1:] != v_ids[:-1]])
+    repeated = len(starts) < len(v_ids)
     rough = unit(q) @ unit(v).T
     rough[q_ids[:, None] == v_ids[None, :]] = -np.inf
-    keep = min(k, v.shape[0])
-    least = np.partition(rough, v.shape[0] - keep, axis=1)[:, v.shape[0] - keep]
+    by_id = np.maximum.reduceat(rough, starts, axis=1) if repeated else rough
+    keep = min(k, len(starts))
+    least = np.partition(by_id, len(starts) - keep, axis=1)[:, len(starts) - keep]
     row, at = np.nonzero((rough >= least[:, None] - 1e-9) & np.isfinite(rough))
     norm_q, norm_v = np.sqrt((q * q).sum(axis=1)), np.sqrt((v * v).sum(axis=1))
     score = np.empty(len(row))
@@ -232,6 +239,10 @@ def best_of_block(q_ids: np.ndarray, q: np.ndarray, v_ids: np.ndarray, v: np.nda
         score[a : a + (1 << 16)] = (q[r] * v[t]).sum(axis=1) / (norm_q[r] * norm_v[t])
     order = np.lexsort((v_ids[at], -score, row))
     row, at, score = row[order], at[order], score[order]
+    if repeated:
+        number = np.searchsorted(v_ids[starts], v_ids[at])
+        best = np.sort(np.unique(row * len(starts) + number, return_index=True)[1])
+        row, at, score = row[best], at[best], score[best]
     nth = np.arange(len(row)) - np.searchsorted(row, row)
     first = nth < k
     return [q_ids[row[first]], v_ids[at[first]], score[first]]
@@ -246,10 +257,11 @@ def neighbours(table: DataFrame, wanted: str, k: int = 5) -> DataFrame:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = fit(vectors, k)
     postings = store(posting_rows(vectors, index), "postings")
-    counts = postings.groupBy("list").agg(F.count(F.lit(1)).alias("rows"))
+    counts = postings.groupBy("list", "vec_id").agg(F.count(F.lit(1)).alias("rows"))
+    counts = store(counts.groupBy("list").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("ids")), "list-counts")
     sizes = np.zeros(len(index.centroids), np.int64)
     for r in counts.collect():  # a row per centroid, MAX_CENTROIDS at most
-        sizes[r["list"]] = r["rows"]
+        sizes[r["list"]] = r["ids"]
     asked = store(query_rows(queries, index, sizes), "list-queries")
     blocks = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).alias("qb")).join(
         counts.select("list", F.ceil(F.col("rows") / BLOCK_VECTORS).alias("vb")), "list"
@@ -259,7 +271,7 @@ def neighbours(table: DataFrame, wanted: str, k: int = 5) -> DataFrame:
     def dealt(rows: DataFrame, own: str, other: str, kind: int) -> DataFrame:
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other)
         placed = rows.join(blocks, "list").select(
-            "list", F.pmod(F.xxhash64("vec_id"), F.col(own)).alias("own"), every, "vec_id", "vector"
+            "list", F.pmod(F.xxhash64("vec_id", "vector"), F.col(own)).alias("own"), every, "vec_id", "vector"
         )
         return placed.select("list", F.col("own").alias(own), other, F.lit(kind).alias("kind"), "vec_id", "vector")
 
@@ -278,7 +290,8 @@ def neighbours(table: DataFrame, wanted: str, k: int = 5) -> DataFrame:
     keys = ["list", "qb", "vb"]
     found = both.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(rows, FOUND)
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(by_query))
+    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    ranked = best.withColumn("rank", F.row_number().over(by_query))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -127,6 +127,23 @@ def test_vectors(spark):
     assert vectors.neighbours(table.limit(0), "vec_id = 0").count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 5, 600])
+def test_repeated_vectors(spark, copies):
+    """Repeats of a near row take one place; of rows with one id the best counts."""
+    x = np.random.default_rng(5).normal(size=(200, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(1, (x[0] + 0.01).tolist())] * copies + [(2, (x[0] + 0.001 * (j + 1)).tolist()) for j in range(7)] + [rows[0]] * 3
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    score = {}
+    for i, v in rows:
+        found = float(np.dot(v, x[0]) / np.linalg.norm(v) / np.linalg.norm(x[0]))
+        score[i] = max(score.get(i, -1), found)
+    best = sorted(set(score) - {0}, key=lambda i: (-score[i], i))[:5]
+    got = sorted(vectors.neighbours(table, "vec_id = 0").collect(), key=lambda r: r["rank"])
+    assert [r.vec_id for r in got] == best and [r["rank"] for r in got] == [1, 2, 3, 4, 5]
+    assert all(abs(r.score - score[r.vec_id]) < 1e-12 for r in got)
+
+
 def test_recall(spark):
     rows = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").select("vec_id", "embedding").collect()
     ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
