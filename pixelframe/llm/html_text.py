@@ -7,7 +7,8 @@ blocks are main text.
 
 Edge cases: a null or empty html has an empty text; comments, scripts, styles
 and a tag that the end of the page cuts off give no text, unclosed tags are
-closed by the page's end; repeated rows are separate pages.
+closed by the page's end, but of unseen elements only script, style and title
+reach that far; repeated rows are separate pages.
 """
 
 from __future__ import annotations
@@ -24,11 +25,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pixelframe.llm.common import load
 from pixelframe.llm.registry import query
 
-#: Elements whose content is never text of the page.
-_UNSEEN = "script|style|title|noscript|template|svg|math|iframe|object|canvas|audio|video|select|textarea|button"
+#: Elements whose content is never text of the page; without an end tag, only the sealed ones run to its end.
+_UNSEEN = frozenset(
+    "script style title noscript template svg annotation annotation-xml iframe object canvas audio video select"
+    " textarea button".split()
+)
+_SEALED = frozenset("script style title".split())
+_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in _UNSEEN}
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_UNSEEN})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z",
     re.S | re.I,
 )
@@ -80,6 +85,7 @@ def blocks_of(page: str) -> list[Block]:
     text: list[str] = []
     links: list[str] = []
     link, heading, at = False, False, 0
+    endless: set[str] = set()
 
     def add(raw: str) -> None:
         decoded = references.unescape(raw)
@@ -96,14 +102,22 @@ def blocks_of(page: str) -> list[Block]:
         text.clear()
         links.clear()
 
-    for token in _TOKEN.finditer(page):
+    while token := _TOKEN.search(page, at):
         if token.start() > at:
             add(page[at : token.start()])
         at = token.end()
-        closing, tag, attributes = token[2] or token[5], token[3] or token[6], token[4] or token[7] or ""
+        closing, tag, attributes = token[1] or token[4], token[2] or token[5], token[3] or token[6] or ""
         if not tag:
             continue
         tag = tag.lower()
+        if tag in _UNSEEN and not closing and (not attributes or attributes[0] in "/ \t\n\r\f"):
+            if tag in _SEALED or not (attributes.endswith("/") or tag in endless):
+                end = _ENDS[tag].search(page, at)
+                if end or tag in _SEALED:
+                    at = end.end() if end else len(page)
+                else:
+                    endless.add(tag)
+            continue
         if tag == "a":
             link = not closing
         elif tag in ("br", "img", "input"):

@@ -72,6 +72,24 @@ def test_html_pieces():
     assert html_text.blocks_of("<p>&#x41;&amp")[0].text == "A&"
 
 
+def test_html_unseen():
+    tree = html_text.trained_tree()
+    story = "Some words of the story stand here. " * 4
+    for tag in (
+        "<svg-icon></svg-icon>", "<video-player>", "<button-group>x</button-group>", "<title-bar/>", "<svg width=5 />", "<svg/>",
+        "<button>", "<video src='a>b'>", "<svg viewBox='0 0 1 1'><path d='M0'/></svg >", "<iframe src=x />", "<SVG/>",
+    ):
+        for rest in ("", "<p>Last</p>"):
+            got = html_text.main_text(f"<article><p>First</p>{tag}<p>{story}</p>{rest}</article>", tree)
+            assert story.strip() in got and got.startswith("First") and got.endswith("Last" if rest else "here."), tag
+    later = f"<article><svg-icon></svg-icon><svg/><p>{story}</p><svg><text>no</text></svg><p>{story}</p></article>"
+    assert html_text.main_text(later, tree) == "\n\n".join([story.strip()] * 2)
+    for open_tag in ("<script>", "<style>", "<title>", "<script src='/a/'/>"):
+        assert html_text.main_text(f"<article><p>First</p>{open_tag}<p>{story}", tree) == "First"
+    formula = "<math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding=tex>x=2</annotation></semantics></math>"
+    assert html_text.main_text(f"<article><p>So {formula} holds.</p></article>", tree) == "So x=2 holds."
+
+
 def test_html_table(spark):
     rows = [(1, "u", None, "s"), (2, None, "", "s"), (3, "u", "<article><p>é one</p></article>", "s")] * 2
     got = html_text.extract_text(spark.createDataFrame(rows, PAGES)).collect()
