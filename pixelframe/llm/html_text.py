@@ -45,6 +45,10 @@ _BLOCKS = frozenset(
 #: Elements that hold other blocks, and so pass on what they are.
 _CONTAINERS = _BLOCKS - frozenset("body head hr html p h1 h2 h3 h4 h5 h6 option".split())
 _AROUND = frozenset("nav footer aside form menu dialog fieldset".split())
+#: Of these, those that never hold a page as a whole.
+_ALWAYS_AROUND = _AROUND - {"form", "fieldset"}
+#: A block of so many words, less than half of them links, is text.
+TEXT_WORDS = 15
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ARTICLE = frozenset("article main".split())
 #: Words of class, id and role that mark what surrounds an article, and the article itself.
@@ -78,9 +82,35 @@ def _marks(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
     return bool(pieces & _AROUND_WORDS), bool(pieces & _ARTICLE_WORDS)
 
 
+def _outside(stack: list[tuple[str, bool, bool]]) -> int | None:
+    """How many marks stand around the innermost article; None where it holds marks or has no say.
+
+    Marks that never hold a page as a whole, such as that of an aside, stay as they are.
+    """
+    own = max((k for k, s in enumerate(stack) if s[2] and not s[1]), default=None)
+    if own is None or any(s[1] for s in stack[own:]) or any(s[1] and s[0] in _ALWAYS_AROUND for s in stack[:own]):
+        return None
+    return sum(s[1] for s in stack[:own])
+
+
+def _released(blocks: list[Block], outside: list[int | None]) -> list[Block]:
+    """``blocks`` without the marks around the articles that stand in the fewest.
+
+    A wrapper of the whole page says nothing about its article; articles in more
+    marks than others, such as comments or teasers, keep them.
+    """
+    counted = [(b, n) for b, n in zip(blocks, outside, strict=True) if n is not None]
+    texts = [n for b, n in counted if b.words >= TEXT_WORDS and b.linked < 0.5]
+    least = min(texts or [n for _, n in counted], default=0)
+    return [
+        b._replace(around=False) if n is not None and n <= least else b for b, n in zip(blocks, outside, strict=True)
+    ]
+
+
 def blocks_of(page: str) -> list[Block]:
     """The flat text blocks of a page, in order."""
     found: list[Block] = []
+    outside: list[int | None] = []
     stack: list[tuple[str, bool, bool]] = []
     text: list[str] = []
     links: list[str] = []
@@ -99,6 +129,7 @@ def blocks_of(page: str) -> list[Block]:
             linked = len("".join(links).split()) / len(words)
             around, article = (any(s[k] for s in stack) for k in (1, 2))
             found.append(Block(" ".join(words), len(words), linked, around, article, heading))
+            outside.append(_outside(stack))
         text.clear()
         links.clear()
 
@@ -139,7 +170,7 @@ def blocks_of(page: str) -> list[Block]:
     if at < len(page):
         add(page[at:])
     end_block()
-    return found
+    return _released(found, outside)
 
 
 def features(blocks: list[Block]) -> np.ndarray:

@@ -90,6 +90,25 @@ def test_html_unseen():
     assert html_text.main_text(f"<article><p>So {formula} holds.</p></article>", tree) == "So x=2 holds."
 
 
+def test_html_wrappers():
+    """What wraps the only article does not mark it; marks in it, and around other articles, do."""
+    tree = html_text.trained_tree()
+    story = ("word " * 30).strip()
+    inner = f"<h1>Title</h1><p>{story}</p><div class=ad>Buy this now</div><p>{story}</p>"
+    inner += f"<section class=comments><article><p>reader {story}</p></article></section>"
+    beside = f"<aside><article><p>teaser {story}</p></article></aside><div class=sidebar><article><p>more {story}</p></article></div>"
+    want = f"Title\n\n{story}\n\n{story}"
+    for before, after in (
+        ("", ""), ('<div class="layout has-sidebar">', "</div>"), ("<form id=aspnetForm><fieldset>", "</fieldset></form>"),
+        ("<main><div class=has-sidebar>", "</div></main>"), ("<form><div class='page with-sidebar'><main>", "</main></div></form>"),
+    ):
+        for own in ("article", "main", "div class=article-body"):
+            page = f"<body>{before}<nav><p>Menu of {story}</p></nav><{own}>{inner}</{own.split()[0]}>{beside}{after}</body>"
+            assert html_text.main_text(page, tree) == want, (before, own)
+    unmarked = f"<main><h1>Title</h1><p>{story}</p><section class=comments><article><p>reader {story}</p></article></section></main>"
+    assert html_text.main_text(unmarked, tree) == f"Title\n\n{story}"
+
+
 def test_html_table(spark):
     rows = [(1, "u", None, "s"), (2, None, "", "s"), (3, "u", "<article><p>é one</p></article>", "s")] * 2
     got = html_text.extract_text(spark.createDataFrame(rows, PAGES)).collect()
