@@ -4,11 +4,13 @@ A text is the average of the embeddings of its character n-grams, which stay
 within words and their edges and are hashed into a fixed table. Embeddings and
 softmax are trained by stochastic gradient descent in numpy on a bounded sample
 of labelled texts; part of the sample is held back to set the temperature of the
-scores and the score below which a document is rejected. As all is linear,
-tasks carry one table of n-gram logits.
+scores and the bounds of rejection. A document is rejected by its score or by its
+evidence, the mean log share of its n-grams in the learned texts, whatever the
+number of languages. As all is linear, tasks carry one table of n-gram logits.
 
 Edge cases: a null text and one without letters are ``und`` with score 0; so is
-everything where no row is labelled. Only the text is an input of a prediction.
+everything where no row is labelled. Where there are too few labelled rows to hold
+some back, only what is below chance is rejected. Only the text is an input of a prediction.
 """
 
 from __future__ import annotations
@@ -33,8 +35,6 @@ ROWS_PER_LANGUAGE = 500
 EPOCHS, RATE = 12, 0.5
 #: Share of the sample that sets temperature and rejection, and of it that may be rejected.
 HELD_BACK, REJECTED = 0.25, 0.0005
-#: A score from here on is never rejected.
-SURE = 0.4
 
 
 class Model(NamedTuple):
@@ -45,6 +45,9 @@ class Model(NamedTuple):
     temperature: float
     #: Scores below are rejected.
     threshold: float
+    #: Log share, in the learned texts, of each bucket, and the mean below which a text is rejected.
+    familiar: np.ndarray
+    least_familiar: float
 
 
 def letter_table() -> np.ndarray:
@@ -173,10 +176,11 @@ def fit(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE, seed: int = 0) -> Model
         # an average spreads its gradient thin; the rows are moved by their share, scaled up
         embeddings[buckets] -= np.outer(rate * np.minimum(1, shares * len(shares)), back_mean)
     # n-grams that no sampled text holds say nothing, so foreign texts score near the uniform
-    seen = np.zeros((BUCKETS, 1), bool)
+    mass = np.zeros(BUCKETS)
     for i in learn:
-        seen[bags[i][0]] = True
-    table = np.where(seen, embeddings @ weights, 0)
+        mass[bags[i][0]] += bags[i][1]
+    table = np.where(mass[:, None] > 0, embeddings @ weights, 0)
+    familiar = np.log((mass + 1 / BUCKETS) / (len(learn) + 1))
     parts = [bags[i] for i in check]
     logits = np.array([s @ table[b] + bias for b, s in parts])
     truth = np.array([target[names[i]] for i in check])
@@ -184,8 +188,14 @@ def fit(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE, seed: int = 0) -> Model
     loss = [-np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in grid]
     temperature = float(grid[int(np.argmin(loss))])
     scores = _softmax(logits / temperature).max(axis=1)
-    threshold = float(min(SURE, np.quantile(scores, REJECTED)))
-    return Model(languages, table.astype(np.float32), bias, temperature, threshold)
+    evidence = np.array([s @ familiar[b] for b, s in parts])
+
+    def bound(chance: float, known: np.ndarray) -> float:
+        """Halfway from what an unlearned text has by chance to what nearly all held-back texts reach."""
+        return float((chance + np.quantile(known, REJECTED)) / 2 if back else chance)
+
+    threshold, least = bound(1 / len(languages), scores), bound(familiar.mean(), evidence)
+    return Model(languages, table.astype(np.float32), bias, temperature, threshold, familiar.astype(np.float32), least)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -193,7 +203,11 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
     Columns that already have these names are replaced.
     """
-    docs = docs.drop("lang_pred", "score")
+    return _judged(docs.drop("lang_pred", "score"), model).drop("_known")
+
+
+def _judged(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` and ``_known``: that neither bound rejects it."""
     names = model.languages if model else []
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,25 +215,27 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             for row, to, data, limits in text_chunks(batch, "text"):
                 n = to - row
-                best, score = np.full(n, -1), np.zeros(n)
+                best, score, known = np.full(n, -1), np.zeros(n), np.zeros(n, bool)
                 if names:
-                    total, count = np.zeros((n, len(names))), np.zeros(n)
+                    total, count, evidence = np.zeros((n, len(names))), np.zeros(n), np.zeros(n)
                     for document, bucket in ngrams(lowered(data, limits), letters):
                         count += np.bincount(document, minlength=n)
+                        evidence += np.bincount(document, model.familiar[bucket], n)
                         for k in range(len(names)):
                             total[:, k] += np.bincount(document, model.table[:, k][bucket], n)
                     some = count > 0
                     logits = total[some] / count[some, None] + model.bias
                     chance = _softmax(logits / model.temperature)
                     best[some], score[some] = chance.argmax(axis=1), chance.max(axis=1)
+                    known[some] = (score[some] >= model.threshold) & (evidence[some] / count[some] >= model.least_familiar)
                 lang = [names[b] if b >= 0 else UNKNOWN for b in best]
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(row, n) for c in batch.columns), pa.array(lang, pa.string()), pa.array(score)],
-                    [*batch.schema.names, "lang_pred", "score"],
+                    [*(c.slice(row, n) for c in batch.columns), pa.array(lang, pa.string()), pa.array(score), pa.array(known)],
+                    [*batch.schema.names, "lang_pred", "score", "_known"],
                 )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(rows, f"{kinds}, lang_pred string, score double")
+    return docs.mapInArrow(rows, f"{kinds}, lang_pred string, score double, _known boolean")
 
 
 def held_out() -> Column:
@@ -232,12 +248,12 @@ def fit_rows(docs: DataFrame) -> DataFrame:
 
 
 def keep_recognised(docs: DataFrame) -> DataFrame:
-    """``docs`` without those that have no language or a score below the threshold."""
+    """``docs`` without those that have no language or that a bound of the model rejects."""
     model = fit(fit_rows(docs))
-    least = model.threshold if model else 0.0
-    found = predict(docs.withColumnsRenamed({"lang_pred": "_lang_pred", "score": "_score"}), model)
-    accepted = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least) if model else F.lit(True)
-    return found.where(accepted).drop("lang_pred", "score").withColumnsRenamed({"_lang_pred": "lang_pred", "_score": "score"})
+    found = _judged(docs.withColumnsRenamed({"lang_pred": "_lang_pred", "score": "_score"}), model)
+    accepted = F.col("_known") if model else F.lit(True)
+    kept = found.where(accepted).drop("lang_pred", "score", "_known")
+    return kept.withColumnsRenamed({"_lang_pred": "lang_pred", "_score": "score"})
 
 
 @query("op1_language_id")

@@ -203,6 +203,17 @@ def test_language(spark, documents):
     assert [r.lang_pred for r in language.predict(unlabelled, language.fit(unlabelled)).collect()] == ["und"]
 
 
+@pytest.mark.parametrize("count", [1, 2, 4])
+def test_unlearned_language(spark, documents, count):
+    rng = random.Random(9)
+    learned = ["abcdefghij", "klmnopqrst", "αβγδεζηθικ", "àáâãäåæçèé"][:count]
+    text = lambda letters: " ".join("".join(rng.choices(letters, k=5)) for _ in range(30))
+    rows = [(i, text(learned[i % count]), f"l{i % count}", "s") for i in range(50 * count)]
+    foreign = [(1000 + i, text(letters), None, "s") for i, letters in enumerate(["абвгдежзик", "uvwxyz", "אבגדהוזחטי"] * 5)]
+    kept = {r.doc_id for r in language.keep_recognised(documents(rows + foreign)).collect()}
+    assert kept == {r[0] for r in rows}
+
+
 def test_empty_tables(spark, documents):
     docs = documents([])
     bench = spark.createDataFrame([], "item_id long, text string")
