@@ -1,4 +1,4 @@
-"""Approximate nearest neighbours with balanced posting lists.
+"""Approximate nearest neighbours with posting lists, whose work is dealt in blocks.
 
 Centroids are fitted on a bounded sample and searched by a graph that every
 task holds. Each vector joins the list of its nearest centroid and, near a
