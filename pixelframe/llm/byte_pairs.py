@@ -29,6 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
@@ -39,9 +40,9 @@ from pixelframe.llm.registry import query
 #: A vocabulary is sent to every task; beyond this size it is refused.
 VOCABULARY_BYTES = 64 << 20
 #: Merged pieces of each of two generations that a worker remembers, and the longest piece among them.
-REMEMBERED, REMEMBERED_BYTES = 300_000, 64
-#: Characters of text that are encoded at once; a longer text is a chunk of its own.
-CHUNK_CHARS = 1 << 22
+REMEMBERED, REMEMBERED_BYTES = 200_000, 64
+#: Bytes of text or ids that are worked on at once; longer ones are a chunk of their own.
+CHUNK_BYTES = 1 << 20
 BUCKET_KEYS = 4
 
 
@@ -107,7 +108,7 @@ class Vocabulary(NamedTuple):
     ids: np.ndarray
     pattern: str
     late: str
-    merged: list[dict[bytes, list[int]]]
+    merged: list[dict[bytes, bytes]]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -220,11 +221,11 @@ class Encoder:
         self.ranks = dict(zip(words.tokens, words.ids.tolist(), strict=True))
         self.longest = max(map(len, words.tokens))
 
-    def _miss(self, piece: bytes) -> list[int]:
+    def _miss(self, piece: bytes) -> bytes:
         young, old = self.table.merged
         found = young.get(piece)
         if found is None:
-            found = old.get(piece) or merged(piece, self.ranks, self.longest)
+            found = old.get(piece) or np.array(merged(piece, self.ranks, self.longest), "<u4").tobytes()
             if len(piece) <= REMEMBERED_BYTES:
                 if len(young) >= REMEMBERED:
                     self.table.merged[:] = {}, young
@@ -248,12 +249,12 @@ class Encoder:
         tokens = self.table.tokens
         hit = np.array([tokens[s] == d for s, d in zip(slots.tolist(), distinct, strict=True)])
         size, first = np.ones(len(distinct), np.int64), np.arange(len(distinct))
-        extra: list[int] = []
+        extra, after = [], len(distinct)
         for k in np.flatnonzero(~hit).tolist():
-            found = self._miss(distinct[k])
-            size[k], first[k] = len(found), len(distinct) + len(extra)
-            extra.extend(found)
-        flat = np.concatenate([self.table.ids[slots], np.array(extra, np.uint32)])
+            extra.append(self._miss(distinct[k]))
+            size[k], first[k] = len(extra[-1]) // 4, after
+            after += len(extra[-1]) // 4
+        flat = np.concatenate([self.table.ids[slots], np.frombuffer(b"".join(extra), "<u4")])
         at = np.concatenate(parts)
         lengths = size[at]
         ends = np.cumsum(lengths)
@@ -266,15 +267,14 @@ def _carried(df: DataFrame, keep: Sequence[str], added: str) -> StructType:
     return StructType([df.schema[c] for c in keep] + [StructField(added, BinaryType())])
 
 
-def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    start = size = 0
-    for k, text in enumerate(texts):
-        if size and size + len(text) > CHUNK_CHARS:
-            yield start, k
-            start, size = k, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose last column, binary, has some ``CHUNK_BYTES`` together."""
+    size = pc.binary_length(batch.column(batch.num_columns - 1)).fill_null(0).to_numpy(zero_copy_only=False)
+    of = (np.cumsum(size) - size) // CHUNK_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(batch)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if a < b:
+            yield batch.slice(a, b - a)
 
 
 def encode(df: DataFrame, words: Vocabulary, keep: Sequence[str], text: str = "text", ids: str = "ids") -> DataFrame:
@@ -284,12 +284,10 @@ def encode(df: DataFrame, words: Vocabulary, keep: Sequence[str], text: str = "t
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(sent.value)
         for batch in batches:
-            raw = batch.column(batch.num_columns - 1).to_pylist()
-            texts = [b.decode("utf-8", "replace") if b else "" for b in raw]
-            for a, b in _chunks(texts):
-                part = batch.slice(a, b - a)
-                packed = pa.array(encoder(texts[a:b]), pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], packed], [*keep, ids])
+            for part in _chunks(batch):
+                raw = part.column(part.num_columns - 1).to_pylist()
+                packed = encoder([b.decode("utf-8", "replace") if b else "" for b in raw])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(packed, pa.binary())], [*keep, ids])
 
     plain = df.select(*keep, F.col(text).cast("binary").alias("\0text"))
     return plain.mapInArrow(rows, _carried(df, keep, ids))
@@ -302,11 +300,10 @@ def decode(df: DataFrame, words: Vocabulary, keep: Sequence[str], ids: str = "id
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = dict(zip(sent.value.ids.tolist(), sent.value.tokens, strict=True))
         for batch in batches:
-            texts = [
-                b"".join(map(table.__getitem__, np.frombuffer(b or b"", "<u4").tolist()))
-                for b in batch.column(batch.num_columns - 1).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.binary())], [*keep, decoded])
+            for part in _chunks(batch):
+                raw = part.column(part.num_columns - 1).to_pylist()
+                texts = [b"".join(map(table.__getitem__, np.frombuffer(b or b"", "<u4").tolist())) for b in raw]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.binary())], [*keep, decoded])
 
     return df.select(*keep, F.col(ids).alias("\0ids")).mapInArrow(rows, _carried(df, keep, decoded))
 

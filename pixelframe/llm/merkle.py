@@ -29,9 +29,8 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from pixelframe.llm.common import load, store
+from pixelframe.llm.common import load, ranked, store
 from pixelframe.llm.registry import query
 
 FANOUT = 2
@@ -93,23 +92,6 @@ def leaf_hash(fields: Sequence[str | Column]) -> Column:
     return F.unhex(F.sha2(F.concat(*parts).cast("binary"), 256))
 
 
-def ranked(df: DataFrame, group: str, order: Sequence[str], name: str) -> DataFrame:
-    """``df`` with ``rank``, from 0 in its group, nulls first; ranges are numbered apart and summed up."""
-    by = [F.col(group).asc_nulls_first(), *(F.col(c).asc_nulls_first() for c in order)]
-    spread = df.withColumn("_row", F.monotonically_increasing_id())  # equal rows need not share a range
-    dealt = spread.repartitionByRange(*by, "_row").sortWithinPartitions(*by, "_row").drop("_row")
-    nth = F.monotonically_increasing_id()
-    placed = store(dealt.withColumn("_part", F.shiftright(nth, 33)).withColumn("_nth", nth), f"{name}-sorted")
-    spans = placed.groupBy(F.col(group).alias("_group"), F.col("_part").alias("_of")).agg(
-        F.min("_nth").alias("_low"), F.count(F.lit(1)).alias("_rows")
-    )
-    before = Window.partitionBy("_group").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
-    starts = store(spans.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0))), f"{name}-starts")
-    same = placed[group].eqNullSafe(F.col("_group")) & (placed["_part"] == F.col("_of"))
-    joined = placed.join(starts, same).withColumn("rank", F.col("_start") + F.col("_nth") - F.col("_low"))
-    return joined.select(*df.columns, "rank")
-
-
 def page_records(nodes: list[bytes], levels: int, fanout: int) -> tuple[bytes, dict[bytes, list[bytes]]]:
     """The node that ``levels`` levels above ``nodes`` end in, and what each node on the way is made of."""
     records = {}
