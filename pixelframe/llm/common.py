@@ -17,6 +17,10 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BROADCAST_BYTES = 32 << 20
 
 
+#: Holds the columns of a table that an operator carries along.
+ASIDE = "columns set aside"
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -59,15 +63,35 @@ def fingerprint(text: str | Column) -> Column:
     return F.xxhash64(text)
 
 
-def same_row(docs: DataFrame) -> Column:
-    """Joins ``docs`` to keys (_id, _print) of its rows; a null id equals a null id."""
-    return docs["doc_id"].eqNullSafe(F.col("_id")) & (fingerprint(docs["text"]) == F.col("_print"))
+def same_row(docs: DataFrame, keys: DataFrame) -> Column:
+    """Joins ``docs`` to ``keys`` (_id, _print) of its rows; a null id equals a null id."""
+    return docs["doc_id"].eqNullSafe(keys["_id"]) & (fingerprint(docs["text"]) == keys["_print"])
 
 
 def without_repeats(docs: DataFrame, repeated: DataFrame) -> DataFrame:
     """``docs`` with one row for each key in ``repeated`` (_id, _print); only those rows move."""
-    once = docs.join(repeated, same_row(docs), "left_anti")
-    return once.unionByName(docs.join(repeated, same_row(docs), "left_semi").dropDuplicates(["doc_id", "text"]))
+    once = docs.join(repeated, same_row(docs, repeated), "left_anti")
+    again = docs.join(repeated, same_row(docs, repeated), "left_semi")
+    return once.unionByName(again.dropDuplicates(["doc_id", "text"]))
+
+
+def set_aside(docs: DataFrame, used: Sequence[str]) -> DataFrame:
+    """The columns ``used`` that ``docs`` has, and all others in one whose name no operator uses."""
+    others = [quoted(c) for c in docs.columns if c not in used]
+    aside = [F.struct(*others).alias(ASIDE)] if others else []
+    return docs.select(*(c for c in used if c in docs.columns), *aside)
+
+
+def put_back(df: DataFrame, docs: DataFrame, own: DataFrame, added: Sequence[str] = ()) -> DataFrame:
+    """The columns of ``docs`` in their order, from ``df``, made of ``own``; then ``added``, which replace those of their name."""
+    columns = [
+        F.col(quoted(c)) if c in own.columns else F.col(quoted(ASIDE)).getField(c).alias(c) for c in docs.columns if c not in added
+    ]
+    return df.select(*columns, *added)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def root_of(n: int) -> int:

@@ -26,9 +26,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelframe.llm.common import components, fingerprint, hinted, load, same_row, store, without_repeats
+from pixelframe.llm.common import (
+    components,
+    fingerprint,
+    hinted,
+    load,
+    put_back,
+    same_row,
+    set_aside,
+    store,
+    without_repeats,
+)
 from pixelframe.llm.registry import query
-from pixelframe.llm.tokens import Powers, Words, list_column, signed, word_chunks
+from pixelframe.llm.tokens import Words, list_column, new_key, signed, word_chunks
 
 CLASS_BITS = 18
 #: Bins of the histogram of a set, doubled while a set holds more than so many shingles a bin.
@@ -57,14 +67,14 @@ def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     return document[order], values[order]
 
 
-def class_ranks(docs: DataFrame, width: int) -> np.ndarray:
+def class_ranks(docs: DataFrame, width: int, key: int) -> np.ndarray:
     """Rank of each hash class by its number of shingles in the whole corpus, rarest first."""
     shift = np.uint64(64 - CLASS_BITS)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, counts = Powers(), np.zeros(1 << CLASS_BITS, np.int64)
+        counts = np.zeros(1 << CLASS_BITS, np.int64)
         for batch in batches:
-            for _, _, words in word_chunks(batch, "text", True, powers):
+            for _, _, words in word_chunks(batch, "text", True, key):
                 _, values = shingles(words, width)
                 counts += np.bincount((values >> shift).astype(np.int64), minlength=len(counts))
         used = np.flatnonzero(counts)
@@ -97,13 +107,12 @@ def bin_count(n: int) -> int:
     return bins
 
 
-def set_facts(docs: DataFrame, width: int, percent: int, ranks: np.ndarray) -> DataFrame:
+def set_facts(docs: DataFrame, width: int, percent: int, ranks: np.ndarray, key: int) -> DataFrame:
     """(doc_id, print, n, digest, prefix, bins) of every document."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         for batch in batches:
-            for row, to, words in word_chunks(batch, "text", True, powers):
+            for row, to, words in word_chunks(batch, "text", True, key):
                 size, digest, prefix, cut, bins = [], [], [], [], []
                 for s in document_sets(words, width, ranks, to - row):
                     least = (percent * len(s) + 99) // 100
@@ -293,14 +302,13 @@ def exact_edges(sets: DataFrame, keys: list[str], percent: int) -> DataFrame:
     return sets.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(rows, EDGES).distinct()
 
 
-def set_rows(docs: DataFrame, chosen: DataFrame, width: int, ranks: np.ndarray) -> DataFrame:
+def set_rows(docs: DataFrame, chosen: DataFrame, width: int, ranks: np.ndarray, key: int) -> DataFrame:
     """``chosen`` with the whole sets (``keys``) of its documents, formed anew from the texts."""
     carried = [f.name for f in chosen.schema.fields]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         for batch in batches:
-            for row, to, words in word_chunks(batch, "text", True, powers):
+            for row, to, words in word_chunks(batch, "text", True, key):
                 keys = [s.tobytes() for s in document_sets(words, width, ranks, to - row)]
                 columns = [batch.column(c).slice(row, to - row) for c in carried]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(keys, pa.binary())], [*carried, "keys"])
@@ -311,7 +319,9 @@ def set_rows(docs: DataFrame, chosen: DataFrame, width: int, ranks: np.ndarray)
     return joined.select(*carried, "text").mapInArrow(rows, f"{schema}, keys binary")
 
 
-def verified_edges(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int, percent: int, ranks: np.ndarray) -> DataFrame:
+def verified_edges(
+    docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int, percent: int, ranks: np.ndarray, key: int
+) -> DataFrame:
     """(a, b): links that connect what is connected, within each candidate component.
 
     A component too large for one task is compared block by block, each with the
@@ -322,7 +332,7 @@ def verified_edges(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width:
     weight = members.groupBy("component").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("count"))
     weight = store(weight, "component-weights")
     chosen = store(members.join(weight, "component"), "component-members")
-    sets = store(set_rows(docs, chosen, width, ranks), "component-sets")
+    sets = store(set_rows(docs, chosen, width, ranks, key), "component-sets")
     small = sets.where(F.col("weight") <= BLOCK_SHINGLES)
     edges = store(exact_edges(small.select("component", "doc_id", "keys"), ["component"], percent), "component-links")
     large = sets.where(F.col("weight") > BLOCK_SHINGLES)
@@ -357,14 +367,15 @@ def verified_edges(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width:
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, print, n_shingles, component_id) of every document."""
-    ranks = class_ranks(docs, width)
-    facts = store(set_facts(docs, width, percent, ranks), "set-facts")
+    key = new_key()
+    ranks = class_ranks(docs, width, key)
+    facts = store(set_facts(docs, width, percent, ranks, key), "set-facts")
     full = facts.where("n > 0 and doc_id is not null")
     row = F.struct("doc_id", "print", "n", "prefix", "bins")
     nodes = store(full.groupBy("digest").agg(F.min_by(row, "doc_id").alias("r")).select("digest", "r.*"), "set-nodes")
     edges = candidate_edges(store(index_entries(nodes), "index-entries"), nodes, percent)
     groups = components(store(edges, "candidate-edges"), "candidates")
-    found = components(verified_edges(docs, nodes, groups, width, percent, ranks), "links")
+    found = components(verified_edges(docs, nodes, groups, width, percent, ranks, key), "links")
     heads = nodes.select("digest", F.col("doc_id").alias("head"))
     heads = heads.join(found, heads["head"] == found["node"], "left")
     heads = store(heads.select("digest", F.coalesce("component", "head").alias("component_id")), "set-heads")
@@ -379,13 +390,14 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
     Rows without an id or without words stay; of repeated rows of an id one stays.
     """
-    found = store(near_duplicates(docs, width, percent), "near-duplicates")
+    own = set_aside(docs, ["doc_id", "text"])
+    found = store(near_duplicates(own, width, percent), "near-duplicates")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("print").alias("_print")).distinct()
-    gone = store(gone, "near-gone")
-    kept = docs.join(hinted(gone, 16), same_row(docs), "left_anti")
+    gone = hinted(store(gone, "near-gone"), 16)
+    kept = own.join(gone, same_row(own, gone), "left_anti")
     repeated = found.where("n_shingles > 0").groupBy("doc_id", "print").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     repeated = store(repeated.select(F.col("doc_id").alias("_id"), F.col("print").alias("_print")), "near-repeated")
-    return without_repeats(kept, hinted(repeated, 16))
+    return put_back(without_repeats(kept, hinted(repeated, 16)), docs, own)
 
 
 OP10_SQL = r"""

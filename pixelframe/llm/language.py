@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from pixelframe.llm.common import fingerprint, hinted, load, store
+from pixelframe.llm.common import fingerprint, hinted, load, put_back, set_aside, store
 from pixelframe.llm.registry import query
 from pixelframe.llm.tokens import list_column, text_chunks
 
@@ -199,15 +200,12 @@ def fit(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE, seed: int = 0) -> Model
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, from whole texts alone.
+    """``docs`` with ``lang_pred``, ``score`` and ``rejected``, from whole texts alone.
 
-    Columns that already have these names are replaced.
+    ``rejected`` tells that a text has no language or that one of the model's
+    bounds rules it out. Columns that already have these names are replaced.
     """
-    return _judged(docs.drop("lang_pred", "score"), model).drop("_known")
-
-
-def _judged(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``_known``: that neither bound rejects it."""
+    docs = docs.drop("lang_pred", "score", "rejected")
     names = model.languages if model else []
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +213,7 @@ def _judged(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             for row, to, data, limits in text_chunks(batch, "text"):
                 n = to - row
-                best, score, known = np.full(n, -1), np.zeros(n), np.zeros(n, bool)
+                best, score, rejected = np.full(n, -1), np.zeros(n), np.ones(n, bool)
                 if names:
                     total, count, evidence = np.zeros((n, len(names))), np.zeros(n), np.zeros(n)
                     for document, bucket in ngrams(lowered(data, limits), letters):
@@ -227,15 +225,15 @@ def _judged(docs: DataFrame, model: Model | None) -> DataFrame:
                     logits = total[some] / count[some, None] + model.bias
                     chance = _softmax(logits / model.temperature)
                     best[some], score[some] = chance.argmax(axis=1), chance.max(axis=1)
-                    known[some] = (score[some] >= model.threshold) & (evidence[some] / count[some] >= model.least_familiar)
+                    rejected[some] = (score[some] < model.threshold) | (evidence[some] / count[some] < model.least_familiar)
                 lang = [names[b] if b >= 0 else UNKNOWN for b in best]
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(row, n) for c in batch.columns), pa.array(lang, pa.string()), pa.array(score), pa.array(known)],
-                    [*batch.schema.names, "lang_pred", "score", "_known"],
+                    [*(c.slice(row, n) for c in batch.columns), pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)],
+                    [*batch.schema.names, "lang_pred", "score", "rejected"],
                 )
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(rows, f"{kinds}, lang_pred string, score double, _known boolean")
+    kinds = StructType([*docs.schema.fields]).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    return docs.mapInArrow(rows, kinds)
 
 
 def held_out() -> Column:
@@ -249,15 +247,15 @@ def fit_rows(docs: DataFrame) -> DataFrame:
 
 def keep_recognised(docs: DataFrame) -> DataFrame:
     """``docs`` without those that have no language or that a bound of the model rejects."""
-    model = fit(fit_rows(docs))
-    found = _judged(docs.withColumnsRenamed({"lang_pred": "_lang_pred", "score": "_score"}), model)
-    accepted = F.col("_known") if model else F.lit(True)
-    kept = found.where(accepted).drop("lang_pred", "score", "_known")
-    return kept.withColumnsRenamed({"_lang_pred": "lang_pred", "_score": "score"})
+    own = set_aside(docs, ["doc_id", "text", "lang"])
+    model = fit(fit_rows(own))
+    if model is None:
+        return docs
+    return put_back(predict(own, model).where("not rejected"), docs, own)
 
 
 @query("op1_language_id")
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     split = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text")
-    return predict(split, fit(fit_rows(docs))).select("doc_id", "held_out", "lang_pred", "score")
+    return predict(split, fit(fit_rows(docs))).select("doc_id", "held_out", "lang_pred", "score", "rejected")

@@ -23,9 +23,11 @@ from pixelframe.llm.common import (
     fingerprint,
     hinted,
     load,
+    put_back,
     root_of,
     running_total,
     same_row,
+    set_aside,
     store,
     without_repeats,
 )
@@ -39,6 +41,7 @@ BLOCK_WORDS = 1000
 #: The golden ratio's fraction as a multiple of 1 / CYCLE.
 CYCLE, GOLDEN = 2**31, 1327217885
 BINS = 1024
+MIX_COLUMNS = ("size", "source_size", "target", "taken", "first_slot")
 
 
 class Mix(NamedTuple):
@@ -198,15 +201,18 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix: ``docs`` that are taken, with how much, and at which slot first.
 
     Rows that repeat an id and a text become one, taken as often as they were together.
+    The added columns ``MIX_COLUMNS`` replace those of the same name.
     """
-    place = taken_words(mix(docs)).withColumnsRenamed({"doc_id": "_id", "print": "_print"})
+    own = set_aside(docs, ["doc_id", "source", "text"])
+    place = taken_words(mix(own)).withColumnsRenamed({"doc_id": "_id", "print": "_print"})
     per = place.groupBy("_id", "_print").agg(
         F.sum("size").alias("size"), F.max("source_size").alias("source_size"), F.max("target").alias("target"),
         F.sum("taken").alias("taken"), F.min("first_slot").alias("first_slot"), F.count(F.lit(1)).alias("c"),
     )
     per = store(per.where("taken > 0"), "mix-taken")
-    single = without_repeats(docs, hinted(store(per.where("c > 1").select("_id", "_print"), "mix-repeated"), 16))
-    return single.join(hinted(per, 64).drop("c"), same_row(single)).drop("_id", "_print")
+    single = without_repeats(own, hinted(store(per.where("c > 1").select("_id", "_print"), "mix-repeated"), 16))
+    taken = hinted(per, 64).drop("c")
+    return put_back(single.join(taken, same_row(single, taken)), docs, own, MIX_COLUMNS)
 
 
 OP3_SQL = rf"""

@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pixelframe.llm.common import fingerprint, hinted, load, same_row, store
+from pixelframe.llm.common import fingerprint, hinted, load, put_back, same_row, set_aside, store
 from pixelframe.llm.registry import query
 
 
@@ -171,9 +171,10 @@ def secrets_by_document(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span replaced by ``mark``; overlapping spans by one.
 
-    ``n_chars`` follows the text. Documents without a span pass as they are.
+    ``n_chars``, if there, follows the text. Documents without a span pass as they are.
     """
-    found = secrets_by_document(docs).where(F.size("places") > 0)
+    own = set_aside(docs, ["doc_id", "source", "text", "n_chars"])
+    found = secrets_by_document(own).where(F.size("places") > 0)
     hit = store(
         found.select("doc_id", "print", "places").dropDuplicates(KEY), "secret-hits"
     ).withColumnsRenamed({"doc_id": "_id", "print": "_print", "places": "_places"})
@@ -188,10 +189,14 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
         )
 
     tail = F.col("text").substr(F.col("_cut.at").cast("int") + 1, F.length("text"))
-    cleaned = docs.join(hinted(hit, 24, F.size("_places")), same_row(docs), "left").withColumn("_cut", F.aggregate("_places", start, cut))
+    hit = hinted(hit, 24, F.size("_places"))
+    cleaned = own.join(hit, same_row(own, hit), "left").withColumn("_cut", F.aggregate("_places", start, cut))
     text = F.when(F.col("_places").isNotNull(), F.concat("_cut.text", tail)).otherwise(F.col("text"))
-    length = F.when(F.col("_places").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cleaned.withColumn("text", text).withColumn("n_chars", length).select(*docs.columns)
+    cleaned = cleaned.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        length = F.when(F.col("_places").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        cleaned = cleaned.withColumn("n_chars", length)
+    return put_back(cleaned, docs, own)
 
 
 _DUCK_NAME = "([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"

@@ -4,8 +4,9 @@ Only windows of ``ANCHOR`` words that start at cover positions, modulo the
 period, are hashed. Two equal windows of ``WINDOW`` words at any two positions
 share an anchor at the same offset, because every difference modulo the period
 is one of two cover elements. Anchors that stand in several documents are
-extended to the windows around them, which are compared by 128-bit hashes, and
-words of windows that a smaller id holds are removed.
+extended to the windows around them, which are compared by two independent keyed
+hashes of 96 bits together, and words of windows that a smaller id holds are
+removed.
 
 Edge cases: null and short texts hold no window; a null id is no smaller id and
 loses nothing; rows with equal ids don't remove from each other; repeated words
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from pixelframe.llm.common import discard, fingerprint, load, store
 from pixelframe.llm.registry import query
-from pixelframe.llm.tokens import Powers, Words, list_column, signed, text_chunks, word_chunks
+from pixelframe.llm.tokens import Words, new_key, signed, text_chunks, word_chunks
 
 WINDOW = 13
 #: Every difference modulo 7 is one of two elements of {1, 2, 4}.
@@ -42,14 +43,13 @@ def cover_anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, document, words.windows(ANCHOR)[at]
 
 
-def anchor_rows(docs: DataFrame) -> DataFrame:
+def anchor_rows(docs: DataFrame, key: int) -> DataFrame:
     """(h, doc_id), each anchor of a document once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for row, _, words in word_chunks(batch, "text", False, powers):
+            for row, _, words in word_chunks(batch, "text", False, key):
                 _, document, h = cover_anchors(words)
                 order = np.lexsort((h, document))
                 document, h = document[order], h[order]
@@ -63,24 +63,23 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
     return known.mapInArrow(rows, "h long, doc_id long")
 
 
-def window_rows(docs: DataFrame) -> DataFrame:
+def window_rows(docs: DataFrame, key: int) -> DataFrame:
     """(a, b, doc_id, place): windows around the anchors listed in ``shared``.
 
-    Hashes have 96 bits together; ``place`` holds 32 bits of the text's
+    The two hashes have 96 bits together; ``place`` holds 32 bits of the text's
     fingerprint above the start, which tells texts with one id apart.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         for batch in batches:
             ids, prints = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "print"))
             prints = prints << 32
             shared = batch.column("shared")
-            for row, to, words in word_chunks(batch, "text", False, powers):
+            for row, to, words in word_chunks(batch, "text", False, key):
                 at, document, h = cover_anchors(words)
                 wanted = shared.slice(row, to - row)
                 ends = np.searchsorted(document, np.arange(to - row + 1))
-                marked = np.zeros(len(words.hashes) + 1, np.int64)
+                marked = np.zeros(len(words) + 1, np.int64)
                 for i in range(to - row):
                     own = slice(ends[i], ends[i + 1])
                     hit = at[own][np.isin(signed(h[own]), wanted[i].values.to_numpy())]
@@ -105,17 +104,18 @@ def window_rows(docs: DataFrame) -> DataFrame:
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(doc_id, print, starts), 32 bits of the print: windows whose word sequence a smaller id holds as well."""
+    key = new_key()
     first = (
-        anchor_rows(docs).groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        anchor_rows(docs, key).groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     )
     several = store(first.where("low < high").select("h"), "anchors-several")
     shared = store(
-        anchor_rows(docs).join(several, "h").groupBy("doc_id").agg(F.collect_set("h").alias("shared")),
+        anchor_rows(docs, key).join(several, "h").groupBy("doc_id").agg(F.collect_set("h").alias("shared")),
         "anchors-shared",
     )
     discard(several)
     texts = docs.select("doc_id", fingerprint("text").alias("print"), "text").where("doc_id is not null")
-    windows = store(window_rows(texts.join(shared, "doc_id")), "anchor-windows")
+    windows = store(window_rows(texts.join(shared, "doc_id"), key), "anchor-windows")
     discard(shared)
     least = (
         windows.groupBy("a", "b").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))

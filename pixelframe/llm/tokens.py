@@ -1,12 +1,17 @@
 """Words and word windows of Arrow text columns as numpy arrays, for tasks.
 
-A task works through chunks of whole documents of a few MB. Words and windows
-are hashed with polynomials modulo 2**64 over prefix sums, so a window of any
-width costs the same; values are mixed after each level.
+A task works through chunks of whole documents of a few MB. A word is hashed eight
+bytes at a time, each step a bijection of the state that is far from linear; very
+long words by BLAKE2b. Windows are put together from windows of powers of two, mixed
+at every step. The key is drawn anew by the caller for each run and shared by
+its tasks, so no words that collide can be prepared; words that differ have equal
+hashes with a chance of 2 ** -64 for each of the independent functions ``which``.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,13 +20,20 @@ import pyarrow as pa
 #: Bytes of text in a chunk; a longer document is a chunk of its own.
 CHUNK_BYTES = 1 << 21
 
-_BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 1 << 10
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_LOWER = np.arange(256)
+_LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
-_LOWERED = _BYTES[_LOWER]
+#: The low bytes of a 64-bit value, by their number.
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def new_key() -> int:
+    """A key for the hashes of one run."""
+    return int.from_bytes(os.urandom(8), "little")
 
 
 def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -32,49 +44,64 @@ def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Powers:
-    """Powers of the base and of its inverse, grown as needed."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def grow(self, n: int) -> None:
-        if len(self.up) < n:
-            n = max(n, 1 << 16)
-            for name, base in (("up", _BASE), ("down", _INVERSE)):
-                steps = np.full(n, base, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps))
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int) -> np.ndarray:
+    """A 64-bit hash of the bytes of every word."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))  # the eight bytes from every place on
+    size = ends - starts
+    state = mixed(size.astype(np.uint64) ^ np.uint64(key))
+    rest, at = np.flatnonzero(size <= LONG_WORD), 0
+    while len(rest):
+        left = size[rest] - at
+        state[rest] = mixed(state[rest] ^ (eights[starts[rest] + at] & _LOW_BYTES[np.minimum(left, 8)]))
+        rest, at = rest[left > 8], at + 8
+    for k in np.flatnonzero(size > LONG_WORD):
+        digest = hashlib.blake2b(data[starts[k] : ends[k]].data, digest_size=8, key=key.to_bytes(8, "little"))
+        state[k] = int.from_bytes(digest.digest(), "little")
+    return state
 
 
-def _sums(values: np.ndarray, powers: Powers) -> np.ndarray:
-    powers.grow(len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers.up[: len(values)], out=total[1:])
-    return total
+def joined(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Hashes of pairs of hashes, in this order."""
+    return mixed(x * np.uint64(0x9E3779B97F4A7C15) + y)
 
 
 class Words:
     """The words of a run of documents: hashes, and where each document's words begin."""
 
-    def __init__(self, data: np.ndarray, limits: np.ndarray, lower: bool, powers: Powers) -> None:
+    def __init__(self, data: np.ndarray, limits: np.ndarray, lower: bool, key: int) -> None:
         gap = _SPACE[data]
         edge = np.ones(len(data) + 1, bool)
         edge[1:-1] = gap[:-1] | gap[1:]
         edge[limits] = True
-        starts = np.flatnonzero(edge[:-1] & ~gap)
-        ends = np.flatnonzero(edge[1:] & ~gap) + 1
-        sums = _sums((_LOWERED if lower else _BYTES)[data], powers)
-        self.hashes = mixed((sums[ends] - sums[starts]) * powers.down[starts])
-        self.first = np.searchsorted(starts, limits)
-        self.powers = powers
-
-    def windows(self, width: int, seed: int = 0) -> np.ndarray:
+        self.starts = np.flatnonzero(edge[:-1] & ~gap)
+        self.ends = np.flatnonzero(edge[1:] & ~gap) + 1
+        self.first = np.searchsorted(self.starts, limits)
+        self.data = _LOWER[data] if lower else data
+        self.key = key
+        self._hashes: dict[int, np.ndarray] = {}
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def hashes(self, which: int = 0) -> np.ndarray:
+        if which not in self._hashes:
+            key = int(mixed(np.array([self.key], np.uint64), which)[0])
+            self._hashes[which] = word_hashes(self.data, self.starts, self.ends, key)
+        return self._hashes[which]
+
+    def windows(self, width: int, which: int = 0) -> np.ndarray:
         """Hash of the window at every word; those that cross a document's end mean nothing."""
-        n = max(0, len(self.hashes) - width + 1)
-        values = mixed(self.hashes, seed + 1) if seed else self.hashes
-        sums = _sums(values, self.powers)
-        return mixed((sums[width : width + n] - sums[:n]) * self.powers.down[:n], seed)
+        n = max(0, len(self) - width + 1)
+        power, span, whole, done = self.hashes(which), 1, None, 0
+        while True:
+            if width & span:
+                part = power[done : done + n]
+                whole = part if whole is None else joined(whole, part)
+                done += span
+            if done == width:
+                return whole if width > 1 else mixed(whole)
+            power, span = joined(power[:-span], power[span:]), 2 * span
 
     def places(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Where whole windows start, and the document of each."""
@@ -97,9 +124,9 @@ def text_chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int,
         row = to
 
 
-def word_chunks(batch: pa.RecordBatch, column: str, lower: bool, powers: Powers) -> Iterator[tuple[int, int, Words]]:
+def word_chunks(batch: pa.RecordBatch, column: str, lower: bool, key: int) -> Iterator[tuple[int, int, Words]]:
     for row, to, data, limits in text_chunks(batch, column):
-        yield row, to, Words(data, limits, lower, powers)
+        yield row, to, Words(data, limits, lower, key)
 
 
 def signed(x: np.ndarray) -> np.ndarray:

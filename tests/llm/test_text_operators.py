@@ -5,9 +5,11 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from pixelframe.llm import decontamination, jaccard, language, mixing, secrets, substrings
+from pixelframe.llm import decontamination, jaccard, language, mixing, secrets, substrings, tokens
 
 WORDS = [f"w{i}" for i in range(400)]
 LETTERS = {"aa": "abcdefghij", "bb": "klmnopqrst"}
@@ -105,6 +107,7 @@ def test_difference_cover():
 
 def test_contamination(spark, documents):
     rows = texts(5)
+    rows.append((None, f"x {rows[21][1]} y z w1 w2 w3 w4", "en", "s"))
     items = [(1, " ".join(rows[20][1].split()[:25]).upper()), (2, "one two"), (3, None), (None, rows[21][1]), (1, rows[22][1])]
     items += [(4, "w1 w1 w1 w1 w1 w1 w1 w1 w1 w1 w1"), (5, "not in any text"), (5, "not in any text")]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -126,11 +129,81 @@ def test_contamination(spark, documents):
         assert row.items_sha256 == hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
 
 
+#: Names that operators use inside, and those that stages add.
+INNER = ["_id", "_print", "_places", "_cut", "_row", "_part", "_nth", "id", "fp", "print", "item", "term", "shift", "starts", "node"]
+INNER += ["component", "component_id", "n_shingles", "c", "sid", "slot", "block", "bucket", "pass", "before", "nth", "places", "all"]
+INNER += ["size", "target", "taken", "source_size", "first_slot", "lang_pred", "_lang_pred", "score", "_score", "_known", "rejected"]
+
+
+@pytest.mark.parametrize("extra", [[], INNER, ["a.b", "c d", "columns", "`e"]])
+def test_clashing_columns(spark, extra):
+    """Every stage carries columns of any name as they are, and needs no n_chars."""
+    rows = texts(12, 20)
+    rows[4] = (4, "password = abcdefghijklmnop1 " + rows[4][1], "en", "s1")
+    names = ["doc_id", "text", "lang", "source", *extra]
+    values = [(*r, *(f"{c} {k}" for c in extra)) for k, r in enumerate(rows)]
+    schema = StructType([StructField(c, LongType() if c == "doc_id" else StringType()) for c in names])
+    docs = spark.createDataFrame(values, schema)
+    bench = spark.createDataFrame([(1, rows[6][1], "x")], "item_id long, text string, _id string")
+    quoted = ["`" + c.replace("`", "``") + "`" for c in extra]
+    carried = {tuple(r) for r in docs.select("doc_id", *quoted).collect()}
+    stages = {
+        "language": language.keep_recognised(docs), "near": jaccard.keep_one(docs), "hits": decontamination.drop_contaminated(docs, bench),
+        "secrets": secrets.redact(docs),
+    }
+    for stage, kept in stages.items():
+        assert kept.columns == names, stage
+        found = [tuple(r) for r in kept.select("doc_id", *quoted).collect()]
+        assert found and set(found) <= carried, stage
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == [c for c in names if c not in mixing.MIX_COLUMNS] + list(mixing.MIX_COLUMNS)
+    assert mixed.count() > 0
+    for found in (
+        jaccard.near_duplicates(docs), substrings.remove_repeats(docs), decontamination.contamination(docs, bench),
+        mixing.taken_words(mixing.mix(docs)), secrets.secrets_by_document(docs),
+    ):
+        assert found.count() == len(rows)
+    assert language.predict(docs, language.fit(docs)).where("not rejected").count() > 0
+
+
+def two_letter_words(n=2048):
+    """A word and its complement whose polynomial hashes modulo a power of two agree for every odd base."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate({97: 98, 98: 97})
+    return word, word.translate({97: 98, 98: 97})
+
+
+def test_hashes_of_words():
+    one, other = two_letter_words()
+    words = [one, other, "", "abcdefgh", "abcdefghi", "abcdefg\0", "q" * 1024, "q" * 1025, "q" * 1026, "Q" * 1025, "ü" * 700]
+    data = " ".join(words).encode()
+    split = tokens.Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), False, 3)
+    assert len(set(split.hashes().tolist())) == len(words) - 1 == len(split)
+    again = tokens.Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), True, 3)
+    assert len(set(again.hashes().tolist())) == len(words) - 2
+    assert not set(split.hashes(1).tolist()) & set(split.hashes().tolist())
+    for width in (1, 2, 3, 5, 7, 10, 11):
+        assert len(split.windows(width)) == max(0, len(split) - width + 1)
+
+
+def test_two_letter_words(documents):
+    """What differs by one such word is neither a repeat nor, where it decides, a link."""
+    one, other = two_letter_words()
+    common = " ".join(f"v{i}" for i in range(12))
+    docs = documents([(1, f"{common} {one}", "en", "s"), (2, f"{common} {other}", "en", "s"), (3, f"{common} {one}", "en", "s")])
+    assert {r.doc_id: r.n_removed for r in substrings.remove_repeats(docs).collect()} == {1: 0, 2: 0, 3: 13}
+    assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs, 3, 90).collect()} == {1: 1, 2: 2, 3: 1}
+
+
 def test_proximity(spark, documents):
     bench = spark.createDataFrame([(1, "alpha beta"), (2, "gamma delta")], "item_id long, text string")
-    docs = documents([(1, "alpha x x beta", "en", "s"), (2, "gamma " + "x " * 30 + "delta", "en", "s")])
-    near = decontamination.proximity_matches(docs, bench, slop=5).collect()
-    assert {(r.doc_id, r.item_id) for r in near} == {(1, 1)}
+    docs = documents([(1, "alpha x x beta", "en", "s"), (2, "gamma " + "x " * 30 + "delta", "en", "s"), (None, "gamma y delta", "en", "s")])
+    index = decontamination.benchmark_index(docs, bench)
+    near = decontamination.proximity_matches(index, slop=5).collect()
+    assert {(r.doc_id, r.item_id) for r in near} == {(1, 1), (None, 2)}
+    found = decontamination.contamination(docs, bench).collect()
+    assert {r.doc_id: r.n_near for r in found} == {1: 1, 2: 0, None: 1}
 
 
 def test_mixing(documents):
