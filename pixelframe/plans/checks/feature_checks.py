@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pixelframe.functions import indices
 from pixelframe.operators import features, models, profile
+from pixelframe.operators.categories import CategoryIndexer, sparse_assembler
 from pixelframe.plans.checks.registry import query
 from pixelframe.plans.checks.standins import BANDS_SQL, INDEX_SQL, LINEITEM_BANDS, table
 
@@ -65,8 +66,7 @@ PRIORITY_INDEX_SQL = """codes AS (
 )
 def string_index(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    features.check_categories(orders, ["o_orderpriority"], 100_000)
-    indexed = features.category_indexer(["o_orderpriority"]).fit(orders).transform(orders)
+    indexed = CategoryIndexer(inputCols=["o_orderpriority"]).fit(orders).transform(orders)
     return indexed.select(
         "o_orderkey", "o_orderpriority", F.col("o_orderpriority_index").alias("idx")
     )
@@ -114,13 +114,9 @@ def category_keep(spark, sf_dir):
 )
 def one_hot(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    columns = ["o_orderpriority"]
-    features.check_categories(orders, columns, 100_000)
-    stages = [features.category_indexer(columns), features.one_hot_encoder(columns)]
-    encoded = models.fit(stages, orders).transform(orders)
-    return features.vector_elements(
-        encoded, "o_orderpriority_ohe", [f"c{i}" for i in range(5)], ["o_orderkey"]
-    )
+    index = CategoryIndexer(inputCols=["o_orderpriority"]).fit(orders)
+    encoded = sparse_assembler(index, orders, []).transform(index.transform(orders))
+    return features.vector_elements(encoded, "features", [f"c{i}" for i in range(5)], ["o_orderkey"])
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,6 +109,35 @@ def mixed_regression(spark, sf_dir):
     return result.predictions.select(*keys, F.round("prediction", 3).alias("prediction"))
 
 
+@query(
+    "wide_regression",
+    f"""WITH rows AS (
+      SELECT l_orderkey * 8 + l_linenumber AS line, 'order ' || l_orderkey AS category, l_quantity AS x,
+        l_extendedprice AS y, {HASH_SQL.format("(l_orderkey * 8 + l_linenumber)")} < 0.8::DOUBLE AS train FROM lineitem),
+    means AS (SELECT category, avg(x) AS mx, avg(y) AS my FROM rows WHERE train GROUP BY category),
+    slope AS (SELECT sum((x - mx) * (y - my)) / sum((x - mx) * (x - mx)) AS slope
+      FROM rows JOIN means USING (category) WHERE train)
+    SELECT line, round(my + slope * (x - mx), -2) AS prediction
+    FROM rows JOIN means USING (category), slope WHERE NOT train""",
+)
+def wide_regression(spark, sf_dir):
+    """A category per order, a quarter as many as rows, through the saved and loaded model."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line"),
+        F.concat(F.lit("order "), F.col("l_orderkey").cast("string")).alias("category"),
+        "l_quantity",
+        "l_extendedprice",
+    )
+    result = regression_job(rows, "l_extendedprice", keys=["line"], tol=1e-12, maxIter=200)
+    path = scratch_path(spark, "wide-model")
+    result.model.save(path)
+    loaded = PipelineModel.load(path)
+    index = loaded.stages[0]
+    seen = F.col("category_index") < index.getOrDefault("known")[0]
+    predicted = loaded.transform(result.predictions.select("line", "category", "l_quantity")).where(seen)
+    return predicted.select("line", F.round("prediction", -2).alias("prediction"))
+
+
 def stored_dictionary(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "dictionary")
     nation_dictionary(spark, sf_dir).write.csv(path, header=True)

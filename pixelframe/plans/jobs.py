@@ -23,11 +23,8 @@ from pixelframe.operators.catalog import (
     slim_catalog,
     with_scheme,
 )
-from pixelframe.operators.features import (
-    check_categories,
-    columns_by_type,
-    mixed_feature_stages,
-)
+from pixelframe.operators.categories import CategoryIndexer, sparse_assembler
+from pixelframe.operators.features import columns_by_type
 from pixelframe.operators.models import (
     accuracy_by,
     fit,
@@ -224,7 +221,6 @@ def regression_job(
     weights: Sequence[float] = (0.8, 0.2),
     seed: int = SEED,
     keys: Sequence[str] = (),
-    max_categories: int = 100_000,
     **regression_params,
 ) -> RegressionResult:
     """Linear regression on a table of strings and numbers, scored on held-out rows.
@@ -233,8 +229,11 @@ def regression_job(
     ``keys`` are never features. With ``keys`` the rows are held out by a hash of
     the first one, which no partitioning changes; else at random by ``seed``.
 
+    Text columns may have any number of values: their codes are stored tables, and
+    a row's vector is sparse. Only the coefficients, one per value, are on the driver.
+
     Every estimator passes over the training rows, so they are stored once, by
-    part, with the columns in use.
+    part, with the columns in use, and their vectors once for the solver's passes.
     """
     shares = dict(zip(("train", "test"), weights))
     categorical, numerical = columns_by_type(df.drop(*keys), label)
@@ -244,8 +243,10 @@ def regression_job(
     )
     parts = materialize(split, "regression-parts", [PART])
     train, test = (split_rows(parts, p, PART).drop(PART) for p in shares)
-    check_categories(train, categorical, max_categories)
-    stages = mixed_feature_stages(categorical, numerical)
-    model = fit([*stages, linear_regression(label, **regression_params)], train)
+    index = CategoryIndexer(inputCols=categorical).fit(train)
+    vectors = PipelineModel([index, sparse_assembler(index, train, numerical)])
+    rows = materialize(vectors.transform(train).select("features", label), "regression-vectors")
+    line = linear_regression(label, **regression_params).fit(rows)
+    model = PipelineModel([*vectors.stages, line])
     predictions = model.transform(test)
     return RegressionResult(model, predictions, predictions.agg(rmse_of(label)).first()[0])

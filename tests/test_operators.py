@@ -3,9 +3,11 @@ import math
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.ml import PipelineModel
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
-from pixelframe.operators import audit, catalog, features, labels, models, pixels, profile, sampling
+from pixelframe.operators import audit, catalog, categories, features, labels, models, pixels, profile, sampling
 from pixelframe.schemas import LABEL_DICTIONARY_CSV
 from pixelframe.sources import tables
 
@@ -289,3 +291,53 @@ def test_scores_equal_the_evaluators(spark):
     assert models.accuracy_by(df).first().accuracy == models.accuracy_evaluator().evaluate(df)
     rmse = df.agg(models.rmse_of("label").alias("x")).first().x
     assert rmse == pytest.approx(models.rmse_evaluator("label").evaluate(df))
+
+
+# Categories
+
+
+def category_rows(spark):
+    rows = [("b", "x", 1.0), ("a", "x", 2.0), ("b", None, 4.0), (None, "y", 7.0), ("c", "x", 11.0), ("a", "y", 16.0)]
+    return spark.createDataFrame(rows, "c string, d string, n double")
+
+
+def test_wide_features_as_the_library(spark, tmp_path):
+    """Same vectors as MLlib's indexer, encoder, scaler and assembler, also after saving."""
+    train = category_rows(spark)
+    other = spark.createDataFrame([("a", "new", 3.0), (None, "y", 0.0), ("zz", None, -1.0)], train.schema)
+    library = models.fit(features.mixed_feature_stages(["c", "d"], ["n"]), train)
+    index = categories.CategoryIndexer(inputCols=["c", "d"]).fit(train)
+    wide = PipelineModel([index, categories.sparse_assembler(index, train, ["n"])])
+    wide.save(str(tmp_path / "model"))
+    loaded = PipelineModel.load(str(tmp_path / "model"))
+    assert loaded.stages[0].uid == index.uid
+    for rows in (train, other):
+        expected = {tuple(r[:3]): r.features.toArray().tolist() for r in library.transform(rows).collect()}
+        for model in (wide, loaded):
+            got = model.transform(rows).collect()
+            assert {tuple(r[:3]): r.features.toArray().tolist() for r in got} == expected
+            assert all(isinstance(r.features, SparseVector) for r in got)
+    estimator = categories.CategoryIndexer(inputCols=["c"], suffix="_code")
+    estimator.save(str(tmp_path / "estimator"))
+    again = categories.CategoryIndexer.load(str(tmp_path / "estimator")).fit(train)
+    assert {(r.c, r.c_code) for r in again.transform(train).collect()} == {("a", 0.0), ("b", 1.0), ("c", 2.0), (None, 3.0)}
+
+
+def test_missing_numbers(spark):
+    rows = spark.createDataFrame([(0.0, 1.0), (1.0, None), (0.0, float("nan"))], "i double, n double")
+    assembler = categories.SparseAssembler(indexCols=["i"], sizes=[1], numericCols=["n"], scales=[0.0], handleInvalid="skip")
+    assert [r.features.toArray().tolist() for r in assembler.transform(rows).collect()] == [[1.0, 0.0]]
+    with pytest.raises(Exception, match="a number is missing"):
+        assembler.copy({assembler.handleInvalid: "error"}).transform(rows).collect()
+
+
+def test_wide_fit_keeps_values_off_the_driver(spark):
+    """120,000 values: vectors have two entries, the index and its use collect only counts."""
+    rows = spark.range(240_000).select(F.concat(F.lit("v"), (F.col("id") % 120_000).cast("string")).alias("c"), F.col("id").alias("n"))
+    index = categories.CategoryIndexer(inputCols=["c"]).fit(rows)
+    assert index.getOrDefault("known") == [120_000]
+    vectors = categories.sparse_assembler(index, rows, ["n"]).transform(index.transform(rows))
+    first = vectors.first().features
+    assert (first.size, len(first.indices)) == (120_001, 2)
+    codes = index.codes[0]
+    assert codes.agg(F.countDistinct("code"), F.max("code")).first()[:] == (120_000, 119_999.0)
