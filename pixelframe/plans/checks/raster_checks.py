@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pixelframe.operators import audit, models, pixels
 from pixelframe.operators.stages import PixelExploder, PixelExtractor, stage_rejects
+from pixelframe.plans.checks.raster_files import write_tiff
 from pixelframe.plans.checks.registry import query
 from pixelframe.plans.checks.standins import (
     COUNT_SCALE,
@@ -24,15 +25,17 @@ from pixelframe.plans.checks.standins import (
 from pixelframe.schemas import OPTICAL_BANDS, PIXEL_BANDS, RADAR_BANDS
 from pixelframe.sources import files, rasters
 from pixelframe.sources.remote import TaskStorage
-from pixelframe.storage import scratch_path
+from pixelframe.storage import materialize, scratch_path
 
 
-def _raster_of(band: str, values: np.ndarray) -> bytes:
+def _stored_values(band: str, values: np.ndarray) -> np.ndarray:
     if band in RADAR_BANDS:
-        data = values.astype(np.float32)
-    else:
-        data = np.floor(np.abs(values) * COUNT_SCALE[band]).astype(np.uint16)
-    return rasters.write_tiff(data.reshape(PATCH_SIDE, PATCH_SIDE), deflate=band in OPTICAL_BANDS)
+        return values.astype(np.float32)
+    return np.floor(np.abs(values) * COUNT_SCALE[band]).astype(np.uint16)
+
+
+def _raster_of(band: str, values: np.ndarray) -> bytes:
+    return write_tiff(_stored_values(band, values).reshape(PATCH_SIDE, PATCH_SIDE), band in OPTICAL_BANDS)
 
 
 def band_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,12 +70,52 @@ def raster_blocks(spark, sf_dir):
     return _decoded_pixels(spark, sf_dir, block_pixels=10)
 
 
+#: Patches that are laid below each other in one raster, and rows of its strips.
+MOSAIC, STRIP_ROWS = 16, 3
+
+
+def mosaic_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rasters of many patches, each band a file in strips: (mosaic, a path per band)."""
+    root = scratch_path(spark, "mosaics")
+    arrays = band_arrays(spark, sf_dir, "vec_id").withColumn("mosaic", F.expr(f"vec_id div {MOSAIC}"))
+    row = F.struct("vec_id", *PIXEL_BANDS)
+    stacked = arrays.groupBy("mosaic").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        storage = TaskStorage()
+        for batch in batches:
+            paths = {b: [] for b in PIXEL_BANDS}
+            for mosaic, rows in zip(batch.column("mosaic").to_pylist(), batch.column("rows").to_pylist()):
+                for b in PIXEL_BANDS:
+                    values = _stored_values(b, np.concatenate([np.array(r[b], np.float64) for r in rows]))
+                    paths[b].append(f"{root}/{mosaic}_{files.BAND_SUFFIX[b]}.tif")
+                    content = write_tiff(values.reshape(-1, PATCH_SIDE), b in OPTICAL_BANDS, STRIP_ROWS)
+                    storage.write(paths[b][-1], content)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("mosaic"), *(pa.array(paths[b], pa.string()) for b in PIXEL_BANDS)], ["mosaic", *PIXEL_BANDS]
+            )
+
+    written = stacked.mapInArrow(write, "mosaic bigint, " + ", ".join(f"{b} string" for b in PIXEL_BANDS))
+    return materialize(written, "mosaic-paths")
+
+
+@query(
+    "raster_windows",
+    f"""WITH {PIXELS_SQL} SELECT vec_id // {MOSAIC} AS mosaic, (vec_id % {MOSAIC}) * {PATCH_PIXELS} + pos AS pos,
+      VH, VV, B, G, R, NIR, label FROM px""",
+)
+def raster_windows(spark, sf_dir):
+    """Large rasters in strips, read by ranges of their files: seven bands in step, a block at a time."""
+    decoded = rasters.decode_patches(mosaic_paths(spark, sf_dir), ["mosaic"], block_pixels=100)
+    return pixels.explode_pixels(decoded, keep=["mosaic"], position="pos", offset=rasters.FIRST_PIXEL)
+
+
 def _decoded_pixels(spark, sf_dir, block_pixels):
     contents = band_contents(spark, sf_dir)
     # Decoding takes longer than its small input suggests: spread the patches first.
     spread = contents.repartition(spark.sparkContext.defaultParallelism)
     decoded = rasters.decode_patches(
-        spread, ["vec_id"], decoder=rasters.read_tiff, block_pixels=block_pixels
+        spread, ["vec_id"], block_pixels=block_pixels
     )
     placed = pixels.explode_pixels(
         decoded, keep=["vec_id"], position="pos", offset=rasters.FIRST_PIXEL
@@ -169,7 +212,7 @@ def inventory_gather(spark, sf_dir):
 def raster_files(spark, sf_dir):
     """Band files of a listed root, gathered by path per patch and read where they are decoded."""
     gathered = rasters.gather_bands(bound_files(spark, sf_dir), ["patch_id"])
-    decoded = rasters.decode_patches(gathered, ["patch_id"], decoder=rasters.read_tiff)
+    decoded = rasters.decode_patches(gathered, ["patch_id"])
     rows = pixels.explode_pixels(decoded, keep=["patch_id"])
     return rows.select(F.col("patch_id").cast("bigint").alias("vec_id"), *PIXEL_BANDS)
 

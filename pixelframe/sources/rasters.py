@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -21,134 +21,120 @@ from pyspark.sql import types as T
 
 from pixelframe.schemas import PATCH_ARRAYS, PIXEL_BANDS, RADAR_BANDS
 from pixelframe.sources.remote import TaskStorage
+from pixelframe.sources.tiff import RUN_BYTES, Band, open_tiff
 
 Decoder = Callable[[bytes], np.ndarray]
+Opener = Callable[[pa.NativeFile], Band]
 
 FIRST_PIXEL = "first_pixel"
 ERROR = "error"
 
-# TIFF tags and the byte width and code of their value types.
-_WIDTH, _HEIGHT, _BITS, _COMPRESSION = 256, 257, 258, 259
-_OFFSETS, _SAMPLES, _COUNTS, _PREDICTOR, _FORMAT = 273, 277, 279, 317, 339
-_TAG_TYPES = {1: "B", 3: "H", 4: "I"}
-_PIXEL_KINDS = {1: "u", 2: "i", 3: "f"}
-_PIXEL_TYPES = {(k, b) for k in "ui" for b in (8, 16, 32, 64)} | {("f", 32), ("f", 64)}
-
-
-def read_tiff(content: bytes) -> np.ndarray:
-    """Pixels of a single-band, strip-organised TIFF, plain or deflate-compressed."""
-    order = {b"II": "<", b"MM": ">"}.get(content[:2])
-    if order is None or struct.unpack(order + "H", content[2:4])[0] != 42:
-        raise ValueError("not a TIFF file")
-    at = struct.unpack(order + "I", content[4:8])[0]
-    tags: dict[int, tuple] = {}
-    for i in range(struct.unpack_from(order + "H", content, at)[0]):
-        entry = at + 2 + 12 * i
-        tag, kind, count = struct.unpack_from(order + "HHI", content, entry)
-        if kind in _TAG_TYPES:
-            layout = f"{order}{count}{_TAG_TYPES[kind]}"
-            inline = struct.calcsize(layout) <= 4
-            start = entry + 8 if inline else struct.unpack_from(order + "I", content, entry + 8)[0]
-            tags[tag] = struct.unpack_from(layout, content, start)
-
-    def one(tag: int, default: int | None = None) -> int:
-        if tag in tags:
-            return tags[tag][0]
-        if default is None:
-            raise ValueError(f"TIFF tag {tag} is missing")
-        return default
-
-    compression, predictor = one(_COMPRESSION, 1), one(_PREDICTOR, 1)
-    if one(_SAMPLES, 1) != 1 or compression not in (1, 8, 32946) or predictor not in (1, 2):
-        raise ValueError("unsupported TIFF layout")
-    if _OFFSETS not in tags or _COUNTS not in tags:
-        raise ValueError("unsupported TIFF layout: no strips")
-    strips = [content[o : o + n] for o, n in zip(tags[_OFFSETS], tags[_COUNTS])]
-    data = b"".join(s if compression == 1 else zlib.decompress(s) for s in strips)
-    kind, bits = _PIXEL_KINDS.get(one(_FORMAT, 1)), one(_BITS, 1)
-    if (kind, bits) not in _PIXEL_TYPES:
-        raise ValueError(f"unsupported TIFF pixels: {kind}, {bits} bits")
-    dtype = np.dtype(f"{order}{kind}{bits // 8}")
-    width, height = one(_WIDTH), one(_HEIGHT)
-    if width * height * dtype.itemsize > len(data):
-        raise ValueError("TIFF strips hold too few pixels")
-    pixels = np.frombuffer(data, dtype, count=width * height).reshape(height, width)
-    if predictor == 2:
-        pixels = np.cumsum(pixels, axis=1, dtype=pixels.dtype)
-    return pixels
-
-
-def write_tiff(pixels: np.ndarray, deflate: bool = False) -> bytes:
-    """Single-band, single-strip TIFF bytes of a 2-D array."""
-    pixels = np.ascontiguousarray(pixels, dtype=pixels.dtype.newbyteorder("<"))
-    height, width = pixels.shape
-    data = pixels.tobytes()
-    if deflate:
-        data = zlib.compress(data)
-    kind = {"u": 1, "i": 2, "f": 3}[pixels.dtype.kind]
-    entries = [
-        (_WIDTH, 4, width),
-        (_HEIGHT, 4, height),
-        (_BITS, 3, pixels.dtype.itemsize * 8),
-        (_COMPRESSION, 3, 8 if deflate else 1),
-        (_OFFSETS, 4, 8),
-        (_SAMPLES, 3, 1),
-        (_COUNTS, 4, len(data)),
-        (_FORMAT, 3, kind),
-    ]
-    directory = struct.pack("<H", len(entries))
-    for tag, value_type, value in entries:
-        directory += struct.pack("<HHII", tag, value_type, 1, value)
-    return b"II*\0" + struct.pack("<I", 8 + len(data)) + data + directory + b"\0\0\0\0"
-
-
-def default_decoder() -> Decoder:
-    """rasterio where it is installed, else the plain TIFF reader."""
+def decoded_whole(decoder: Decoder) -> Opener:
+    """An opener for a decoder that takes a file's whole content."""
+
+    def opened(source: pa.NativeFile) -> Band:
+        pixels = np.asarray(decoder(source.read()))
+        return Band((1, pixels.size), iter([pixels]))
+
+    return opened
+
+
+def default_opener() -> Opener:
+    """rasterio where it is installed, else the plain TIFF reader; both read rows as they are asked for."""
     try:
+        import rasterio
         from rasterio.errors import RasterioError
-        from rasterio.io import MemoryFile
+        from rasterio.windows import Window
     except ImportError:
-        return read_tiff
+        return open_tiff
 
-    def read(content: bytes) -> np.ndarray:
+    def runs(data) -> Iterator[np.ndarray]:
+        height, width = data.shape
+        step = max(1, RUN_BYTES // max(1, width * 8))
         try:
-            with MemoryFile(content) as file, file.open() as source:
-                return source.read()
+            for top in range(0, height, step) if data.count == 1 else ():
+                yield data.read(1, window=Window(0, top, width, min(step, height - top)))
+            if data.count != 1:
+                yield data.read()
         except RasterioError as problem:
             raise ValueError(str(problem)) from problem
 
-    return read
+    def opened(source: pa.NativeFile) -> Band:
+        try:
+            data = rasterio.open(source)
+        except RasterioError as problem:
+            raise ValueError(str(problem)) from problem
+        return Band((data.count * data.height, data.width), runs(data))
+
+    return opened
+
+
+def _kind(band: str) -> type:
+    return np.float64 if band in RADAR_BANDS else np.int64
+
+
+class _Taker:
+    """Hands out a band's pixels in blocks of any size; holds one run of them at most."""
+
+    def __init__(self, band: Band, kind: type) -> None:
+        self.runs, self.kind, self.rest = band.runs, kind, np.empty(0, kind)
 
+    def take(self, count: int) -> np.ndarray:
+        parts, held = [self.rest[:count]], min(count, len(self.rest))
+        self.rest = self.rest[count:]
+        while held < count:
+            run = next(self.runs).reshape(-1)
+            parts.append(run[: count - held].astype(self.kind))
+            self.rest = run[count - held :].astype(self.kind)
+            held += len(parts[-1])
+        return np.concatenate(parts)
 
-def _decode_bands(contents: Mapping[str, bytes | None], decode: Decoder) -> dict[str, np.ndarray]:
-    missing = [b for b, content in contents.items() if content is None]
-    if missing:
-        raise ValueError(f"missing bands: {', '.join(missing)}")
-    bands = {
-        b: decode(content).reshape(-1).astype(np.float64 if b in RADAR_BANDS else np.int64)
-        for b, content in contents.items()
-    }
-    lengths = {b: len(v) for b, v in bands.items()}
+
+def _blocks(
+    sources: Mapping[str, pa.NativeFile], opened: Opener, each: Callable, block_pixels: int
+) -> tuple[int, Iterator[dict[str, np.ndarray]]]:
+    """(length, blocks of all bands in step); raises where the bands are not of one length."""
+    bands = dict(zip(sources, each(opened, sources.values())))
+    lengths = {b: band.length for b, band in bands.items()}
     if len(set(lengths.values())) > 1:
         raise ValueError(f"band lengths differ: {lengths}")
-    return bands
+    length = next(iter(lengths.values()))
+    takers = {b: _Taker(band, _kind(b)) for b, band in bands.items()}
 
+    def blocks() -> Iterator[dict[str, np.ndarray]]:
+        for start in range(0, length, block_pixels):
+            count = min(block_pixels, length - start)
+            yield dict(zip(takers, each(lambda t: t.take(count), takers.values())))
 
-def _decoded_rows(
-    batch: pa.RecordBatch, columns: Mapping[str, str], decode: Decoder, read, block_pixels: int
-) -> Iterator[tuple[int, int, dict[str, np.ndarray], str | None]]:
-    """(input row, first pixel, arrays, error) for every output row of a batch."""
-    for i in range(batch.num_rows):
-        values = [batch.column(c)[i].as_py() for c in columns.values()]
-        error = None
-        try:
-            bands = _decode_bands(dict(zip(columns, read(values))), decode)
-        except (ValueError, struct.error, zlib.error) as problem:
-            error = str(problem)
-            bands = {b: np.empty(0, np.float64 if b in RADAR_BANDS else np.int64) for b in columns}
-        length = len(next(iter(bands.values())))
-        for start in range(0, max(length, 1), block_pixels):
-            yield i, start, {b: v[start : start + block_pixels] for b, v in bands.items()}, error
+    return length, blocks()
+
+
+def _patch_rows(
+    find: Callable[[], Mapping[str, pa.NativeFile | None]], opened: Opener, each: Callable, block_pixels: int
+) -> Iterator[tuple[int, dict[str, np.ndarray], str | None]]:
+    """(first pixel, arrays, error) of every output row of a patch.
+
+    A raster of several blocks is read twice, at first only to know that all of
+    it can be read: a patch gives all its pixels or none.
+    """
+    columns: Mapping[str, pa.NativeFile | None] = {}
+    try:
+        columns = find()
+        missing = [b for b, source in columns.items() if source is None]
+        if missing:
+            raise ValueError(f"missing bands: {', '.join(missing)}")
+        length, blocks = _blocks(columns, opened, each, block_pixels)
+        if length <= block_pixels:
+            blocks = iter([next(blocks, {b: np.empty(0, _kind(b)) for b in columns})])
+        else:
+            for _ in blocks:
+                pass
+            _, blocks = _blocks(find(), opened, each, block_pixels)
+    except (ValueError, struct.error, zlib.error, StopIteration) as problem:
+        yield 0, {b: np.empty(0, _kind(b)) for b in columns}, str(problem) or "too few pixels"
+        return
+    for n, block in enumerate(blocks):
+        yield n * block_pixels, block, None
 
 
 def _list_column(parts: Sequence[np.ndarray]) -> pa.ListArray:
@@ -171,6 +157,9 @@ def decode_patches(
     are missing, unreadable or of different sizes gives one row with ``error``
     set and no pixels. A raster above ``block_pixels`` comes in several rows;
     ``first_pixel`` is the position of a row's first pixel.
+
+    The bands of a patch are read in step, a block at a time, by ranges of the
+    files; a ``decoder`` of whole contents holds whole bands instead.
     """
     columns = dict(columns or {b: b for b in PIXEL_BANDS})
     keys = list(keys)
@@ -186,18 +175,30 @@ def decode_patches(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = decoder or default_decoder()
+        opened = decoded_whole(decoder) if decoder else default_opener()
         storage = TaskStorage()
         with ThreadPoolExecutor(fetch_threads) as pool:
 
-            def fetch(paths: list[str | None]) -> list[bytes | None]:
-                return list(pool.map(lambda p: None if p is None else storage.read(p), paths))
+            def each(do: Callable, items: Iterable) -> list:
+                return list(pool.map(do, items))
+
+            def source(value: pa.Scalar) -> pa.NativeFile | None:
+                if not value.is_valid:
+                    return None
+                return storage.open(value.as_py()) if by_path else pa.BufferReader(value.as_buffer())
+
+            def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+                for i in range(batch.num_rows):
+                    values = {b: batch.column(c)[i] for b, c in columns.items()}
+
+                    def find(values=values) -> dict[str, pa.NativeFile | None]:
+                        return dict(zip(values, each(source, values.values())))
+
+                    for start, arrays, error in _patch_rows(find, opened, each, block_pixels):
+                        yield i, start, arrays or {b: np.empty(0, _kind(b)) for b in columns}, error
 
             for batch in batches:
-                rows = _decoded_rows(
-                    batch, columns, decode, fetch if by_path else list, block_pixels
-                )
-                for group in _by_pixels(rows, block_pixels):
+                for group in _by_pixels(rows(batch), block_pixels):
                     index, starts, arrays, errors = zip(*group)
                     yield pa.RecordBatch.from_arrays(
                         [

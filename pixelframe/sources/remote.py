@@ -5,8 +5,12 @@ from __future__ import annotations
 import re
 from urllib.parse import quote
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 
+#: Files up to this size are read whole, with one request.
+SMALL_BYTES = 4 << 20
+
 
 class TaskStorage:
     """File access for one task; keeps one client per scheme and host."""
@@ -45,12 +49,15 @@ class TaskStorage:
             for info in client.get_file_info(selector)
         ]
 
-    def read(self, path: str) -> bytes | None:
-        """Content of a file, None if there is no such file."""
+    def open(self, path: str) -> pa.NativeFile | None:
+        """A file to be read at any place, None if there is no such file; a small one is fetched at once."""
         client, _, inner = self._resolve(path)
         try:
-            with client.open_input_stream(inner) as stream:
-                return stream.read()
+            file = client.open_input_file(inner)
+            if file.size() > SMALL_BYTES:
+                return file
+            with file:
+                return pa.BufferReader(file.read_buffer())
         except FileNotFoundError:
             return None
 

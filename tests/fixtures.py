@@ -7,7 +7,7 @@ from pathlib import Path
 import numpy as np
 
 from pixelframe.schemas import BAND_SUFFIX, METADATA
-from pixelframe.sources.rasters import write_tiff
+from pixelframe.plans.checks.raster_files import write_tiff
 
 SIDE = 4
 SPLITS = ["train", "train", "validation", "test"]

@@ -1,9 +1,12 @@
 """Jobs and stages on real raster files."""
 
 import struct
+import tracemalloc
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import SIDE, band_pixels, ids, metadata, write_store
 from hypothesis import given, settings
@@ -23,7 +26,8 @@ from pixelframe.operators.stages import (
 )
 from pixelframe.plans import jobs
 from pixelframe.schemas import CATALOG, FEATURE_COLUMNS, PIXEL, PIXEL_BANDS, PIXEL_ORDER
-from pixelframe.sources import files, rasters, sinks, tables
+from pixelframe.plans.checks.raster_files import write_tiff
+from pixelframe.sources import files, rasters, sinks, tables, tiff
 
 N = 8
 
@@ -76,25 +80,25 @@ SHAPES = npst.array_shapes(min_dims=2, max_dims=2, max_side=7)
     st.booleans(),
 )
 def test_tiff_roundtrip(pixels, deflate):
-    read = rasters.read_tiff(rasters.write_tiff(pixels, deflate))
+    read = tiff.read_tiff(write_tiff(pixels, deflate))
     assert read.dtype == pixels.dtype and np.array_equal(read, pixels)
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.data(), st.booleans())
 def test_damaged_tiff_raises_only_data_errors(data, deflate):
-    content = bytearray(rasters.write_tiff(np.arange(12, dtype=np.uint16).reshape(3, 4), deflate))
+    content = bytearray(write_tiff(np.arange(12, dtype=np.uint16).reshape(3, 4), deflate))
     for _ in range(data.draw(st.integers(1, 4))):
         content[data.draw(st.integers(0, len(content) - 1))] = data.draw(st.integers(0, 255))
     try:
-        rasters.read_tiff(bytes(content[: data.draw(st.integers(0, len(content)))]))
+        tiff.read_tiff(bytes(content[: data.draw(st.integers(0, len(content)))]))
     except (ValueError, struct.error, zlib.error):
         pass
 
 
 @pytest.mark.parametrize("content", [b"", b"unused", b"II*\0" + bytes(4), b"MM\0*" + bytes(8)])
 def test_bad_tiff_is_a_reject(spark, content):
-    good = rasters.write_tiff(np.ones((2, 2), np.uint16))
+    good = write_tiff(np.ones((2, 2), np.uint16))
     row = ("p", *[bytearray(content if b == "G" else good) for b in PIXEL_BANDS])
     schema = "id string, " + ", ".join(f"{b} binary" for b in PIXEL_BANDS)
     decoded = rasters.decode_patches(spark.createDataFrame([row], schema), ["id"]).first()
@@ -102,8 +106,8 @@ def test_bad_tiff_is_a_reject(spark, content):
 
 
 def test_uneven_and_missing_bands_are_rejects(spark):
-    small = bytearray(rasters.write_tiff(np.ones((2, 2), np.uint16)))
-    large = bytearray(rasters.write_tiff(np.ones((3, 2), np.uint16)))
+    small = bytearray(write_tiff(np.ones((2, 2), np.uint16)))
+    large = bytearray(write_tiff(np.ones((3, 2), np.uint16)))
     schema = "id string, " + ", ".join(f"{b} binary" for b in PIXEL_BANDS)
     rows = [
         ("uneven", *[large if b == "R" else small for b in PIXEL_BANDS]),
@@ -118,7 +122,7 @@ def test_uneven_and_missing_bands_are_rejects(spark):
 
 def test_large_rasters_come_in_blocks(spark):
     data = np.arange(35, dtype=np.uint16).reshape(5, 7)
-    content = bytearray(rasters.write_tiff(data))
+    content = bytearray(write_tiff(data))
     schema = "id string, " + ", ".join(f"{b} binary" for b in PIXEL_BANDS)
     df = spark.createDataFrame([("p", *[content for _ in PIXEL_BANDS])], schema)
     rows = rasters.decode_patches(df, ["id"], block_pixels=10).orderBy("first_pixel").collect()
@@ -126,6 +130,57 @@ def test_large_rasters_come_in_blocks(spark):
     assert [v for r in rows for v in r.NIR] == list(range(35))
 
 
+@settings(max_examples=60, deadline=None)
+@given(SHAPES, st.booleans(), st.integers(1, 8), st.integers(1, 40))
+def test_runs_of_strips(shape, deflate, strip_rows, run_bytes):
+    pixels = np.arange(shape[0] * shape[1], dtype=np.uint16).reshape(shape)
+    content = write_tiff(pixels, deflate, strip_rows)
+    band = tiff.open_tiff(pa.BufferReader(content), run_bytes)
+    assert band.shape == shape and np.array_equal(np.concatenate(list(band.runs)), pixels)
+
+
+def decoded_blocks(paths, block_pixels):
+    def find():
+        return {b: pa.memory_map(p) for b, p in paths.items()}
+
+    each = lambda do, items: [do(i) for i in items]
+    return rasters._patch_rows(find, tiff.open_tiff, each, block_pixels)
+
+
+@pytest.mark.parametrize("strip_rows", [None, 100])
+def test_decode_memory_is_that_of_a_block(tmp_path, strip_rows):
+    """Seven bands of four million pixels would take 224 MB decoded whole."""
+    side, block = 2000, 1 << 16
+    data = np.random.default_rng(1).integers(0, 9, (side, side)).astype(np.uint16)
+    paths = {}
+    for k, b in enumerate(PIXEL_BANDS):
+        paths[b] = str(tmp_path / f"{b}.tif")
+        (tmp_path / f"{b}.tif").write_bytes(write_tiff(data, k % 2 == 0, strip_rows))
+    flat, seen = data.reshape(-1), 0
+    tracemalloc.start()
+    for start, arrays, error in decoded_blocks(paths, block):
+        assert error is None and start == seen
+        seen += len(arrays["R"])
+        assert all(np.array_equal(v, flat[start:seen]) for v in arrays.values())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # A block and a run of each band, the latter as stored, widened and joined.
+    assert seen == flat.size and peak < 7 * (3 * 8 * block + 12 * tiff.RUN_BYTES)
+
+
+def test_large_raster_that_breaks_off_is_a_reject(tmp_path):
+    """A patch gives all its pixels or none, though the first blocks could be read."""
+    data = np.arange(4000, dtype=np.uint16).reshape(400, 10)
+    paths = {b: str(tmp_path / f"{b}.tif") for b in PIXEL_BANDS}
+    for b, path in paths.items():
+        content = bytearray(write_tiff(data, True, 20))
+        if b == "NIR":
+            content[len(content) // 2 : len(content) // 2 + 40] = bytes(40)
+        Path(path).write_bytes(content)
+    rows = list(decoded_blocks(paths, 100))
+    assert len(rows) == 1 and rows[0][2] and all(len(v) == 0 for v in rows[0][1].values())
+
+
 # Inventory
 
 
