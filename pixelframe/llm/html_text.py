@@ -33,7 +33,8 @@ _UNSEEN = frozenset(
 _SEALED = frozenset("script style title".split())
 _ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in _UNSEEN}
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    # quotes enclose a value only right after its equals sign
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z",
     re.S | re.I,
 )
@@ -58,8 +59,18 @@ _AROUND_WORDS = frozenset(
     " paywall popup promo promoted promotion recommended related replies respond share sharing sidebar signup"
     " site-header skip social sponsor sponsored subscribe toolbar topbar widget widgets".split()
 )
+#: Of these, those that as a part of a longer name say as much as alone.
+_FIRM_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments consent cookie cookies"
+    " disclaimer disqus footer masthead menu nav navbar navigation newsletter pagination paywall popup promo promoted"
+    " replies respond share sharing signup sponsor sponsored subscribe toolbar topbar".split()
+)
+#: What begins a name that tells a state of the page, not what an element is.
+_STATES = frozenset("has is no not with without".split())
 _ARTICLE_WORDS = frozenset("article articlebody entry-content post-content article-body story story-body".split())
-_ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_HREF = re.compile(r"""(?<![^\s"'/])href\s*=""", re.I)
+_NEXT_LINK = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 
 
 class Block(NamedTuple):
@@ -69,28 +80,43 @@ class Block(NamedTuple):
     around: bool
     article: bool
     heading: bool
+    hinted: bool
 
 
-def _marks(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element surrounds an article, and whether it is one."""
-    if tag in _ARTICLE:
-        return False, True
-    if tag in _AROUND or (tag == "header" and not in_article):
-        return True, False
-    named = {w for m in _ATTRIBUTE.finditer(attributes) for w in re.split(r"\s+", (m[1] or m[2] or m[3] or "").lower())}
-    pieces = named | {p for w in named for p in re.split(r"[^a-z]+", w)}
-    return bool(pieces & _AROUND_WORDS), bool(pieces & _ARTICLE_WORDS)
+class Mark(NamedTuple):
+    """What an open element is: surrounding, an article, or named a little like something surrounding."""
+
+    tag: str
+    around: bool
+    article: bool
+    hinted: bool = False
 
 
-def _outside(stack: list[tuple[str, bool, bool]]) -> int | None:
+def _mark(tag: str, attributes: str, in_article: bool) -> Mark:
+    if tag in _ARTICLE:
+        return Mark(tag, False, True)
+    if tag in _AROUND or (tag == "header" and not in_article):
+        return Mark(tag, True, False)
+    names = {w for m in _ATTRIBUTE.finditer(attributes) for w in re.split(r"\s+", (m[1] or m[2] or m[3] or "").lower())}
+    around, hinted = bool(names & _AROUND_WORDS), False
+    for name in names:
+        pieces = [p for p in re.split(r"[^a-z]+", name) if p]
+        if len(pieces) > 1 and pieces[0] not in _STATES:
+            around |= not _FIRM_WORDS.isdisjoint(pieces)
+            hinted |= not _AROUND_WORDS.isdisjoint(pieces)
+    article = any(n in _ARTICLE_WORDS or "article" in re.split(r"[^a-z]+", n) or "story" in re.split(r"[^a-z]+", n) for n in names)
+    return Mark(tag, around, article, hinted)
+
+
+def _outside(stack: list[Mark]) -> int | None:
     """How many marks stand around the innermost article; None where it holds marks or has no say.
 
     Marks that never hold a page as a whole, such as that of an aside, stay as they are.
     """
-    own = max((k for k, s in enumerate(stack) if s[2] and not s[1]), default=None)
-    if own is None or any(s[1] for s in stack[own:]) or any(s[1] and s[0] in _ALWAYS_AROUND for s in stack[:own]):
+    own = max((k for k, s in enumerate(stack) if s.article and not s.around), default=None)
+    if own is None or any(s.around for s in stack[own:]) or any(s.around and s.tag in _ALWAYS_AROUND for s in stack[:own]):
         return None
-    return sum(s[1] for s in stack[:own])
+    return sum(s.around for s in stack[:own])
 
 
 def _released(blocks: list[Block], outside: list[int | None]) -> list[Block]:
@@ -111,10 +137,10 @@ def blocks_of(page: str) -> list[Block]:
     """The flat text blocks of a page, in order."""
     found: list[Block] = []
     outside: list[int | None] = []
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[Mark] = []
     text: list[str] = []
     links: list[str] = []
-    link, heading, at = False, False, 0
+    link, loose, heading, at = False, False, False, 0
     endless: set[str] = set()
 
     def add(raw: str) -> None:
@@ -127,8 +153,8 @@ def blocks_of(page: str) -> list[Block]:
         words = "".join(text).split()
         if words:
             linked = len("".join(links).split()) / len(words)
-            around, article = (any(s[k] for s in stack) for k in (1, 2))
-            found.append(Block(" ".join(words), len(words), linked, around, article, heading))
+            around, article, hinted = (any(s[k] for s in stack) for k in (1, 2, 3))
+            found.append(Block(" ".join(words), len(words), linked, around, article, heading, hinted))
             outside.append(_outside(stack))
         text.clear()
         links.clear()
@@ -150,23 +176,26 @@ def blocks_of(page: str) -> list[Block]:
                     endless.add(tag)
             continue
         if tag == "a":
-            link = not closing
+            link = not closing and bool(_HREF.search(attributes))
+            after = _NEXT_LINK.search(page, at) if link else None
+            loose = after is None or not after[1]  # never closed: the end of its block closes it
         elif tag in ("br", "img", "input"):
             text.append(" ")
         if tag not in _BLOCKS:
             continue
         end_block()
+        link = link and not loose
         heading = tag in _HEADINGS and not closing
         if tag not in _CONTAINERS:
             continue
         link = False
         if closing:
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
+                if stack[k].tag == tag:
                     del stack[k:]
                     break
         elif not attributes.endswith("/"):
-            stack.append((tag, *_marks(tag, attributes, any(s[2] for s in stack))))
+            stack.append(_mark(tag, attributes, any(s.article for s in stack)))
     if at < len(page):
         add(page[at:])
     end_block()
@@ -176,7 +205,7 @@ def blocks_of(page: str) -> list[Block]:
 def features(blocks: list[Block]) -> np.ndarray:
     """A row per block, columns as in ``FEATURES``."""
     n = len(blocks)
-    out = np.zeros((n + 2, 10))
+    out = np.zeros((n + 2, len(FEATURES)))
     out[1:-1, 0] = [b.words for b in blocks]
     out[1:-1, 1] = [b.linked for b in blocks]
     out[1:-1, 2], out[1:-1, 3] = out[:-2, 0], out[:-2, 1]
@@ -185,14 +214,15 @@ def features(blocks: list[Block]) -> np.ndarray:
     out[1:-1, 7] = [b.article for b in blocks]
     out[1:-1, 8] = [b.heading for b in blocks]
     out[1:-1, 9] = any(b.article for b in blocks)
+    out[1:-1, 10] = [b.hinted for b in blocks]
     return out[1:-1]
 
 
 FEATURES = (
     "words", "link density", "words before", "link density before", "words after", "link density after",
-    "surrounds", "in article", "heading", "page has article",
+    "surrounds", "in article", "heading", "page has article", "named like surroundings",
 )
-#: Labelled blocks: the features above, then 1 for main text.
+#: Labelled blocks: the features above but the last, which is 0, then 1 for main text.
 LABELLED = (
     # paragraphs, short and long, lists and titles of a marked article
     (80, 0.0, 60, 0.0, 70, 0.0, 0, 1, 0, 1, 1), (3, 0.0, 90, 0.0, 45, 0.0, 0, 1, 0, 1, 1),
@@ -231,6 +261,20 @@ LABELLED = (
     (18, 0.7, 40, 0.0, 40, 0.0, 0, 0, 0, 0, 0), (5, 1.0, 50, 0.0, 45, 0.0, 0, 0, 0, 0, 0),
     (3, 0.0, 4, 0.0, 2, 1.0, 0, 0, 1, 0, 0), (8, 0.0, 50, 0.0, 2, 1.0, 0, 0, 0, 0, 0),
 )
+#: The same of blocks in an element whose name only resembles something surrounding.
+RESEMBLING = (
+    # within an article it says little
+    (80, 0.0, 60, 0.0, 70, 0.0, 0, 1, 0, 1, 1), (2, 0.0, 90, 0.0, 45, 0.0, 0, 1, 1, 1, 1),
+    (5, 0.0, 3, 0.0, 30, 0.0, 0, 1, 0, 1, 1), (25, 0.2, 30, 0.0, 8, 1.0, 0, 1, 0, 1, 1),
+    (3, 1.0, 2, 1.0, 3, 1.0, 0, 1, 0, 1, 0), (8, 1.0, 60, 0.0, 7, 1.0, 0, 1, 0, 1, 0),
+    # beside one it is what it is called
+    (40, 0.0, 3, 1.0, 6, 0.0, 0, 0, 0, 1, 0), (5, 0.0, 80, 0.0, 2, 1.0, 0, 0, 0, 1, 0),
+    # on a page that marks none, long text is text
+    (80, 0.0, 60, 0.0, 70, 0.0, 0, 0, 0, 0, 1), (30, 0.1, 2, 1.0, 45, 0.0, 0, 0, 0, 0, 1),
+    (45, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0, 1), (18, 0.0, 50, 0.0, 40, 0.0, 0, 0, 0, 0, 1),
+    (6, 0.0, 2, 1.0, 4, 0.0, 0, 0, 0, 0, 0), (3, 0.0, 4, 0.0, 2, 1.0, 0, 0, 1, 0, 0),
+    (2, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0, 0, 0), (30, 0.9, 2, 1.0, 60, 0.0, 0, 0, 0, 0, 0),
+)
 
 
 class Node(NamedTuple):
@@ -262,8 +306,9 @@ def grow(x: np.ndarray, y: np.ndarray) -> Node:
 
 
 def trained_tree() -> Node:
-    table = np.array(LABELLED, float)
-    return grow(table[:, :-1], table[:, -1] == 1)
+    table = np.array(LABELLED + RESEMBLING, float)
+    resembling = np.arange(len(table)) >= len(LABELLED)
+    return grow(np.column_stack([table[:, :-1], resembling]), table[:, -1] == 1)
 
 
 def is_main(node: Node, x: np.ndarray) -> np.ndarray:
