@@ -1,7 +1,7 @@
-"""Approximate nearest neighbours with posting lists, whose work is dealt in blocks.
+"""Approximate nearest neighbours with balanced posting lists.
 
-Centroids are fitted on a bounded sample and searched by a graph that every
-task holds. Each vector joins the list of its nearest centroid and, near a
+Centroids are fitted on a bounded sample, where large clusters are parted until the
+lists are even, and searched by a graph that every task holds. Each vector joins the list of its nearest centroid and, near a
 boundary, those of others at nearly the same distance. A query reads the lists
 whose centroids are within a ratio of its nearest one; the ratio is set on the
 sample so that the neighbours wanted are found. Long lists are dealt in blocks,
@@ -16,6 +16,7 @@ candidates than asked for, all are returned.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -32,6 +33,8 @@ from pixelframe.llm.tokens import list_column
 #: About so many vectors, chosen by hash, fit the centroids and the ratio.
 SAMPLE = 20_000
 MAX_CENTROIDS, ROUNDS = 4096, 8
+#: A list with more of the sample than this many times the mean is parted, unless it has fewer than the second.
+BALANCE, LEAST_LIST = 2.0, 8
 NEIGHBOURS, BEAM = 16, 24
 #: A vector joins lists up to this ratio of its nearest distance, so many at most.
 BOUNDARY, REPLICAS = 1.08, 4
@@ -55,8 +58,13 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def vector_matrix(column: pa.Array) -> np.ndarray:
+    """The vectors as rows, each scaled by a power of two, so that no square overflows or vanishes.
+
+    Such a scale changes no digit of a cosine.
+    """
     flat = column.flatten().to_numpy().astype(np.float64)
-    return flat.reshape(len(column), -1)
+    x = flat.reshape(len(column), -1)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
 
 
 def usable(table: DataFrame) -> DataFrame:
@@ -85,6 +93,29 @@ def cluster(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return centroids
 
 
+def balanced(x: np.ndarray, centroids: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Centroids whose shares of the sample are even: a list above ``BALANCE`` times the mean is parted.
+
+    Vectors that are all equal cannot be parted; only the work on their list is dealt.
+    """
+    bound = max(LEAST_LIST, math.ceil(BALANCE * len(x) / len(centroids)))
+    own = np.argmax(x @ centroids.T, axis=1)
+    kept, open_parts = [], [x[own == c] for c in range(len(centroids))]
+    while open_parts:
+        part = open_parts.pop()
+        room = MAX_CENTROIDS - len(kept) - len(open_parts)
+        if len(part) <= bound or room < 2:
+            kept.append(unit(part.sum(axis=0, keepdims=True) + 1e-300)[0] if len(part) else None)
+            continue
+        halves = cluster(part, 2, rng)
+        side = np.argmax(part @ halves.T, axis=1)
+        if side.all() or not side.any():
+            kept.append(part[0])
+        else:
+            open_parts += [part[side == 0], part[side == 1]]
+    return np.array([c for c in kept if c is not None])
+
+
 def neighbour_graph(centroids: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Nearest centroids of each, and a few random ones so that all are reached."""
     near = np.argsort(-(centroids @ centroids.T), axis=1, kind="stable")[:, 1 : NEIGHBOURS + 1]
@@ -150,6 +181,7 @@ def fit(vectors: DataFrame, k: int, rows: int = SAMPLE, seed: int = 0) -> Index:
     x = unit(vector_matrix(table["vector"].combine_chunks()))
     rng = np.random.default_rng(seed)
     centroids = cluster(x, max(1, min(MAX_CENTROIDS, int(np.ceil(np.sqrt(total))), len(x))), rng)
+    centroids = balanced(x, centroids, rng)
     index = Index(centroids, neighbour_graph(centroids, rng), 1.0, len(centroids))
     asked = rng.choice(len(x), min(TRIALS, len(x)), replace=False)
     similar = x[asked] @ x.T
