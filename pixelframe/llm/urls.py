@@ -15,13 +15,15 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixelframe.llm.common import load, store
+from pixelframe.llm.common import BROADCAST_BYTES, load, store
 from pixelframe.llm.registry import query
 
 
@@ -58,6 +60,8 @@ UNWANTED = (
 PRIOR = 2.0
 #: Longest word of the unigram model, and the weight of a labelled word in it.
 LONGEST, LABELLED_WEIGHT = 20, 50
+#: What a word of the unigram table takes in a task besides its letters, and substrings of a name handed on at once.
+WORD_BYTES, PIECE_ROWS = 150, 100_000
 
 
 def url_parts(url: str = "url") -> tuple[Column, Column]:
@@ -82,9 +86,9 @@ def longest_rule(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) ->
     return F.coalesce(*fits)
 
 
-def word_weights() -> dict[str, float]:
+def word_weights(wanted: tuple[str, ...] = WANTED, unwanted: tuple[str, ...] = UNWANTED) -> dict[str, float]:
     """Log odds of each labelled word for the unwanted class, with add-one smoothing."""
-    counts = [Counter(w for name in names for w in name.split()) for names in (WANTED, UNWANTED)]
+    counts = [Counter(w for name in names for w in name.split()) for names in (wanted, unwanted)]
     vocabulary = counts[0].keys() | counts[1].keys()
     total = [sum(c.values()) + len(vocabulary) for c in counts]
     return {
@@ -99,7 +103,7 @@ def tokens_of(host: Column, path: Column) -> Column:
 def unigrams(urls: DataFrame) -> DataFrame:
     """(word, n): words that hyphens part in the names of all urls, and the labelled ones."""
     spark = urls.sparkSession
-    names = F.regexp_extract_all(F.lower(F.concat("host", "path")), F.lit("[a-z]+(?:[-_][a-z]+)+"), F.lit(0))
+    names = F.regexp_extract_all(F.lower(F.concat("host", "path")), F.lit("(?<![a-z])[a-z]++(?:[-_][a-z]++)+"), F.lit(0))
     parted = urls.select(F.explode(names).alias("name"), "n").select(F.explode(F.split("name", "[-_]")).alias("word"), "n")
     labelled = Counter(w for name in WANTED + UNWANTED for w in name.split())
     known = spark.createDataFrame([(w, LABELLED_WEIGHT * c) for w, c in sorted(labelled.items())], "word string, n long")
@@ -115,40 +119,76 @@ def best_split(token: str, found: list[tuple[int, int, float]]) -> list[str]:
     at: dict[int, list[tuple[int, float]]] = {}
     for start, end, chance in found:
         at.setdefault(start, []).append((end, chance))
-    best = [(0.0, 0, False)] + [(-math.inf, 0, False)] * len(token)
+    # Two states at each place, after a known word and within an unknown one: (score, place and state before).
+    none = (-math.inf, 0, 0)
+    best = [[(0.0, 0, 0), none]] + [[none, none] for _ in token]
     for start in range(len(token)):
-        score, _, strange = best[start]
-        # a letter costs more where it opens an unknown word than where it goes on with one
-        steps = [(start + 1, -2.5 if strange else -14.0, True), *((e, c, False) for e, c in at.get(start, ()))]
-        for end, chance, unknown in steps:
-            if score + chance > best[end][0]:
-                best[end] = (score + chance, start, unknown)
+        for state in (0, 1):
+            score = best[start][state][0]
+            if score == -math.inf:
+                continue
+            # a letter costs more where it opens an unknown word than where it goes on with one
+            steps = [(start + 1, 1, -2.5 if state else -14.0), *((e, 0, c) for e, c in at.get(start, ()))]
+            for end, to, chance in steps:
+                if score + chance > best[end][to][0]:
+                    best[end][to] = (score + chance, start, state)
     words, end = [], len(token)
+    state = int(best[end][1][0] > best[end][0][0])
     while end:
-        _, start, unknown = best[end]
-        while unknown and start and best[start][2]:
-            start = best[start][1]
+        _, start, before = best[end][state]
+        while state and start and before:  # all letters of an unknown word
+            _, start, before = best[start][1]
         words.append(token[start:end])
-        end = start
+        end, state = start, before
     return words[::-1]
 
 
+def pieces_of(token: str) -> Iterator[tuple[int, str]]:
+    """(start, word) of all substrings that are no longer than a word of the unigram model."""
+    for start in range(len(token)):
+        for end in range(start + 1, min(len(token), start + LONGEST) + 1):
+            yield start, token[start:end]
+
+
 def segments(tokens: DataFrame, words: DataFrame) -> DataFrame:
-    """(token, words) of distinct tokens: their substrings meet the unigram table in a join."""
-    total = words.agg(F.sum("n")).first()[0] or 1
-    starts = tokens.select("token", F.explode(F.expr("sequence(1, length(token))")).alias("start"))
-    pieces = starts.select(
-        "token", "start",
-        F.explode(F.expr(f"sequence(1, least({LONGEST}, length(token) - start + 1))")).alias("width"),
-    ).withColumn("word", F.expr("substring(token, start, width)"))
-    known = pieces.join(words, "word").select(
-        "token",
-        F.struct(
-            (F.col("start") - 1).alias("start"), (F.col("start") - 1 + F.col("width")).alias("end"),
-            F.log(F.col("n") / F.lit(float(total))).alias("chance"),
-        ).alias("piece"),
-    )
-    found = known.groupBy("token").agg(F.collect_list("piece").alias("pieces"))
+    """(token, words) of distinct tokens, by the stored unigram table.
+
+    The table is sent to the tasks where its counted size allows it, and joined
+    to the substrings otherwise; both give the same words.
+    """
+    total, size = words.agg(F.sum("n"), F.sum(F.octet_length("word") + WORD_BYTES)).first()
+    chances = words.select("word", F.log(F.col("n") / F.lit(float(total or 1))).alias("chance"))
+    return _sent_segments(tokens, chances) if (size or 0) <= BROADCAST_BYTES else _joined_segments(tokens, chances)
+
+
+def _sent_segments(tokens: DataFrame, chances: DataFrame) -> DataFrame:
+    known = {r["word"]: r["chance"] for r in chances.collect()}  # its size was counted
+    sent = tokens.sparkSession.sparkContext.broadcast(known)
+
+    @F.pandas_udf("array<string>")
+    def split(token: pd.Series) -> pd.Series:
+        chance = sent.value
+        return pd.Series([best_split(t, [(s, s + len(w), chance[w]) for s, w in pieces_of(t) if w in chance]) for t in token])
+
+    return tokens.select("token", split("token").alias("words"))
+
+
+def _joined_segments(tokens: DataFrame, chances: DataFrame) -> DataFrame:
+    """A row per substring has its token's number, not the token, so a long name costs no more than its length."""
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for number, token in zip(frame["number"], frame["token"], strict=True):
+                pieces = pieces_of(token)
+                while part := list(islice(pieces, PIECE_ROWS)):
+                    found = pd.DataFrame(part, columns=["start", "word"])
+                    yield found.assign(number=number)
+
+    numbered = store(tokens.withColumn("number", F.monotonically_increasing_id()), "url-names")
+    pieces = numbered.select("number", "token").mapInPandas(rows, "start int, word string, number long")
+    end = (F.col("start") + F.length("word")).alias("end")
+    known = pieces.join(chances, "word").select("number", F.struct("start", end, "chance").alias("piece"))
+    found = known.groupBy("number").agg(F.collect_list("piece").alias("pieces"))
 
     @F.pandas_udf("array<string>")
     def split(token: pd.Series, pieces: pd.Series) -> pd.Series:
@@ -156,7 +196,7 @@ def segments(tokens: DataFrame, words: DataFrame) -> DataFrame:
             [best_split(t, [(p["start"], p["end"], p["chance"]) for p in ps]) for t, ps in zip(token, pieces, strict=True)]
         )
 
-    return found.select("token", split("token", "pieces").alias("words"))
+    return numbered.join(found, "number").select("token", split("token", "pieces").alias("words"))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
