@@ -217,7 +217,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
 OP3_SQL = rf"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -237,19 +237,42 @@ t AS (
   SELECT source, sid, source_size,
     CASE WHEN l.place < f.place THEN cap ELSE least(cap, f.level * weight) END AS target FROM l, f),
 p AS (
-  SELECT doc_id, d.source, size, source_size, target, floor(target)::BIGINT AS goal,
+  SELECT r, doc_id, d.source, sid, size, source_size, target, floor(target)::BIGINT AS goal,
     coalesce(sum(size) OVER (PARTITION BY sid
       ORDER BY coalesce(md5(doc_id::VARCHAR), ''), doc_id NULLS FIRST, size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+u AS (
+  SELECT sid, blocks, sum(blocks) OVER (ORDER BY sid)::BIGINT AS upto
+  FROM (SELECT sid, (floor(target)::BIGINT + {BLOCK_WORDS - 1}) // {BLOCK_WORDS} AS blocks FROM t)),
+n AS (SELECT coalesce(sum(blocks), 0)::BIGINT AS slots FROM u),
+x AS (
+  SELECT slot, (slot % {CYCLE} * {GOLDEN} % {CYCLE})::DOUBLE / {CYCLE}::DOUBLE * slots AS x
+  FROM (SELECT slots, unnest(range(0, slots)) AS slot FROM n)),
+o AS (
+  SELECT slot, sid, blocks, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS block
+  FROM x JOIN u ON x >= upto - blocks AND x < upto),
+z AS (
+  SELECT slot, sid, block FROM o WHERE block < blocks
+  UNION ALL
+  SELECT slots + upto - blocks + block, sid, block FROM (
+    SELECT sid, upto, blocks, unnest(range(coalesce(had, 0), blocks)) AS block
+    FROM u LEFT JOIN (SELECT sid, count(*) AS had FROM o GROUP BY sid) USING (sid)), n),
+i AS (
+  SELECT r, sid, lo, least(lo + size, goal) AS hi
+  FROM (SELECT *, unnest([0, 1]) * source_size + start AS lo FROM p) WHERE least(lo + size, goal) > lo),
+s0 AS (
+  SELECT r, min(slot) AS first_slot
+  FROM (SELECT r, sid, unnest(range(lo // {BLOCK_WORDS}, (hi - 1) // {BLOCK_WORDS} + 1)) AS block FROM i)
+  JOIN z USING (sid, block) GROUP BY r)
 SELECT doc_id, size, source_size, target,
   (greatest(0, least(start + size, goal) - start)
-   + greatest(0, least(source_size + start + size, goal) - source_size - start))::BIGINT AS taken
-FROM p
+   + greatest(0, least(source_size + start + size, goal) - source_size - start))::BIGINT AS taken, first_slot
+FROM p LEFT JOIN s0 USING (r)
 """
 
 
 @query("op3_mix_sources", OP3_SQL)
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(load(spark, sf_dir, "documents"))
-    return taken_words(mixed).select("doc_id", "size", "source_size", "target", "taken")
+    return taken_words(mixed).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
