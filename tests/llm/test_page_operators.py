@@ -246,3 +246,61 @@ def test_pipeline(spark):
             assert all(0 < r.taken <= 2 * r.size for r in left.values())
         docs = after
     assert corpus_pipeline.run(spark, SF_DIR).count() == docs.count()
+
+
+PARAGRAPH = " ".join(f"Sentence number {i} tells of rivers and hills in plain words." for i in range(7))
+ARTICLE = f"<h1>Title here</h1><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p>"
+SHAPES = {
+    "named by what it has": f'<div class="layout has-sidebar">{ARTICLE}</div>',
+    "named by what it lacks": f'<article><div class="row no-sidebar">{ARTICLE}</div></article>',
+    "resembling name beside an article's": f'<div class="entry-content social-ready">{ARTICLE}</div>',
+    "resembling name in main": f'<main><section class="content-widget">{ARTICLE}</section></main>',
+    "link without end": f'<article><h1>Title here</h1><a href="#x"><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></article>',
+    "anchor without end": f'<article><a name="top">{ARTICLE}</article>',
+    "section of related work": f'<article><h1>Title here</h1><p>{PARAGRAPH}</p><section id="related-work"><p>{PARAGRAPH}</p></section></article>',
+    "apostrophes in attributes": f"<article><h1>Title here</h1><p title=it's>{PARAGRAPH}</p><p data-x='a' id=b'>{PARAGRAPH}</p></article>",
+    "bare body": ARTICLE,
+    "table layout": f"<table><tr><td><a href=/>Home</a></td><td>{ARTICLE}</td></tr></table>",
+}
+AROUND = (
+    '<nav><a href="/">Home</a> <a href="/n">News</a></nav>', f'<div class="comment-list"><p>GONE {PARAGRAPH}</p></div>',
+    f'<div id="cookie-banner"><p>GONE {PARAGRAPH}</p></div>', f"<footer><p>GONE {PARAGRAPH}</p></footer>",
+    f'<aside class="sidebar-left"><p>GONE {PARAGRAPH}</p></aside>',
+    '<div class="cards"><a href="/x"><h3>GONE teaser</h3><p>GONE some more words in a card that is one link to another page here</p></a></div>',
+)
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_page_shapes(shape):
+    """Shapes that are not in the labelled table: the article is kept, what surrounds it goes."""
+    tree = html_text.trained_tree()
+    expected = f"{PARAGRAPH}\n\n{PARAGRAPH}"
+    for before, after in (((), ()), (AROUND[:1], AROUND[1:]), (AROUND, ())):
+        text = html_text.main_text(f"<html><body>{''.join(before)}{SHAPES[shape]}{''.join(after)}</body></html>", tree)
+        assert text.removeprefix("Title here\n\n") == expected, (shape, before)
+
+
+def test_extreme_vectors(spark):
+    """Lengths that overflow or vanish when squared: nearness is that of the directions."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(60, 8))
+    base[50] = np.ldexp(base[0], 700)
+    base[52] = np.ldexp(base[0], -700)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(base)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in vectors.neighbours(frame, "vec_id % 50 = 0").where("query_id = 0").orderBy("rank").collect()]
+    assert [i for i, _ in got[:2]] == [50, 52] and all(s == pytest.approx(1) for _, s in got[:2])
+
+
+def test_lists_are_balanced():
+    """A third of all vectors near one point, as few centroids as there may be."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 8))
+    x[:1000] = x[0] + rng.normal(size=(1000, 8)) * 1e-3
+    x = vectors.unit(x)
+    centroids = vectors.cluster(x, 30, rng)
+    even = vectors.balanced(x, centroids, rng)
+    sizes = np.bincount(np.argmax(x @ even.T, axis=1), minlength=len(even))
+    assert sizes.max() <= 3 * vectors.BALANCE * len(x) / len(centroids) < 1000
+    same = np.repeat(x[:1], 50, axis=0)
+    assert len(vectors.balanced(same, same[:1], rng)) == 1
