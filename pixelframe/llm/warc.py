@@ -39,8 +39,8 @@ from pixelframe.storage import scratch_path
 
 #: Payloads from this size on are stored once.
 REVISIT_BYTES = 1000
-#: Payload bytes a shard should hold, and most shards, whose bounds tasks carry.
-SHARD_BYTES, MAX_SHARDS = 8 << 20, 4096
+#: Bytes a shard should hold, those of a record besides its payload, and most shards, whose bounds tasks carry.
+SHARD_BYTES, RECORD_BYTES, MAX_SHARDS = 8 << 20, 1 << 10, 4096
 #: Ids sampled per shard bound, those of the smallest hash.
 SAMPLED = 20
 #: A file is closed when its compressed size passes this.
@@ -75,7 +75,7 @@ def revisit_notes(facts: DataFrame) -> DataFrame:
 
 def shard_bounds(facts: DataFrame) -> list[int]:
     """Ids that part the shards: quantiles of a bounded sample, the same in every run."""
-    total = facts.agg(F.sum("size")).first()[0] or 0
+    total = facts.agg(F.sum(F.col("size") + RECORD_BYTES)).first()[0] or 0
     shards = min(MAX_SHARDS, total // SHARD_BYTES + 1)
     ids = facts.select("page_id").where("page_id is not null")
     drawn = ids.orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLED * shards)
