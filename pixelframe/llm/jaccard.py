@@ -3,7 +3,7 @@
 Texts with one shingle set are one node. A global order of shingles puts rare
 ones first; documents that are similar enough share two shingles within their
 extended prefixes. A rare shingle is an index entry by itself; of frequent ones
-only pairs are. Within an index entry, lengths and histograms of the sets bound the
+only pairs are, but for large sets, whose pairs would be too many. Within an index entry, lengths and histograms of the sets bound the
 overlap from above, and what passes is kept as a spanning forest, not as pairs.
 Its components hold all links; each is then verified with the whole sets.
 
@@ -45,10 +45,12 @@ CLASS_BITS = 18
 BINS, PER_BIN = 64, 12
 #: Shingles in the prefixes of more documents are indexed in pairs.
 FREQUENT = 1000
+#: Sets of more shingles have no pairs in the index.
+PAIR_SET = 256
 #: Rows of an index entry that are compared at once; larger ones go by pairs of blocks.
 BLOCK_ROWS = 2000
-#: Shingles of a component that are compared at once, likewise.
-BLOCK_SHINGLES = 1_500_000
+#: Shingles and documents of a component that are compared at once, likewise.
+BLOCK_SHINGLES, BLOCK_DOCUMENTS = 1_500_000, 400
 #: Documents of a large component that every block is compared with first.
 PIVOTS = 32
 
@@ -140,21 +142,31 @@ def set_facts(docs: DataFrame, width: int, percent: int, ranks: np.ndarray, key:
     )
 
 
-def index_entries(nodes: DataFrame) -> DataFrame:
-    """(entry, rows, doc_id): rare prefix shingles, and pairs of frequent ones, that meet."""
-    tokens = nodes.where("n > 1").select("doc_id", F.explode("prefix").alias("token"))
+def index_entries(nodes: DataFrame, percent: int) -> DataFrame:
+    """(entry, rows, doc_id): rare prefix shingles, and pairs of frequent ones, that meet.
+
+    The pairs of a prefix grow with its square, so only sets up to ``PAIR_SET``
+    have them; larger sets, and those that may link with a larger one, have their
+    frequent shingles as entries by themselves. A link joins two sets of either kind.
+    """
+    tokens = nodes.where("n > 1").select("doc_id", "n", F.explode("prefix").alias("token"))
     several = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     several = store(several, "shingles-several")
     met = store(tokens.join(several, "token"), "shingles-met")
-    rare = met.where(F.col("rows") <= FREQUENT).select(F.col("token").alias("entry"), "rows", "doc_id")
-    frequent = met.where(F.col("rows") > FREQUENT).groupBy("doc_id").agg(F.sort_array(F.collect_set("token")).alias("t"))
+    alone = (F.col("rows") <= FREQUENT) | (100 * F.col("n") > percent * PAIR_SET)
+    single = met.where(alone).select(F.col("token").alias("entry"), "doc_id")
+    # Only part of a frequent shingle's rows may be entries by themselves.
+    counts = single.groupBy("entry").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    single = single.join(store(counts, "singles-several"), "entry").select("entry", "rows", "doc_id")
+    frequent = met.where((F.col("rows") > FREQUENT) & (F.col("n") <= PAIR_SET))
+    frequent = frequent.groupBy("doc_id").agg(F.sort_array(F.collect_set("token")).alias("t"))
     first = frequent.select("doc_id", "t", F.posexplode("t").alias("at", "u"))
     pairs = first.select(
         "doc_id", "u", F.explode(F.expr("slice(t, at + 2, size(t))")).alias("v")
     ).select(F.xxhash64("u", "v").alias("entry"), "doc_id")
     pairs = store(pairs, "shingle-pairs")
     shared = pairs.groupBy("entry").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    return rare.unionByName(pairs.join(store(shared, "pairs-several"), "entry").select("entry", "rows", "doc_id"))
+    return single.unionByName(pairs.join(store(shared, "pairs-several"), "entry").select("entry", "rows", "doc_id"))
 
 
 def by_blocks(rows: DataFrame, keys: list[str], blocks: Column, spread: Column) -> DataFrame:
@@ -333,12 +345,13 @@ def verified_edges(
     weight = store(weight, "component-weights")
     chosen = store(members.join(weight, "component"), "component-members")
     sets = store(set_rows(docs, chosen, width, ranks, key), "component-sets")
-    small = sets.where(F.col("weight") <= BLOCK_SHINGLES)
+    whole = (F.col("weight") <= BLOCK_SHINGLES) & (F.col("count") <= BLOCK_DOCUMENTS)
+    small = sets.where(whole)
     edges = store(exact_edges(small.select("component", "doc_id", "keys"), ["component"], percent), "component-links")
-    large = sets.where(F.col("weight") > BLOCK_SHINGLES)
+    large = sets.where(~whole)
     if large.isEmpty():
         return edges
-    blocks = F.ceil(F.col("weight") * 2 / BLOCK_SHINGLES)
+    blocks = F.greatest(F.ceil(F.col("weight") * 2 / BLOCK_SHINGLES), F.ceil(F.col("count") / BLOCK_DOCUMENTS))
     spread = F.xxhash64("doc_id")
     own = F.pmod(spread, blocks)
     in_block = large.select("component", own.alias("block"), "doc_id", "keys")
@@ -349,7 +362,7 @@ def verified_edges(
     first = store(exact_edges(in_block.unionByName(pivots), ["component", "block"], percent), "large-links")
     parts = components(first, "large-parts")
     labelled = large.join(parts, large["doc_id"] == parts["node"], "left").select(
-        large["component"], "weight", "doc_id", "keys", F.coalesce(parts["component"], "doc_id").alias("part")
+        large["component"], "weight", "count", "doc_id", "keys", F.coalesce(parts["component"], "doc_id").alias("part")
     )
     most = labelled.groupBy("component", "part").agg(F.count(F.lit(1)).alias("c")).groupBy("component").agg(F.max_by("part", "c").alias("main"))
     labelled = labelled.join(store(most, "large-main"), "component")
@@ -373,7 +386,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     full = facts.where("n > 0 and doc_id is not null")
     row = F.struct("doc_id", "print", "n", "prefix", "bins")
     nodes = store(full.groupBy("digest").agg(F.min_by(row, "doc_id").alias("r")).select("digest", "r.*"), "set-nodes")
-    edges = candidate_edges(store(index_entries(nodes), "index-entries"), nodes, percent)
+    edges = candidate_edges(store(index_entries(nodes, percent), "index-entries"), nodes, percent)
     groups = components(store(edges, "candidate-edges"), "candidates")
     found = components(verified_edges(docs, nodes, groups, width, percent, ranks, key), "links")
     heads = nodes.select("digest", F.col("doc_id").alias("head"))

@@ -60,16 +60,39 @@ def test_jaccard(documents, width, percent):
     assert got[(None, len(sets[None]))] is None
 
 
-def test_jaccard_blocks_and_pairs(documents, monkeypatch):
+@pytest.mark.parametrize(
+    "limits",
+    [
+        (("FREQUENT", 2), ("BLOCK_ROWS", 3), ("BLOCK_SHINGLES", 300), ("PIVOTS", 2)),
+        (("FREQUENT", 2), ("PAIR_SET", 40), ("BLOCK_DOCUMENTS", 3), ("PIVOTS", 1)),
+        (("FREQUENT", 1), ("PAIR_SET", 0), ("BLOCK_DOCUMENTS", 2), ("PIVOTS", 1)),
+    ],
+)
+def test_jaccard_blocks_and_pairs(documents, monkeypatch, limits):
     """Small limits: frequent shingles in pairs, index entries and components in blocks."""
     expected = {r.doc_id: r.component_id for r in jaccard.near_duplicates(documents(texts(2)), 3, 80).collect()}
-    for name, value in (("FREQUENT", 2), ("BLOCK_ROWS", 3), ("BLOCK_SHINGLES", 300), ("PIVOTS", 2)):
+    for name, value in limits:
         monkeypatch.setattr(jaccard, name, value)
     got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(documents(texts(2)), 3, 80).collect()}
     assert got == expected
     assert len(set(got.values())) < len(got)
 
 
+def test_index_grows_with_the_length(documents, monkeypatch):
+    """Near copies of longer texts have index rows in proportion, also where all shingles are frequent."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 2)
+    rows = {}
+    for length in (400, 1600):
+        rng = random.Random(length)
+        base = [f"v{rng.randrange(10**6)}" for _ in range(length)]
+        texts = [" ".join(w if rng.random() > 0.01 else "x" for w in base) for _ in range(12)]
+        docs = documents([(i, t, "en", "s") for i, t in enumerate(texts)])
+        key = 5
+        facts = jaccard.set_facts(docs, 5, 80, jaccard.class_ranks(docs, 5, key), key)
+        rows[length] = jaccard.index_entries(facts, 80).count()
+    assert 0 < rows[1600] <= 6 * rows[400]
+
+
 def test_keep_one(documents):
     rows = texts(3)
     kept = jaccard.keep_one(documents(rows))
