@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pixelframe.operators import audit, models, pixels
 from pixelframe.operators.stages import PixelExploder, PixelExtractor, stage_rejects
+from pixelframe.plans import jobs
 from pixelframe.plans.checks.raster_files import write_tiff
 from pixelframe.plans.checks.registry import query
 from pixelframe.plans.checks.standins import (
@@ -22,8 +23,8 @@ from pixelframe.plans.checks.standins import (
     band_arrays,
     table,
 )
-from pixelframe.schemas import OPTICAL_BANDS, PIXEL_BANDS, RADAR_BANDS
-from pixelframe.sources import files, rasters
+from pixelframe.schemas import OPTICAL_BANDS, PIXEL_BANDS, PIXEL_ORDER, RADAR_BANDS
+from pixelframe.sources import files, rasters, sinks
 from pixelframe.sources.remote import TaskStorage
 from pixelframe.storage import materialize, scratch_path
 
@@ -239,6 +240,21 @@ def raster_stages(spark, sf_dir):
     return models.fit(stages, rows).transform(rows)
 
 
+@query(
+    "pixel_resume",
+    f"""WITH {PIXELS_SQL}
+    SELECT vec_id::VARCHAR AS patch_id, split, VV, VH, B, G, R, NIR, label FROM px""",
+)
+def pixel_resume(spark, sf_dir):
+    """A pixel table built by three runs, the first two of which stop early: every pixel once."""
+    catalog, output = scratch_path(spark, "resume-catalog"), scratch_path(spark, "resume-pixels")
+    stored_catalog(spark, sf_dir).write.parquet(catalog)
+    batches = {"patches_per_task": 60, "tasks_per_commit": 2}
+    for commits in (1, 2, None):
+        jobs.resumable_pixel_job(spark, catalog, output, commits=commits, **batches)
+    return sinks.read_committed_pixels(spark, output).select("patch_id", "split", *PIXEL_ORDER)
+
+
 @query(
     "stage_rejects",
     "SELECT vec_id::VARCHAR AS patch_id, 'missing bands: VH, VV' AS error FROM embeddings WHERE label < 5",

@@ -37,6 +37,7 @@ from pixelframe.operators.pixels import explode_pixels
 from pixelframe.operators.sampling import (
     SEED,
     first_rows,
+    hash_sample_by_split,
     hash_split,
     random_parts,
     sample_by_split,
@@ -58,6 +59,10 @@ from pixelframe.schemas import (
 from pixelframe.sources.files import count_listed_files
 from pixelframe.sources.rasters import ERROR, Decoder, decode_patches
 from pixelframe.sources.sinks import (
+    COPY,
+    ROW_KEY,
+    commit_pixels,
+    committed,
     read_pixels,
     write_audit,
     write_catalog,
@@ -176,6 +181,54 @@ def pixel_job(
     write_pixels(pixels.select(*PIXEL_ORDER, *KEYS, ERROR), output)
 
 
+def pending_patches(catalog: DataFrame, done: DataFrame) -> DataFrame:
+    """Catalogue rows that ``done`` lacks, each copy of equal rows by a number of its own."""
+    columns = catalog.columns
+    counted = catalog.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
+    last = F.col("__copies") - 1
+    rows = counted.select(
+        *columns, F.xxhash64(*columns).alias(ROW_KEY), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias(COPY)
+    )
+    return rows.join(done.select(ROW_KEY, COPY), [ROW_KEY, COPY], "left_anti")
+
+
+def resumable_pixel_job(
+    spark: SparkSession,
+    catalog: str,
+    output: str,
+    fraction: float = 1.0,
+    find: str = "list",
+    decoder: Decoder | None = None,
+    patches_per_task: int = 512,
+    tasks_per_commit: int = 1000,
+    commits: int | None = None,
+) -> int:
+    """``pixel_job`` in batches that are kept: a rerun decodes only the patches that lack.
+
+    The sample is drawn by a hash of the patch id, so that every run has the same
+    one. Patches are cut into even ranges, so many ranges make a batch, and each
+    batch is committed when it is whole. ``commits`` bounds the batches of this
+    run; the result says how many patches are left.
+    """
+    rows = read_table(spark, catalog, PIXEL_JOB_COLUMNS)
+    sampled = hash_sample_by_split(rows, split_fractions(fraction), "patch_id")
+    lacking = materialize(pending_patches(sampled, committed(spark, output)), "pending-patches")
+    left = lacking.count()
+    tasks = task_count(left, patches_per_task)
+    ranges = lacking.repartitionByRange(tasks, "split", "patch_id", ROW_KEY, COPY)
+    dealt = materialize(ranges.withColumn(PART, F.spark_partition_id()), "pending-ranges")
+    batches = range(0, tasks if left else 0, tasks_per_commit)
+    for first in batches[:commits]:
+        own = dealt.where(F.col(PART).between(first, first + tasks_per_commit - 1))
+        size = own.count()
+        spread = own.repartitionByRange(task_count(size, patches_per_task), "split", "patch_id", ROW_KEY, COPY)
+        arrays = decode_patches(BAND_PATHS[find](spread, KEYS), KEYS, decoder=decoder)
+        pixels = explode_pixels(arrays, keep=[*KEYS, ERROR], outer=True)
+        commit_pixels(pixels.select(*PIXEL_ORDER, *KEYS, ERROR), own, output)
+        left -= size
+    return left
+
+
 @dataclass
 class ForestResult:
     model: PipelineModel

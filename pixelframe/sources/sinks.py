@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,3 +72,73 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col(STATE) == REJECTED).select(
         "patch_id", "split", ERROR
     )
+
+
+# A pixel table that is built in batches: its data and, for each batch that is whole,
+# the patches in it. A batch without an entry in the manifest is not part of the table.
+DATA, MANIFEST, BATCH = "data", "manifest", "batch"
+#: A catalogue row and which of its equal copies, as the manifest names them.
+ROW_KEY, COPY = "row_key", "copy"
+
+
+def committed(spark: SparkSession, path: str) -> DataFrame:
+    """(row_key, copy, patch_id, split, batch) of all patches that the table holds."""
+    fields = f"{ROW_KEY} long, {COPY} long, patch_id string, split string, {BATCH} string"
+    entries = f"{path}/{MANIFEST}"
+    if not _exists(spark, entries):
+        return spark.createDataFrame([], fields)
+    return spark.read.schema(fields).parquet(entries)
+
+
+def commit_pixels(pixels: DataFrame, patches: DataFrame, path: str) -> str:
+    """Write a batch of pixels, then its ``patches`` (row_key, copy, patch_id, split) to the manifest.
+
+    The entry appears by one rename. Where that does not happen, what was
+    written is no part of the table and its patches are still to be done.
+    """
+    spark = pixels.sparkSession
+    batch = uuid.uuid4().hex
+    write_pixels(pixels, f"{path}/{DATA}/{BATCH}={batch}")
+    hidden = f"{path}/{MANIFEST}/.{batch}"
+    patches.select(ROW_KEY, COPY, "patch_id", "split").write.parquet(hidden)
+    files, (old, new) = _file_system(spark, hidden, f"{path}/{MANIFEST}/{BATCH}={batch}")
+    if not files.rename(old, new):
+        raise OSError(f"batch {batch} could not be committed")
+    return batch
+
+
+def read_committed(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of the committed batches, rejects included; other batches are pruned."""
+    batches = [r[BATCH] for r in committed(spark, path).select(BATCH).distinct().collect()]  # one per commit
+    folders = [f"{path}/{DATA}/{BATCH}={b}" for b in sorted(batches)]
+    if not folders:
+        raise FileNotFoundError(f"no batch is committed below {path}")
+    return spark.read.option("basePath", f"{path}/{DATA}").parquet(*folders).drop(BATCH)
+
+
+def read_committed_pixels(spark: SparkSession, path: str) -> DataFrame:
+    return read_committed(spark, path).where(F.col(STATE) == DECODED).drop(STATE, ERROR)
+
+
+def drop_uncommitted(spark: SparkSession, path: str) -> int:
+    """Remove the data of batches that were not committed; how many. No writer may be at work."""
+    kept = {r[BATCH] for r in committed(spark, path).select(BATCH).distinct().collect()}
+    if not _exists(spark, f"{path}/{DATA}"):
+        return 0
+    files, (folder,) = _file_system(spark, f"{path}/{DATA}")
+    found = [s.getPath() for s in files.listStatus(folder)]
+    left = [p for p in found if p.getName().removeprefix(f"{BATCH}=") not in kept]
+    for place in left:
+        files.delete(place, True)
+    return len(left)
+
+
+def _file_system(spark: SparkSession, *paths: str):
+    jvm = spark.sparkContext._jvm
+    places = [jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return places[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), places
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, (place,) = _file_system(spark, path)
+    return files.exists(place)

@@ -181,6 +181,34 @@ def test_large_raster_that_breaks_off_is_a_reject(tmp_path):
     assert len(rows) == 1 and rows[0][2] and all(len(v) == 0 for v in rows[0][1].values())
 
 
+def test_resumed_pixels_equal_one_run(spark, catalog_path, tmp_path):
+    """A run fails in its second batch; the next decodes only what lacks, copies of a row included."""
+
+    def stopping(content):
+        raise RuntimeError("stopped")
+
+    rows = spark.read.parquet(catalog_path)
+    twice = str(tmp_path / "twice")
+    rows.unionByName(rows.limit(2)).write.parquet(twice)
+    whole, parts = str(tmp_path / "whole"), str(tmp_path / "parts")
+    jobs.pixel_job(spark, twice, whole)
+    expected = stored_pixels(sinks.read_pixels(spark, whole))
+    batches = {"patches_per_task": 2, "tasks_per_commit": 1}
+    left = jobs.resumable_pixel_job(spark, twice, parts, commits=1, **batches)
+    assert 0 < left < N + 2
+    held = sinks.committed(spark, parts).count()
+    with pytest.raises(Exception, match="stopped"):
+        jobs.resumable_pixel_job(spark, twice, parts, decoder=stopping, **batches)
+    assert sinks.committed(spark, parts).count() == held
+    assert sinks.drop_uncommitted(spark, parts) == 1
+    assert jobs.resumable_pixel_job(spark, twice, parts, **batches) == 0
+    assert stored_pixels(sinks.read_committed_pixels(spark, parts)) == expected
+    before = sinks.committed(spark, parts).select("batch").distinct().count()
+    assert jobs.resumable_pixel_job(spark, twice, parts, decoder=stopping, **batches) == 0
+    assert sinks.committed(spark, parts).select("batch").distinct().count() == before
+    assert sinks.committed(spark, parts).count() == N + 2
+
+
 # Inventory
 
 
