@@ -68,13 +68,16 @@ def incomplete_patches(
 
 
 def count_by_directory(files: DataFrame, path: str = "path") -> DataFrame:
-    """Files per directory of an inventory; a location as ``with_directory_counts`` expects.
+    """Files below each directory of an inventory; a location as ``with_directory_counts`` expects.
 
-    One location is one row, whatever scheme its paths are written with.
+    Nested files count for all directories above them, as when these are listed.
+    One location is one row, whatever scheme its paths are written with. Files are
+    summed up by their own directory first, so few rows go up the tree.
     """
-    return files.groupBy(location(directory_of(path)).alias("directory")).agg(
-        F.count(F.lit(1)).cast("int").alias("files")
-    )
+    own = files.groupBy(location(directory_of(path)).alias("__own")).agg(F.count(F.lit(1)).alias("files"))
+    parts = F.split("__own", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    return own.select(F.explode(above).alias("directory"), "files").groupBy("directory").agg(F.sum("files").alias("files"))
 
 
 def with_directory_counts(
@@ -101,7 +104,7 @@ def with_directory_counts(
     per_row = joined.groupBy("__row").agg(
         F.expr(f"count(1) div {len(paths)}").alias("__copies"),
         *(
-            F.coalesce(F.max(F.when(F.col("__side.sensor") == s, F.col("files"))), F.lit(0)).alias(columns[s])
+            F.coalesce(F.max(F.when(F.col("__side.sensor") == s, F.col("files"))), F.lit(0)).cast("int").alias(columns[s])
             for s in paths
         ),
     )

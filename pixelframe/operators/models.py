@@ -18,10 +18,12 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pixelframe.functions.hashing import key_fraction
 from pixelframe.operators.sampling import SEED
 from pixelframe.storage import materialize
 
 MAX_TREE_DEPTH = 30
+FOLD = "fold"
 
 # The search grid; depths above MLlib's limit are left to the caller.
 FOREST_GRID = {
@@ -84,6 +86,27 @@ def check_grid(grid: Mapping[str, Sequence]) -> None:
         raise ValueError(f"maxDepth {too_deep} is above {MAX_TREE_DEPTH}")
 
 
+def with_folds(df: DataFrame, group: str, folds: int, salt: str = "") -> DataFrame:
+    """Adds ``fold``, from 0, by a hash of the group: rows of a group share it, however they are partitioned."""
+    return df.withColumn(FOLD, F.floor(key_fraction(group, salt) * folds).cast("int"))
+
+
+def grouped_accuracy(
+    vectors: DataFrame, classifier: RandomForestClassifier, group: str, folds: int = 3, salt: str = ""
+) -> DataFrame:
+    """(fold, accuracy, rows): each fold scored by a model trained on the others, all in one pass.
+
+    ``vectors`` are stored with their folds once.
+    """
+    stored = materialize(with_folds(vectors, group, folds, salt), "fold-vectors")
+    scored: DataFrame | None = None
+    for fold in range(folds):
+        model = classifier.fit(stored.where(F.col(FOLD) != fold))
+        own = model.transform(stored.where(F.col(FOLD) == fold)).select(FOLD, "label", "prediction")
+        scored = own if scored is None else scored.unionByName(own)
+    return accuracy_by(scored, [FOLD])
+
+
 @dataclass
 class TunedForest:
     """The best model with all its stages, and the search that found it."""
@@ -101,15 +124,20 @@ def tune_forest(
     folds: int = 3,
     parallelism: int = 1,
     seed: int = SEED,
+    group: str | None = None,
 ) -> TunedForest:
     """Grid search by k-fold cross-validation over ``stages`` and the classifier.
 
+    With ``group``, a column that the stages carry along, all rows of a group are
+    in one fold, so that pixels of a patch never score a model trained on others of it.
+
     The stages that learn nothing from the data run once and their output is
     stored, so that no fold or grid point decodes or computes features again.
     """
     check_grid(grid)
     fixed = list(takewhile(lambda stage: isinstance(stage, Transformer), stages))
-    prepared = materialize(PipelineModel(fixed).transform(train), "tuning")
+    ready = PipelineModel(fixed).transform(train)
+    prepared = materialize(with_folds(ready, group, folds) if group else ready, "tuning")
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(classifier.getParam(name), list(values))
@@ -120,5 +148,6 @@ def tune_forest(
         numFolds=folds,
         parallelism=parallelism,
         seed=seed,
+        foldCol=FOLD if group else "",
     ).fit(prepared)
     return TunedForest(PipelineModel([*fixed, *search.bestModel.stages]), search)

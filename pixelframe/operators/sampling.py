@@ -7,11 +7,12 @@ from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pixelframe.functions.hashing import key_fraction
 from pixelframe.schemas import SPLITS
+from pixelframe.storage import materialize
 
 SEED = 42
 
@@ -56,6 +57,58 @@ def hash_sample_by_split(
     return checked.where(key_fraction(key, salt) < limit)
 
 
+#: Rows of a stratum among which the last ones of an exact sample are chosen by rank.
+EDGE_ROWS = 10_000
+#: Hex digits of the hash by which an exact sample's histogram gets finer each time.
+DIGITS = 4
+
+
+def exact_sample(
+    df: DataFrame, sizes: Mapping[str, int], key: str, stratum: str = "split", salt: str = ""
+) -> DataFrame:
+    """Exactly so many rows of each stratum, or all it has: those of the smallest hash of ``key``.
+
+    A histogram of the hashes' first digits says in which bin the last row lies;
+    bins below are taken whole, and that one is parted by further digits until it
+    is small. Nothing is sorted but the rows of that last bin. Rows that share a key
+    are ordered by a hash of the row. A stratum that ``sizes`` does not name raises.
+    """
+    digest = F.md5(F.concat(F.lit(salt), F.col(key).cast("string")).cast("binary"))
+    checked = df.withColumn("__stratum", _known_stratum(stratum, sizes))
+    rows = checked.withColumn("__hash", F.coalesce(digest, F.lit("")))
+    wanted = [(value, "", n) for value, n in sizes.items() if n > 0]
+    edges = df.sparkSession.createDataFrame(wanted, "edge_stratum string, prefix string, need long")
+    rows = rows.where(F.col("__stratum").isin([value for value, *_ in wanted]))
+    at_edge = (F.col("__stratum") == F.col("edge_stratum")) & F.startswith("__hash", "prefix")
+    by_bin = Window.partitionBy("__stratum").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    for digits in range(DIGITS, 32 + DIGITS, DIGITS):
+        inside = rows.join(F.broadcast(edges), at_edge)  # a row per stratum
+        bins = inside.groupBy("__stratum", F.substring("__hash", 1, digits).alias("__bin")).agg(
+            F.count(F.lit(1)).alias("rows"), F.max("need").alias("need")
+        )
+        before = F.coalesce(F.sum("rows").over(by_bin), F.lit(0))
+        last = bins.withColumn("before", before).where("before < need and before + rows >= need")
+        edges = materialize(
+            last.select(
+                F.col("__stratum").alias("edge_stratum"),
+                F.col("__bin").alias("prefix"),
+                (F.col("need") - F.col("before")).alias("need"),
+                "rows",
+            ),
+            "sample-edges",
+        )
+        if (edges.agg(F.max("rows")).first()[0] or 0) <= EDGE_ROWS:
+            break
+    # A stratum without an edge has no more rows than wanted.
+    found = rows.join(F.broadcast(edges.drop("rows")), F.col("__stratum") == F.col("edge_stratum"), "left")
+    edge = F.coalesce(F.startswith("__hash", "prefix"), F.lit(False))
+    below = found.where(F.col("prefix").isNull() | ((F.col("__hash") < F.col("prefix")) & ~edge))
+    names = ["`" + c.replace("`", "``") + "`" for c in df.columns]
+    rank = F.row_number().over(Window.partitionBy("__stratum").orderBy("__hash", F.xxhash64(*names)))
+    chosen = found.where(edge).withColumn("__rank", rank).where("__rank <= need")
+    return below.select(*names).unionByName(chosen.select(*names))
+
+
 def random_split(
     df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = SEED
 ) -> list[DataFrame]:
@@ -100,6 +153,25 @@ def first_rows(df: DataFrame, n: int, order_by: Sequence[str] = ()) -> DataFrame
     return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
+def first_many(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows by key for any ``n``: no task holds more than its range of the keys.
+
+    Ranges are sorted apart and stored; their sizes say which are whole among the
+    first, and where the cut lies in the one range that is not.
+    """
+    nth = F.monotonically_increasing_id()
+    sorted_rows = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    placed = materialize(
+        sorted_rows.withColumn("__part", F.shiftright(nth, 33)).withColumn("__row", nth.bitwiseAND(F.lit((1 << 33) - 1))),
+        "first-rows",
+    )
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
+    wanted = starts.where(F.col("__before") < n)  # a row per partition
+    return placed.join(F.broadcast(wanted), "__part").where(F.col("__before") + F.col("__row") < n).select(*df.columns)
+
+
 def hash_partition(df: DataFrame, n: int, *keys: str) -> DataFrame:
     """Hash repartition. Use a key with many values: three splits fill three partitions."""
     return df.repartition(n, *keys)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -41,9 +43,9 @@ class PixelExtractor(_Stage):
     struct's ``first_pixel`` says where in the patch the arrays of a row begin.
 
     ``find`` says how band files are found: ``list`` lists each patch's
-    directories, ``name`` builds the paths from the naming rule. ``tasks``
-    spreads the patches over that many decode tasks first; 0 leaves them as
-    they are. A patch that cannot be decoded is one row without pixels, with the
+    directories, ``name`` builds the paths from the naming rule. The patches
+    are spread over ``tasks`` decode tasks first; 0 counts them and gives each
+    task ``patchesPerTask``. A patch that cannot be decoded is one row without pixels, with the
     reason in the struct's ``error``; ``stage_rejects`` selects these.
 
     With ``bundle`` the three directories come from that array of paths, and
@@ -53,14 +55,15 @@ class PixelExtractor(_Stage):
     keys = _strings("keys", "catalogue columns carried along")
     find = Param(Params._dummy(), "find", "list or name", TypeConverters.toString)
     tasks = Param(Params._dummy(), "tasks", "decode tasks", TypeConverters.toInt)
+    patchesPerTask = Param(Params._dummy(), "patchesPerTask", "patches of a decode task", TypeConverters.toInt)
     bundle = Param(Params._dummy(), "bundle", "path bundle column", TypeConverters.toString)
     scheme = Param(Params._dummy(), "scheme", "scheme of bundled paths", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, keys=None, find=None, tasks=None, bundle=None, scheme=None):
+    def __init__(self, *, keys=None, find=None, tasks=None, patchesPerTask=None, bundle=None, scheme=None):
         super().__init__()
         self._setDefault(
-            keys=["patch_id", "split"], find="list", tasks=0, bundle="", scheme="s3://"
+            keys=["patch_id", "split"], find="list", tasks=0, patchesPerTask=512, bundle="", scheme="s3://"
         )
         self._set_given(self._input_kwargs)
 
@@ -71,7 +74,8 @@ class PixelExtractor(_Stage):
             scheme = F.lit(self.getOrDefault("scheme"))
             df = unpack_paths(df, PATH_COLUMNS, bundle)
             df = df.withColumns({c: F.concat(scheme, c) for c in PATH_COLUMNS})
-        paths = find(df.repartition(tasks) if tasks else df, keys)
+        tasks = tasks or max(1, ceil(df.count() / self.getOrDefault("patchesPerTask")))
+        paths = find(df.repartition(tasks), keys)
         arrays = F.struct(*PIXEL_BANDS, FIRST_PIXEL, ERROR).alias("pixel_arrays")
         return decode_patches(paths, keys).select(*keys, arrays)
 

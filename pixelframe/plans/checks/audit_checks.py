@@ -53,7 +53,9 @@ def directory_audit(spark, sf_dir):
     # The inventory names half of the files by another scheme than the catalogue.
     sensor = F.expr(SENSOR_SQL)
     place = F.when(F.col("l_linenumber") % 2 == 0, directory(sensor, "l_orderkey", "s3a"))
-    name = F.concat(F.lit("f"), "l_linenumber", F.lit(".tif"))
+    # Some lie deeper than right in their patch's directory.
+    nested = F.when(F.col("l_linenumber") % 3 == 0, "older/x/").otherwise("")
+    name = F.concat(nested, F.lit("f"), "l_linenumber", F.lit(".tif"))
     inventory = table(spark, sf_dir, "lineitem").select(
         F.concat(place.otherwise(directory(sensor, "l_orderkey")), name).alias("path")
     )

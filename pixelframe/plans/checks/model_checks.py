@@ -271,3 +271,14 @@ def tuning_exact(spark, sf_dir):
     return scored.agg(models.accuracy_of().alias("accuracy"), F.count(F.lit(1)).alias("rows")).select(
         depth, "accuracy", "rows"
     )
+
+
+@query(
+    "grouped_folds",
+    f"""SELECT floor({HASH_SQL.format("l_orderkey")} * 3)::INTEGER AS fold, 1.0::DOUBLE AS accuracy, count(*) AS rows
+    FROM lineitem GROUP BY fold""",
+)
+def grouped_folds(spark, sf_dir):
+    """Items of an order are in one fold; each fold is scored by a forest of the other two."""
+    vectors = features.assemble(rule_rows(spark, sf_dir), exclude=["order"], keep=["order"])
+    return models.grouped_accuracy(vectors, models.forest(maxDepth=5, **WHOLE), "order")

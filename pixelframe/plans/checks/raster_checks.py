@@ -288,5 +288,6 @@ def raster_names(spark, sf_dir):
 )
 def listed_audit(spark, sf_dir):
     """Every stored patch lacks the eight optical bands that pixels do not need."""
-    counted = files.count_listed_files(stored_catalog(spark, sf_dir), audit.COUNT_COLUMNS)
+    spread = stored_catalog(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+    counted = files.count_listed_files(spread, audit.COUNT_COLUMNS)
     return counted.where(audit.is_incomplete()).select("patch_id", *audit.COUNT_COLUMNS.values())

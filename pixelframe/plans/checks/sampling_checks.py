@@ -104,3 +104,29 @@ def partition_report_few_keys(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderstatus")
     spread = sampling.hash_partition(orders, 100, "o_orderstatus")
     return sampling.partition_report(spread).select("partitions", "rows", "min_rows")
+
+
+#: Rows wanted of each status; the last is more than there are.
+EXACT = {"F": 1234, "O": 700, "P": 10**9}
+EXACT_SQL = " ".join(f"WHEN '{v}' THEN {n}" for v, n in EXACT.items())
+
+
+@query(
+    "exact_sample",
+    f"""SELECT o_orderkey, o_orderstatus FROM (SELECT o_orderkey, o_orderstatus,
+      row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5(o_orderkey::VARCHAR)) AS nth FROM orders)
+    WHERE nth <= CASE o_orderstatus {EXACT_SQL} END""",
+)
+def exact_sample(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return sampling.exact_sample(orders, EXACT, "o_orderkey", "o_orderstatus")
+
+
+@query(
+    "first_many",
+    "SELECT o_custkey, o_orderkey FROM orders ORDER BY o_custkey, o_orderkey LIMIT 12000",
+)
+def first_many(spark, sf_dir):
+    """More first rows than a partition holds."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey").repartition(8)
+    return sampling.first_many(orders, 12_000, ["o_custkey", "o_orderkey"])

@@ -36,6 +36,7 @@ from pixelframe.operators.models import (
 from pixelframe.operators.pixels import explode_pixels
 from pixelframe.operators.sampling import (
     SEED,
+    first_many,
     first_rows,
     hash_sample_by_split,
     hash_split,
@@ -76,6 +77,8 @@ from pixelframe.storage import materialize
 KEYS = ["patch_id", "split"]
 ROW = "__row"
 PART = "__part"
+#: So many first rows are ordered in one task; more are cut out of sorted ranges.
+FIRST_IN_ONE_TASK = 10_000
 
 
 def catalog_job(
@@ -145,7 +148,8 @@ def audit_job(
     """
     patches = read_table(spark, catalog, AUDIT_COLUMNS)
     if first is not None:
-        patches = first_rows(patches, first, ["patch_id"])
+        few = first <= FIRST_IN_ONE_TASK
+        patches = (first_rows if few else first_many)(patches, first, ["patch_id"])
     if inventory is None:
         tasks = task_count(patches.count(), patches_per_task)
         counted = count_listed_files(patches.repartition(tasks), COUNT_COLUMNS)

@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import pytest
@@ -131,7 +132,7 @@ def test_sample_refuses_a_missing_split(spark, form, fraction):
 
 def test_directory_counts_join_once(spark):
     files = spark.createDataFrame(
-        [("s3://b/x/1.tif",), ("s3a://b/x/2.tif",), ("s3://b/y/1.tif",)], "path string"
+        [("s3://b/x/1.tif",), ("s3a://b/x/old/2.tif",), ("s3://b/y/1.tif",), ("s3://b/yy/1.tif",)], "path string"
     )
     paths = {"s2": "a", "s1": "b", "label": "c"}
     row = ("p", "s3://b/x/", "s3a://b/y", None)
@@ -341,3 +342,49 @@ def test_wide_fit_keeps_values_off_the_driver(spark):
     assert (first.size, len(first.indices)) == (120_001, 2)
     codes = index.codes[0]
     assert codes.agg(F.countDistinct("code"), F.max("code")).first()[:] == (120_000, 119_999.0)
+
+
+# Samples, first rows and folds
+
+
+@pytest.mark.parametrize("edge", [10_000, 5, 1])
+def test_exact_sample(spark, monkeypatch, edge):
+    """The rows of the smallest hashes, however fine the histogram must get; equal keys included."""
+    monkeypatch.setattr(sampling, "EDGE_ROWS", edge)
+    monkeypatch.setattr(sampling, "DIGITS", 1)
+    rows = [(i, "a" if i % 3 else "b", f"x{i}") for i in range(400)] + [(7, "a", "x7")] * 3 + [(None, "a", "none"), (1, "c", "few")]
+    df = spark.createDataFrame(rows, "k int, s string, v string")
+    sizes = {"a": 100, "b": 3, "c": 50, "d": 4}
+    got = sorted(tuple(r) for r in sampling.exact_sample(df, sizes, "k", "s").collect() if r.k is not None)
+    expected = []
+    for stratum, n in sizes.items():
+        own = sorted((hashlib.md5(str(r[0]).encode()).hexdigest() if r[0] is not None else "", r) for r in rows if r[1] == stratum)
+        expected += [r for _, r in own[:n] if r[0] is not None]
+    assert got == sorted(expected)
+    none = sampling.exact_sample(df, {**sizes, "b": 0}, "k", "s")
+    assert none.where("s = 'b'").count() == 0 and none.where("s = 'a'").count() == 100
+    with pytest.raises(Exception, match="no sampling fraction for c"):
+        sampling.exact_sample(df, {"a": 1, "b": 1}, "k", "s").collect()
+
+
+@pytest.mark.parametrize("n", [0, 1, 99, 250, 1000])
+def test_first_many(spark, n):
+    df = spark.range(500).select((F.col("id") * 37 % 251).alias("a"), "id").repartition(7)
+    got = sorted((r.a, r.id) for r in sampling.first_many(df, n, ["a", "id"]).collect())
+    assert got == sorted((i * 37 % 251, i) for i in range(500))[:n]
+
+
+def test_folds_do_not_part_groups(spark):
+    """A label that only its patch tells: folds by row leak it, folds by patch do not."""
+    rows = spark.range(1200).select(  # fewer patches than a tree has bins
+        (F.col("id") % 30).alias("patch"), (F.xxhash64(F.col("id") % 30) % 2 == 0).cast("double").alias("label")
+    )
+    folded = models.with_folds(rows, "patch", 3)
+    assert folded.groupBy("patch").agg(F.countDistinct("fold").alias("n")).where("n > 1").count() == 0
+    vectors = features.assemble(rows.withColumn("f", F.col("patch").cast("double")), exclude=["patch"], keep=["patch"])
+    forest = models.forest(numTrees=5, maxDepth=10)
+    by_patch = models.grouped_accuracy(vectors, forest, "patch").agg(F.avg("accuracy")).first()[0]
+    by_row = models.grouped_accuracy(vectors.withColumn("row", F.monotonically_increasing_id()), forest, "row")
+    assert by_patch < 0.75 < 0.9 < by_row.agg(F.avg("accuracy")).first()[0]
+    tuned = models.tune_forest(vectors, [], forest, models.accuracy_evaluator(), {"maxDepth": [2, 10]}, group="patch")
+    assert max(tuned.search.avgMetrics) < 0.75
