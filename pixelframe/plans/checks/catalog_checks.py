@@ -35,10 +35,10 @@ def patch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SCENES_SQL = r"""scenes AS (
+SCENES_SQL = f"""scenes AS (
   SELECT patch_id, s1_name,
-    nullif(regexp_extract(patch_id, '^(.*)_[0-9]+_[0-9]+$', 1), '') AS patch_id_path,
-    nullif(regexp_extract(s1_name, '^(.*)_[A-Z0-9]+_[0-9]+_[0-9]+$', 1), '') AS patch_id_path_s1
+    nullif(regexp_extract(patch_id, '{paths.OPTICAL_SCENE_PATTERN}', 1), '') AS patch_id_path,
+    nullif(regexp_extract(s1_name, '{paths.RADAR_SCENE_PATTERN}', 1), '') AS patch_id_path_s1
   FROM ids)"""
 
 

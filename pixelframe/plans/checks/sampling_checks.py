@@ -130,3 +130,13 @@ def first_many(spark, sf_dir):
     """More first rows than a partition holds."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey").repartition(8)
     return sampling.first_many(orders, 12_000, ["o_custkey", "o_orderkey"])
+
+
+@query("balanced_partitions", "SELECT 16::BIGINT AS partitions, true AS even, count(*) AS rows FROM lineitem")
+def balanced_partitions(spark, sf_dir):
+    """A third of all rows have one key; the fullest partition is at most 1.2 times the mean."""
+    key = F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_suppkey"))
+    rows = table(spark, sf_dir, "lineitem").select(key.alias("key"), "l_orderkey", "l_linenumber")
+    report = sampling.partition_report(sampling.balanced_partition(rows, 16, "key"))
+    even = (F.col("max_rows") * F.col("partitions") <= 1.2 * F.col("rows")).alias("even")
+    return report.select("partitions", even, "rows")

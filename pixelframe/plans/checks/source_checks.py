@@ -138,3 +138,29 @@ def load_files(spark, sf_dir):
     return loaded.groupBy(F.col("o_orderstatus").alias("status")).agg(
         F.count(F.lit(1)).alias("rows")
     )
+
+
+@query(
+    "schema_drift",
+    """SELECT o_orderkey, o_custkey::VARCHAR AS o_custkey, o_totalprice, NULL AS reason FROM orders WHERE o_orderkey % 4 < 3
+    UNION ALL SELECT NULL, NULL, NULL, 'column o_custkey is array<bigint>, not string'
+    UNION ALL SELECT NULL, NULL, NULL, 'column o_totalprice is missing'""",
+)
+def schema_drift(spark, sf_dir):
+    """Files of five shapes: three are brought to one schema, the other two are rejects with a reason."""
+    root = scratch_path(spark, "drift")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    own = [orders.where(F.col("o_orderkey") % 4 == i).coalesce(1) for i in range(4)]
+    shapes = [
+        own[0],
+        own[1].withColumn("o_custkey", F.col("o_custkey").cast("string")),
+        own[2].select("o_totalprice", "o_orderkey", "o_custkey"),
+        own[3].withColumn("o_custkey", F.array("o_custkey")),
+        own[3].drop("o_totalprice"),
+    ]
+    for i, df in enumerate(shapes):
+        df.write.parquet(f"{root}/{i}")
+    wanted = T.StructType.fromDDL("o_orderkey bigint, o_custkey string, o_totalprice double")
+    found = files.list_root(spark, root, suffix=".parquet", levels=1)
+    drift = tables.read_drifting(spark, found, wanted)
+    return drift.rows.unionByName(drift.rejects.select("reason"), allowMissingColumns=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -21,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="pixelframe-")
     spark.conf.set(CHECKPOINT_DIR, own)

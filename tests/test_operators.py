@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pixelframe.operators import audit, catalog, categories, features, labels, models, pixels, profile, sampling
 from pixelframe.schemas import LABEL_DICTIONARY_CSV
@@ -388,3 +389,40 @@ def test_folds_do_not_part_groups(spark):
     assert by_patch < 0.75 < 0.9 < by_row.agg(F.avg("accuracy")).first()[0]
     tuned = models.tune_forest(vectors, [], forest, models.accuracy_evaluator(), {"maxDepth": [2, 10]}, group="patch")
     assert max(tuned.search.avgMetrics) < 0.75
+
+
+# Balance and drift
+
+
+def test_balanced_partition(spark):
+    """A key with half of all rows is parted, light keys stay together, weights count, NULL is a key."""
+    rows = [(0 if i % 2 else (None if i % 50 == 0 else i), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k int, i int").repartition(5)
+    dealt = sampling.balanced_partition(df, 8, "k")
+    placed = [(r.k, r.i, r.p) for r in dealt.select("k", "i", F.spark_partition_id().alias("p")).collect()]
+    assert sorted(i for _, i, _ in placed) == list(range(4000))
+    sizes = [sum(p == n for *_, p in placed) for n in range(8)]
+    assert max(sizes) <= 1.2 * 500
+    light = {k for k, *_ in placed if k}
+    assert all(len({p for k, _, p in placed if k == key}) == 1 for key in list(light)[:100])
+    heavy = F.when(F.col("i") < 400, 10).otherwise(1)
+    by_weight = sampling.balanced_partition(df, 4, "i", heavy).select("i", F.spark_partition_id().alias("p")).collect()
+    loads = [sum(10 if r.i < 400 else 1 for r in by_weight if r.p == n) for n in range(4)]
+    assert sum(loads) == 7600 and max(loads) <= 1.2 * 1900
+    assert sampling.balanced_partition(df.limit(0), 4, "k").count() == 0
+
+
+def test_drift_rejects(spark, tmp_path):
+    good = str(tmp_path / "good.parquet")
+    spark.range(3).selectExpr("int(id) as a", "'x' as b").write.parquet(good)
+    (tmp_path / "torn.parquet").write_bytes(b"PAR1 no footer")
+    wanted = T.StructType.fromDDL("a bigint, b string")
+    names = [good + "/" + p.name for p in (tmp_path / "good.parquet").glob("*.parquet")]
+    names += [str(tmp_path / "torn.parquet"), str(tmp_path / "gone.parquet")]
+    drift = tables.read_drifting(spark, spark.createDataFrame([(n,) for n in names], "path string"), wanted)
+    assert drift.rows.schema == wanted
+    assert sorted(r.a for r in drift.rows.collect()) == [0, 1, 2]
+    rejects = {r.path.rsplit("/", 1)[1]: r.reason for r in drift.rejects.collect()}
+    assert set(rejects) == {"torn.parquet", "gone.parquet"} and "no such file" in rejects["gone.parquet"]
+    narrow = tables.read_drifting(spark, spark.createDataFrame([(names[0],)], "path string"), T.StructType.fromDDL("a tinyint"))
+    assert narrow.rows.count() == 0 and narrow.rejects.first().reason == "column a is int, not tinyint"
