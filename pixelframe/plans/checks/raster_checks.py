@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pixelframe.plans.checks.standins import (
     table,
 )
 from pixelframe.schemas import OPTICAL_BANDS, PIXEL_BANDS, PIXEL_ORDER, RADAR_BANDS
-from pixelframe.sources import files, rasters, sinks
+from pixelframe.sources import bands, files, rasters, sinks
 from pixelframe.sources.remote import TaskStorage
 from pixelframe.storage import materialize, scratch_path
 
@@ -111,6 +112,22 @@ def raster_windows(spark, sf_dir):
     return pixels.explode_pixels(decoded, keep=["mosaic"], position="pos", offset=rasters.FIRST_PIXEL)
 
 
+@query(
+    "bucketed_bands",
+    f"WITH {PIXELS_SQL} SELECT vec_id, pos, VH, VV, B, G, R, NIR, label FROM px",
+)
+def bucketed_bands(spark, sf_dir):
+    """Decoded blocks stored as a bucketed table per band, named anew and joined without a shuffle."""
+    path, name = scratch_path(spark, "bands"), f"bands_{uuid.uuid4().hex}"
+    contents = band_contents(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+    decoded = materialize(rasters.decode_patches(contents, ["vec_id"], block_pixels=24), "decoded-blocks")
+    bands.write_bands(decoded, path, name, ["vec_id"], 4)
+    bands.register_bands(spark, path, f"{name}_again", ["vec_id"], 4)
+    joined = bands.join_bands(spark, f"{name}_again", ["vec_id"])
+    placed = pixels.explode_pixels(joined, keep=["vec_id"], position="pos", offset=rasters.FIRST_PIXEL)
+    return placed.withColumn("pos", F.col("pos").cast("int"))
+
+
 def _decoded_pixels(spark, sf_dir, block_pixels):
     contents = band_contents(spark, sf_dir)
     # Decoding takes longer than its small input suggests: spread the patches first.

@@ -4,13 +4,15 @@ from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from pixelframe import storage
 from pixelframe.operators import audit, labels, pixels, profile, sampling
 from pixelframe.plans import checks
 from pixelframe.plans.checks import raster_checks, standins
 from pixelframe.plans.jobs import in_even_ranges
-from pixelframe.sources import files, rasters, sinks, tables
+from pixelframe.schemas import PATCH_ARRAYS, PIXEL_BANDS, RADAR_BANDS
+from pixelframe.sources import bands, files, rasters, sinks, tables
 from pixelframe.storage import CHECKPOINT_DIR, materialize, shared_dir
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -234,3 +236,13 @@ def test_decoding_and_exploding_share_a_stage(spark):
     assert "Exchange" not in text
     generate = next(line for line in text.splitlines() if "Generate posexplode" in line)
     assert "*(" in generate.split("Generate")[0]
+
+
+def test_bucketed_bands_join_without_exchange(spark, tmp_path):
+    rows = [(f"p{i}", b, *[[float(b)] if s in RADAR_BANDS else [b] for s in PIXEL_BANDS]) for i in range(40) for b in (0, 1)]
+    schema = StructType([StructField("patch_id", StringType()), StructField("first_pixel", LongType()), *PATCH_ARRAYS.fields])
+    bands.write_bands(spark.createDataFrame(rows, schema), str(tmp_path), "plan_bands", ["patch_id"], 4)
+    joined = bands.join_bands(spark, "plan_bands", ["patch_id"])
+    assert joined.count() == 80
+    text = plan(joined)
+    assert "Exchange" not in text and text.count("SortMergeJoin") == len(PIXEL_BANDS) - 1
