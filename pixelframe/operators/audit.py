@@ -67,6 +67,12 @@ def incomplete_patches(
     return with_file_counts(rows, counts, key, columns).where(is_incomplete(expected, columns))
 
 
+def _above(directory: str) -> Column:
+    """A location and all directories above it."""
+    parts = F.split(directory, "/")
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+
+
 def count_by_directory(files: DataFrame, path: str = "path") -> DataFrame:
     """Files below each directory of an inventory; a location as ``with_directory_counts`` expects.
 
@@ -75,9 +81,55 @@ def count_by_directory(files: DataFrame, path: str = "path") -> DataFrame:
     summed up by their own directory first, so few rows go up the tree.
     """
     own = files.groupBy(location(directory_of(path)).alias("__own")).agg(F.count(F.lit(1)).alias("files"))
-    parts = F.split("__own", "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
-    return own.select(F.explode(above).alias("directory"), "files").groupBy("directory").agg(F.sum("files").alias("files"))
+    spread = own.select(F.explode(_above("__own")).alias("directory"), "files")
+    return spread.groupBy("directory").agg(F.sum("files").alias("files"))
+
+
+def inventory_delta(before: DataFrame, after: DataFrame, path: str = "path", length: str = "length") -> DataFrame:
+    """(location, change, old_length, new_length) of files added, removed or of another length.
+
+    Two snapshots are merged by location, whatever schemes they are written with;
+    each has a file once.
+    """
+    old = before.select(location(path).alias("location"), F.col(length).alias("old_length"), F.lit(True).alias("__old"))
+    new = after.select(location(path).alias("location"), F.col(length).alias("new_length"), F.lit(True).alias("__new"))
+    change = F.when(F.col("__old").isNull(), "added").when(F.col("__new").isNull(), "removed")
+    same = F.col("old_length").eqNullSafe(F.col("new_length"))
+    merged = old.join(new, "location", "full").withColumn("change", F.coalesce(change, F.when(~same, "changed")))
+    return merged.where("change is not null").select("location", "change", "old_length", "new_length")
+
+
+def updated_counts(counts: DataFrame, delta: DataFrame) -> DataFrame:
+    """Files below each directory after ``delta``; directories that hold none any more go."""
+    step = F.when(F.col("change") == "added", 1).when(F.col("change") == "removed", -1).otherwise(0).cast("long")
+    own = delta.groupBy(location(directory_of("location")).alias("__own")).agg(F.sum(step).alias("files"))
+    spread = own.where("files <> 0").select(F.explode(_above("__own")).alias("directory"), "files")
+    summed = counts.select("directory", "files").unionByName(spread).groupBy("directory").agg(F.sum("files").alias("files"))
+    return summed.where("files <> 0")
+
+
+def updated_audit(
+    catalog: DataFrame,
+    previous: DataFrame,
+    counts: DataFrame,
+    delta: DataFrame,
+    key: str = "patch_id",
+    expected: Mapping[str, int] = COMPLETE_FILES,
+    paths: Mapping[str, str] = SENSOR_PATHS,
+) -> DataFrame:
+    """The audit after ``delta``: patches above a change are counted anew, the others keep what ``previous`` says.
+
+    ``counts`` are those after the change. ``previous`` has the catalogue's columns
+    and a count per sensor; ``key`` names a catalogue row.
+    """
+    moved = delta.where("change <> 'changed'").select(location(directory_of("location")).alias("__own")).distinct()
+    touched = moved.select(F.explode(_above("__own")).alias("__directory")).distinct()
+    sides = catalog.select(F.col(key).alias("__key"), F.explode(F.array(*(location(p) for p in paths.values()))).alias("__side"))
+    keys = sides.join(touched, F.col("__side") == F.col("__directory"), "left_semi").select("__key").distinct()
+    anew = catalog.join(keys, F.col(key).eqNullSafe(F.col("__key")), "left_semi")
+    found = with_directory_counts(anew, counts, paths=paths).where(is_incomplete(expected))
+    kept = previous.join(keys, F.col(key).eqNullSafe(F.col("__key")), "left_anti")
+    return kept.unionByName(found)
 
 
 def with_directory_counts(

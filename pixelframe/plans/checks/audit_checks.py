@@ -69,6 +69,46 @@ def directory_audit(spark, sf_dir):
     return tables.read_table(spark, path).select("s2_path", *audit.COUNT_COLUMNS.values())
 
 
+@query(
+    "audit_delta",
+    """WITH n AS (
+      SELECT l_orderkey, count(DISTINCT l_linenumber) FILTER (l_returnflag = 'R') AS s2,
+        count(DISTINCT l_linenumber) FILTER (l_returnflag = 'A') AS s1,
+        count(DISTINCT l_linenumber) FILTER (l_returnflag = 'N') AS label
+      FROM lineitem WHERE NOT (l_orderkey % 10 = 1 AND l_linenumber % 2 = 1) GROUP BY l_orderkey)
+    SELECT o_orderkey AS patch_id, coalesce(s2, 0)::INTEGER AS ns2bands,
+      coalesce(s1, 0)::INTEGER AS ns1bands, coalesce(label, 0)::INTEGER AS nlabelbands
+    FROM orders LEFT JOIN n ON o_orderkey = l_orderkey
+    WHERE coalesce(s2, 0) <> 2 OR coalesce(s1, 0) <> 1 OR coalesce(label, 0) <> 1""",
+)
+def audit_delta(spark, sf_dir):
+    """An audit that follows an inventory: a tenth of the patches get files, another tenth lose some."""
+
+    def directory(sensor, key):
+        return F.concat(F.lit("s3://store/"), sensor, F.lit("/"), F.col(key), F.lit("/"))
+
+    name = F.concat(F.lit("f"), "l_linenumber", F.lit(".tif"))
+    place = directory(F.expr(SENSOR_SQL), "l_orderkey")
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.concat(place, name).alias("path"), F.lit(9).alias("length"), "l_orderkey", "l_linenumber"
+    )
+    rows = rows.dropDuplicates(["path"])
+    odd = F.col("l_linenumber") % 2 == 1
+    before = rows.where(~((F.col("l_orderkey") % 10 == 0) & odd)).select("path", "length")
+    longer = F.when(F.col("l_orderkey") % 10 == 2, 10).otherwise(F.col("length")).alias("length")
+    after = rows.where(~((F.col("l_orderkey") % 10 == 1) & odd)).select("path", longer)
+    patches = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("patch_id"),
+        *[directory(F.lit(s), "o_orderkey").alias(p) for s, p in files.SENSOR_PATHS.items()],
+    )
+    counts = materialize(audit.count_by_directory(before), "counts-before")
+    previous = audit.with_directory_counts(patches, counts).where(audit.is_incomplete(EXPECTED))
+    delta = materialize(audit.inventory_delta(before, after), "inventory-delta")
+    counts = materialize(audit.updated_counts(counts, delta), "counts-after")
+    found = audit.updated_audit(patches, materialize(previous, "audit-before"), counts, delta, expected=EXPECTED)
+    return found.select("patch_id", *audit.COUNT_COLUMNS.values())
+
+
 @query("row_count", "SELECT count(*) AS rows FROM lineitem")
 def row_count(spark, sf_dir):
     return profile.row_count(table(spark, sf_dir, "lineitem"))

@@ -426,3 +426,29 @@ def test_drift_rejects(spark, tmp_path):
     assert set(rejects) == {"torn.parquet", "gone.parquet"} and "no such file" in rejects["gone.parquet"]
     narrow = tables.read_drifting(spark, spark.createDataFrame([(names[0],)], "path string"), T.StructType.fromDDL("a tinyint"))
     assert narrow.rows.count() == 0 and narrow.rejects.first().reason == "column a is int, not tinyint"
+
+
+# Deltas
+
+
+def test_delta_and_audit_equal_a_full_audit(spark):
+    def snapshot(*rows):
+        return spark.createDataFrame(list(rows), "path string, length long")
+
+    before = snapshot(("s3://b/x/1.tif", 1), ("s3://b/x/2.tif", 1), ("s3://b/y/1.tif", None), ("s3://b/z/1.tif", 5))
+    after = snapshot(("s3a://b/x/1.tif", 1), ("s3a://b/y/old/2.tif", 1), ("s3a://b/y/1.tif", None), ("s3a://b/z/1.tif", 6))
+    delta = audit.inventory_delta(before, after)
+    assert sorted(tuple(r) for r in delta.collect()) == [
+        ("b/x/2.tif", "removed", 1, None), ("b/y/old/2.tif", "added", None, 1), ("b/z/1.tif", "changed", 5, 6)
+    ]
+    counts = audit.updated_counts(audit.count_by_directory(before), delta)
+    full = audit.count_by_directory(after)
+    assert sorted(tuple(r) for r in counts.collect()) == sorted(tuple(r) for r in full.collect())
+    paths, expected = {"s2": "a", "s1": "b", "label": "c"}, {"s2": 2, "s1": 1, "label": 1}
+    rows = [("p", "s3://b/x", "s3://b/y/", "s3://b/z"), ("q", "s3://b/y", "s3://b/x", "s3://b/z"), (None, "s3://b/none", "s3://b/z", None)]
+    catalog = spark.createDataFrame(rows, "patch_id string, a string, b string, c string")
+    old = audit.with_directory_counts(catalog, audit.count_by_directory(before), paths=paths).where(audit.is_incomplete(expected))
+    new = audit.updated_audit(catalog, old, counts, delta, expected=expected, paths=paths)
+    wanted = audit.with_directory_counts(catalog, full, paths=paths).where(audit.is_incomplete(expected))
+    assert sorted(map(str, new.collect())) == sorted(map(str, wanted.collect()))
+    assert {r.patch_id for r in old.collect()} == {"q", None} and {r.patch_id for r in new.collect()} == {"p", None}
