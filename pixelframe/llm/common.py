@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,9 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Keys of documents are sent to all executors up to this size, so that texts need not move.
 BROADCAST_BYTES = 32 << 20
 
+#: The tables that were stored within ``stored_alone``.
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
 
 #: Holds the columns of a table that an operator carries along.
 ASIDE = "columns set aside"
@@ -36,16 +40,36 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     with temporary_setting(spark, CLEANUP, "true"):
         df.write.parquet(path)
+    if (passing := _PASSING.get()) is not None:
+        passing.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:
     """Remove the files of a stored table that no later step reads."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(df.sparkSession, folder)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The table that ``make`` builds, stored; all tables it stored on the way are removed then."""
+    outer = _PASSING.get()
+    token = _PASSING.set([])
+    try:
+        result = store(make(), name)
+        *passing, kept = _PASSING.get()
+    finally:
+        _PASSING.reset(token)
+    for folder in passing:
+        _remove(result.sparkSession, folder)
+    if outer is not None:
+        outer.append(kept)
+    return result
 
 
 def hinted(stored: DataFrame, bytes_each: int, weight: Column | None = None) -> DataFrame:

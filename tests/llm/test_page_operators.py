@@ -4,13 +4,14 @@ import hashlib
 import html
 import os
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
 from pixelframe.llm import html_text, queries, urls, vectors, warc
-from pixelframe.storage import scratch_path
+from pixelframe.storage import scratch_path, shared_dir
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 PAGES = "page_id long, url string, html string, shard string"
@@ -304,3 +305,11 @@ def test_lists_are_balanced():
     assert sizes.max() <= 3 * vectors.BALANCE * len(x) / len(centroids) < 1000
     same = np.repeat(x[:1], 50, axis=0)
     assert len(vectors.balanced(same, same[:1], rng)) == 1
+
+
+def test_pipeline_leaves_one_table(spark):
+    """Of all that the stages store only the result stays, and it can be read."""
+    shared = Path(shared_dir(spark).removeprefix("file:")) / "pixelframe"
+    before = set(shared.iterdir()) if shared.exists() else set()
+    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+    assert [p.name.rsplit("-", 1)[0] for p in set(shared.iterdir()) - before] == ["pipeline-mixing"]
