@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pixelframe.llm.common import load, store
+from pixelframe.llm.common import discard, load, stored_alone
 from pixelframe.llm.decontamination import drop_contaminated
 from pixelframe.llm.jaccard import keep_one
 from pixelframe.llm.language import keep_recognised
@@ -59,9 +59,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents")
+    """All stages in turn; of the tables they store only the last one stays."""
+    docs, own = load(spark, sf_dir, "documents"), False
     for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        kept = stored_alone(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if own:
+            discard(docs)
+        docs, own = kept, True
     return docs
 
 
