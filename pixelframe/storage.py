@@ -24,9 +24,9 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="pixelframe-")
-    spark.conf.set(CHECKPOINT_DIR, own)
-    return own
+    # The setting itself cannot change while a session runs; its context has the folder instead.
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pixelframe-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
