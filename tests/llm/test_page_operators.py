@@ -313,3 +313,21 @@ def test_pipeline_leaves_one_table(spark):
     before = set(shared.iterdir()) if shared.exists() else set()
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
     assert [p.name.rsplit("-", 1)[0] for p in set(shared.iterdir()) - before] == ["pipeline-mixing"]
+
+
+def test_recall_at_most_centroids(spark, monkeypatch):
+    """Where the bound on centroids decides, lists get longer and neighbours are still found."""
+    monkeypatch.setattr(vectors, "MAX_CENTROIDS", 12)
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    got = {}
+    for r in vectors.neighbours(table, "vec_id % 50 = 0").collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    rows = vectors.usable(table).orderBy("vec_id").toArrow().combine_chunks()
+    ids, x = rows["vec_id"].to_numpy(), vectors.unit(vectors.vector_matrix(rows["vector"].combine_chunks()))
+    found = total = 0
+    for i in np.flatnonzero(ids % 50 == 0):
+        near = x @ x[i]
+        near[i] = -2
+        best = set(ids[np.argsort(-near, kind="stable")[:5]].tolist())
+        found, total = found + len(best & got[ids[i]]), total + 5
+    assert found >= 0.9 * total
