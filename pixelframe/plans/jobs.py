@@ -60,6 +60,7 @@ from pixelframe.schemas import (
 from pixelframe.sources.files import count_listed_files
 from pixelframe.sources.rasters import ERROR, Decoder, decode_patches
 from pixelframe.sources.sinks import (
+    BATCH,
     COPY,
     ROW_KEY,
     commit_pixels,
@@ -77,6 +78,9 @@ from pixelframe.storage import materialize
 KEYS = ["patch_id", "split"]
 ROW = "__row"
 PART = "__part"
+ROUND = "__round"
+#: Decode tasks of small batches that are under way together, for each core.
+TASKS_PER_CORE = 16
 #: So many first rows are ordered in one task; more are cut out of sorted ranges.
 FIRST_IN_ONE_TASK = 10_000
 
@@ -213,23 +217,37 @@ def resumable_pixel_job(
     one. Patches are cut into even ranges, so many ranges make a batch, and each
     batch is committed when it is whole. ``commits`` bounds the batches of this
     run; the result says how many patches are left.
+
+    Batches too small to occupy the cores are decoded side by side, in rounds of
+    ``TASKS_PER_CORE`` tasks a core, and committed one by one when their round ends;
+    a run that fails loses the round it is in. A round reads its own patches alone.
     """
     rows = read_table(spark, catalog, PIXEL_JOB_COLUMNS)
     sampled = hash_sample_by_split(rows, split_fractions(fraction), "patch_id")
     lacking = materialize(pending_patches(sampled, committed(spark, output)), "pending-patches")
     left = lacking.count()
+    if not left:
+        return 0
     tasks = task_count(left, patches_per_task)
+    batches = ceil(tasks / tasks_per_commit)
+    wanted = len(range(batches)[:commits])
+    side_by_side = max(1, int(TASKS_PER_CORE * spark.sparkContext.defaultParallelism) // tasks_per_commit)
     ranges = lacking.repartitionByRange(tasks, "split", "patch_id", ROW_KEY, COPY)
-    dealt = materialize(ranges.withColumn(PART, F.spark_partition_id()), "pending-ranges")
-    batches = range(0, tasks if left else 0, tasks_per_commit)
-    for first in batches[:commits]:
-        own = dealt.where(F.col(PART).between(first, first + tasks_per_commit - 1))
-        size = own.count()
-        spread = own.repartitionByRange(task_count(size, patches_per_task), "split", "patch_id", ROW_KEY, COPY)
-        arrays = decode_patches(BAND_PATHS[find](spread, KEYS), KEYS, decoder=decoder)
-        pixels = explode_pixels(arrays, keep=[*KEYS, ERROR], outer=True)
-        commit_pixels(pixels.select(*PIXEL_ORDER, *KEYS, ERROR), own, output)
-        left -= size
+    numbered = ranges.withColumn(PART, F.spark_partition_id())
+    numbered = numbered.withColumn(BATCH, F.expr(f"cast({PART} div {tasks_per_commit} as int)"))
+    # What this run does not commit is one partition more, which no round reads.
+    turn = F.expr(f"cast({BATCH} div {side_by_side} as int)")
+    numbered = numbered.withColumn(ROUND, F.when(F.col(BATCH) < wanted, turn).otherwise(-1))
+    dealt = materialize(numbered.hint("rebalance", F.col(ROUND)), "pending-ranges", [ROUND])
+    sizes = {r[ROUND]: r["count"] for r in dealt.groupBy(ROUND).count().collect()}  # one per round
+    for turn in sorted(sizes.keys() - {-1}):
+        own = dealt.where(F.col(ROUND) == turn)
+        spread = own.repartitionByRange(task_count(sizes[turn], patches_per_task), PART)
+        carried = [*KEYS, BATCH]
+        arrays = decode_patches(BAND_PATHS[find](spread, carried), carried, decoder=decoder)
+        pixels = explode_pixels(arrays, keep=[*carried, ERROR], outer=True)
+        commit_pixels(pixels.select(*PIXEL_ORDER, *carried, ERROR), own, output)
+        left -= sizes[turn]
     return left
 
 

@@ -50,16 +50,17 @@ def write_audit(audit: DataFrame, path: str) -> None:
     write_table(audit.hint("rebalance"), path)
 
 
-def write_pixels(pixels: DataFrame, path: str) -> None:
+def write_pixels(pixels: DataFrame, path: str, above: Sequence[str] = ()) -> None:
     """Pixel table stored by split, with rejected patches in a directory of their own.
 
     Rows are not shuffled: the pixel job orders the far smaller patch table by
-    split before it decodes, so each task meets one or two splits.
+    split before it decodes, so each task meets one or two splits. ``above`` names
+    columns whose values part the table first.
     """
     state = F.when(F.col(ERROR).isNull(), DECODED).otherwise(REJECTED)
     stated = pixels.withColumn(STATE, state)
     with unsorted_writes(pixels.sparkSession):
-        stated.write.mode("overwrite").partitionBy(STATE, "split").parquet(path)
+        stated.write.mode("overwrite").partitionBy(*above, STATE, "split").parquet(path)
 
 
 def read_pixels(spark: SparkSession, path: str) -> DataFrame:
@@ -90,21 +91,33 @@ def committed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(fields).parquet(entries)
 
 
-def commit_pixels(pixels: DataFrame, patches: DataFrame, path: str) -> str:
-    """Write a batch of pixels, then its ``patches`` (row_key, copy, patch_id, split) to the manifest.
+def commit_pixels(pixels: DataFrame, patches: DataFrame, path: str) -> list[str]:
+    """Write batches of pixels, then their ``patches`` (row_key, copy, patch_id, split) to the manifest.
 
-    The entry appears by one rename. Where that does not happen, what was
-    written is no part of the table and its patches are still to be done.
+    Both tables say in ``batch`` which batch a row belongs to. All batches are
+    written by one job, out of readers' sight; each then gets a folder and an entry
+    of its own, the entry by one rename. Where that does not happen, what was
+    written is no part of the table and the batch's patches are still to be done.
     """
     spark = pixels.sparkSession
-    batch = uuid.uuid4().hex
-    write_pixels(pixels, f"{path}/{DATA}/{BATCH}={batch}")
-    hidden = f"{path}/{MANIFEST}/.{batch}"
-    patches.select(ROW_KEY, COPY, "patch_id", "split").write.parquet(hidden)
-    files, (old, new) = _file_system(spark, hidden, f"{path}/{MANIFEST}/{BATCH}={batch}")
-    if not files.rename(old, new):
-        raise OSError(f"batch {batch} could not be committed")
-    return batch
+    run = uuid.uuid4().hex
+    data, entries = f"{path}/{DATA}/.{run}", f"{path}/{MANIFEST}/.{run}"
+    named = F.concat(F.lit(f"{run}-"), F.col(BATCH).cast("string"))
+    write_pixels(pixels.withColumn(BATCH, named), data, [BATCH])
+    with unsorted_writes(spark):
+        listed = patches.select(ROW_KEY, COPY, "patch_id", "split", named.alias(BATCH))
+        spread = listed.repartition(spark.sparkContext.defaultParallelism, BATCH)
+        spread.write.partitionBy(BATCH).parquet(entries)
+    files, (written,) = _file_system(spark, entries)
+    folders = sorted(s.getPath().getName() for s in files.listStatus(written) if s.isDirectory())
+    for folder in folders:
+        for hidden, shown in ((data, DATA), (entries, MANIFEST)):
+            _, (old, new) = _file_system(spark, f"{hidden}/{folder}", f"{path}/{shown}/{folder}")
+            if not files.rename(old, new):
+                raise OSError(f"{folder} could not be committed")
+    for hidden in (data, entries):
+        files.delete(_file_system(spark, hidden)[1][0], True)
+    return [f.removeprefix(f"{BATCH}=") for f in folders]
 
 
 def read_committed(spark: SparkSession, path: str) -> DataFrame:
