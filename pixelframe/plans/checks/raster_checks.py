@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixelframe.operators import audit, models, pixels
@@ -21,8 +21,10 @@ from pixelframe.plans.checks.standins import (
     PATCH_SIDE,
     PIXELS_SQL,
     SPLIT_SQL,
+    TURN,
     band_arrays,
     table,
+    turned,
 )
 from pixelframe.schemas import OPTICAL_BANDS, PIXEL_BANDS, PIXEL_ORDER, RADAR_BANDS
 from pixelframe.sources import bands, files, rasters, sinks
@@ -76,26 +78,38 @@ def raster_blocks(spark, sf_dir):
 MOSAIC, STRIP_ROWS = 16, 3
 
 
+def _stacked(band: str) -> Column:
+    """A band's values of all patches of a mosaic, one after the other."""
+    by = PIXEL_BANDS.index(band) * TURN
+    return F.flatten(F.transform("rows", lambda row: turned(row["values"], by))).alias(band)
+
+
+def _write_mosaics(batch: pa.RecordBatch, root: str, storage: TaskStorage) -> pa.RecordBatch:
+    """Write the bands of a batch of mosaics, one mosaic at a time; their paths."""
+    paths = {b: [] for b in PIXEL_BANDS}
+    for i, mosaic in enumerate(batch.column("mosaic").to_pylist()):
+        for b in PIXEL_BANDS:
+            values = _stored_values(b, batch.column(b)[i].values.to_numpy(zero_copy_only=False))
+            paths[b].append(f"{root}/{mosaic}_{files.BAND_SUFFIX[b]}.tif")
+            content = write_tiff(values.reshape(-1, PATCH_SIDE), b in OPTICAL_BANDS, STRIP_ROWS)
+            storage.write(paths[b][-1], content)
+    columns = [batch.column("mosaic"), *(pa.array(paths[b], pa.string()) for b in PIXEL_BANDS)]
+    return pa.RecordBatch.from_arrays(columns, ["mosaic", *PIXEL_BANDS])
+
+
 def mosaic_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rasters of many patches, each band a file in strips: (mosaic, a path per band)."""
     root = scratch_path(spark, "mosaics")
-    arrays = band_arrays(spark, sf_dir, "vec_id").withColumn("mosaic", F.expr(f"vec_id div {MOSAIC}"))
-    row = F.struct("vec_id", *PIXEL_BANDS)
-    stacked = arrays.groupBy("mosaic").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("mosaic", F.expr(f"vec_id div {MOSAIC}"))
+    # The vectors are what is shuffled; the bands are turned out of them where they are stacked.
+    spread = vectors.repartition(spark.sparkContext.defaultParallelism, "mosaic")
+    rows = F.array_sort(F.collect_list(F.struct("vec_id", F.col("embedding").cast("array<double>").alias("values"))))
+    stacked = spread.groupBy("mosaic").agg(rows.alias("rows")).select("mosaic", *[_stacked(b) for b in PIXEL_BANDS])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         storage = TaskStorage()
         for batch in batches:
-            paths = {b: [] for b in PIXEL_BANDS}
-            for mosaic, rows in zip(batch.column("mosaic").to_pylist(), batch.column("rows").to_pylist()):
-                for b in PIXEL_BANDS:
-                    values = _stored_values(b, np.concatenate([np.array(r[b], np.float64) for r in rows]))
-                    paths[b].append(f"{root}/{mosaic}_{files.BAND_SUFFIX[b]}.tif")
-                    content = write_tiff(values.reshape(-1, PATCH_SIDE), b in OPTICAL_BANDS, STRIP_ROWS)
-                    storage.write(paths[b][-1], content)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("mosaic"), *(pa.array(paths[b], pa.string()) for b in PIXEL_BANDS)], ["mosaic", *PIXEL_BANDS]
-            )
+            yield _write_mosaics(batch, root, storage)
 
     written = stacked.mapInArrow(write, "mosaic bigint, " + ", ".join(f"{b} string" for b in PIXEL_BANDS))
     return materialize(written, "mosaic-paths")

@@ -57,3 +57,17 @@ def test_rounds_stop_at_the_bound(spark, tmp_path, monkeypatch):
     assert sinks.drop_uncommitted(spark, output) == 0
     assert jobs.resumable_pixel_job(spark, catalog, output, **batches) == 0
     assert sinks.read_committed_pixels(spark, output).count() == 6 * 16
+
+
+def test_mosaics_are_written_one_at_a_time(tmp_path):
+    """400 mosaics as Python numbers would take 90 MB."""
+    values = np.random.default_rng(1).normal(size=400 * 1024)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(401, dtype=np.int32) * 1024), pa.array(values))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), *[lists for _ in PIXEL_BANDS]], ["mosaic", *PIXEL_BANDS])
+    tracemalloc.start()
+    paths = raster_checks._write_mosaics(batch, str(tmp_path), remote.TaskStorage())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert paths.num_rows == 400 and peak < 4 << 20
+    content = (tmp_path / "399_VH.tif").read_bytes()
+    assert np.array_equal(tiff.read_tiff(content).reshape(-1), values[-1024:].astype(np.float32))
