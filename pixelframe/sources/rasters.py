@@ -12,6 +12,7 @@ import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,10 @@ Opener = Callable[[pa.NativeFile], Band]
 FIRST_PIXEL = "first_pixel"
 ERROR = "error"
 
+#: Pixels of an output batch, however small the blocks in it.
+BATCH_PIXELS = 1 << 16
+
+
 def decoded_whole(decoder: Decoder) -> Opener:
     """An opener for a decoder that takes a file's whole content."""
 
@@ -39,8 +44,12 @@ def decoded_whole(decoder: Decoder) -> Opener:
     return opened
 
 
+@cache
 def default_opener() -> Opener:
-    """rasterio where it is installed, else the plain TIFF reader; both read rows as they are asked for."""
+    """rasterio where it is installed, else the plain TIFF reader; both read rows as they are asked for.
+
+    Kept by the worker: each task would look for a missing package all along the path again.
+    """
     try:
         import rasterio
         from rasterio.errors import RasterioError
@@ -90,10 +99,16 @@ class _Taker:
         return np.concatenate(parts)
 
 
+def _one_by_one(do: Callable, items: Iterable) -> list:
+    return [do(item) for item in items]
+
+
 def _blocks(
     sources: Mapping[str, pa.NativeFile], opened: Opener, each: Callable, block_pixels: int
 ) -> tuple[int, Iterator[dict[str, np.ndarray]]]:
     """(length, blocks of all bands in step); raises where the bands are not of one length."""
+    if all(isinstance(source, pa.BufferReader) for source in sources.values()):
+        each = _one_by_one  # nothing to wait for: threads would only cost time
     bands = dict(zip(sources, each(opened, sources.values())))
     lengths = {b: band.length for b, band in bands.items()}
     if len(set(lengths.values())) > 1:
@@ -192,13 +207,15 @@ def decode_patches(
                     values = {b: batch.column(c)[i] for b, c in columns.items()}
 
                     def find(values=values) -> dict[str, pa.NativeFile | None]:
-                        return dict(zip(values, each(source, values.values())))
+                        waiting = by_path and any(v.is_valid and storage.waits(v.as_py()) for v in values.values())
+                        opening = each if waiting else _one_by_one
+                        return dict(zip(values, opening(source, values.values())))
 
                     for start, arrays, error in _patch_rows(find, opened, each, block_pixels):
                         yield i, start, arrays or {b: np.empty(0, _kind(b)) for b in columns}, error
 
             for batch in batches:
-                for group in _by_pixels(rows(batch), block_pixels):
+                for group in _by_pixels(rows(batch), max(block_pixels, BATCH_PIXELS)):
                     index, starts, arrays, errors = zip(*group)
                     yield pa.RecordBatch.from_arrays(
                         [

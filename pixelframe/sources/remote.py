@@ -17,6 +17,7 @@ class TaskStorage:
 
     def __init__(self) -> None:
         self._clients: dict[str, tuple[pafs.FileSystem, str]] = {}
+        self._made = ""
 
     def _resolve(self, uri: str) -> tuple[pafs.FileSystem, str, str]:
         # Spark says file:/x and s3a://, the client file:///x and s3://.
@@ -41,14 +42,19 @@ class TaskStorage:
         ]
 
     def children(self, directory: str) -> list[tuple[str, int, bool]]:
-        """(path, length, is a directory) of what lies right in ``directory``."""
+        """(path, length, is a directory) of the files and directories right in ``directory``."""
         client, prefix, inner = self._resolve(directory)
         selector = pafs.FileSelector(inner, allow_not_found=True)
         return [
             (prefix + info.path, info.size or 0, info.type == pafs.FileType.Directory)
             for info in client.get_file_info(selector)
+            if info.type in (pafs.FileType.File, pafs.FileType.Directory)
         ]
 
+    def waits(self, path: str) -> bool:
+        """Whether requests wait on a network; for the machine's own files threads cost more than they save."""
+        return not isinstance(self._resolve(path)[0], pafs.LocalFileSystem)
+
     def open(self, path: str) -> pa.NativeFile | None:
         """A file to be read at any place, None if there is no such file; a small one is fetched at once."""
         client, _, inner = self._resolve(path)
@@ -61,9 +67,12 @@ class TaskStorage:
         except FileNotFoundError:
             return None
 
-    def write(self, path: str, content: bytes) -> None:
+    def write(self, path: str, content: bytes | pa.Buffer) -> None:
         """Write a file, replacing what an earlier attempt of the task left."""
         client, _, inner = self._resolve(path)
-        client.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+        directory = path.rsplit("/", 1)[0]
+        if directory != self._made:
+            client.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+            self._made = directory
         with client.open_output_stream(inner) as stream:
             stream.write(content)

@@ -71,3 +71,35 @@ def test_mosaics_are_written_one_at_a_time(tmp_path):
     assert paths.num_rows == 400 and peak < 4 << 20
     content = (tmp_path / "399_VH.tif").read_bytes()
     assert np.array_equal(tiff.read_tiff(content).reshape(-1), values[-1024:].astype(np.float32))
+
+
+class Captured:
+    """Stands for a table; gives back the function that its tasks would run."""
+
+    schema = T.StructType([T.StructField("id", T.LongType())] + [T.StructField(b, T.BinaryType()) for b in PIXEL_BANDS])
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_small_blocks_come_in_few_batches():
+    content = write_tiff(np.arange(35, dtype=np.uint16).reshape(5, 7))
+    columns = [pa.array([content] * 50, pa.binary()) for _ in PIXEL_BANDS]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50)), *columns], ["id", *PIXEL_BANDS])
+    (out,) = rasters.decode_patches(Captured(), ["id"], block_pixels=10)(iter([batch]))
+    assert out.column("first_pixel").to_pylist() == [0, 10, 20, 30] * 50
+    assert out.column("NIR").flatten().to_pylist() == list(range(35)) * 50
+
+
+def test_contents_in_memory_are_decoded_without_threads():
+    content = write_tiff(np.arange(35, dtype=np.uint16).reshape(5, 7))
+
+    def threads(do, items):
+        raise AssertionError("nothing waits")
+
+    rows = rasters._patch_rows(lambda: {b: pa.BufferReader(content) for b in PIXEL_BANDS}, tiff.open_tiff, threads, 10)
+    assert [start for start, _, _ in rows] == [0, 10, 20, 30]
+
+
+def test_opener_is_looked_for_once():
+    assert rasters.default_opener() is rasters.default_opener()
