@@ -42,19 +42,29 @@ def _raster_of(band: str, values: np.ndarray) -> bytes:
     return write_tiff(_stored_values(band, values).reshape(PATCH_SIDE, PATCH_SIDE), band in OPTICAL_BANDS)
 
 
-def band_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Patches with each band as the bytes of an 8 x 8 single-band TIFF."""
+#: Patches that are encoded at a time.
+ENCODED = 256
+
+
+def band_contents(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """Patches with each band as the bytes of an 8 x 8 single-band TIFF.
+
+    With ``tasks`` the vectors are spread over so many before they are encoded: a
+    table of many patches may still be one file.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [batch.column("vec_id")]
-            for b in PIXEL_BANDS:
-                values = batch.column(b).flatten().to_numpy().reshape(-1, PATCH_PIXELS)
-                columns.append(pa.array([_raster_of(b, v) for v in values], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", *PIXEL_BANDS])
+        for whole in batches:
+            for start in range(0, whole.num_rows, ENCODED):
+                batch = whole.slice(start, ENCODED)
+                columns = [batch.column("vec_id")]
+                for b in PIXEL_BANDS:
+                    values = batch.column(b).flatten().to_numpy().reshape(-1, PATCH_PIXELS)
+                    columns.append(pa.array([_raster_of(b, v) for v in values], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=["vec_id", *PIXEL_BANDS])
 
     schema = "vec_id bigint, " + ", ".join(f"{b} binary" for b in PIXEL_BANDS)
-    return band_arrays(spark, sf_dir, "vec_id").drop("split").mapInArrow(encode, schema)
+    return band_arrays(spark, sf_dir, "vec_id", tasks=tasks).drop("split").mapInArrow(encode, schema)
 
 
 @query(
@@ -133,7 +143,7 @@ def raster_windows(spark, sf_dir):
 def bucketed_bands(spark, sf_dir):
     """Decoded blocks stored as a bucketed table per band, named anew and joined without a shuffle."""
     path, name = scratch_path(spark, "bands"), f"bands_{uuid.uuid4().hex}"
-    contents = band_contents(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+    contents = band_contents(spark, sf_dir, spark.sparkContext.defaultParallelism)
     decoded = materialize(rasters.decode_patches(contents, ["vec_id"], block_pixels=24), "decoded-blocks")
     bands.write_bands(decoded, path, name, ["vec_id"], 4)
     bands.register_bands(spark, path, f"{name}_again", ["vec_id"], 4)
@@ -143,11 +153,10 @@ def bucketed_bands(spark, sf_dir):
 
 
 def _decoded_pixels(spark, sf_dir, block_pixels):
-    contents = band_contents(spark, sf_dir)
-    # Decoding takes longer than its small input suggests: spread the patches first.
-    spread = contents.repartition(spark.sparkContext.defaultParallelism)
+    # Encoding and decoding take longer than their small input suggests: spread the patches first.
+    contents = band_contents(spark, sf_dir, spark.sparkContext.defaultParallelism)
     decoded = rasters.decode_patches(
-        spread, ["vec_id"], block_pixels=block_pixels
+        contents, ["vec_id"], block_pixels=block_pixels
     )
     placed = pixels.explode_pixels(
         decoded, keep=["vec_id"], position="pos", offset=rasters.FIRST_PIXEL
@@ -183,20 +192,20 @@ def write_band_files(contents: DataFrame, root: str) -> DataFrame:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         storage = TaskStorage()
         for batch in batches:
-            for row in batch.to_pylist():
+            for i, patch in enumerate(batch.column("vec_id").to_pylist()):
                 for b in PIXEL_BANDS:
-                    storage.write(_band_path(root, row["vec_id"], b), row[b])
+                    storage.write(_band_path(root, patch, b), batch.column(b)[i].as_buffer())
             yield pa.RecordBatch.from_arrays([batch.column("vec_id")], names=["vec_id"])
 
-    # Writing waits on storage: spread it, however few partitions the table has.
-    spread = contents.repartition(contents.sparkSession.sparkContext.defaultParallelism)
-    return spread.mapInArrow(write, "vec_id bigint")
+    return contents.mapInArrow(write, "vec_id bigint")
 
 
 def stored_root(spark: SparkSession, sf_dir: str) -> str:
     """A root with the band files of every patch."""
     root = scratch_path(spark, "rasters")
-    write_band_files(band_contents(spark, sf_dir), root).agg(F.count("vec_id")).first()
+    # Writing waits on storage: spread it, however few partitions the table has.
+    contents = band_contents(spark, sf_dir, spark.sparkContext.defaultParallelism)
+    write_band_files(contents, root).agg(F.count("vec_id")).first()
     return root
 
 

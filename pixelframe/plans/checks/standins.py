@@ -38,9 +38,10 @@ def turned_sql(by: int) -> str:
     return f"embedding[1 + (pos + {by}) % {PATCH_PIXELS}]::DOUBLE"
 
 
-def band_arrays(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
-    """One row per patch with seven arrays of 64 doubles."""
+def band_arrays(spark: SparkSession, sf_dir: str, *keep: str, tasks: int | None = None) -> DataFrame:
+    """One row per patch with seven arrays of 64 doubles; with ``tasks`` spread over so many."""
     vectors = table(spark, sf_dir, "embeddings")
+    vectors = vectors.repartition(tasks) if tasks else vectors
     values = F.col("embedding").cast("array<double>")
     return vectors.select(
         *keep,

@@ -226,15 +226,11 @@ def _map_listings(
             for batch in batches:
                 for start in range(0, batch.num_rows, _LIST_CHUNK):
                     part = batch.slice(start, _LIST_CHUNK)
-                    listings = [
-                        list(
-                            pool.map(
-                                lambda d: storage.list_files(d) if d else [],
-                                part.column(c).to_pylist(),
-                            )
-                        )
-                        for c in directories
-                    ]
+                    listings = []
+                    for c in directories:
+                        places = part.column(c).to_pylist()
+                        each = pool.map if any(d and storage.waits(d) for d in places) else map
+                        listings.append(list(each(lambda d: storage.list_files(d) if d else [], places)))
                     rows = [derive(list(row)) for row in zip(*listings)]
                     added = [pa.array(v, t) for v, t in zip(zip(*rows), types)]
                     yield pa.RecordBatch.from_arrays(

@@ -103,3 +103,31 @@ def test_contents_in_memory_are_decoded_without_threads():
 
 def test_opener_is_looked_for_once():
     assert rasters.default_opener() is rasters.default_opener()
+
+
+def test_vectors_are_spread_before_they_are_encoded(spark):
+    contents = raster_checks.band_contents(spark, SF_DIR, 6)
+    assert contents.rdd.getNumPartitions() == 6
+    text = contents._jdf.queryExecution().executedPlan().toString()
+    assert text.index("MapInArrow") < text.index("Exchange")
+
+
+def test_directories_are_made_once_and_local_files_do_not_wait(monkeypatch, tmp_path):
+    made = []
+
+    storage = remote.TaskStorage()
+    local = remote.pafs.LocalFileSystem()
+
+    class Counting:
+        def create_dir(self, path, recursive):
+            made.append(path)
+            local.create_dir(path, recursive=recursive)
+
+        def open_output_stream(self, path):
+            return local.open_output_stream(path)
+
+    monkeypatch.setattr(storage, "_resolve", lambda uri: (Counting(), "", uri))
+    for name in ("a/1", "a/2", "a/3", "b/1"):
+        storage.write(f"{tmp_path}/{name}", b"x")
+    assert made == [f"{tmp_path}/a", f"{tmp_path}/b"]
+    assert not remote.TaskStorage().waits(f"file://{tmp_path}")
