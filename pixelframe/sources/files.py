@@ -41,6 +41,7 @@ SENSOR_PATHS = {"s2": "s2_path", "s1": "s1_path", "label": "label_path"}
 LISTING_TASKS_PER_CORE = 8
 _LIST_THREADS = 8
 _LIST_CHUNK = 256
+_LIST_ROWS = 4096
 
 Listing = list[tuple[str, int]]
 
@@ -91,6 +92,27 @@ def _hidden(path: str, below: str) -> bool:
     return any(part[:1] in ("_", ".") for part in path[len(below) :].split("/"))
 
 
+def _listings(
+    storage: TaskStorage, pool: ThreadPoolExecutor, directory: str, whole: bool
+) -> Iterator[list[tuple[str, int, bool]]]:
+    """What lies right in ``directory``; with ``whole`` all files below it.
+
+    The directories below are listed some hundred at a time, so that a task never
+    holds more than these listings and the names of directories still to be listed.
+    """
+    each = pool.map if storage.waits(directory) else map
+    waiting = [directory]
+    while waiting:
+        several = waiting[-_LIST_CHUNK:]
+        del waiting[-_LIST_CHUNK:]
+        for inside, found in zip(several, each(storage.children, several)):
+            shown = [f for f in found if not _hidden(f[0], inside)]
+            if whole:
+                waiting += [path for path, _, is_open in shown if is_open]
+                shown = [f for f in shown if not f[2]]
+            yield shown
+
+
 def list_root(
     spark: SparkSession,
     root: str,
@@ -101,7 +123,8 @@ def list_root(
     """Path and length of every file below ``root``, listed in tasks.
 
     The directories of the first ``levels`` levels are rows that are spread over
-    ``tasks`` before each next step; the last step lists what lies below them.
+    ``tasks`` before each next step; the last step lists what lies below them, one
+    directory after the other.
     The driver sees the root alone.
     """
     tasks = tasks or LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
@@ -109,21 +132,18 @@ def list_root(
     def step(whole: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             storage = TaskStorage()
-            for batch in batches:
-                still_open = batch.column("open")
-                yield batch.filter(pc.invert(still_open))
-                for directory in batch.filter(still_open).column("path").to_pylist():
-                    if whole:
-                        found = [(p, n, False) for p, n in storage.list_files(directory)]
-                    else:
-                        found = storage.children(directory)
-                    kept = [
-                        f for f in found if (f[2] or f[0].endswith(suffix)) and not _hidden(f[0], directory)
-                    ]
-                    columns = zip(*kept) if kept else ([], [], [])
-                    types = [pa.string(), pa.int64(), pa.bool_()]
-                    arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-                    yield pa.RecordBatch.from_arrays(arrays, ["path", "length", "open"])
+            with ThreadPoolExecutor(_LIST_THREADS) as pool:
+                for batch in batches:
+                    still_open = batch.column("open")
+                    yield batch.filter(pc.invert(still_open))
+                    for directory in batch.filter(still_open).column("path").to_pylist():
+                        for found in _listings(storage, pool, directory, whole):
+                            kept = [f for f in found if f[2] or f[0].endswith(suffix)]
+                            for start in range(0, len(kept), _LIST_ROWS):
+                                columns = zip(*kept[start : start + _LIST_ROWS])
+                                types = [pa.string(), pa.int64(), pa.bool_()]
+                                arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+                                yield pa.RecordBatch.from_arrays(arrays, ["path", "length", "open"])
 
         return run
 

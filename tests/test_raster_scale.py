@@ -131,3 +131,24 @@ def test_directories_are_made_once_and_local_files_do_not_wait(monkeypatch, tmp_
         storage.write(f"{tmp_path}/{name}", b"x")
     assert made == [f"{tmp_path}/a", f"{tmp_path}/b"]
     assert not remote.TaskStorage().waits(f"file://{tmp_path}")
+
+
+def test_listing_holds_some_hundred_directories(tmp_path):
+    """What lies below a directory comes a directory at a time, long before all of it is listed."""
+    for i in range(700):
+        (tmp_path / str(i) / "in").mkdir(parents=True)
+        for name in ("a.tif", "in/b.tif"):
+            (tmp_path / str(i) / name).write_bytes(b"x")
+    listed = []
+
+    class Storage(remote.TaskStorage):
+        def children(self, directory):
+            listed.append(directory)
+            return super().children(directory)
+
+    with files.ThreadPoolExecutor(2) as pool:
+        found = files._listings(Storage(), pool, str(tmp_path), True)
+        sizes = [len(next(found)) for _ in range(10)]
+        assert len(listed) <= 1 + files._LIST_CHUNK and max(sizes) == 1
+        rest = sum(len(f) for f in found)
+    assert sum(sizes) + rest == 1400 and len(listed) == 1401
