@@ -19,12 +19,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixelframe.functions.hashing import key_fraction
+from pixelframe.operators.regression import SparseLinearRegression
 from pixelframe.operators.sampling import SEED
 from pixelframe.storage import materialize
 
 MAX_TREE_DEPTH = 30
 FOLD = "fold"
 
+# Fixed value: up to here MLlib solves normal equations; its other solvers hold as many numbers in every task.
+DRIVER_WIDTH = 4096
+# Settings of MLlib's solvers that do not change what least squares without an L1 penalty minimize.
+LIBRARY_ONLY = ("aggregationDepth", "elasticNetParam", "epsilon", "loss", "maxBlockSizeInMB", "solver")
+
 # The search grid; depths above MLlib's limit are left to the caller.
 FOREST_GRID = {
     "numTrees": (10, 50, 100, 150, 200, 300),
@@ -38,8 +44,21 @@ def forest(label: str = "label", features: str = "features", seed: int = SEED, *
     return RandomForestClassifier(labelCol=label, featuresCol=features, seed=seed, **params)
 
 
-def linear_regression(label: str, features: str = "features", **params) -> LinearRegression:
-    return LinearRegression(labelCol=label, featuresCol=features, **params)
+def linear_regression(
+    label: str, features: str = "features", one_hot: Sequence[int] = (), **params
+) -> LinearRegression | SparseLinearRegression:
+    """MLlib's linear regression, or one of any width for vectors that begin with wide one-hot blocks.
+
+    ``one_hot`` are the widths of these blocks. Above ``DRIVER_WIDTH`` in all, least squares
+    without an L1 penalty keep their coefficients in a table. What only MLlib's solvers
+    can do, the Huber loss, an L1 penalty or a solver by name, stays with them at any width.
+    """
+    lasso = params.get("regParam", 0.0) * params.get("elasticNetParam", 0.0)
+    by_name = params.get("loss", "squaredError") != "squaredError" or params.get("solver", "auto") != "auto"
+    if sum(one_hot) <= DRIVER_WIDTH or lasso or by_name or "weightCol" in params:
+        return LinearRegression(labelCol=label, featuresCol=features, **params)
+    own = {k: v for k, v in params.items() if k not in LIBRARY_ONLY}
+    return SparseLinearRegression(labelCol=label, featuresCol=features, sizes=list(one_hot), **own)
 
 
 def fit(stages: Sequence, train: DataFrame) -> PipelineModel:

@@ -304,8 +304,8 @@ def regression_job(
     ``keys`` are never features. With ``keys`` the rows are held out by a hash of
     the first one, which no partitioning changes; else at random by ``seed``.
 
-    Text columns may have any number of values: their codes are stored tables, and
-    a row's vector is sparse. Only the coefficients, one per value, are on the driver.
+    Text columns may have any number of values: their codes are stored tables,
+    a row's vector is sparse, and the coefficients of many values are a stored table.
 
     Every estimator passes over the training rows, so they are stored once, by
     part, with the columns in use, and their vectors once for the solver's passes.
@@ -321,7 +321,7 @@ def regression_job(
     index = CategoryIndexer(inputCols=categorical).fit(train)
     vectors = PipelineModel([index, sparse_assembler(index, train, numerical)])
     rows = materialize(vectors.transform(train).select("features", label), "regression-vectors")
-    line = linear_regression(label, **regression_params).fit(rows)
+    line = linear_regression(label, one_hot=index.getOrDefault("known"), **regression_params).fit(rows)
     model = PipelineModel([*vectors.stages, line])
     predictions = model.transform(test)
     return RegressionResult(model, predictions, predictions.agg(rmse_of(label)).first()[0])

@@ -70,3 +70,12 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     with unsorted_writes(spark):
         df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(stored: DataFrame) -> None:
+    """Remove the files of a table from ``materialize``, not partitioned, that nothing reads any more."""
+    spark = stored.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in stored.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        path.getFileSystem(conf).delete(path, True)
